@@ -28,7 +28,9 @@ from .common import SPACE, Rolling, WordHasher, chunks_of, keep_columns, materia
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ZERO = np.uint64(0)
-_hash_a, _hash_b, _roll_a, _roll_b = WordHasher(11), WordHasher(23), Rolling(31), Rolling(43)
+_hash, _roll_a, _roll_b = WordHasher(11), Rolling(31), Rolling(43)
+#: Bytes of text that one pass works on.
+_CHUNK = 1 << 20
 
 
 def levels_of(window: int, shortest: int = 8) -> list[int]:
@@ -55,45 +57,57 @@ class _Piece:
     def __init__(self, data: np.ndarray, offs: np.ndarray, window: int):
         st, en, first = word_spans(data, offs, SPACE)
         self.window, self.first, self.n = window, first, len(st)
-        self.a, self.b = _hash_a(data, st, en), _hash_b(data, st, en)
+        self.words = _hash(data, st, en)
         counts = np.diff(first)
         left = np.repeat(first[1:], counts) - np.arange(self.n)  # words from here to the end of the document
         self.live = (left >= window)[: max(0, self.n - window + 1)]
 
-    def least(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hashes of k words, second hashes of them, least hash of each window, where a window picks)."""
-        h = mix(_roll_a.windows(_roll_a.prefix(self.a), k)) | np.uint64(1)
-        two = mix(_roll_b.windows(_roll_b.prefix(self.b), k))
+    def picks(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where live windows pick their stretch of k words, hashes there, second hashes there)."""
+        h = mix(_roll_a.windows(_roll_a.prefix(self.words), k)) | np.uint64(1)
         span = self.window - k + 1
-        v = _slide(h, span, np.minimum)
-        padded = np.concatenate([np.zeros(span - 1, np.uint64), np.where(self.live, v, _ZERO), np.zeros(span - 1, np.uint64)])
-        return h, two, v, _slide(padded, span, np.maximum) == h
+        least = np.where(self.live, _slide(h, span, np.minimum), _ZERO)
+        edge = np.zeros(span - 1, np.uint64)
+        picked = _slide(np.concatenate([edge, least, edge]), span, np.maximum) == h
+        return picked, h[picked], mix(_roll_b.windows(_roll_b.prefix(self.words), k))[picked]
+
+    def keep(self, k: int, picked: np.ndarray, h: np.ndarray, twice: np.ndarray) -> None:
+        """Windows whose stretch does not occur twice are given up."""
+        span, every, some = self.window - k + 1, np.full(len(picked), _TOP, np.uint64), np.full(len(picked), _TOP, np.uint64)
+        every[picked] = h
+        some[picked] = np.where(twice, h, _TOP)
+        some = _slide(some, span, np.minimum)
+        self.live &= (some == _slide(every, span, np.minimum)) & (some != _TOP)
 
 
 def _classes(h: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct pairs, the place of each pair among them, and how often each occurs."""
-    order = np.lexsort((two, h))
+    order = np.argsort(h, kind="stable")
     a, b = h[order], two[order]
+    same = a[1:] == a[:-1]
+    if (same & (b[1:] != b[:-1])).any():  # first hashes that agree by chance
+        order = np.lexsort((two, h))
+        a, b = h[order], two[order]
+        same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
     new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    group = np.cumsum(new) - 1
-    inverse = np.empty(len(a), np.int64)
+    np.logical_not(same, out=new[1:])
+    group = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    inverse = np.empty(len(a), np.int32)
     inverse[order] = group
-    return a[new], b[new], inverse, np.bincount(group, minlength=0)
+    return a[new], b[new], inverse, np.bincount(group)
 
 
 def _walk(texts: pa.Array, window: int, levels: list[int], answers: dict[int, dict[int, bytes]], buckets: int):
     """Goes through the levels that ``answers`` has; gives the pieces and the distinct hashes of the next level, if there is one."""
-    pieces = [_Piece(data, offs, window) for _, _, data, offs in chunks_of(texts)]
+    pieces = [_Piece(data, offs, window) for _, _, data, offs in chunks_of(texts, _CHUNK)]
     for level, k in enumerate(levels):
-        if not any(p.live.any() for p in pieces):
+        alive = [p for p in pieces if p.live.any()]
+        if not alive:
             return pieces, None
-        found = []
-        for p in pieces:
-            if p.live.any():
-                h, two, v, picked = p.least(k)
-                found.append((p, picked, v, h[picked], two[picked]))
-        a, b, inverse, counts = _classes(np.concatenate([x[3] for x in found]), np.concatenate([x[4] for x in found]))
+        found = [p.picks(k) for p in alive]
+        if level not in answers:
+            found = [(None, h, two) for _, h, two in found]
+        a, b, inverse, counts = _classes(np.concatenate([x[1] for x in found]), np.concatenate([x[2] for x in found]))
         cuts = _cuts(a, buckets)
         if level not in answers:
             return pieces, (a, b, counts > 1, cuts)
@@ -102,12 +116,9 @@ def _walk(texts: pa.Array, window: int, levels: list[int], answers: dict[int, di
             s, e = cuts[bucket], cuts[bucket + 1]
             flags[s:e] = np.unpackbits(np.frombuffer(bits, np.uint8), count=e - s).astype(bool)
         at = 0
-        for p, picked, v, h, _ in found:
-            twice = flags[inverse[at : at + len(h)]]
+        for p, (picked, h, _) in zip(alive, found, strict=True):
+            p.keep(k, picked, h, flags[inverse[at : at + len(h)]])
             at += len(h)
-            repeated = np.full(len(picked), _TOP, np.uint64)
-            repeated[picked] = np.where(twice, h, _TOP)
-            p.live &= _slide(repeated, p.window - k + 1, np.minimum) == v
     return pieces, None
 
 
@@ -177,7 +188,7 @@ def repeated_passages(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
         if left.num_rows:
             texts = left.column("text").combine_chunks()
             pieces, _ = _walk(texts, window, levels, _answers(right), buckets)
-            for (_, _, data, offs), p in zip(chunks_of(texts), pieces, strict=True):
+            for (_, _, data, offs), p in zip(chunks_of(texts, _CHUNK), pieces, strict=True):
                 change = np.zeros(p.n + 1, np.int64)
                 at = np.flatnonzero(p.live)
                 np.add.at(change, at, 1)
