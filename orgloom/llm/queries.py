@@ -8,16 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_trie, decontam, quality_rules, simhash, substring_dedup, token_counts
+from . import bpe_trie, chat_format, decontam, quality_mil, quality_rules, secret_scan, simhash, substring_dedup, token_counts, url_filters
 from .sql import OP3_SQL, OP4_SQL, OP10_SQL
 
 TOKENIZER = "word_bpe_49k.json"
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_mil.score(docs, quality_mil.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -36,6 +42,22 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(_table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict", "p_block")
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], turns.schema)
+    return chat_format.read_back(chat_format.format_conversations(turns.union(planted)))
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"), secret_scan.Forest(secret_scan.example_findings(spark)))
+    return found.select("doc_id", F.size("secret_findings").cast("long").alias("n_candidates"), "n_secrets", "secret_findings", F.sha2(F.coalesce("redacted_text", F.lit("")), 256).alias("redacted_sha256"))
+
+
 def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -48,10 +70,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality_classifier,
         op2_simhash_near_dedup,
         op3_benchmark_decontamination,
         op4_quality_rules,
         op5_token_counts,
+        op6_url_filters,
+        op7_chat_formatting,
+        op8_secret_scans,
         op9_bpe_encode_decode,
         op10_substring_dedup,
     )
