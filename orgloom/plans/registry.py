@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-FLAGSHIP = "flagship"
+from . import graph, links
+
+MODULES = (graph, links)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLES: dict[str, str] = {k: s for m in MODULES for k, s in m.ORACLES.items()}
+FLAGSHIP = "repo_contribution"
