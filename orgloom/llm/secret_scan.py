@@ -80,6 +80,7 @@ def example_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         F.concat(say, word(3), F.initcap(word(4)), F.initcap(word(5)), F.initcap(word(6)), digits(2)), F.concat(say, F.lit('api_key = "YOUR_API_KEY_'), digits(5), F.lit('_HERE"')),
         F.concat(F.lit("token = "), F.lit("xxxxxxxxxxxxxxxx"), digits(4)), F.concat(say, word(3), F.lit("-"), word(4), F.lit("-"), word(5), F.lit("-"), word(6), F.lit("-"), digits(4)),
         F.concat(say, F.lit("2024-"), digits(2), F.lit("-"), digits(2), F.lit("T00-00-00-000")), F.concat(say, F.lit("card: "), digits(16), F.lit("### ")), F.concat(say, F.lit("sha256 "), h),
+        F.concat(say, F.lit("YOUR_"), F.upper(word(3)), F.lit("_KEY_"), digits(5), F.lit("_HERE")), F.concat(word(3), F.initcap(word(4)), F.initcap(word(5)), F.lit("By"), F.initcap(word(6)), sub(digits(4), 1), F.lit(" "), word(7)),
     ]
     pick = lambda made: F.element_at(F.array(*made), (F.pmod(F.floor(F.col("id") / 2), F.lit(len(made))) + 1).cast("int"))
     return spark.range(0, rows, numPartitions=1).select(F.when(F.col("id") % 2 == 0, pick(yes)).otherwise(pick(no)).alias("text"), (1 - F.col("id") % 2).cast("double").alias("label"))

@@ -117,3 +117,114 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     found = near_duplicates(ranked, "rank", "text", shingle, distance)
     keep = materialize(found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.uid").alias("kept_uid")), "keep")
     return whole.join(keep, F.col(uid) == F.col("kept_uid"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+# --------------------------------------------------------------------------
+# Similar texts, well beyond three bits: wide fingerprints of several segments
+
+SEGMENT_BITS, FLIPS = 24, 8
+
+
+def wide_fingerprint(text: str | None, shingle: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(64 * ``words`` bits as uint64, keys): a key is a segment's number and 24 bits, as they are and with each of the 8 bits of least majority flipped."""
+    tokens = (text or "").encode().lower().split()
+    n = len(tokens)
+    joined = b" ".join(tokens)
+    if n <= shingle:
+        pieces = [joined] if n else []
+    else:
+        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, n) + 1) - 1
+        starts = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1])[: n - shingle + 1].tolist()
+        pieces = [joined[s:e] for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
+    lead = np.zeros(64 * words, np.int64)
+    digest = xxhash.xxh64_intdigest
+    for w in range(words):
+        h = np.array([digest(p, SEED + w) for p in pieces], np.uint64)
+        counts = np.bincount((h.view(np.uint8).reshape(-1, 8) + _LANE).ravel(), minlength=2048).reshape(8, 256) @ _BITS
+        lead[64 * w : 64 * w + 64] = 2 * counts.ravel() - len(h)
+    bits = lead > 0
+    segments = len(lead) // SEGMENT_BITS
+    parts = bits[: segments * SEGMENT_BITS].reshape(segments, SEGMENT_BITS)
+    own = parts @ (1 << np.arange(SEGMENT_BITS))
+    weak = np.argsort(np.abs(lead[: segments * SEGMENT_BITS]).reshape(segments, SEGMENT_BITS), axis=1, kind="stable")[:, :FLIPS]
+    keys = np.concatenate([own[:, None], own[:, None] ^ (1 << weak)], axis=1) | (np.arange(segments) << 32)[:, None]
+    return np.packbits(bits, bitorder="little").view("<u8"), keys.ravel()
+
+
+def _spanning(nodes: np.ndarray, prints: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """Links that connect whatever is connected among some fingerprints; at most one less than there are."""
+    out, left = [], np.arange(len(nodes))
+    while len(left):
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            at = front.pop()
+            near = np.bitwise_count(prints[left] ^ prints[at]).sum(axis=1) <= distance
+            out += [(int(nodes[at]), int(nodes[x])) for x in left[near]]
+            front += left[near].tolist()
+            left = left[~near]
+    return out
+
+
+def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, words: int = 3, distance: int = 36) -> DataFrame:
+    """(doc_id, component_id) of texts whose wide fingerprints are linked; ``id_col``: distinct longs.
+
+    Two texts whose shingles have a Jaccard index J differ in about acos(2J / (1 + J)) / pi of the bits: 29 of 192 at 0.8. The default of 36 leaves room for chance, so that few pairs of 0.8 are lost; some of 0.7 are linked too.
+    Fingerprints that share a key of a segment's ball meet in one place; there, each is compared with those not linked
+    yet, so n of them give at most n - 1 links, however many pairs are alike."""
+    slim = keep_columns(docs, id_col, text_col)
+    names = [f"w{i}" for i in range(words)]
+    print_kind = ", ".join(f"{w} long" for w in names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [wide_fingerprint(t, shingle, words) for t in b.column(1).to_pylist()]
+            prints = np.array([p for p, _ in made], np.uint64).reshape(-1, words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(prints[:, i], pa.int64()) for i in range(words)], pa.array([k for _, k in made], pa.list_(pa.int64()))], ["doc_id", *names, "keys"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = np.zeros((0, 2 + words), np.int64)
+
+        def links_of(rows: np.ndarray) -> pa.RecordBatch:
+            cuts = np.flatnonzero(np.diff(rows[:, 0])) + 1
+            starts, ends = np.concatenate([[0], cuts]), np.append(cuts, len(rows))
+            prints, found = rows[:, 2:].view(np.uint64), []
+            two = starts[ends - starts == 2]
+            two = two[np.bitwise_count(prints[two] ^ prints[two + 1]).sum(axis=1) <= distance]
+            for s, e in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist(), strict=True):
+                found += _spanning(rows[s:e, 1], prints[s:e], distance)
+            more = np.array(found, np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([rows[two, 1], more[:, 0]])), pa.array(np.concatenate([rows[two + 1, 1], more[:, 1]]))], ["a", "b"])
+
+        for b in batches:
+            rows = np.concatenate([rest, np.stack([np.asarray(c) for c in b.columns], axis=1)])
+            if not len(rows):
+                continue
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last key may go on in the next batch
+            rest = rows[last:]
+            if last:
+                yield links_of(rows[:last])
+        if len(rest):
+            yield links_of(rest)
+
+    prints = materialize(slim.mapInArrow(run, f"doc_id long, {print_kind}, keys array<long>"), "prints")
+    classes = prints.groupBy(*names).agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"))
+    spread = classes.select(F.explode("keys").alias("key"), "node", *names)
+    edges = spread.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meet, "a long, b long")
+    roots = components(materialize(edges.distinct(), "edges"))
+    named = materialize(_named(prints, names, roots), "named")
+    on = [F.col(w) == F.col(f"of_{w}") for w in names]
+    return prints.join(named, on).select("doc_id", "component_id")
+
+
+def _named(prints: DataFrame, names: list[str], roots: DataFrame) -> DataFrame:
+    classes = prints.groupBy(*[F.col(w).alias(f"of_{w}") for w in names]).agg(F.min("doc_id").alias("class_node"))
+    return classes.join(roots, F.col("class_node") == F.col("node"), "left").select(*[f"of_{w}" for w in names], F.coalesce("root", "class_node").alias("component_id"))
+
+
+def dedup_similar(docs: DataFrame, text_col: str = "text", shingle: int = 5, words: int = 3, distance: int = 36) -> DataFrame:
+    """``docs`` with the first row of each group of similar texts left, by place in the table. Null, empty and blank texts are one group."""
+    (uid,) = fresh(docs, "near_uid")
+    whole = docs.withColumn(uid, F.monotonically_increasing_id())
+    found = similar_groups(whole, uid, text_col, shingle, words, distance)
+    gone = materialize(found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_uid")), "gone")
+    return whole.join(gone, F.col(uid) == F.col("gone_uid"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
