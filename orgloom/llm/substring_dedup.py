@@ -28,6 +28,7 @@ from .common import SPACE, Rolling, WordHasher, chunks_of, keep_columns, materia
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ZERO = np.uint64(0)
+_SPREAD = np.uint64(0x5851F42D4C957F2D)
 _hash, _roll_a, _roll_b = WordHasher(11), Rolling(31), Rolling(43)
 #: Bytes of text that one pass works on.
 _CHUNK = 1 << 20
@@ -107,7 +108,8 @@ def _walk(texts: pa.Array, window: int, levels: list[int], answers: dict[int, di
         found = [p.picks(k) for p in alive]
         if level not in answers:
             found = [(None, h, two) for _, h, two in found]
-        a, b, inverse, counts = _classes(np.concatenate([x[1] for x in found]), np.concatenate([x[2] for x in found]))
+        # Least hashes are small numbers; mixed again, they spread evenly over the buckets.
+        a, b, inverse, counts = _classes(mix(np.concatenate([x[1] for x in found]) ^ _SPREAD), np.concatenate([x[2] for x in found]))
         cuts = _cuts(a, buckets)
         if level not in answers:
             return pieces, (a, b, counts > 1, cuts)
