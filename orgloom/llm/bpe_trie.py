@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks_of, keep_columns
-from .pieces import LETTERS, Recent, split_words, worker_store
+from .pieces import LETTERS, Recent, split_words, word_level, worker_store
 
 #: Words, and pieces, of each generation that a worker remembers.
 REMEMBERED = 120_000
@@ -169,6 +169,8 @@ class Pieces:
         from tokenizers import Tokenizer
 
         spec = json.loads(contents)
+        if not word_level(spec):
+            raise ValueError("the trie needs a word-level vocabulary with an end-of-word mark")
         self.encoder = TrieEncoder(spec["model"])
         self.library = Tokenizer.from_str(contents)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}

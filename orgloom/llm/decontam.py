@@ -197,7 +197,7 @@ def search(index: DataFrame, packs: list, vocabulary: np.ndarray, slop: int = 0)
     return index.mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, items array<string>, matches array<struct<item:string,start:int>>")
 
 
-def test_packs(tests: DataFrame, id_col: str, text_col: str, window: int, pack_bytes: int) -> list[Phrases]:
+def pack_tests(tests: DataFrame, id_col: str, text_col: str, window: int, pack_bytes: int) -> list[Phrases]:
     packs, items, size = [], [], 0
     for r in keep_columns(tests, id_col, text_col).filter("text IS NOT NULL").orderBy(F.col("doc_id").cast("string"), "text").toLocalIterator():
         items.append((str(r["doc_id"]), r["text"]))
@@ -216,7 +216,7 @@ def contamination(docs: DataFrame, tests: DataFrame, window: int = WINDOW, slop:
     no hits; repeated rows each get their row; tests of one id count as one item; an empty table of either
     kind gives no hits; other columns are not looked at."""
     sc = docs.sparkSession.sparkContext
-    packs = test_packs(tests, test_id, test_text, window, pack_bytes)
+    packs = pack_tests(tests, test_id, test_text, window, pack_bytes)
     vocabulary = np.unique(np.concatenate([p.vocabulary() for p in packs]))
     index = materialize(build_index(docs, vocabulary, id_col, text_col, window + slop + 1), "index")
     counts = term_counts(index, len(vocabulary))

@@ -40,6 +40,37 @@ def split_word(word: bytes, special: bytes = b"<|") -> tuple[bytes, ...]:
     return tuple(x for x in (word[:at], core_lower, word[at + len(core) :]) if x)
 
 
+def word_level(spec: dict) -> bool:
+    """Whether a tokenizer file meets the conditions above: NFC, white space and lower case in its normalizer, white space dropped by its splitter, and an end-of-word mark."""
+    norm = spec.get("normalizer") or {}
+    kinds = {n["type"] for n in norm.get("normalizers", [norm] if norm else [])}
+    pre = spec.get("pre_tokenizer") or {}
+    splits = [x for x in pre.get("pretokenizers", [pre] if pre else []) if x["type"] == "Split"]
+    drops = len(splits) == 1 and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and r"[^\s\p{L}\p{N}]+" in splits[0]["pattern"].get("Regex", "")
+    return "Lowercase" in kinds and kinds <= {"NFC", "Replace", "Lowercase"} and bool(drops) and bool(spec["model"].get("end_of_word_suffix"))
+
+
+_BEFORE_SPACE = re.compile(rb"(?<=[a-zA-Z])(?= [a-zA-Z])")
+
+
+def byte_level(spec: dict) -> bool:
+    """Whether a byte-level tokenizer splits by its usual pattern, so that a space between two ASCII letters begins a word."""
+    pre = spec.get("pre_tokenizer") or {}
+    return pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
+
+
+def cut_long(text: bytes, size: int) -> list[bytes]:
+    """Parts of about ``size`` bytes, cut before spaces between ASCII letters; longer where there are none."""
+    out, at = [], 0
+    while len(text) - at > size:
+        m = _BEFORE_SPACE.search(text, at + size)
+        if not m:
+            break
+        out.append(text[at : m.start()])
+        at = m.start()
+    return [*out, text[at:]]
+
+
 class Recent:
     """A bounded memory of values by key, in two generations: what is asked for moves to the newer one.
 

@@ -103,7 +103,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: float = 0.6) -> DataFrame:
-    """``docs`` without the rows that ``quality_rules`` rejects; rows are told apart by their place in the table."""
+    """``docs`` without the rows that ``quality_rules`` rejects; rows are told apart by their place, so ``docs`` must be a table (files, or a checkpoint), not the outcome of a shuffle."""
     (uid,) = fresh(docs, "rule_uid")
     whole = docs.withColumn(uid, F.monotonically_increasing_id())
     kept = quality_rules(whole, uid, text_col, host_col, limit).filter("kept").select(F.col("doc_id").alias("kept_uid"))

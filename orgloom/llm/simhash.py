@@ -110,7 +110,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """``docs`` with one row of each component left, that of the smallest id.
 
-    Rows that share that id too are told apart by their place in the table."""
+    Rows that share that id too are told apart by their place in the table, so ``docs`` must be one (files, or a checkpoint), not the outcome of a shuffle."""
     (uid,) = fresh(docs, "near_uid")
     whole = docs.withColumn(uid, F.monotonically_increasing_id())
     ranked = whole.select(F.struct(F.col(f"`{id_col}`").isNull().alias("gone"), F.col(f"`{id_col}`").alias("id"), F.col(uid).alias("uid")).alias("rank"), F.col(f"`{text_col}`").alias("text"))
@@ -222,7 +222,7 @@ def _named(prints: DataFrame, names: list[str], roots: DataFrame) -> DataFrame:
 
 
 def dedup_similar(docs: DataFrame, text_col: str = "text", shingle: int = 5, words: int = 3, distance: int = 36) -> DataFrame:
-    """``docs`` with the first row of each group of similar texts left, by place in the table. Null, empty and blank texts are one group."""
+    """``docs`` with the first row of each group of similar texts left, by place; ``docs`` must be a table (files, or a checkpoint), not the outcome of a shuffle. Null, empty and blank texts are one group."""
     (uid,) = fresh(docs, "near_uid")
     whole = docs.withColumn(uid, F.monotonically_increasing_id())
     found = similar_groups(whole, uid, text_col, shingle, words, distance)

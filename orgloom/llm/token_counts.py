@@ -8,6 +8,7 @@ task has not met are encoded, in batches of about equal bytes. Nothing but lengt
 from __future__ import annotations
 
 import gc
+import itertools
 import json
 import zlib
 from collections.abc import Callable, Iterator
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks_of, keep_columns
-from .pieces import LETTERS, Recent, split_words, worker_store
+from .pieces import LETTERS, Recent, byte_level, cut_long, split_words, word_level, worker_store
 
 #: Words, and pieces, of each generation that a worker remembers.
 REMEMBERED = 250_000
@@ -86,17 +87,18 @@ def even_batches(pieces: list[bytes], limit: int) -> Iterator[list[bytes]]:
         yield batch
 
 
-def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 18, word_level: bool | None = None) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 18, cut_bytes: int = 1 << 16) -> DataFrame:
     """(doc_id, n_bytes long, n_tokens long): one row for each row of ``docs``, in its partitions.
 
-    word_level: whether the tokenizer meets the conditions of ``pieces``; if None, .json files are taken to.
-    Otherwise whole texts are encoded. Null counts as empty: no bytes, and no tokens; repeated rows each get
+    Word-level tokenizers (see ``pieces``) encode distinct words; byte-level ones encode texts in parts of about
+    ``cut_bytes``; others, and sentencepiece models, whole texts. Null counts as empty: no bytes, and no tokens; repeated rows each get
     their row; an empty table gives an empty result; other columns are not looked at. Invalid surrogates
     can't occur in Arrow strings."""
     slim = keep_columns(docs, id_col, text_col)
     kind, contents = read_tokenizer(path)
     given = slim.sparkSession.sparkContext.broadcast(contents)  # of the size of the file
-    by_word = kind == "json" if word_level is None else word_level
+    spec = json.loads(contents) if kind == "json" else {}
+    by_word, may_cut = bool(spec) and word_level(spec), bool(spec) and byte_level(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = worker_store()
@@ -120,7 +122,9 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                     n = [sum(map(of, x)) for x in rows]
                 else:
                     texts = [raw[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)]
-                    n = [k for part in even_batches(texts, batch_bytes) for k in count(part)]
+                    cuts = [cut_long(t, cut_bytes) if may_cut else [t] for t in texts]
+                    each = iter([k for part in even_batches([p for x in cuts for p in x], batch_bytes) for k in count(part)])
+                    n = [sum(itertools.islice(each, len(x))) for x in cuts]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(np.diff(offs), pa.int64()), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
         gc.enable()
 

@@ -246,6 +246,18 @@ def test_token_counts_of_sentencepiece(docs, texts):
     assert all(got[d] == len(p.encode(t or "", num_threads=1)) for d, t in enumerate(texts[:40]))
 
 
+def test_token_counts_of_byte_level(docs, texts):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs.filter("doc_id < 60"), path, cut_bytes=500).collect()}
+    assert all(got[d] == len(t.encode(x or "", add_special_tokens=False).ids) for d, x in enumerate(texts[:60]))
+    with pytest.raises(ValueError):
+        with open(path, encoding="utf-8") as f:
+            bpe_trie.Pieces(f.read())
+
+
 def test_encode_decode(docs, texts, empty, library):
     got = {r["doc_id"]: r for r in bpe_trie.encode_decode(docs, PATH).collect()}
     for d, t in enumerate(texts):
