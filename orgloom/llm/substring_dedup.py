@@ -143,7 +143,7 @@ def _stage(slim: DataFrame, blocks: int) -> DataFrame:
     ids = spark.range(0, 24 * blocks, numPartitions=1).groupBy(F.pmod(F.hash("id"), n).alias("slot")).agg(F.min("id").alias("id"))
     by_slot = {r["slot"]: r["id"] for r in ids.collect()}  # one number for each bucket
     ids_in_order = [by_slot[s] for s in sorted(by_slot)]
-    block = F.element_at(F.array(*[F.lit(x).cast("long") for x in ids_in_order]), (F.pmod(F.spark_partition_id(), F.lit(len(ids_in_order))) + 1).cast("int"))
+    block = F.element_at(F.array(*[F.lit(x).cast("long") for x in ids_in_order]), (F.pmod(2 * F.spark_partition_id() + F.pmod(F.xxhash64("text"), F.lit(2)), F.lit(len(ids_in_order))) + 1).cast("int"))  # two blocks for each task that reads
     name, path = f"orgloom_{uuid.uuid4().hex}", scratch_path(spark, "blocks")
     register_table(spark, path, name)
     slim.withColumn("block", block).write.bucketBy(blocks, "block").option("path", path).saveAsTable(name)
@@ -158,12 +158,12 @@ def repeated_passages(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     texts have no words and an empty ``kept_text``; texts shorter than the window stay; repeated rows
     repeat each other; an empty table gives an empty result; other columns are not looked at.
 
-    blocks: into how many blocks the corpus is staged (spark.sql.shuffle.partitions if None); a block
+    blocks: into how many blocks the corpus is staged (twice spark.sql.shuffle.partitions if None); a block
     of text, and eight times its words, must fit a Python worker."""
     spark: SparkSession = docs.sparkSession
     slim = keep_columns(docs, id_col, text_col)
     kind = slim.schema["doc_id"].dataType.simpleString()
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets, levels = blocks, levels_of(window, shortest)
     staged = _stage(slim, blocks)
     answers = spark.createDataFrame([], "block long, level int, bucket int, bits binary")
