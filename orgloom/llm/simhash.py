@@ -75,19 +75,27 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node that links reach, for each node of ``edges`` (a, b).
 
-    Least labels pass along links and then along labels until nothing changes; each
-    round is a written table, so lineage stays short and no link leaves the executors."""
-    both = materialize(edges.select("a", "b").union(edges.select("b", "a")), "links")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
+    Each node points to its least neighbour if that is less; pointers are followed to their ends; links
+    are drawn between the ends, those within one are dropped, and what is left is done again. Links shrink
+    from round to round, each step is a written table, and no link leaves the executors."""
+    left, found = materialize(edges.select("a", "b"), "links"), None
     while True:
-        near = both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), "label", F.lit(False).alias("own"))
-        own = labels.select("node", "label", F.lit(True).alias("own"))
-        hop = materialize(near.union(own).groupBy("node").agg(F.min("label").alias("label"), F.min(F.when(F.col("own"), F.col("label"))).alias("old")), "hop")
-        far = hop.select(F.col("node").alias("via"), F.col("label").alias("end"))
-        new = materialize(hop.join(far, F.col("label") == F.col("via")).select("node", F.col("end").alias("label"), (F.col("end") < F.col("old")).alias("moved")), "labels")
-        labels = new.select("node", "label")
-        if not new.filter("moved").limit(1).count():
-            return labels.withColumnRenamed("label", "root")
+        both = left.union(left.select("b", "a"))
+        point = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), "point")
+        while True:
+            far = point.select(F.col("node").alias("via"), F.col("root").alias("end"))
+            point = materialize(point.join(far, F.col("root") == F.col("via")).select("node", F.col("end").alias("root"), (F.col("end") < F.col("root")).alias("moved")), "point")
+            settled = not point.filter("moved").limit(1).count()
+            point = point.select("node", "root")
+            if settled:
+                break
+        ends = point.select(F.col("node").alias("via"), F.col("root").alias("end"))
+        found = point if found is None else materialize(found.join(ends, F.col("root") == F.col("via"), "left").select("node", F.coalesce("end", "root").alias("root")), "roots")
+        of_b = ends.withColumnsRenamed({"via": "via_b", "end": "end_b"})
+        drawn = left.join(ends, F.col("a") == F.col("via")).join(of_b, F.col("b") == F.col("via_b")).select(F.col("end").alias("a"), F.col("end_b").alias("b"))
+        left = materialize(drawn.filter("a != b").distinct(), "links")
+        if not left.limit(1).count():
+            return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
