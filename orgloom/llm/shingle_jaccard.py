@@ -1,0 +1,191 @@
+"""Near-duplicates by the Jaccard index of word shingles itself, not by an estimate of it.
+
+Two sets with an index of ``least`` or more have at least that share of either one's shingles in common. So a
+text of which fewer shingles occur in another text is alone, and of the others any two that are alike share one
+of the few rarest (the prefix filter). Texts that such a chain of shared rare shingles holds together form a
+block, each set is sent to its block once, and there the index is counted. No pair is lost and none is
+estimated; shingles and sets are told apart by 64-bit hashes.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import fresh, keep_columns, materialize
+from .simhash import SEED, components
+
+LEAST = Fraction(4, 5)
+#: Shingles that a task gathers before it deals them out, and rows of a batch that it gives.
+GATHER, ROWS = 1 << 20, 1 << 17
+
+
+def shingle_set(text: str | None, shingle: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; of a text of fewer words: of all its words. Null counts as empty."""
+    tokens = (text or "").encode().lower().split()  # bytes: lower() is A-Z alone, split() the six ASCII spaces
+    n = len(tokens)
+    joined = b" ".join(tokens)
+    if n <= shingle:
+        pieces = [joined] if n else []
+    else:
+        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, n) + 1) - 1
+        starts = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1])[: n - shingle + 1].tolist()
+        pieces = [joined[s:e] for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(p, SEED) for p in pieces], np.uint64).view(np.int64))
+
+
+def set_id(found: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).view(np.int64))
+
+
+def spanning(nodes: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], least: Fraction) -> list[tuple[int, int]]:
+    """Links that connect whatever an index of ``least`` or more connects; at most one less than there are sets.
+
+    ``sets`` may leave out what no other set has; ``sizes`` are those of the whole sets."""
+    num, den = least.numerator, least.denominator
+    hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(nodes)), [len(s) for s in sets])
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    left, alive, out = np.ones(len(nodes), bool), len(nodes), []
+    indexed = alive
+    for start in range(len(nodes)):
+        if not left[start]:
+            continue
+        left[start], alive, front = False, alive - 1, [start]
+        while front and alive:
+            at = front.pop()
+            lo, hi = np.searchsorted(hashes, sets[at], "left"), np.searchsorted(hashes, sets[at], "right")
+            n = hi - lo
+            met = owner[np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
+            other, common = np.unique(met[left[met]], return_counts=True)
+            near = other[den * common >= num * (sizes[at] + sizes[other] - common)]
+            out += [(int(nodes[at]), int(nodes[x])) for x in near]
+            left[near], alive = False, alive - len(near)
+            front += near.tolist()
+            if 2 * alive < indexed:
+                stay = left[owner]
+                hashes, owner, indexed = hashes[stay], owner[stay], alive
+    return out
+
+
+def _shared(docs: DataFrame, shingle: int, parts: int) -> DataFrame:
+    """(node, hash, df) of each shingle of each set that other sets have too; df: the number of sets that have it."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, sets, nodes, size = set(), [], [], 0
+
+        def dealt() -> pa.RecordBatch:
+            h, s = np.concatenate(sets), np.repeat(np.array(nodes, np.int64), [len(x) for x in sets])
+            part = (h.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            h, s, cuts = h[order], s[order], np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+            own = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+            blobs = [[x[cuts[p] : cuts[p + 1]].tobytes() for p in own] for x in (h, s)]
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *[pa.array(b, pa.binary()) for b in blobs]], ["part", "hashes", "nodes"])
+
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                found = shingle_set(t, shingle)
+                node = set_id(found)
+                if not len(found) or node in seen:
+                    continue
+                seen.add(node)
+                sets.append(found)
+                nodes.append(node)
+                size += len(found)
+                if size >= GATHER:
+                    yield dealt()
+                    sets, nodes, size = [], [], 0
+        if sets:
+            yield dealt()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(blobs: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+            h, s = (np.concatenate([np.frombuffer(x[i], np.int64) for x in blobs]) for i in (0, 1))
+            order = np.lexsort((s, h))
+            h, s = h[order], s[order]
+            new = np.append(True, (h[1:] != h[:-1]) | (s[1:] != s[:-1]))
+            h, s = h[new], s[new]
+            cuts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            n = np.diff(np.append(cuts, len(h)))
+            df = np.repeat(n, n)
+            h, s, df = h[df > 1], s[df > 1], df[df > 1]
+            for i in range(0, len(h), ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + ROWS]) for x in (s, h, df)], ["node", "hash", "df"])
+
+        at, blobs = None, []
+        for b in batches:
+            for part, h, s in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if part != at and blobs:
+                    yield from counted(blobs)
+                    blobs = []
+                at = part
+                blobs.append((h, s))
+        if blobs:
+            yield from counted(blobs)
+
+    spread = docs.select("text").mapInArrow(deal, "part int, hashes binary, nodes binary")
+    return spread.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(count, "node long, hash long, df long")
+
+
+def similar_sets(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST) -> DataFrame:
+    """(doc_id, component_id) of texts that links of a Jaccard index of ``least`` or more connect; ``id_col``: distinct longs."""
+    slim = keep_columns(docs, id_col, text_col)
+    num, den = least.numerator, least.denominator
+
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [(set_id(s), len(s)) for s in (shingle_set(t, shingle) for t in b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in made], pa.int64()), pa.array([n for _, n in made], pa.int64())], ["doc_id", "set", "n"])
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = None, []
+
+        def links() -> pa.RecordBatch:
+            nodes, sizes, sets = zip(*block, strict=True)
+            found = np.array(spanning(np.array(nodes), np.array(sizes), list(sets), least), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+        for b in batches:
+            root, node, n = (c.to_pylist() for c in b.columns[:3])
+            for i, r in enumerate(root):
+                if r != at and block:
+                    yield links()
+                    block = []
+                at = r
+                block.append((node[i], n[i], b.column(3)[i].values.to_numpy()))
+        if block:
+            yield links()
+
+    prints = materialize(slim.mapInArrow(sized, "doc_id long, set long, n long"), "sets")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = _shared(slim, shingle, parts).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "hash"))).alias("found"))
+    classes = prints.groupBy("set").agg(F.first("n").alias("n"))
+    need = F.expr(f"CAST(({num} * n + {den - 1}) DIV {den} AS INT)")
+    enough = shared.join(classes, F.col("node") == F.col("set")).withColumn("need", need).filter(F.size("found") >= F.col("need"))
+    some = materialize(enough.select("node", "n", F.col("found.hash").alias("hashes"), (F.size("found") - F.col("need") + 1).alias("prefix")), "shared")
+    rare = some.select(F.explode(F.slice("hashes", F.lit(1), F.col("prefix"))).alias("key"), "node")
+    chain = rare.withColumn("b", F.lead("node").over(Window.partitionBy("key").orderBy("node"))).filter("b IS NOT NULL").select(F.col("node").alias("a"), "b").distinct()
+    blocks = components(chain).withColumnRenamed("node", "member")
+    held = some.join(blocks, F.col("node") == F.col("member")).select("root", "node", "n", "hashes")
+    edges = held.repartition("root").sortWithinPartitions("root", "node").mapInArrow(verified, "a long, b long")
+    roots = components(materialize(edges, "edges"))
+    rooted = materialize(prints.join(roots, F.col("set") == F.col("node"), "left").select("doc_id", F.coalesce("root", "set").alias("root")), "rooted")
+    first = rooted.groupBy(F.col("root").alias("top")).agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(first, F.col("root") == F.col("top")).select("doc_id", "component_id")
+
+
+def dedup(docs: DataFrame, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST) -> DataFrame:
+    """``docs`` with the first row of each group of similar texts left, by place; ``docs`` must be a table (files, or a checkpoint), not the outcome of a shuffle. Null, empty and blank texts are one group."""
+    (uid,) = fresh(docs, "near_uid")
+    whole = docs.withColumn(uid, F.monotonically_increasing_id())
+    found = similar_sets(whole, uid, text_col, shingle, least)
+    gone = materialize(found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_uid")), "gone")
+    return whole.join(gone, F.col(uid) == F.col("gone_uid"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,0 +1,66 @@
+"""The pipeline's near-duplicates against a brute-force join on the Jaccard index."""
+
+import corpus_pipeline
+import numpy as np
+import pytest
+
+from orgloom.llm import shingle_jaccard
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def alike(x, y):
+    return x == y or 5 * len(x & y) >= 4 * len(x | y)
+
+
+def brute(texts):
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and alike(sets[i], sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    return root
+
+
+@pytest.fixture(scope="module")
+def texts(sf_dir):
+    import pyarrow.parquet as pq
+
+    r = np.random.default_rng(3)
+    out = [None, "", " \n", "one", "ONE ", "two words"]
+    for n in (25, 60, 300):
+        for _ in range(12):
+            base = [f"w{x}" for x in r.integers(0, 5000, n)]
+            out.append(" ".join(base))
+            for share in (0.005, 0.02, 0.03, 0.05):  # indexes of about 0.6 to 1
+                out.append(" ".join("changed" if r.random() < share else w for w in base))
+    for cut in (198, 199, 200, 201, 202):  # at the limit: 0.8 is alike, less is not
+        out.append(" ".join(f"v{i}" for i in range(cut + 4)))
+    out += [" ".join(f"v{i}" for i in range(160 + 4)), " ".join(f"v{i}" for i in range(250 + 4))]
+    return out + pq.read_table(f"{sf_dir}/documents.parquet")["text"].to_pylist()
+
+
+def test_groups_equal_brute_force(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in shingle_jaccard.similar_sets(docs, "doc_id").collect()}
+    want = brute(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    assert len(set(want)) < len(texts)
+
+
+def test_stage_keeps_one_of_each_group(spark, sf_dir, texts, tmp_path):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    kept = {r["doc_id"] for r in corpus_pipeline.one_of_near_duplicates(spark, docs, sf_dir).collect()}
+    assert kept == set(brute(texts))
+
+
+def test_spanning_of_a_chain():
+    sets = [np.arange(i, i + 100) for i in range(0, 60, 10)]
+    found = shingle_jaccard.spanning(np.arange(6), np.full(6, 100), sets, shingle_jaccard.LEAST)
+    assert sorted(map(sorted, found)) == [[i, i + 1] for i in range(5)]
