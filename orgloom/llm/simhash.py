@@ -128,7 +128,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
 
 
 # --------------------------------------------------------------------------
-# Similar texts, well beyond three bits: wide fingerprints of several segments
+# Similar texts, well beyond three bits: wide fingerprints of several segments. This is an estimate, and its
+# search is partial; shingle_jaccard counts the index itself and loses no pair.
 
 SEGMENT_BITS, FLIPS = 24, 8
 
@@ -177,6 +178,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
     """(doc_id, component_id) of texts whose wide fingerprints are linked; ``id_col``: distinct longs.
 
     Two texts whose shingles have a Jaccard index J differ in about acos(2J / (1 + J)) / pi of the bits: 29 of 192 at 0.8. The default of 36 leaves room for chance, so that few pairs of 0.8 are lost; some of 0.7 are linked too.
+    Only fingerprints that share a segment but for one of its FLIPS weakest bits meet: pairs within ``distance`` that differ elsewhere in each segment are not linked.
     Fingerprints that share a key of a segment's ball meet in one place; there, each is compared with those not linked
     yet, so n of them give at most n - 1 links, however many pairs are alike."""
     slim = keep_columns(docs, id_col, text_col)
@@ -215,7 +217,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
             yield links_of(rest)
 
     prints = materialize(slim.mapInArrow(run, f"doc_id long, {print_kind}, keys array<long>"), "prints")
-    classes = prints.groupBy(*names).agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"))
+    classes = prints.groupBy(*names).agg(F.min("doc_id").alias("node"), F.array_distinct(F.flatten(F.collect_set("keys"))).alias("keys"))  # texts of one fingerprint may have different weak bits
     spread = classes.select(F.explode("keys").alias("key"), "node", *names)
     edges = spread.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meet, "a long, b long")
     roots = components(materialize(edges.distinct(), "edges"))

@@ -4,7 +4,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 
-from orgloom.llm import shingle_jaccard
+from orgloom.llm import shingle_jaccard, simhash
 
 
 def shingles(text):
@@ -64,3 +64,28 @@ def test_spanning_of_a_chain():
     sets = [np.arange(i, i + 100) for i in range(0, 60, 10)]
     found = shingle_jaccard.spanning(np.arange(6), np.full(6, 100), sets, shingle_jaccard.LEAST)
     assert sorted(map(sorted, found)) == [[i, i + 1] for i in range(5)]
+
+
+def test_fingerprints_keep_all_keys_of_a_class(spark, monkeypatch):
+    def made(text, shingle, words):
+        first, key = {"a": (0, 1), "b": (0, 2), "c": (1, 2)}[text]
+        return np.array([first, 0, 0], np.uint64), np.array([key])
+
+    monkeypatch.setattr(simhash, "wide_fingerprint", made)
+    docs = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "doc_id long, text string")
+    assert {r["component_id"] for r in simhash.similar_groups(docs, "doc_id").collect()} == {0}
+
+
+def test_stage_links_pairs_that_no_key_meets(spark):
+    """Pairs of an index of 0.8 or more whose fingerprints share no key, as the partial search leaves them."""
+    r, texts, lost = np.random.default_rng(11), [], 0
+    for _ in range(150):
+        a = [f"w{x}" for x in r.integers(0, 5000, 200)]
+        b = ["changed" if i in (30, 70, 110, 150) else w for i, w in enumerate(a)]
+        (_, k), (_, m) = (simhash.wide_fingerprint(" ".join(x), 5, 3) for x in (a, b))
+        lost += not set(k.tolist()) & set(m.tolist())
+        texts += [" ".join(a), " ".join(b)]
+    assert lost
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in shingle_jaccard.similar_sets(docs, "doc_id").collect()}
+    assert [got[i] for i in range(len(texts))] == [i - i % 2 for i in range(len(texts))]
