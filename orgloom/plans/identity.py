@@ -61,10 +61,15 @@ def scored(jira: DataFrame, github: DataFrame) -> DataFrame:
     by_mail = email_matches(jira, github)
     rest_j = jira.join(by_mail.select(F.col("JIRA_ID").alias("ID")).distinct(), "ID", "left_anti")
     rest_g = github.join(by_mail.select(F.col("GITHUB_ID").alias("ID")).distinct(), "ID", "left_anti")
-    pairs = candidates(rest_j, rest_g).withColumn("P", prefix_score(F.col("JNAME"), F.col("GNAME")))
+    named = rest_j.withColumn("NAME_KEY", F.concat(F.lit("n"), F.coalesce("DISPLAY_NAME", F.lit(""))))  # people of one name score alike: each name is scored once
+    names = named.groupBy("NAME_KEY").agg(F.first("DISPLAY_NAME").alias("DISPLAY_NAME")).select(F.col("NAME_KEY").alias("ID"), F.lit(0).alias("ORD"), "DISPLAY_NAME")
+    pairs = candidates(names, rest_g).withColumn("P", prefix_score(F.col("JNAME"), F.col("GNAME")))
     out = lambda df, method, rank, score: df.select("JIRA_ID", "GITHUB_ID", "JORD", "GORD", F.lit(method).alias("METHOD"), F.lit(rank).alias("RANK"), score.alias("CONFIDENCE"))
+    people = named.select("NAME_KEY", F.col("ID").alias("PERSON"), F.col("ORD").alias("PERSON_ORD"))
+    each = lambda df: df.join(people, F.col("JIRA_ID") == F.col("NAME_KEY")).drop("JIRA_ID", "JORD").withColumnsRenamed({"PERSON": "JIRA_ID", "PERSON_ORD": "JORD"})
     fuzzy = pairs.filter("P IS NULL").withColumn("S", F.greatest(similarity_column(F.col("JNAME"), F.col("GNAME")), similarity_column(F.col("JNAME"), F.col("GLOGIN")))).filter(F.col("S") >= FUZZY)
-    return out(by_mail, "METHOD_1_EMAIL", 1, F.lit(EMAIL)).unionByName(out(pairs.filter("P IS NOT NULL"), "METHOD_SUBSTRING", 2, F.col("P"))).unionByName(out(fuzzy, "METHOD_NAME_SIM", 3, F.col("S")))
+    pairs, fuzzy = each(pairs.filter("P IS NOT NULL")), each(fuzzy)
+    return out(by_mail, "METHOD_1_EMAIL", 1, F.lit(EMAIL)).unionByName(out(pairs, "METHOD_SUBSTRING", 2, F.col("P"))).unionByName(out(fuzzy, "METHOD_NAME_SIM", 3, F.col("S")))
 
 
 def match(jira: DataFrame, github: DataFrame) -> DataFrame:

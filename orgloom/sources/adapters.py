@@ -30,7 +30,7 @@ ADAPTERS: dict[str, tuple[str, list[str], str | None]] = {
     ], None),
     "diffs": ("documents", ["source AS COMMITTER_ID", "doc_id AS ORD", "md5(CAST(doc_id AS STRING)) AS COMMIT_SHA", "'src/' || lang || '/f' || CAST(doc_id % 7 AS STRING) || CASE doc_id % 3 WHEN 0 THEN '.py' WHEN 1 THEN '.tar.gz' ELSE '' END AS FILE_PATH", "text AS DIFF", "CAST(length(text) AS BIGINT) AS N"], None),
     "raw": ("events", ["event_id AS ID", "props AS PROPS", "'{\"author\": {\"name\": \"User ' || CAST(user_id AS STRING) || '\", \"date\": \"2024-01-0' || CAST(1 + event_id % 9 AS STRING) || '\"}, \"message\": \"m' || CAST(event_id AS STRING) || '\"}' AS COMMIT", "CASE WHEN event_id % 6 = 0 THEN NULL ELSE '{\"id\": ' || CAST(user_id AS STRING) || ', \"login\": \"l' || CAST(user_id AS STRING) || '\"}' END AS AUTHOR"], None),
-    "jira_users": ("customer", ["CAST(c_custkey AS STRING) AS ID", "c_custkey AS ORD", "CASE c_custkey % 5 WHEN 0 THEN NULL ELSE 'Person' || CAST(c_custkey % 90 AS STRING) || ' Of ' || lower(c_mktsegment) END AS DISPLAY_NAME", "CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN ' U' || CAST(c_custkey AS STRING) || '@X.com ' ELSE 'u' || CAST(c_custkey AS STRING) || '@y.com' END AS EMAIL"], "c_custkey < 400"),
+    "jira_users": ("customer", ["CAST(c_custkey AS STRING) AS ID", "c_custkey AS ORD", "CASE c_custkey % 5 WHEN 0 THEN NULL ELSE 'Person' || CAST(c_custkey % 90 AS STRING) || ' Of ' || lower(c_mktsegment) END AS DISPLAY_NAME", "CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN ' U' || CAST(c_custkey AS STRING) || '@X.com ' ELSE 'u' || CAST(c_custkey AS STRING) || '@y.com' END AS EMAIL"], None),
     "github_users": ("supplier", ["CAST(s_suppkey AS STRING) AS ID", "s_suppkey AS ORD", "'person' || CAST(s_suppkey % 90 AS STRING) || CASE s_suppkey % 3 WHEN 0 THEN ' of' WHEN 1 THEN ' of building it' ELSE '' END AS DISPLAY_NAME", "'u' || CAST(s_suppkey AS STRING) || '@x.com' AS EMAIL", "'plogin' || CAST(s_suppkey AS STRING) AS LOGIN"], None),
     "skills": ("part", ["p_partkey AS UUID", "p_name || ', ' || p_brand || ', ,C++/CLI , ' || p_type AS SKILLS"], None),
     "rollup": ("lineitem", ["CAST(l_orderkey AS STRING) AS COMMIT_SHA", "'repo_' || l_returnflag AS REPO", "'f' || CAST(l_partkey % 50 AS STRING) AS FILE_PATH", "CAST(l_quantity AS BIGINT) AS ADDED", "CAST(l_linenumber AS BIGINT) AS REMOVED", "l_shipdate AS TS"], None),

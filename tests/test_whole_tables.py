@@ -4,7 +4,8 @@ import pytest
 from conftest import against_sql
 from pyspark.sql import functions as F
 
-from orgloom.plans import registry
+from orgloom.functions import similarity
+from orgloom.plans import identity, registry
 from orgloom.sources.adapters import load
 
 LARGER = "/root/testdata/sf0.01"
@@ -21,3 +22,34 @@ def test_matched_has_every_customer(spark):
 def test_matched_queries_equal_sql(spark, name):
     got, want = against_sql(spark, LARGER, registry.QUERIES[name], registry.ORACLES[name])
     assert got == want
+
+
+def test_jira_users_has_every_customer(spark):
+    assert load(spark, LARGER, "jira_users").count() == load(spark, LARGER, "customer").count() > 400
+
+
+@pytest.mark.parametrize("name", ["email_match", "distinct_on_name", "platform_union"])
+def test_jira_queries_equal_sql(spark, name):
+    got, want = against_sql(spark, LARGER, registry.QUERIES[name], registry.ORACLES[name])
+    assert got == want
+
+
+def test_matches_of_shared_names_equal_brute_force(spark):
+    """People past the old cap, several of one name, one without, against every account."""
+    jira = [(str(i), i, n, None) for i, n in enumerate(["Ann Stone", None, "Stone Robert", "Ann Stone", "Bo", "Ann Stone"], 500)]
+    github = [(str(i), i, n, None, f"l{i}") for i, n in enumerate(["Robert Stone", "annstone x", None, "Stone Ann", "Bob Bo"])]
+    schema = "ID string, ORD long, DISPLAY_NAME string, EMAIL string"
+    got = {(r["JIRA_ID"], r["GITHUB_ID"], r["METHOD"], r["CONFIDENCE"]) for r in identity.scored(spark.createDataFrame(jira, schema), spark.createDataFrame(github, schema + ", LOGIN string")).collect()}
+    keys = lambda n: {(["", *ws] if not (ws := [w[:3] for w in (n or "").lower().replace("_", " ").split()]) else ws)[i] for i in (0, -1)}
+    squash = lambda n: (n or "").lower().replace(" ", "")
+    want = set()
+    for j, _, a, _ in jira:
+        for g, _, b, _, login in github:
+            if not keys(a) & keys(b):
+                continue
+            x, y = squash(a), squash(b)
+            if x and y and (y.startswith(x) or x.startswith(y)):
+                want.add((j, g, "METHOD_SUBSTRING", 0.95 if y.startswith(x) else 0.85))
+            elif (s := max(round(similarity.similarity(a or "", b or ""), 2), round(similarity.similarity(a or "", login), 2))) >= 0.85:
+                want.add((j, g, "METHOD_NAME_SIM", s))
+    assert got == want and len({j for j, *_ in got}) > 3
