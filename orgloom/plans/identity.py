@@ -91,7 +91,8 @@ def pr_user_match(logins: DataFrame, jira: DataFrame) -> DataFrame:
     """The best person for each login (LOGIN): a prefix either way, a token at either end of the login, or similarity.
 
     Every login meets every name, as no block is safe for logins; ``logins`` are those that no other tier has matched."""
-    pairs = logins.select("LOGIN").join(jira.select("ID", "ORD", "DISPLAY_NAME").filter("DISPLAY_NAME IS NOT NULL"))
+    names = first_by(jira.select("ID", "ORD", "DISPLAY_NAME").filter("DISPLAY_NAME IS NOT NULL"), ["DISPLAY_NAME"], [F.asc("ORD")])  # people of one name score alike, and the first wins
+    pairs = logins.select("LOGIN").distinct().join(names)
     login, bare = text.squash(F.col("LOGIN")), text.without_digits_at_end(text.squash(F.col("LOGIN")))
     pairs = pairs.withColumn("P", F.when(prefix_score(F.col("DISPLAY_NAME"), F.col("LOGIN")).isNotNull(), PREFIX))
     long = F.filter(text.tokens(F.col("DISPLAY_NAME")), lambda t: F.length(t) >= 4)
@@ -105,10 +106,11 @@ def pr_user_match(logins: DataFrame, jira: DataFrame) -> DataFrame:
 
 def fill_missing_names(unnamed: DataFrame, people: DataFrame, accept: float = 75.0) -> DataFrame:
     """(ID, NAME, SCORE): of ``people`` (ORD, NAME) the most alike to each LOGIN without a name, the first among equals, if it is alike enough."""
-    pairs = unnamed.select("ID", "LOGIN").join(people.select("ORD", "NAME"))
+    pairs = unnamed.select("LOGIN").distinct().join(people.groupBy("NAME").agg(F.min("ORD").alias("ORD")))
     scored = pairs.withColumn("SCORE", best_ratio_column(text.name(F.col("LOGIN")), text.name(F.col("NAME"))))
-    best = scored.groupBy("ID").agg(F.max(F.struct("SCORE", (-F.col("ORD")).alias("o"), "NAME")).alias("b"))
-    return best.select("ID", F.col("b.NAME").alias("NAME"), F.col("b.SCORE").alias("SCORE")).filter(F.col("SCORE") >= accept)
+    best = scored.groupBy(F.col("LOGIN").alias("OF")).agg(F.max(F.struct("SCORE", (-F.col("ORD")).alias("o"), "NAME")).alias("b"))
+    met = unnamed.select("ID", "LOGIN").join(best, F.col("LOGIN").eqNullSafe(F.col("OF"))).groupBy("ID").agg(F.max("b").alias("b"))
+    return met.select("ID", F.col("b.NAME").alias("NAME"), F.col("b.SCORE").alias("SCORE")).filter(F.col("SCORE") >= accept)
 
 
 def patch(matched: DataFrame, found: DataFrame) -> DataFrame:
@@ -156,8 +158,8 @@ QUERIES = {
     "prefix_match": lambda s, d: candidates(load(s, d, "jira_users"), load(s, d, "github_users")).withColumn("SCORE", prefix_score(F.col("JNAME"), F.col("GNAME"))).filter("SCORE IS NOT NULL").select("JIRA_ID", "GITHUB_ID", "SCORE"),
     "fuzzy_match": lambda s, d: _shown(match(load(s, d, "jira_users"), load(s, d, "github_users"))),
     "unmatched_users": lambda s, d: unmatched(load(s, d, "github_users"), match(load(s, d, "jira_users"), load(s, d, "github_users")), "GITHUB_ID").select("ID", "LOGIN"),
-    "pr_user_match": lambda s, d: pr_user_match(load(s, d, "github_users").select(F.concat(F.lit("person"), F.col("ID"), F.lit("of")).alias("LOGIN")).filter("LOGIN LIKE '%3%'"), load(s, d, "jira_users")),
-    "fill_missing_names": lambda s, d: fill_missing_names(load(s, d, "github_users").select("ID", F.concat(F.lit("Person"), F.lit("Of"), F.initcap(F.element_at(F.split("DISPLAY_NAME", " "), -1))).alias("LOGIN")).filter("ID LIKE '%7'"), load(s, d, "jira_users").filter("DISPLAY_NAME IS NOT NULL").select("ORD", F.col("DISPLAY_NAME").alias("NAME"))),
+    "pr_user_match": lambda s, d: pr_user_match(load(s, d, "github_users").select(F.concat(F.lit("person"), F.col("ID"), F.lit("of")).alias("LOGIN")), load(s, d, "jira_users")),
+    "fill_missing_names": lambda s, d: fill_missing_names(load(s, d, "github_users").select("ID", F.concat(F.lit("Person"), F.lit("Of"), F.initcap(F.element_at(F.split("DISPLAY_NAME", " "), -1))).alias("LOGIN")), load(s, d, "jira_users").filter("DISPLAY_NAME IS NOT NULL").select("ORD", F.col("DISPLAY_NAME").alias("NAME"))),
     "patch_users": _patch,
 }
 _ROWS = "r AS (SELECT AUTHOR_ID AS ID, AUTHOR_NAME AS NAME, lower(AUTHOR_EMAIL) AS EMAIL, AUTHOR_LOGIN AS LOGIN FROM commits UNION SELECT COMMITTER_ID, COMMITTER_NAME, NULL, 'login' || COMMITTER_ID FROM commits)"

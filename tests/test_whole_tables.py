@@ -53,3 +53,19 @@ def test_matches_of_shared_names_equal_brute_force(spark):
             elif (s := max(round(similarity.similarity(a or "", b or ""), 2), round(similarity.similarity(a or "", login), 2))) >= 0.85:
                 want.add((j, g, "METHOD_NAME_SIM", s))
     assert got == want and len({j for j, *_ in got}) > 3
+
+
+def test_every_login_meets_every_name(spark):
+    users = load(spark, LARGER, "github_users")
+    got = registry.QUERIES["fill_missing_names"](spark, LARGER).select("ID", "SCORE").collect()
+    assert len(got) == len({r["ID"] for r in got}) and {r["ID"][-1] for r in got} > {"7"}
+    people = [(r["ORD"], r["DISPLAY_NAME"]) for r in load(spark, LARGER, "jira_users").filter("DISPLAY_NAME IS NOT NULL").collect()]
+    logins = [("plogin1",), ("person12of",), ("Person5OfBuilding",)]
+    jira = spark.createDataFrame([(str(o), o, n) for o, n in people[:200]], "ID string, ORD long, DISPLAY_NAME string")
+    best = {r["LOGIN"]: (r["JIRA_ID"], r["SCORE"]) for r in identity.pr_user_match(spark.createDataFrame(logins, "LOGIN string"), jira).collect()}
+    for (login,) in logins:
+        same = [o for o, n in people[:200] if str(o) == best.get(login, ("", 0))[0]]
+        first = [o for o, n in people[:200] if same and n == dict(people)[same[0]]]
+        assert not same or same[0] == min(first)
+    asked = {r["LOGIN"] for r in registry.QUERIES["pr_user_match"](spark, LARGER).collect()}
+    assert any("3" not in x for x in asked) and users.count() == 100
