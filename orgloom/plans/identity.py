@@ -144,8 +144,8 @@ def _shown(df: DataFrame) -> DataFrame:
 
 
 def _patch(spark, d) -> DataFrame:
-    m = load(spark, d, "matched").filter("CAST(JIRA_ID AS INT) < 400").select("JIRA_ID", "GITHUB_ID", "GITHUB_LOGIN", F.array().cast("array<string>").alias("ALIAS_ID"), F.array().cast("array<string>").alias("ALIAS_LOGIN"), F.lit("M").alias("METHOD"))
-    f = load(spark, d, "prs").filter("ORD < 2000").select("ORD", F.expr("CAST(ORD % 500 AS STRING)").alias("JIRA_ID"), F.col("USER_ID").alias("GITHUB_ID"), F.col("USER_LOGIN").alias("GITHUB_LOGIN"))
+    m = load(spark, d, "matched").select("JIRA_ID", "GITHUB_ID", "GITHUB_LOGIN", F.array().cast("array<string>").alias("ALIAS_ID"), F.array().cast("array<string>").alias("ALIAS_LOGIN"), F.lit("M").alias("METHOD"))
+    f = load(spark, d, "prs").select("ORD", F.expr("CAST(ORD % 500 AS STRING)").alias("JIRA_ID"), F.col("USER_ID").alias("GITHUB_ID"), F.col("USER_LOGIN").alias("GITHUB_LOGIN"))
     return _shown(patch(m, f))
 
 
