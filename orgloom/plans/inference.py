@@ -19,12 +19,11 @@ ROLES = {
     "DevOps": ["deploy", "docker", "cluster", "terraform", "release"], "QA": ["test", "coverage", "assert", "mock", "regression"],
 }
 DEFAULT_ROLE, DEFAULT_LEVEL = "Inconclusive", "Mid-level"
-CODE_CHARS = 40_000
 
 
 def role_of(c: Column) -> Column:
-    """The role of most words found, of equals the first by name; 'Inconclusive' without any."""
-    lower = F.lower(F.substring(F.coalesce(c, F.lit("")), 1, CODE_CHARS))
+    """The role of most words found in the whole text, of equals the first by name; 'Inconclusive' without any."""
+    lower = F.lower(F.coalesce(c, F.lit("")))
     count = lambda words: reduce(lambda a, b: a + b, [F.regexp_count(lower, F.lit(rf"\b{w}\b")) for w in words])
     scored = F.array(*[F.struct((-count(w)).alias("n"), F.lit(r).alias("role")) for r, w in sorted(ROLES.items())])
     best = F.array_min(scored)

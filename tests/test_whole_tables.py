@@ -5,7 +5,7 @@ from conftest import against_sql
 from pyspark.sql import functions as F
 
 from orgloom.functions import similarity
-from orgloom.plans import identity, registry
+from orgloom.plans import identity, inference, registry
 from orgloom.sources.adapters import load
 
 LARGER = "/root/testdata/sf0.01"
@@ -82,3 +82,9 @@ def test_patch_takes_every_pull_request(spark):
             s[1].append(r["USER_ID"])
     got = {r["JIRA_ID"]: [r["GITHUB_ID"], [x for x in r["ALIAS_ID"].split(",") if x]] for r in registry.QUERIES["patch_users"](spark, LARGER).collect()}
     assert got == want
+
+
+def test_role_counts_the_whole_text(spark):
+    text = "test " + "x " * 25_000 + "deploy docker"
+    r = spark.createDataFrame([(text,)], "t string").select(inference.role_of(F.col("t")).alias("r")).first()
+    assert r["r"] == "DevOps"
