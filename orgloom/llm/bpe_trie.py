@@ -2,30 +2,31 @@
 
 A prefix of a word has one valid encoding, and it is found from its last token alone:
 that token ends the prefix, what stands before it is encoded as the shorter prefix
-is, and the two tokens at the seam must stay apart when merged on their own. A trie holds
-the distinct words of a batch; a walk in depth carries the last token and the ids of
-each prefix on the path, so a prefix that many words share is encoded once. The final
+is, and the two tokens at the seam must stay apart when merged on their own. The distinct
+words of a batch, sorted, are a trie; a walk in depth carries the last token of each prefix
+on the path and where it begins, so a prefix that many words share is encoded once. The final
 character of a word is a symbol of its own (with the word-end mark), which only closes a path.
+Decoding looks up the ids of a text, and knows nothing of the words they came from.
 """
 
 from __future__ import annotations
 
-import gc
 import json
 import re
 import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks_of, keep_columns
-from .pieces import LETTERS, Recent, split_words, word_level, worker_store
+from .pieces import LETTERS, Recent, no_garbage_collection, split_words, word_level, worker_store
 
-#: Words, and pieces, of each generation that a worker remembers.
-REMEMBERED = 120_000
+#: Bytes of each generation of words, and of pieces, that a worker remembers.
+REMEMBERED = 20 << 20
 
 
 def byte_characters() -> list[str]:
@@ -35,49 +36,92 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(hidden)) for b in range(256)]
 
 
-class Trie:
-    """Distinct words by shared prefixes; a node has the characters that follow it."""
+def shared_lengths(words: list[str], width: int = 24) -> list[int]:
+    """Of each word of a sorted list, how many characters it shares with the word before it; 0 for the first."""
+    if not words:
+        return []
+    table = np.array([w[:width] for w in words], f"U{width}").view(np.uint32).reshape(len(words), width)
+    same = (table[1:] == table[:-1]) & (table[1:] != 0)
+    out = [0, *np.where(same.all(axis=1), width, np.argmin(same, axis=1)).tolist()]
+    for i in (np.flatnonzero(same.all(axis=1)) + 1).tolist():  # the few that share more
+        a, b, n = words[i - 1], words[i], width
+        most = min(len(a), len(b))
+        while n < most:
+            middle = (n + most + 1) // 2
+            if a[n:middle] == b[n:middle]:
+                n = middle
+            else:
+                most = middle - 1
+        out[i] = n
+    return out
 
-    def __init__(self):
-        self.next: list[dict[str, int]] = [{}]
-        self.words: list[str | None] = [None]
 
-    def insert(self, word: str) -> None:
-        node, following = 0, self.next
-        for c in word:
-            to = following[node].get(c)
-            if to is None:
-                to = following[node][c] = len(following)
-                following.append({})
-                self.words.append(None)
-            node = to
-        self.words[node] = word
+class TrieEncoder:
+    """A word-level BPE vocabulary, whose merges put together what earlier merges have made.
 
+    Tokens are numbers: their ids. ``goto`` and ``ends`` are an automaton of the vocabulary: the state after a
+    prefix tells which tokens end there, longest first."""
 
-class TrieEncoder:
-    """A word-level BPE vocabulary, whose merges put together what earlier merges have made."""
+    #: Pairs of tokens, of which it is known whether they stay apart, that are remembered.
+    KNOWN_PAIRS = 1 << 18
 
     def __init__(self, model: dict):
         self.end = model.get("end_of_word_suffix") or ""
-        self.ids: dict[str, int] = model["vocab"]
-        self.rank: dict[tuple[str, str], int] = {}
-        self.made: dict[str, tuple[str, str, int]] = {}  # left part, right part and rank of a token
-        for i, m in enumerate(model["merges"]):
+        ids: dict[str, int] = model["vocab"]
+        self.size = max(ids.values(), default=0) + 1
+        self.token = [b""] * self.size
+        for t, i in ids.items():
+            self.token[i] = t.encode()
+        self.rank: dict[tuple[int, int], int] = {}
+        self.made: dict[int, tuple[int, int, int]] = {}  # left part, right part and rank of a token
+        single = {i for t, i in ids.items() if len(self._bare(t)) == 1}
+        for r, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            self.rank[a, b] = i
-            if a + b in self.made or any(len(self._bare(x)) > 1 and x not in self.made for x in (a, b)):
-                raise ValueError(f"merge {i} makes a token again, or of parts not made yet")
-            self.made[a + b] = (a, b, i)
-        self.inner = {t: struct.pack("<I", i) for t, i in self.ids.items()}
-        self.last = {self._bare(t): (t, struct.pack("<I", i)) for t, i in self.ids.items() if self.end and t.endswith(self.end)} if self.end else {t: (t, x) for t, x in self.inner.items()}
-        self.longest = max(map(len, self.ids), default=1)
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.spines: dict[tuple[str, int], list[tuple[str, int]]] = {}
+            x, y, made = ids[a], ids[b], ids[a + b]
+            self.rank[x, y] = r
+            if made in self.made or any(t not in single and t not in self.made for t in (x, y)):
+                raise ValueError(f"merge {r} makes a token again, or of parts not made yet")
+            self.made[made] = (x, y, r)
+        usable = {t: i for t, i in ids.items() if i in self.made or i in single}
+        self.apart: dict[int, bool] = {}
+        self.spines: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        self.goto: list[dict[str, int]] = [{}]
+        self.ends: list[list[tuple[int, int]]] = [[]]  # (token, its length) of tokens that end at a state
+        self.last: list[list[tuple[int, int]]] = [[]]  # the same for tokens with the end-of-word mark
+        marked = {self._bare(t): i for t, i in usable.items() if self.end and t.endswith(self.end)} if self.end else usable
+        for table, tokens in ((self.ends, {t: i for t, i in usable.items() if not (self.end and t.endswith(self.end))}), (self.last, marked)):
+            for t, i in tokens.items():
+                state = 0
+                for c in t:
+                    to = self.goto[state].get(c)
+                    if to is None:
+                        to = self.goto[state][c] = len(self.goto)
+                        self.goto.append({})
+                        self.ends.append([])
+                        self.last.append([])
+                    state = to
+                table[state].append((i, len(t)))
+        self.fall = [0] * len(self.goto)
+        level = list(self.goto[0].values())
+        while level:  # shorter tokens that end where a longer one does come after it
+            below = []
+            for state in level:
+                for c, to in self.goto[state].items():
+                    back = self.fall[state]
+                    while back and c not in self.goto[back]:
+                        back = self.fall[back]
+                    back = self.fall[to] = self.goto[back].get(c, 0)
+                    if self.ends[back]:
+                        self.ends[to] = self.ends[to] + self.ends[back] if self.ends[to] else self.ends[back]
+                    if self.last[back]:
+                        self.last[to] = self.last[to] + self.last[back] if self.last[to] else self.last[back]
+                    below.append(to)
+            level = below
 
     def _bare(self, token: str) -> str:
         return token[: -len(self.end)] if self.end and token.endswith(self.end) else token
 
-    def _spine(self, token: str, side: int) -> list[tuple[str, int]]:
+    def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The parts at one side (0 left, 1 right) of a token, smallest first, and the rank at which each is merged away."""
         out = self.spines.get((token, side))
         if out is None:
@@ -91,7 +135,7 @@ class TrieEncoder:
             self.spines[token, side] = out
         return out
 
-    def _stay_apart(self, a: str, b: str) -> bool:
+    def _stay_apart(self, a: int, b: int) -> bool:
         """Whether no merge crosses the seam while both tokens are put together, lowest rank first and leftmost among equals."""
         never = len(self.rank)
         left, right, i, j = self._spine(a, 1), self._spine(b, 0), 0, 0
@@ -107,61 +151,103 @@ class TrieEncoder:
             else:
                 j += 1
 
-    def encode(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
-        """Of each distinct word (in byte characters): ids as little-endian 32-bit integers, tokens joined by spaces."""
-        trie = Trie()
-        for w in words:
-            trie.insert(w)
-        out: dict[str, tuple[bytes, str]] = {}
-        following, ends, inner, closing, apart, longest, check = trie.next, trie.words, self.inner, self.last, self.apart, self.longest, self._stay_apart
-        state = [("", b"", "")]  # last token, ids and shown tokens of the prefixes on the path, by length
-        stack = [(0, "")]
-        pop, push, seen = stack.pop, stack.append, apart.get
-        while stack:
-            node, path = pop()
-            n, after = len(path), following[node]
-            if n:
-                begin = n - longest if n > longest else 0
-                if ends[node] is not None:
-                    for s in range(begin, n):
-                        found = closing.get(path[s:])
-                        if found is not None:
-                            token, packed = found
-                            if not s:
-                                out[path] = packed, token
-                                break
-                            before, ids, shown = state[s]
-                            ok = seen((before, token))
-                            if ok is None:
-                                ok = apart[before, token] = check(before, token)
-                            if ok:
-                                out[path] = ids + packed, f"{shown} {token}"
-                                break
-                    else:
-                        raise ValueError(f"the vocabulary can't spell {path!r}")
-                if not after:
-                    continue
-                del state[n:]
-                for s in range(begin, n):
-                    token = path[s:]
-                    if token in inner:
-                        if not s:
-                            state.append((token, inner[token], token))
-                            break
-                        before, ids, shown = state[s]
-                        ok = seen((before, token))
+    def _turn(self, state: int, c: str) -> int:
+        """The state after ``c``; it is noted, so that the next time is one look-up."""
+        at = state
+        while at and c not in self.goto[at]:
+            at = self.fall[at]
+        to = self.goto[at].get(c, 0)
+        if to or not state:
+            self.goto[state][c] = to
+        return to
+
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """Of each distinct word (in byte characters): its ids as little-endian 32-bit integers.
+
+        Sorted words are the leaves of their trie in the order of a walk in depth; where a word leaves the one
+        before it, the walk turns back to the node that both pass, and the states of its path are kept. Each
+        node has its last token and where that begins, so the ids of a word are read by going back, and the
+        time is in proportion to the trie's nodes."""
+        words = sorted(set(words))
+        if len(self.apart) > self.KNOWN_PAIRS:
+            self.apart.clear()
+        out: dict[str, bytes] = {}
+        goto, ends, last, apart, size, check, turn = self.goto, self.ends, self.last, self.apart, self.size, self._stay_apart, self._turn
+        known = apart.get
+        token, begin, state = [0], [0], [0]  # of the prefixes on the path, by length
+        for word, shared in zip(words, shared_lengths(words), strict=True):
+            length = len(word)
+            shared = min(shared, length - 1, len(token) - 1)
+            del token[shared + 1 :], begin[shared + 1 :], state[shared + 1 :]
+            at = state[shared]
+            for n in range(shared + 1, length):
+                c = word[n - 1]
+                to = goto[at].get(c)
+                if to is None:
+                    to = turn(at, c)
+                at = to
+                for t, k in ends[at]:
+                    s = n - k
+                    if s:
+                        pair = token[s] * size + t
+                        ok = known(pair)
                         if ok is None:
-                            ok = apart[before, token] = check(before, token)
-                        if ok:
-                            state.append((token, ids + inner[token], f"{shown} {token}"))
-                            break
+                            ok = apart[pair] = check(token[s], t)
+                        if not ok:
+                            continue
+                    token.append(t)
+                    begin.append(s)
+                    state.append(at)
+                    break
+                else:
+                    raise ValueError(f"the vocabulary can't spell {word[:n]!r}")
+            c = word[-1]
+            to = goto[at].get(c)
+            if to is None:
+                to = turn(at, c)
+            for t, k in last[to]:
+                s = length - k
+                if s:
+                    pair = token[s] * size + t
+                    ok = known(pair)
+                    if ok is None:
+                        ok = apart[pair] = check(token[s], t)
+                    if not ok:
+                        continue
+                    ids = [t, token[s]]
+                    s = begin[s]
+                    while s:
+                        ids.append(token[s])
+                        s = begin[s]
+                    ids.reverse()
+                    out[word] = struct.pack(f"<{len(ids)}I", *ids)
                 else:
-                    raise ValueError(f"the vocabulary can't spell {path!r}")
-            for c, to in after.items():
-                push((to, path + c))
+                    out[word] = struct.pack("<I", t)
+                break
+            else:
+                raise ValueError(f"the vocabulary can't spell {word!r}")
         return out
 
 
+class Decoder:
+    """Ids to text as the library's decode(ids, skip_special_tokens=False) gives it where the file names no decoder: tokens joined by spaces."""
+
+    def __init__(self, spec: dict):
+        if spec.get("decoder"):
+            raise ValueError("the file's own decoder is not known here")
+        names = {i: t.encode() for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        self.token = [names.get(i, b"") for i in range(max(names, default=-1) + 1)]
+        self.whole = all(i in names for i in range(len(self.token)))
+
+    def __call__(self, ids: bytes) -> bytes:
+        """Text of ids as little-endian 32-bit integers; ids that no token has are left out, as the library does."""
+        numbers = np.frombuffer(ids, "<u4")
+        if not self.whole or (len(numbers) and int(numbers.max()) >= len(self.token)):
+            numbers = numbers[numbers < len(self.token)]
+            return b" ".join([t for t in map(self.token.__getitem__, numbers.tolist()) if t])
+        return b" ".join(map(self.token.__getitem__, numbers.tolist()))
+
+
 class Pieces:
     """Splits pieces of text into words of the trie as the tokenizer file says, and puts encodings together."""
 
@@ -182,30 +268,60 @@ class Pieces:
             return [text.lower().encode().decode("latin-1").translate(self.characters)]
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
 
-    def encode(self, pieces: list[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
-        """(ids, decoded text) of each piece."""
+    def encode(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of each piece."""
         parts: dict[bytes, list[tuple[bool, str]]] = {}
+        plain: dict[bytes, str] = {}  # pieces of one word
         for p in pieces:
-            text, at, found = p.decode(), 0, []
+            text = p.decode()
+            if LETTERS.fullmatch(text):
+                plain[p] = text.lower() if text.isascii() else self.words(text)[0]
+                continue
+            at, found = 0, []
             for m in self.specials.finditer(text):
                 found += [(False, w) for w in (self.words(text[at : m.start()]) if m.start() > at else ())] + [(True, m[0])]
                 at = m.end()
             parts[p] = found + [(False, w) for w in (self.words(text[at:]) if at < len(text) else ())]
-        coded = self.encoder.encode(list({w for x in parts.values() for special, w in x if not special}))
-        coded_special = {s: (struct.pack("<I", i), s) for s, i in self.special.items()}
-        out = {}
+        coded = self.encoder.encode([*plain.values(), *(w for x in parts.values() for special, w in x if not special)])
+        coded_special = {s: struct.pack("<I", i) for s, i in self.special.items()}
+        out = {p: coded[w] for p, w in plain.items()}
         for p, x in parts.items():
-            both = [coded_special[w] if special else coded[w] for special, w in x]
-            out[p] = (b"".join([i for i, _ in both]), " ".join([s for _, s in both]).encode())
+            out[p] = b"".join([coded_special[w] if special else coded[w] for special, w in x])
         return out
 
 
-def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens long, ids binary of little-endian unsigned 32-bit integers): see ``encode_decode``."""
+    return _coded(docs, path, id_col, text_col, False)
+
+
+def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(doc_id, decoded string) of ids as little-endian unsigned 32-bit integers; null ids decode to empty text, and ids that no token has are left out."""
+    slim = coded.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{ids_col}`").cast("binary").alias("ids"))
+    with open(path, encoding="utf-8") as f:
+        given = slim.sparkSession.sparkContext.broadcast(f.read())  # of the size of the file
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to_text = Decoder(json.loads(given.value))
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([to_text(x or b"").decode() for x in part.column(1).to_pylist()], pa.string())], ["doc_id", "decoded"])
+
+    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, decoded string")
+
+
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lists: bool = False) -> DataFrame:
     """(doc_id, n_tokens long, ids binary of little-endian unsigned 32-bit integers, decoded string): one row for each row of ``docs``.
 
-    ``decoded``: the tokens, special ones too, joined by spaces. Null counts as empty: no tokens, and
+    lists: the ids again as id_list array<int>. ``decoded``: what the ids decode to, special tokens too. Null counts as empty: no tokens, and
     empty ids and decoded text, as for empty and blank texts; repeated rows each get their row; an
-    empty table gives an empty result; other columns are not looked at."""
+    empty table gives an empty result; other columns are not looked at. Time and memory are in proportion to a
+    text's length, however long its words are."""
+    return _coded(docs, path, id_col, text_col, True, lists)
+
+
+def _coded(docs: DataFrame, path: str, id_col: str, text_col: str, back: bool, lists: bool = False) -> DataFrame:
     slim = keep_columns(docs, id_col, text_col)
     with open(path, encoding="utf-8") as f:
         given = slim.sparkSession.sparkContext.broadcast(f.read())  # of the size of the file
@@ -214,36 +330,33 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         store = worker_store()
         key = f"bpe_trie {zlib.crc32(given.value.encode())}"
         if key not in store:
-            store[key] = Pieces(given.value), Recent(REMEMBERED, 2), Recent(REMEMBERED)
-        tool, words, pieces = store[key]
-        gc.disable()  # millions of small objects, and no cycles
-        for b in batches:
-            for at, to, data, offs in chunks_of(b.column(1)):
-                raw, ends = data.tobytes(), offs.tolist()
-                rows = [raw[s:e].split() for s, e in zip(ends[:-1], ends[1:], strict=True)]
-                new = words.missing(set().union(*rows))
-                shown = words.more[0]
-                cut = split_words(new)
-                unknown = pieces.missing({p for x in cut for p in x})
-                pieces.new.update(tool.encode(unknown))
-                of, known = pieces.new, words.new
-                for w, x in zip(new, cut, strict=True):
-                    if len(x) == 1:
-                        known[w] = of[x[0]][0]
-                        shown[w] = of[x[0]][1]
-                    else:
-                        both = [of[p] for p in x]
-                        known[w] = b"".join([i for i, _ in both])
-                        shown[w] = b" ".join([s for _, s in both if s])
-                ids = [b"".join(map(known.__getitem__, x)) for x in rows]
-                texts = [b" ".join(filter(None, map(shown.__getitem__, x))).decode() for x in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, to - at), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
-                    ["doc_id", "n_tokens", "ids", "decoded"],
-                )
-        gc.enable()
-
-    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary, decoded string")
+            store[key] = Pieces(given.value), Decoder(json.loads(given.value)), Recent(REMEMBERED), Recent(REMEMBERED)
+        tool, to_text, words, pieces = store[key]
+        with no_garbage_collection():
+            for b in batches:
+                for at, to, data, offs in chunks_of(b.column(1)):
+                    raw, ends = data.tobytes(), offs.tolist()
+                    rows = [raw[s:e].split() for s, e in zip(ends[:-1], ends[1:], strict=True)]
+                    new = words.missing(set().union(*rows))
+                    cut = split_words(new)
+                    unknown = pieces.missing({p for x in cut for p in x})
+                    pieces.learn(tool.encode(unknown))
+                    of = pieces.new
+                    words.learn({w: of[x[0]] if len(x) == 1 else b"".join([of[p] for p in x]) for w, x in zip(new, cut, strict=True)})
+                    known = words.new.__getitem__
+                    ids = [b"".join(map(known, x)) for x in rows]
+                    made = [b.column(0).slice(at, to - at), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                    del rows
+                    if back:
+                        made.append(pa.array([to_text(x).decode() for x in ids], pa.string()))
+                    if lists:
+                        whole = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                        made.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]), pa.int32()), whole))
+                    yield pa.RecordBatch.from_arrays(made, names)
+
+    columns = {"doc_id": slim.schema["doc_id"].dataType.simpleString(), "n_tokens": "long", "ids": "binary"} | ({"decoded": "string"} if back else {}) | ({"id_list": "array<int>"} if lists else {})
+    names = list(columns)
+    return slim.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in columns.items()))
 
 
 def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

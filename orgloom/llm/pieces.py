@@ -9,7 +9,10 @@ its class in lower case.
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import re
+from collections.abc import Iterator
 
 #: ASCII punctuation but the apostrophe, which begins contractions.
 PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
@@ -72,20 +75,27 @@ def cut_long(text: bytes, size: int) -> list[bytes]:
 
 
 class Recent:
-    """A bounded memory of values by key, in two generations: what is asked for moves to the newer one.
+    """A memory of values by key, bounded in bytes, in two generations: what is asked for moves to the newer one.
 
-    ``more``: further values of the same keys, if there are several for each."""
+    Long keys (over a 256th of the bound) are only kept until the next call."""
 
-    def __init__(self, bound: int, values: int = 1):
-        self.bound, self.new, self.old = bound, {}, {}
-        self.more, self.more_old = [{} for _ in range(values - 1)], [{} for _ in range(values - 1)]
+    #: About what the objects of an entry take besides their bytes.
+    ENTRY = 180
+
+    def __init__(self, bound: int):
+        self.bound, self.new, self.old, self.held, self.large = bound, {}, {}, 0, []
 
     def missing(self, keys) -> list:
-        """The keys that are not known; all others can be read from ``new`` and ``more`` until the next call."""
-        if len(self.new) > self.bound:
-            self.old, self.new = self.new, {}
-            self.more, self.more_old = [{} for _ in self.more], self.more
+        """The keys that are not known; all others can be read from ``new`` until the next call."""
+        for k in self.large:
+            self.new.pop(k, None)
+        self.large = []
+        if self.held > self.bound:
+            self.old, self.new, self.held = self.new, {}, 0
         new, old, out = self.new, self.old, []
+        if not old:
+            return [k for k in keys if k not in new]
+        before = len(new)
         for k in keys:
             if k not in new:
                 v = old.get(k)
@@ -93,10 +103,27 @@ class Recent:
                     out.append(k)
                 else:
                     new[k] = v
-                    for x, y in zip(self.more, self.more_old, strict=True):
-                        x[k] = y[k]
+        self.held += (len(new) - before) * self.ENTRY
         return out
 
+    def learn(self, found: dict[bytes, bytes | int]) -> None:
+        self.new.update(found)
+        self.held += len(found) * self.ENTRY
+        if sum(map(len, found)) > self.bound >> 6:  # else no long ones are among them
+            self.large = [k for k in found if len(k) > self.bound >> 8]
+
+
+@contextlib.contextmanager
+def no_garbage_collection() -> Iterator[None]:
+    """For millions of small objects, and no cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
 
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker, across tasks; only ever a memory of what can be made again."""

@@ -7,7 +7,6 @@ task has not met are encoded, in batches of about equal bytes. Nothing but lengt
 
 from __future__ import annotations
 
-import gc
 import itertools
 import json
 import zlib
@@ -19,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks_of, keep_columns
-from .pieces import LETTERS, Recent, byte_level, cut_long, split_words, word_level, worker_store
+from .pieces import LETTERS, Recent, byte_level, cut_long, no_garbage_collection, split_words, word_level, worker_store
 
-#: Words, and pieces, of each generation that a worker remembers.
-REMEMBERED = 250_000
+#: Bytes of each generation of words, and of pieces, that a worker remembers.
+REMEMBERED = 24 << 20
 
 
 def read_tokenizer(path: str) -> tuple[str, bytes]:
@@ -106,27 +105,26 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         if key not in store:
             store[key] = (_sentencepiece_counter if kind == "model" else _piece_counter if by_word else _tokenizers_counter)(given.value), Recent(REMEMBERED), Recent(REMEMBERED)
         count, words, pieces = store[key]
-        gc.disable()  # millions of small objects, and no cycles
-        for b in batches:
-            for at, to, data, offs in chunks_of(b.column(1)):
-                raw, ends = data.tobytes(), offs.tolist()
-                if by_word:
-                    rows = [raw[s:e].split() for s, e in zip(ends[:-1], ends[1:], strict=True)]
-                    new = words.missing(set().union(*rows))
-                    cut = split_words(new)
-                    for part in even_batches(pieces.missing({p for x in cut for p in x}), batch_bytes):
-                        pieces.new.update(zip(part, count(part), strict=True))
-                    of = pieces.new
-                    words.new.update(zip(new, [sum([of[p] for p in x]) for x in cut], strict=True))
-                    of = words.new.__getitem__
-                    n = [sum(map(of, x)) for x in rows]
-                else:
-                    texts = [raw[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)]
-                    cuts = [cut_long(t, cut_bytes) if may_cut else [t] for t in texts]
-                    each = iter([k for part in even_batches([p for x in cuts for p in x], batch_bytes) for k in count(part)])
-                    n = [sum(itertools.islice(each, len(x))) for x in cuts]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(np.diff(offs), pa.int64()), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
-        gc.enable()
+        with no_garbage_collection():
+            for b in batches:
+                for at, to, data, offs in chunks_of(b.column(1)):
+                    raw, ends = data.tobytes(), offs.tolist()
+                    if by_word:
+                        rows = [raw[s:e].split() for s, e in zip(ends[:-1], ends[1:], strict=True)]
+                        new = words.missing(set().union(*rows))
+                        cut = split_words(new)
+                        for part in even_batches(pieces.missing({p for x in cut for p in x}), batch_bytes):
+                            pieces.learn(dict(zip(part, count(part), strict=True)))
+                        of = pieces.new
+                        words.learn({w: of[x[0]] if len(x) == 1 else sum([of[p] for p in x]) for w, x in zip(new, cut, strict=True)})
+                        of = words.new.__getitem__
+                        n = [sum(map(of, x)) for x in rows]
+                    else:
+                        texts = [raw[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)]
+                        cuts = [cut_long(t, cut_bytes) if may_cut else [t] for t in texts]
+                        each = iter([k for part in even_batches([p for x in cuts for p in x], batch_bytes) for k in count(part)])
+                        n = [sum(itertools.islice(each, len(x))) for x in cuts]
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(np.diff(offs), pa.int64()), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long")
 

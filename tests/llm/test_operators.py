@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import os
 import re
 import struct
 
@@ -264,6 +265,49 @@ def test_encode_decode(docs, texts, empty, library):
         ids = library.encode(t or "", add_special_tokens=False).ids
         assert (got[d]["n_tokens"], bytes(got[d]["ids"]), got[d]["decoded"]) == (len(ids), struct.pack(f"<{len(ids)}I", *ids), library.decode(ids, skip_special_tokens=False)), d
     assert bpe_trie.encode_decode(empty, PATH).count() == 0
+    lists = {r["doc_id"]: r["id_list"] for r in bpe_trie.encode_decode(docs, PATH, lists=True).collect()}
+    assert all(struct.pack(f"<{len(x)}I", *x) == bytes(got[d]["ids"]) for d, x in lists.items())
+
+
+def test_decode_needs_ids_only(spark, docs, library):
+    ids = [[], [5, 49406, 320, 49407], [60_000, 7], None, list(range(0, 49_408, 7))]
+    table = spark.createDataFrame([(i, None if x is None else bytearray(struct.pack(f"<{len(x)}I", *x)), "x") for i, x in enumerate(ids)], "doc_id long, ids binary, decoded string")
+    got = {r["doc_id"]: r["decoded"] for r in bpe_trie.decode(table, PATH).collect()}
+    assert got == {i: library.decode(x or [], skip_special_tokens=False) for i, x in enumerate(ids)}
+    coded = bpe_trie.encode(docs, PATH)
+    both = {r["doc_id"]: r["decoded"] for r in bpe_trie.encode_decode(docs, PATH).collect()}
+    assert {r["doc_id"]: r["decoded"] for r in bpe_trie.decode(coded, PATH).collect()} == both
+    assert bpe_trie.decode(table.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("word", ["letters", "a" * 50_000, "ab" * 30_000, "日本" * 20_000, "don't" * 5000, "-" * 3000 + "x" * 3000])
+def test_long_words(library, word):
+    import time
+
+    if word == "letters":
+        word = "".join(np.random.default_rng(0).choice(list("abcdefghijklmnopqrstuvwxyz"), 1_000_000))
+    tool, _, _ = _tools()
+    began = time.process_time()
+    coded = tool.encode([word.encode()])[word.encode()]
+    assert time.process_time() - began < 12
+    ids = library.encode(word, add_special_tokens=False).ids
+    assert coded == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_shared_lengths():
+    words = sorted({"a", "ab", "b", "x" * 70, "x" * 71, "x" * 71 + "y", "x" * 23, "x" * 24, "x" * 24 + "é", "日本", "日本語"})
+    want = [0, *(len(os.path.commonprefix(p)) for p in itertools.pairwise(words))]
+    assert bpe_trie.shared_lengths(words) == want and bpe_trie.shared_lengths([]) == []
+
+
+def test_memory_of_words_is_bounded():
+    memory = pieces.Recent(1 << 14)
+    for i in range(60):
+        keys = [b"%d" % (i * 50 + k) for k in range(60)] + [b"long" * 200 + b"%d" % i]
+        new = memory.missing(keys)
+        memory.learn(dict.fromkeys(new, 1))
+        assert all(k in memory.new for k in keys)
+    assert len(memory.new) + len(memory.old) < 400 and not any(len(k) > 700 for k in memory.old)
 
 
 @settings(max_examples=300, deadline=None)
@@ -273,7 +317,7 @@ def test_pieces_keep_encodings(text):
     cut = [p for w in text.encode().split() for p in pieces.split_word(w)]
     coded = tool.encode(list(set(cut)))
     ids = library.encode(text, add_special_tokens=False).ids
-    assert b"".join(coded[p][0] for p in cut) == struct.pack(f"<{len(ids)}I", *ids)
+    assert b"".join(coded[p] for p in cut) == struct.pack(f"<{len(ids)}I", *ids)
     assert sum(count(cut)) == len(ids) if cut else not ids
 
 
