@@ -2,16 +2,21 @@
 
 A fingerprint is cut into two 32-bit segments. Two fingerprints that differ in
 three bits or fewer differ in at most one bit of one segment, so a table of
-exact segments, probed with the 33 members of each segment's Hamming ball of
-radius one, meets every such pair; the complete distance is then verified inside
-the join. Copies of a fingerprint are one row, so a group of identical texts
-costs one row whatever its size, and only links between different fingerprints
-are made.
+exact segments, met by the members of each segment's Hamming ball of radius one,
+finds every such pair; the complete distance is then verified. Of two segments one bit
+apart one has an even number of bits, so only those are sent with their ball. Copies of a
+fingerprint are one row, so a group of identical texts costs one row whatever its size, and where
+many fingerprints meet, only links that span them are given: one less than there are, at most.
+
+Similar texts, well beyond three bits, are found by wider fingerprints of several segments, whose balls are
+enumerated over their weakest bits, and by the first of their shingles, where balls of that size miss some; what
+meets, and is near enough in full, is a candidate, and the Jaccard index of the texts' shingles is then counted among candidates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -19,30 +24,47 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, keep_columns, materialize
+from .common import chunks_of, fresh, keep_columns, materialize, mix
 
 SEED = 42
+_U = np.uint64
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _LANE = (np.arange(8) * 256)[None, :]
+#: Rows of a batch of fingerprints that is dealt out at once.
+DEAL_ROWS = 1 << 13
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """64-bit SimHash of a text; of no words: 0. Null counts as empty."""
-    words = (text or "").encode().lower().split()  # bytes: lower() is A-Z alone, split() the six ASCII spaces
+def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of each shingle of a text's words, A-Z lower-cased, repeats included; of fewer words: of all; of none: empty."""
+    words = (text or b"").lower().split()  # of bytes: lower() is A-Z alone, split() the six ASCII spaces
     n = len(words)
     if not n:
-        return 0
+        return np.zeros(0, _U)
     joined = b" ".join(words)
     if n <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
-        starts = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1])[: n - shingle + 1].tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
-    h = np.array(hashes, np.uint64)
-    counts = np.bincount((h.view(np.uint8).reshape(-1, 8) + _LANE).ravel(), minlength=2048).reshape(8, 256) @ _BITS
-    return int(np.packbits(2 * counts > len(h), axis=1, bitorder="little").ravel().view("<u8")[0])
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], _U)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
+    starts = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1])[: n - shingle + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)], _U)
+
+
+def _set_bits(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits."""
+    return (np.bincount((h.view(np.uint8).reshape(-1, 8) + _LANE).ravel(), minlength=2048).reshape(8, 256) @ _BITS).ravel()
+
+
+def fingerprint(text: str | bytes | None, shingle: int = 3) -> int:
+    """64-bit SimHash of a text; of no words: 0. Null counts as empty."""
+    h = shingle_hashes(text.encode() if isinstance(text, str) else text, shingle)
+    return int(np.packbits(2 * _set_bits(h) > len(h), bitorder="little").view("<u8")[0]) if len(h) else 0
+
+
+def _texts(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(first row, row after the last, texts) of pieces of bounded bytes; null is empty."""
+    for at, to, data, offs in chunks_of(column):
+        raw, ends = data.tobytes(), offs.tolist()
+        yield at, to, [raw[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -50,26 +72,106 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            for at, to, texts in _texts(b.column(1)):
+                fp = np.array([fingerprint(t, shingle) for t in texts], _U).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(fp, pa.int64())], ["doc_id", "fp"])
 
     slim = keep_columns(docs, id_col, text_col)
     return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
+# --------------------------------------------------------------------------
+# Keys that meet: dealt out in packed bytes, so that a row is a part of a batch and not a key
+
+def deal_out(keys: np.ndarray, parts: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """(part, keys, further columns) in bytes: the keys of each part, and what belongs to them; a part is a hash of the key."""
+    part = (mix(keys.astype(_U)) % _U(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+    own = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+    blobs = [pa.array([x[cuts[p] : cuts[p + 1]].tobytes() for p in own], pa.binary()) for x in (c[order] for c in (keys, *columns))]
+    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *blobs], ["part", "keys", *[f"c{i}" for i in range(len(columns))]])
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
+    """The columns of bytes of each part, of rows in order of their part."""
+    at, columns = None, []
+    for b in batches:
+        part, *rest = (c.to_pylist() for c in b.columns)
+        for i, p in enumerate(part):
+            if p != at:
+                if columns:
+                    yield columns
+                at, columns = p, [[] for _ in rest]
+            for c, r in zip(columns, rest, strict=True):
+                c.append(r[i])
+    if columns:
+        yield columns
+
+
+def spread_of(df: DataFrame) -> int:
+    """Parts that keys are dealt to: several for each partition of a shuffle, so that those are about equal."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def near_spanning(nodes: np.ndarray, prints: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """Links that connect whatever is connected among some fingerprints (rows of 64-bit numbers); at most one less than there are."""
+    out, left = [], np.arange(len(nodes))
+    while len(left):
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            at = front.pop()
+            near = np.bitwise_count(prints[left] ^ prints[at]).sum(axis=1) <= distance
+            out += [(int(nodes[at]), int(nodes[x])) for x in left[near]]
+            front += left[near].tolist()
+            left = left[~near]
+    return out
+
+
+def met_links(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) that span what is near among the nodes of each key; ``keys`` are sorted."""
+    cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    size = np.diff(np.append(cuts, len(keys)))
+    two = cuts[size == 2]
+    two = two[(np.bitwise_count(prints[two] ^ prints[two + 1]).sum(axis=1) <= distance) & (nodes[two] != nodes[two + 1])]
+    found: list[tuple[int, int]] = []
+    for s, n in zip(cuts[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+        found += near_spanning(nodes[s : s + n], prints[s : s + n], distance)
+    more = np.array(found, np.int64).reshape(-1, 2)
+    return np.concatenate([nodes[two], more[:, 0]]), np.concatenate([nodes[two + 1], more[:, 1]])
+
+
 def links(fps: DataFrame, distance: int = 3) -> DataFrame:
-    """(a, b), a < b: each pair of different values of ``fps.fp`` at most ``distance`` (0 to 3) bits apart, once."""
+    """(a, b): links between different values of ``fps.fp`` at most ``distance`` (0 to 3) bits apart, which connect whatever such links connect."""
     if not 0 <= distance <= 3:
         raise ValueError("two segments with balls of radius one reach three bits")
-    low, high = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32)
-    tables = F.array(*[F.struct(F.lit(s).alias("seg"), key.alias("key")) for s, key in enumerate((low, high))])
-    balls = F.array(*[F.struct(F.lit(s).alias("seg"), (key.bitwiseXOR(F.lit(flip))).alias("key")) for s, key in enumerate((low, high)) for flip in (0, *(1 << i for i in range(32)))])
-    table = fps.select(F.col("fp").alias("b"), F.inline(tables))
-    probe = fps.select(F.col("fp").alias("a"), F.inline(balls)).withColumnsRenamed({"seg": "pseg", "key": "pkey"})
-    apart = F.expr("a ^ b")
-    once = (F.col("pseg") == 0) | (F.bit_count(apart.bitwiseAND(F.lit(0xFFFFFFFF))) > 1)  # else the first segment has met the pair
-    on = (F.col("pseg") == F.col("seg")) & (F.col("pkey") == F.col("key")) & (F.col("a") < F.col("b")) & (F.bit_count(apart) <= distance) & once
-    return probe.join(table, on).select("a", "b")
+    parts = spread_of(fps)
+    flips = _U(1) << np.arange(32, dtype=_U)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            every = np.asarray(b.column(0), np.int64).view(_U)
+            for i in range(0, len(every), DEAL_ROWS):
+                fp = every[i : i + DEAL_ROWS]
+                keys, owners = [], []
+                for s in range(2):
+                    own = (fp >> _U(32 * s)) & _U(0xFFFFFFFF)
+                    even = np.flatnonzero(np.bitwise_count(own) % 2 == 0)
+                    ball = own[even, None] ^ flips
+                    keys += [own | _U(s << 32), (ball | _U(s << 32)).ravel()]
+                    owners += [fp, np.repeat(fp[even], 32)]
+                yield deal_out(np.concatenate(keys), parts, np.concatenate(owners))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, owners in gathered(batches):
+            k, f = (np.frombuffer(b"".join(x), np.uint64) for x in (keys, owners))
+            order = np.argsort(k, kind="stable")
+            a, b = met_links(k[order], f[order].view(np.int64), f[order][:, None], distance)
+            lo, hi = np.minimum(a, b), np.maximum(a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
+
+    dealt = fps.select("fp").mapInArrow(deal, "part int, keys binary, c0 binary")
+    return dealt.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -78,7 +180,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each node points to its least neighbour if that is less; pointers are followed to their ends; links
     are drawn between the ends, those within one are dropped, and what is left is done again. Links shrink
     from round to round, each step is a written table, and no link leaves the executors."""
-    left, found = materialize(edges.select("a", "b"), "links"), None
+    left, found = materialize(edges.select("a", "b").distinct(), "links"), None
     while True:
         both = left.union(left.select("b", "a"))
         point = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), "point")
@@ -107,8 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are not looked at."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "prints")
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    edges = materialize(links(classes.select("fp"), distance), "edges")
-    roots = components(edges)
+    roots = components(links(classes.select("fp"), distance))
     rooted = materialize(classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
     least = materialize(rooted.groupBy(F.col("root").alias("top")).agg(F.min("first").alias("component_id")), "least")
     named = materialize(rooted.join(least, F.col("root") == F.col("top")).select(F.col("fp").alias("class_fp"), "component_id"), "named")
@@ -119,122 +220,220 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     """``docs`` with one row of each component left, that of the smallest id.
 
     Rows that share that id too are told apart by their place in the table, so ``docs`` must be one (files, or a checkpoint), not the outcome of a shuffle."""
-    (uid,) = fresh(docs, "near_uid")
+    uid, kept_uid = fresh(docs, "near_uid", "kept_uid")
     whole = docs.withColumn(uid, F.monotonically_increasing_id())
     ranked = whole.select(F.struct(F.col(f"`{id_col}`").isNull().alias("gone"), F.col(f"`{id_col}`").alias("id"), F.col(uid).alias("uid")).alias("rank"), F.col(f"`{text_col}`").alias("text"))
     found = near_duplicates(ranked, "rank", "text", shingle, distance)
-    keep = materialize(found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.uid").alias("kept_uid")), "keep")
-    return whole.join(keep, F.col(uid) == F.col("kept_uid"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = materialize(found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.uid").alias(kept_uid)), "keep")
+    return whole.join(keep, F.col(uid) == F.col(kept_uid), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 # --------------------------------------------------------------------------
-# Similar texts, well beyond three bits: wide fingerprints of several segments. This is an estimate, and its
-# search is partial; shingle_jaccard counts the index itself and loses no pair.
+# Similar texts: candidates by wide fingerprints, and then the Jaccard index itself
 
-SEGMENT_BITS, FLIPS = 24, 8
+LEAST = Fraction(4, 5)
+#: Words of 64 bits of a wide fingerprint, bits of a segment, and its weakest bits, one of which is flipped at a time.
+WIDE, SEGMENT_BITS, WEAK = 4, 24, 6
+#: Bits of a wide fingerprint in which candidates differ at most. Texts of an index J differ in about
+#: acos(2J / (1 + J)) / pi of the bits: 39 of 256 at 0.8, give or take 5.8; this is six times that beyond.
+WIDE_DISTANCE = 74
+#: Top bits of a hash by which shingles are counted.
+HEAT_BITS = 16
+#: Shingles of a chunk of candidates; of a larger group, chunks are compared two by two.
+CHUNK_SHINGLES = 1 << 21
 
 
-def wide_fingerprint(text: str | None, shingle: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(64 * ``words`` bits as uint64, keys): a key is a segment's number and 24 bits, as they are and with each of the 8 bits of least majority flipped."""
-    tokens = (text or "").encode().lower().split()
-    n = len(tokens)
-    joined = b" ".join(tokens)
-    if n <= shingle:
-        pieces = [joined] if n else []
-    else:
-        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, n) + 1) - 1
-        starts = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1])[: n - shingle + 1].tolist()
-        pieces = [joined[s:e] for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
-    lead = np.zeros(64 * words, np.int64)
-    digest = xxhash.xxh64_intdigest
-    for w in range(words):
-        h = np.array([digest(p, SEED + w) for p in pieces], np.uint64)
-        counts = np.bincount((h.view(np.uint8).reshape(-1, 8) + _LANE).ravel(), minlength=2048).reshape(8, 256) @ _BITS
-        lead[64 * w : 64 * w + 64] = 2 * counts.ravel() - len(h)
-    bits = lead > 0
-    segments = len(lead) // SEGMENT_BITS
-    parts = bits[: segments * SEGMENT_BITS].reshape(segments, SEGMENT_BITS)
-    own = parts @ (1 << np.arange(SEGMENT_BITS))
-    weak = np.argsort(np.abs(lead[: segments * SEGMENT_BITS]).reshape(segments, SEGMENT_BITS), axis=1, kind="stable")[:, :FLIPS]
-    keys = np.concatenate([own[:, None], own[:, None] ^ (1 << weak)], axis=1) | (np.arange(segments) << 32)[:, None]
-    return np.packbits(bits, bitorder="little").view("<u8"), keys.ravel()
-
-
-def _spanning(nodes: np.ndarray, prints: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links that connect whatever is connected among some fingerprints; at most one less than there are."""
-    out, left = [], np.arange(len(nodes))
-    while len(left):
-        front, left = [int(left[0])], left[1:]
-        while front and len(left):
+def shingle_set(text: str | bytes | None, shingle: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    return np.unique(shingle_hashes(text.encode() if isinstance(text, str) else text, shingle))
+
+
+def set_id(found: np.ndarray) -> int:
+    return int(_U(xxhash.xxh64_intdigest(found.tobytes(), SEED)).view(np.int64))
+
+
+def wide_fingerprint(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(WIDE numbers of 64 bits, keys as uint32) of a set of shingles: a key is a segment's number and bits, as they are and with one of its weakest flipped."""
+    lead = np.concatenate([2 * _set_bits(mix(found ^ _U(w * 0x9E3779B97F4A7C15 & (1 << 64) - 1))) - len(found) for w in range(WIDE)]) if len(found) else np.zeros(64 * WIDE, np.int64)
+    bits, n = lead > 0, len(lead) // SEGMENT_BITS
+    own = bits[: n * SEGMENT_BITS].reshape(n, SEGMENT_BITS) @ (1 << np.arange(SEGMENT_BITS))
+    weak = 1 << np.argsort(np.abs(lead[: n * SEGMENT_BITS]).reshape(n, SEGMENT_BITS), axis=1, kind="stable")[:, :WEAK]
+    ball = np.concatenate([own[:, None], own[:, None] ^ weak], axis=1) | (np.arange(n) << SEGMENT_BITS)[:, None]
+    return np.packbits(bits, bitorder="little").view("<u8"), ball.ravel().astype(np.uint32)
+
+
+def prefix_keys(found: np.ndarray, heat: np.ndarray, least: Fraction) -> np.ndarray:
+    """Keys of a set's first shingles, rare ones before common ones: sets of an index of ``least`` or more share one of them, in any order that is the same for all."""
+    p = len(found) + least.numerator * len(found) // -least.denominator + 1
+    hot = heat[found >> _U(64 - HEAT_BITS)]
+    if len(found) > 4 * p:  # no need to sort the rest
+        some = hot <= np.partition(hot, p - 1)[p - 1]
+        found, hot = found[some], hot[some]
+    return ((found[np.argsort(hot, kind="stable")[:p]] & _U(0x7FFFFFFF)) | _U(0x80000000)).astype(np.uint32)
+
+
+def shingle_heat(docs: DataFrame, shingle: int = 5) -> np.ndarray:
+    """How many shingles of ``docs.text`` have hashes of each beginning of HEAT_BITS bits; a fixed number of counts."""
+    cut, slices = 1 << HEAT_BITS, 64
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(cut, np.int64)
+        for b in batches:
+            for _, _, texts in _texts(b.column(0)):
+                total += np.bincount((np.concatenate([shingle_set(t, shingle) for t in texts]) >> _U(64 - HEAT_BITS)).astype(np.int64), minlength=cut)
+        yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([x.tobytes() for x in total.reshape(slices, -1)], pa.binary())], ["slice", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for s, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                total[s] = total.get(s, 0) + np.frombuffer(x, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["slice", "counts"])
+
+    kind = "slice int, counts binary"
+    rows = docs.select("text").mapInArrow(count, kind).repartition(slices, "slice").mapInArrow(add, kind).collect()  # 64 rows of 8 KB
+    heat = {r["slice"]: np.frombuffer(r["counts"], np.int64) for r in rows}
+    return np.concatenate([heat.get(s, np.zeros(cut // slices, np.int64)) for s in range(slices)])
+
+
+def jaccard_spanning(nodes: np.ndarray, sets: list[np.ndarray], least: Fraction) -> list[tuple[int, int]]:
+    """Links that connect whatever an index of ``least`` or more connects; at most one less than there are sets."""
+    num, den = least.numerator, least.denominator
+    sizes = np.array([len(s) for s in sets], np.int64)
+    hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(nodes), dtype=np.int32), sizes)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    left, alive, out = np.ones(len(nodes), bool), len(nodes), []
+    indexed = alive
+    for start in range(len(nodes)):
+        if not left[start]:
+            continue
+        left[start], alive, front = False, alive - 1, [start]
+        while front and alive:
             at = front.pop()
-            near = np.bitwise_count(prints[left] ^ prints[at]).sum(axis=1) <= distance
-            out += [(int(nodes[at]), int(nodes[x])) for x in left[near]]
-            front += left[near].tolist()
-            left = left[~near]
+            lo, hi = np.searchsorted(hashes, sets[at], "left"), np.searchsorted(hashes, sets[at], "right")
+            n = hi - lo
+            met = owner[np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(n) else owner[:0]
+            other, common = np.unique(met[left[met]], return_counts=True)
+            near = other[den * common >= num * (sizes[at] + sizes[other] - common)]
+            out += [(int(nodes[at]), int(nodes[x])) for x in near]
+            left[near], alive = False, alive - len(near)
+            front += near.tolist()
+            if 2 * alive < indexed:
+                stay = left[owner]
+                hashes, owner, indexed = hashes[stay], owner[stay], alive
     return out
 
 
-def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, words: int = 3, distance: int = 36) -> DataFrame:
-    """(doc_id, component_id) of texts whose wide fingerprints are linked; ``id_col``: distinct longs.
+def candidates(prints: DataFrame, distance: int = WIDE_DISTANCE) -> DataFrame:
+    """(a, b) of sets whose wide fingerprints share a key and are near; what such pairs connect, the links connect. ``prints``: (set, bits binary, keys binary)."""
+    parts = spread_of(prints)
 
-    Two texts whose shingles have a Jaccard index J differ in about acos(2J / (1 + J)) / pi of the bits: 29 of 192 at 0.8. The default of 36 leaves room for chance, so that few pairs of 0.8 are lost; some of 0.7 are linked too.
-    Only fingerprints that share a segment but for one of its FLIPS weakest bits meet: pairs within ``distance`` that differ elsewhere in each segment are not linked.
-    Fingerprints that share a key of a segment's ball meet in one place; there, each is compared with those not linked
-    yet, so n of them give at most n - 1 links, however many pairs are alike."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            nodes, first = np.unique(np.asarray(b.column(0), np.int64), return_index=True)  # copies meet as one
+            for i in range(0, len(first), DEAL_ROWS):
+                rows = pa.array(first[i : i + DEAL_ROWS])
+                keys = b.column(2).take(rows).to_pylist()
+                bits = np.frombuffer(b"".join(b.column(1).take(rows).to_pylist()), np.uint64).reshape(-1, WIDE)
+                each = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) // 4 for x in keys])
+                made = deal_out(np.frombuffer(b"".join(keys), np.uint32), parts, each)
+                # of each part, the fingerprints that it needs, once
+                needs = [np.unique(np.frombuffer(x, np.int32), return_inverse=True) for x in made.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [made.column(0), made.column(1), pa.array([inverse.astype(np.int32).tobytes() for _, inverse in needs], pa.binary()),
+                     pa.array([nodes[i + own].tobytes() for own, _ in needs], pa.binary()), pa.array([bits[own].tobytes() for own, _ in needs], pa.binary())],
+                    ["part", "keys", "owner", "nodes", "bits"],
+                )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, owner, nodes, bits in gathered(batches):
+            base = np.cumsum([0, *(len(x) // 8 for x in nodes)])
+            key = np.frombuffer(b"".join(keys), np.uint32)
+            at = np.concatenate([np.frombuffer(x, np.int32) + s for x, s in zip(owner, base[:-1], strict=True)])
+            node, first, same = np.unique(np.frombuffer(b"".join(nodes), np.int64), return_index=True, return_inverse=True)
+            bits_of = np.frombuffer(b"".join(bits), np.uint64).reshape(-1, WIDE)[first]
+            both = np.unique((key.astype(np.int64) << 32) | same[at])
+            key, at = both >> 32, both & 0xFFFFFFFF
+            shared = np.append(False, key[1:] == key[:-1])
+            shared[:-1] |= shared[1:]
+            key, at = key[shared], at[shared]
+            a, b = met_links(key, node[at], bits_of[at], distance) if len(key) else (np.zeros(0, np.int64),) * 2
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    dealt = prints.select("set", "bits", "keys").mapInArrow(deal, "part int, keys binary, owner binary, nodes binary, bits binary")
+    return dealt.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST) -> DataFrame:
+    """(doc_id, component_id) of texts that links of a Jaccard index of ``least`` or more connect; ``id_col``: distinct longs.
+
+    Sets of shingles meet if their wide fingerprints share a key of a segment's ball. A fingerprint is an estimate, which misses some pairs
+    near 0.8; so sets meet by the first of their shingles too, which loses none. Of what meets, fingerprints that are near
+    enough are candidates; and of what candidates connect, the index is counted. Only texts of different
+    shingles meet, so copies cost one row. Shingles and sets are told apart by 64-bit hashes."""
     slim = keep_columns(docs, id_col, text_col)
-    names = [f"w{i}" for i in range(words)]
-    print_kind = ", ".join(f"{w} long" for w in names)
+    heat = shingle_heat(slim, shingle)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [wide_fingerprint(t, shingle, words) for t in b.column(1).to_pylist()]
-            prints = np.array([p for p, _ in made], np.uint64).reshape(-1, words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(prints[:, i], pa.int64()) for i in range(words)], pa.array([k for _, k in made], pa.list_(pa.int64()))], ["doc_id", *names, "keys"])
+            for at, to, texts in _texts(b.column(1)):
+                sets = [shingle_set(t, shingle) for t in texts]
+                prints = [wide_fingerprint(s) for s in sets]
+                prints = [(p, np.concatenate([k, prefix_keys(s, heat, least)])) for s, (p, k) in zip(sets, prints, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, to - at), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([p.tobytes() for p, _ in prints], pa.binary()), pa.array([k.tobytes() for _, k in prints], pa.binary())],
+                    ["doc_id", "set", "n", "bits", "keys"],
+                )
+
+    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at, to, texts in _texts(b.column(0)):
+                yield pa.RecordBatch.from_arrays([*[c.slice(at, to - at) for c in b.columns[1:]], pa.array([shingle_set(t, shingle).tobytes() for t in texts], pa.binary())], ["root", "chunks", "node", "hashes"])
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.zeros((0, 2 + words), np.int64)
-
-        def links_of(rows: np.ndarray) -> pa.RecordBatch:
-            cuts = np.flatnonzero(np.diff(rows[:, 0])) + 1
-            starts, ends = np.concatenate([[0], cuts]), np.append(cuts, len(rows))
-            prints, found = rows[:, 2:].view(np.uint64), []
-            two = starts[ends - starts == 2]
-            two = two[np.bitwise_count(prints[two] ^ prints[two + 1]).sum(axis=1) <= distance]
-            for s, e in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist(), strict=True):
-                found += _spanning(rows[s:e, 1], prints[s:e], distance)
-            more = np.array(found, np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([rows[two, 1], more[:, 0]])), pa.array(np.concatenate([rows[two + 1, 1], more[:, 1]]))], ["a", "b"])
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nodes, sets = None, [], []
+
+        def found() -> pa.RecordBatch:
+            made = np.array(jaccard_spanning(np.array(nodes, np.int64), sets, least), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], ["a", "b"])
 
         for b in batches:
-            rows = np.concatenate([rest, np.stack([np.asarray(c) for c in b.columns], axis=1)])
-            if not len(rows):
-                continue
-            last = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last key may go on in the next batch
-            rest = rows[last:]
-            if last:
-                yield links_of(rows[:last])
-        if len(rest):
-            yield links_of(rest)
-
-    prints = materialize(slim.mapInArrow(run, f"doc_id long, {print_kind}, keys array<long>"), "prints")
-    classes = prints.groupBy(*names).agg(F.min("doc_id").alias("node"), F.array_distinct(F.flatten(F.collect_set("keys"))).alias("keys"))  # texts of one fingerprint may have different weak bits
-    spread = classes.select(F.explode("keys").alias("key"), "node", *names)
-    edges = spread.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meet, "a long, b long")
-    roots = components(materialize(edges.distinct(), "edges"))
-    named = materialize(_named(prints, names, roots), "named")
-    on = [F.col(w) == F.col(f"of_{w}") for w in names]
-    return prints.join(named, on).select("doc_id", "component_id")
-
-
-def _named(prints: DataFrame, names: list[str], roots: DataFrame) -> DataFrame:
-    classes = prints.groupBy(*[F.col(w).alias(f"of_{w}") for w in names]).agg(F.min("doc_id").alias("class_node"))
-    return classes.join(roots, F.col("class_node") == F.col("node"), "left").select(*[f"of_{w}" for w in names], F.coalesce("root", "class_node").alias("component_id"))
-
-
-def dedup_similar(docs: DataFrame, text_col: str = "text", shingle: int = 5, words: int = 3, distance: int = 36) -> DataFrame:
-    """``docs`` with the first row of each group of similar texts left, by place; ``docs`` must be a table (files, or a checkpoint), not the outcome of a shuffle. Null, empty and blank texts are one group."""
-    (uid,) = fresh(docs, "near_uid")
+            for *group, node, hashes in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if group != at:
+                    if len(nodes) > 1:
+                        yield found()
+                    at, nodes, sets = group, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(hashes, np.uint64))
+        if len(nodes) > 1:
+            yield found()
+
+    prints = materialize(slim.mapInArrow(sized, "doc_id long, set long, n long, bits binary, keys binary"), "sets")
+    blocks = components(candidates(prints))
+    classes = prints.groupBy("set").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"))
+    members = materialize(classes.join(blocks, F.col("set") == F.col("node")).select("first", "node", "root", "n"), "members")
+    sizes = members.groupBy(F.col("root").alias("of_root")).agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
+    placed = members.join(sizes, F.col("root") == F.col("of_root")).select("first", "node", "root", "chunks")
+    held = slim.join(placed, F.col("doc_id") == F.col("first")).select("text", "root", "chunks", "node")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("lo"), F.greatest(chunk, j).alias("hi")))
+    dealt = held.mapInArrow(with_sets, "root long, chunks int, node long, hashes binary").select("root", F.inline(pairs), "node", "hashes")
+    edges = dealt.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "node").mapInArrow(verified, "a long, b long")
+    roots = components(edges)
+    rooted = materialize(prints.join(roots, F.col("set") == F.col("node"), "left").select("doc_id", F.coalesce("root", "set").alias("root")), "rooted")
+    first = rooted.groupBy(F.col("root").alias("top")).agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(first, F.col("root") == F.col("top")).select("doc_id", "component_id")
+
+
+def dedup_similar(docs: DataFrame, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST) -> DataFrame:
+    """``docs`` with the first row of each group of similar texts left, by place; ``docs`` must be a table (files, or a checkpoint), not the outcome of a shuffle.
+
+    Null, empty and blank texts are one group; repeated rows are; an empty table gives an empty result."""
+    uid, gone_uid = fresh(docs, "near_uid", "gone_uid")
     whole = docs.withColumn(uid, F.monotonically_increasing_id())
-    found = similar_groups(whole, uid, text_col, shingle, words, distance)
-    gone = materialize(found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_uid")), "gone")
-    return whole.join(gone, F.col(uid) == F.col("gone_uid"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = similar_groups(whole, uid, text_col, shingle, least)
+    gone = materialize(found.filter("doc_id != component_id").select(F.col("doc_id").alias(gone_uid)), "gone")
+    return whole.join(gone, F.col(uid) == F.col(gone_uid), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
