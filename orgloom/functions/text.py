@@ -46,10 +46,11 @@ def name(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    """Distinct tokens: the squashed whole, and the parts between camel humps, dots, spaces, _ and -, longer than one character."""
+    """Distinct tokens: the squashed whole, and the parts between camel humps, dots, spaces, _ and -, of what is longer than one character before it is squashed."""
     text = F.coalesce(c, F.lit(""))
-    parts = F.split(F.regexp_replace(text, "([a-z])([A-Z])", "$1 $2"), r"[.\s_\-]+")
-    return F.array_distinct(F.filter(F.concat(F.array(squash(text)), F.transform(parts, squash)), lambda t: F.length(t) > 1))
+    parts = F.split(F.lower(F.regexp_replace(text, "([a-z])([A-Z])", "$1 $2")), r"[.\s_\-]+")
+    more = lambda t: F.length(t) > 1
+    return F.array_distinct(F.concat(F.filter(F.array(squash(text)), more), F.transform(F.filter(parts, more), squash)))
 
 
 def block_keys(c: Column) -> tuple[Column, Column]:
@@ -64,6 +65,11 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(0.0)
 
 
+def contains_any_case(c: Column, part: str) -> Column:
+    """Whether ``part`` occurs, whatever its case; % and _ in it stand for themselves."""
+    return c.ilike("%" + "".join("\\" + x if x in "\\%_" else x for x in part) + "%")
+
+
 def issue_key(c: Column) -> Column:
     """The first KEY-123 (or KEY_123, or 'story/key 123') of a text, written KEY-123; null without one."""
     exact, loose = r"\b([A-Z]{2,5})[-_](\d+)\b", r"(?i)story/([a-z]{2,5})[ _-](\d+)"

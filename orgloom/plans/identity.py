@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.similarity import best_ratio_column, similarity_column
+from ..functions.similarity import best_ratio, similarity, similarity_column, token_set
 from ..operators import joins
 from ..operators.upserts import first_by
 from ..sources.adapters import load, with_sql
@@ -36,7 +40,8 @@ def collapse(rows: DataFrame, keep_missing: bool = False) -> DataFrame:
 
 def email_matches(jira: DataFrame, github: DataFrame) -> DataFrame:
     """Pairs (JIRA_ID, GITHUB_ID) of equal normalized emails, aliases included where there are some."""
-    alias = F.col("ALIAS_EMAIL") if "ALIAS_EMAIL" in github.columns else F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+    alias = F.coalesce("ALIAS_EMAIL", none) if "ALIAS_EMAIL" in github.columns else none
     g = github.select(F.col("ID").alias("GITHUB_ID"), F.col("ORD").alias("GORD"), F.explode(F.array_distinct(F.transform(F.concat(F.array("EMAIL"), alias), text.email))).alias("MAIL"))
     j = jira.select(F.col("ID").alias("JIRA_ID"), F.col("ORD").alias("JORD"), text.email(F.col("EMAIL")).alias("MAIL"))
     return j.filter("MAIL IS NOT NULL AND MAIL != ''").join(g, "MAIL").select("JIRA_ID", "GITHUB_ID", "JORD", "GORD").distinct()
@@ -64,53 +69,160 @@ def scored(jira: DataFrame, github: DataFrame) -> DataFrame:
     named = rest_j.withColumn("NAME_KEY", F.concat(F.lit("n"), F.coalesce("DISPLAY_NAME", F.lit(""))))  # people of one name score alike: each name is scored once
     names = named.groupBy("NAME_KEY").agg(F.first("DISPLAY_NAME").alias("DISPLAY_NAME")).select(F.col("NAME_KEY").alias("ID"), F.lit(0).alias("ORD"), "DISPLAY_NAME")
     pairs = candidates(names, rest_g).withColumn("P", prefix_score(F.col("JNAME"), F.col("GNAME")))
-    out = lambda df, method, rank, score: df.select("JIRA_ID", "GITHUB_ID", "JORD", "GORD", F.lit(method).alias("METHOD"), F.lit(rank).alias("RANK"), score.alias("CONFIDENCE"))
+    score = similarity_column(FUZZY, F.col("JNAME"), F.col("GNAME"), F.col("GLOGIN"))
+    fuzzy = pairs.filter("P IS NULL").withColumn("S", score).filter("S IS NOT NULL")
+
+    def out(df: DataFrame, method: str, rank: int, score: Column) -> DataFrame:
+        return df.select("JIRA_ID", "GITHUB_ID", "JORD", "GORD", F.lit(method).alias("METHOD"), F.lit(rank).alias("RANK"), score.alias("CONFIDENCE"))
+
     people = named.select("NAME_KEY", F.col("ID").alias("PERSON"), F.col("ORD").alias("PERSON_ORD"))
     each = lambda df: df.join(people, F.col("JIRA_ID") == F.col("NAME_KEY")).drop("JIRA_ID", "JORD").withColumnsRenamed({"PERSON": "JIRA_ID", "PERSON_ORD": "JORD"})
-    fuzzy = pairs.filter("P IS NULL").withColumn("S", F.greatest(similarity_column(F.col("JNAME"), F.col("GNAME")), similarity_column(F.col("JNAME"), F.col("GLOGIN")))).filter(F.col("S") >= FUZZY)
-    pairs, fuzzy = each(pairs.filter("P IS NOT NULL")), each(fuzzy)
-    return out(by_mail, "METHOD_1_EMAIL", 1, F.lit(EMAIL)).unionByName(out(pairs, "METHOD_SUBSTRING", 2, F.col("P"))).unionByName(out(fuzzy, "METHOD_NAME_SIM", 3, F.col("S")))
+    by_prefix = out(each(pairs.filter("P IS NOT NULL")), "METHOD_SUBSTRING", 2, F.col("P"))
+    return out(by_mail, "METHOD_1_EMAIL", 1, F.lit(EMAIL)).unionByName(by_prefix).unionByName(out(each(fuzzy), "METHOD_NAME_SIM", 3, F.col("S")))
 
 
-def match(jira: DataFrame, github: DataFrame) -> DataFrame:
-    """One row for each matched JIRA_ID: the best candidate, and the other candidates' ids as aliases.
+def _best() -> list[Column]:
+    """Candidates in order."""
+    return [F.desc("CONFIDENCE"), F.asc("RANK"), F.asc("JORD"), F.asc("GORD"), F.asc("GITHUB_ID")]
 
-    Best by confidence, then tier, then the order of both tables. Two people of the one system may keep the same of the other."""
-    found = scored(jira, github)
-    order = F.struct((-F.col("CONFIDENCE")).alias("c"), "RANK", "JORD", "GORD", "GITHUB_ID", "METHOD", "CONFIDENCE")
-    best = found.filter("JIRA_ID IS NOT NULL").groupBy("JIRA_ID").agg(F.min(order).alias("b"), F.collect_set("GITHUB_ID").alias("ids"))
-    return best.select("JIRA_ID", F.col("b.GITHUB_ID").alias("GITHUB_ID"), F.sort_array(F.array_remove("ids", F.col("b.GITHUB_ID"))).alias("GITHUB_ID_ALIAS"), F.col("b.METHOD").alias("MATCHING_METHOD"), F.round("b.CONFIDENCE", 2).alias("MATCH_CONFIDENCE"), text.person_uuid(F.col("JIRA_ID"), F.col("b.GITHUB_ID")).alias("UUID"))
+
+def greedy(found: DataFrame) -> DataFrame:
+    """The best candidate of each JIRA_ID, and of each GITHUB_ID that none of them has taken. Two people of the one system may keep the same of the other."""
+    found = found.filter("JIRA_ID IS NOT NULL")
+    first = first_by(found, ["JIRA_ID"], _best())
+    free = found.join(first.select("GITHUB_ID").distinct(), "GITHUB_ID", "left_anti")
+    return first.unionByName(first_by(free, ["GITHUB_ID"], _best())).dropDuplicates(["JIRA_ID", "GITHUB_ID"])
+
+
+ALIASES = {"ID": "GITHUB_ID_ALIAS", "DISPLAY_NAME": "GITHUB_DISPLAY_NAME_ALIAS", "EMAIL": "GITHUB_EMAIL_ALIAS", "LOGIN": "GITHUB_LOGIN_ALIAS"}
+
+
+def match(jira: DataFrame, github: DataFrame) -> DataFrame:
+    """One row for each matched JIRA_ID, with 13 columns and UUID: the best candidate, and what the other candidates and all their aliases are called.
+
+    Best by confidence, then tier, then the order of both tables. Alias ids are the other candidates and the best one's aliases in
+    order, and then the others' aliases in order; the other aliases are sorted. Missing and empty values are left out."""
+    found = scored(jira, github).filter("JIRA_ID IS NOT NULL")
+    best = first_by(found, ["JIRA_ID"], _best()).select("JIRA_ID", F.col("GITHUB_ID").alias("PRIMARY_ID"), F.col("METHOD").alias("MATCHING_METHOD"), F.col("CONFIDENCE").alias("MATCH_CONFIDENCE"))
+    none = F.array().cast("array<string>")
+    known = [f"ALIAS_{c}" for c in ALIASES if f"ALIAS_{c}" in github.columns]
+    accounts = github.select(F.col("ID").alias("GITHUB_ID"), "DISPLAY_NAME", "EMAIL", "LOGIN", *[F.coalesce(c, none).alias(c) if c in known else none.alias(c) for c in (f"ALIAS_{x}" for x in ALIASES)])
+    rows = found.select("JIRA_ID", "GITHUB_ID").distinct().join(best, "JIRA_ID").join(accounts, "GITHUB_ID", "left").withColumn("IS_BEST", F.col("GITHUB_ID") == F.col("PRIMARY_ID"))
+    sets = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    own = lambda c: F.when(~F.col("IS_BEST"), F.array(c)).otherwise(none)
+    gathered = rows.groupBy("JIRA_ID").agg(
+        sets(F.when(F.col("IS_BEST"), F.coalesce("ALIAS_ID", none)).otherwise(F.array("GITHUB_ID"))).alias("ids"),
+        sets(F.when(F.col("IS_BEST"), none).otherwise(F.coalesce("ALIAS_ID", none))).alias("more"),
+        *[sets(F.concat(own(c), F.coalesce(f"ALIAS_{c}", none))).alias(ALIASES[c]) for c in ALIASES if c != "ID"],
+    )
+    filled = lambda c: F.sort_array(F.filter(c, lambda x: x.isNotNull() & (x != "")))
+    people = first_by(jira, ["ID"], [F.asc("ORD")]).select(F.col("ID").alias("JIRA_ID"), F.col("DISPLAY_NAME").alias("JIRA_DISPLAY_NAME"), F.col("EMAIL").alias("JIRA_EMAIL"))
+    chosen = first_by(github, ["ID"], [F.asc("ORD")]).select(F.col("ID").alias("PRIMARY_ID"), F.col("DISPLAY_NAME").alias("GITHUB_DISPLAY_NAME"), F.col("EMAIL").alias("GITHUB_EMAIL"), F.col("LOGIN").alias("GITHUB_LOGIN"))
+    whole = best.join(gathered, "JIRA_ID").join(people, "JIRA_ID").join(chosen, "PRIMARY_ID")
+    return whole.select(
+        "JIRA_ID", F.col("PRIMARY_ID").alias("GITHUB_ID"), F.concat(F.sort_array("ids"), F.sort_array(F.array_except("more", "ids"))).alias("GITHUB_ID_ALIAS"), "JIRA_DISPLAY_NAME", "JIRA_EMAIL",
+        "GITHUB_DISPLAY_NAME", "GITHUB_EMAIL", "GITHUB_LOGIN", *[filled(F.col(ALIASES[c])).alias(ALIASES[c]) for c in ALIASES if c != "ID"],
+        "MATCHING_METHOD", "MATCH_CONFIDENCE", text.person_uuid(F.col("JIRA_ID"), F.col("PRIMARY_ID")).alias("UUID"),
+    )
 
 
 def unmatched(users: DataFrame, matches: DataFrame, key: str) -> DataFrame:
+    """Users that no match has: by GITHUB_ID or among its aliases, or by JIRA_ID. A null id stays."""
     used = matches.select(F.explode(F.concat(F.array(key), F.col("GITHUB_ID_ALIAS"))).alias("ID")) if key == "GITHUB_ID" else matches.select(F.col(key).alias("ID"))
     return users.join(used.distinct(), "ID", "left_anti")
 
 
+#: Names that are scored together.
+PACK = 5000
+
+
+def best_in_packs(queries: DataFrame, names: DataFrame, prepare: Callable, score: Callable, result: str) -> DataFrame:
+    """(QUERY, found array<struct<SCORE,RANK,ORD,ID,NAME>>) of each distinct query and pack of names: the best of that pack, or none.
+
+    ``queries`` (QUERY) is a stated set that meets all ``names`` (ID, ORD, NAME) in blocks: names are gathered into packs of about
+    PACK, a row holds a query and a pack, and no pair is a row. prepare(name) is made once for each name; score(query, prepared)
+    gives (score, rank) or None."""
+    packs = -(-names.count() // PACK) or 1
+    packed = names.groupBy(F.pmod(F.xxhash64("NAME"), F.lit(packs)).alias("pack")).agg(F.collect_list(F.struct("ID", "ORD", "NAME")).alias("names"))
+    kind = f"QUERY string, found {result}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ready = None, []
+        for b in batches:
+            for i in range(b.num_rows):
+                if b.column(1)[i].as_py() != at:
+                    at = b.column(1)[i].as_py()
+                    ready = [(x, prepare(x["NAME"])) for x in b.column(2)[i].as_py()]
+                query, best = b.column(0)[i].as_py(), None
+                for x, made in ready:
+                    if got := score(query, made):
+                        place = (-got[0], got[1], x["ORD"])
+                        if best is None or place < best[0]:
+                            best = place, {"SCORE": got[0], "RANK": got[1], "ORD": x["ORD"], "ID": x["ID"], "NAME": x["NAME"]}
+                if best:
+                    yield pa.RecordBatch.from_pylist([{"QUERY": query, "found": best[1]}], schema=pa.schema([("QUERY", pa.string()), ("found", pa.struct([("SCORE", pa.float64()), ("RANK", pa.int32()), ("ORD", pa.int64()), ("ID", pa.string()), ("NAME", pa.string())]))]))
+
+    met = packed.join(queries.filter("QUERY IS NOT NULL").select("QUERY").distinct()).select("QUERY", "pack", "names")
+    return met.mapInArrow(run, kind)
+
+
+_FOUND = "struct<SCORE:double,RANK:int,ORD:bigint,ID:string,NAME:string>"
+
+
+def _best_of_packs(found: DataFrame) -> DataFrame:
+    order = F.struct((-F.col("found.SCORE")).alias("s"), F.col("found.RANK").alias("r"), F.col("found.ORD").alias("o"), F.col("found").alias("f"))
+    return found.groupBy("QUERY").agg(F.min(order).alias("b")).select("QUERY", F.col("b.f").alias("found"))
+
+
+PR_METHODS = {1: "METHOD_SUBSTRING", 2: "METHOD_TOKEN_SUBSTRING", 3: "METHOD_NAME_SIM"}
+
+
+def _login_score(login: str, person: tuple[str, str, list[str]]) -> tuple[float, int] | None:
+    """The best of a prefix either way (0.95, and no more is tried), a token at either end of the login (0.9) and similarity."""
+    name, squashed, long = person
+    bare = re.sub("[^a-z0-9]", "", login.lower())
+    if bare and squashed and (bare.startswith(squashed) or squashed.startswith(bare)):
+        return PREFIX, 1
+    base = re.sub(r"\d+$", "", bare)
+    found = (0.9, -2) if any(base.startswith(t) or base.endswith(t) for t in long) else None
+    near = max(similarity(name, login), similarity(name, bare))
+    if near >= FUZZY:
+        found = max(found or (0.0, 0), (round(near, 2), -3))
+    return found and (found[0], -found[1])
+
+
 def pr_user_match(logins: DataFrame, jira: DataFrame) -> DataFrame:
-    """The best person for each login (LOGIN): a prefix either way, a token at either end of the login, or similarity.
+    """(GITHUB_LOGIN, JIRA_ID, JIRA_DISPLAY_NAME, JIRA_EMAIL, METHOD, SCORE) and GITHUB_ID if ``logins`` has it: the best person for each LOGIN, by score, then method, then the order of ``jira``.
 
     Every login meets every name, as no block is safe for logins; ``logins`` are those that no other tier has matched."""
-    names = first_by(jira.select("ID", "ORD", "DISPLAY_NAME").filter("DISPLAY_NAME IS NOT NULL"), ["DISPLAY_NAME"], [F.asc("ORD")])  # people of one name score alike, and the first wins
-    pairs = logins.select("LOGIN").distinct().join(names)
-    login, bare = text.squash(F.col("LOGIN")), text.without_digits_at_end(text.squash(F.col("LOGIN")))
-    pairs = pairs.withColumn("P", F.when(prefix_score(F.col("DISPLAY_NAME"), F.col("LOGIN")).isNotNull(), PREFIX))
-    long = F.filter(text.tokens(F.col("DISPLAY_NAME")), lambda t: F.length(t) >= 4)
-    token = F.when(F.col("P").isNull() & F.exists(long, lambda t: bare.startswith(t) | bare.endswith(t)), 0.9)
-    pairs = pairs.withColumn("T", token).withColumn("NEAR", F.col("P").isNull())
-    fuzzy = pairs.filter("NEAR").withColumn("S", F.greatest(similarity_column(F.col("DISPLAY_NAME"), F.col("LOGIN")), similarity_column(F.col("DISPLAY_NAME"), login)))
-    row = lambda df, score, method, rank: df.filter(score.isNotNull()).select("LOGIN", F.col("ID").alias("JIRA_ID"), "ORD", score.alias("SCORE"), F.lit(method).alias("METHOD"), F.lit(rank).alias("RANK"))
-    found = row(pairs, F.col("P"), "METHOD_SUBSTRING", 1).unionByName(row(pairs, F.col("T"), "METHOD_TOKEN_SUBSTRING", 2)).unionByName(row(fuzzy, F.when(F.col("S") >= FUZZY, F.col("S")), "METHOD_NAME_SIM", 3))
-    return first_by(found, ["LOGIN"], [F.desc("SCORE"), F.asc("RANK"), F.asc("ORD")]).select("LOGIN", "JIRA_ID", "METHOD", "SCORE")
+    people = jira.filter("DISPLAY_NAME IS NOT NULL AND ID IS NOT NULL")
+    names = first_by(people, ["DISPLAY_NAME"], [F.asc("ORD")]).select("ID", "ORD", F.col("DISPLAY_NAME").alias("NAME"))  # people of one name score alike, and the first wins
+    prepare = lambda n: (n, re.sub("[^a-z0-9]", "", n.lower()), [t for t in token_set(n) if len(t) >= 4])
+    best = _best_of_packs(best_in_packs(logins.select(F.col("LOGIN").alias("QUERY")), names, prepare, _login_score, _FOUND))
+    method = F.create_map(*[F.lit(x) for kv in PR_METHODS.items() for x in kv])[F.col("found.RANK")]
+    met = best.select(F.col("QUERY").alias("GITHUB_LOGIN"), F.col("found.ID").alias("JIRA_ID"), F.col("found.NAME").alias("JIRA_DISPLAY_NAME"), method.alias("METHOD"), F.col("found.SCORE").alias("SCORE"))
+    met = met.join(first_by(people, ["ID"], [F.asc("ORD")]).select(F.col("ID").alias("JIRA_ID"), F.col("EMAIL").alias("JIRA_EMAIL")), "JIRA_ID")
+    ids = ["GITHUB_ID"] if "GITHUB_ID" in logins.columns else []
+    if ids:
+        met = met.join(first_by(logins, ["LOGIN"], [F.asc("GITHUB_ID")]).select(F.col("LOGIN").alias("GITHUB_LOGIN"), "GITHUB_ID"), "GITHUB_LOGIN")
+    return met.select("GITHUB_LOGIN", *ids, "JIRA_ID", "JIRA_DISPLAY_NAME", "JIRA_EMAIL", "METHOD", "SCORE")
+
+
+def _plain_name(text: str) -> str:
+    return re.sub("[^A-Za-z]+", " ", re.sub("([a-z])([A-Z])", r"\1 \2", text)).strip().lower()
 
 
 def fill_missing_names(unnamed: DataFrame, people: DataFrame, accept: float = 75.0) -> DataFrame:
-    """(ID, NAME, SCORE): of ``people`` (ORD, NAME) the most alike to each LOGIN without a name, the first among equals, if it is alike enough."""
-    pairs = unnamed.select("LOGIN").distinct().join(people.groupBy("NAME").agg(F.min("ORD").alias("ORD")))
-    scored = pairs.withColumn("SCORE", best_ratio_column(text.name(F.col("LOGIN")), text.name(F.col("NAME"))))
-    best = scored.groupBy(F.col("LOGIN").alias("OF")).agg(F.max(F.struct("SCORE", (-F.col("ORD")).alias("o"), "NAME")).alias("b"))
-    met = unnamed.select("ID", "LOGIN").join(best, F.col("LOGIN").eqNullSafe(F.col("OF"))).groupBy("ID").agg(F.max("b").alias("b"))
-    return met.select("ID", F.col("b.NAME").alias("NAME"), F.col("b.SCORE").alias("SCORE")).filter(F.col("SCORE") >= accept)
+    """(ID, NAME, EMAIL, SCORE): of ``people`` (ORD, NAME, EMAIL) the most alike to each LOGIN without a name, the first among equals, if it is alike enough; an EMAIL that ``unnamed`` has is kept."""
+    names = first_by(people.filter("NAME IS NOT NULL"), ["NAME"], [F.asc("ORD")]).select(F.coalesce(F.col("EMAIL"), F.lit("")).alias("ID"), F.col("ORD").cast("bigint").alias("ORD"), "NAME")
+
+    def score(login: str, name: str) -> tuple[float, int] | None:
+        got = round(best_ratio(_plain_name(login), name), 4)
+        return (got, 0) if got >= accept else None
+
+    best = _best_of_packs(best_in_packs(unnamed.select(F.col("LOGIN").alias("QUERY")), names, _plain_name, score, _FOUND))
+    met = unnamed.join(best, F.col("LOGIN") == F.col("QUERY"))
+    return met.select("ID", F.col("found.NAME").alias("NAME"), F.coalesce("EMAIL", F.nullif(F.col("found.ID"), F.lit(""))).alias("EMAIL"), F.col("found.SCORE").alias("SCORE"))
 
 
 def patch(matched: DataFrame, found: DataFrame) -> DataFrame:
@@ -157,9 +269,11 @@ QUERIES = {
     "blocked_candidates": lambda s, d: candidates(load(s, d, "jira_users"), load(s, d, "github_users")).select("JIRA_ID", "GITHUB_ID"),
     "prefix_match": lambda s, d: candidates(load(s, d, "jira_users"), load(s, d, "github_users")).withColumn("SCORE", prefix_score(F.col("JNAME"), F.col("GNAME"))).filter("SCORE IS NOT NULL").select("JIRA_ID", "GITHUB_ID", "SCORE"),
     "fuzzy_match": lambda s, d: _shown(match(load(s, d, "jira_users"), load(s, d, "github_users"))),
+    "greedy_pick": lambda s, d: greedy(scored(load(s, d, "jira_users"), load(s, d, "github_users"))).select("JIRA_ID", "GITHUB_ID", "METHOD", "CONFIDENCE"),
     "unmatched_users": lambda s, d: unmatched(load(s, d, "github_users"), match(load(s, d, "jira_users"), load(s, d, "github_users")), "GITHUB_ID").select("ID", "LOGIN"),
-    "pr_user_match": lambda s, d: pr_user_match(load(s, d, "github_users").select(F.concat(F.lit("person"), F.col("ID"), F.lit("of")).alias("LOGIN")), load(s, d, "jira_users")),
-    "fill_missing_names": lambda s, d: fill_missing_names(load(s, d, "github_users").select("ID", F.concat(F.lit("Person"), F.lit("Of"), F.initcap(F.element_at(F.split("DISPLAY_NAME", " "), -1))).alias("LOGIN")), load(s, d, "jira_users").filter("DISPLAY_NAME IS NOT NULL").select("ORD", F.col("DISPLAY_NAME").alias("NAME"))),
+    "unmatched_people": lambda s, d: unmatched(load(s, d, "jira_users"), match(load(s, d, "jira_users"), load(s, d, "github_users")), "JIRA_ID").select("ID", "DISPLAY_NAME"),
+    "pr_user_match": lambda s, d: pr_user_match(load(s, d, "pr_logins").select("LOGIN", F.col("ID").alias("GITHUB_ID")), load(s, d, "jira_users")),
+    "fill_missing_names": lambda s, d: fill_missing_names(load(s, d, "pr_logins").select("ID", F.col("CAMEL").alias("LOGIN"), F.expr("CASE WHEN CAST(ID AS INT) % 2 = 0 THEN 'own' || ID END").alias("EMAIL")), load(s, d, "jira_users").select("ORD", F.col("DISPLAY_NAME").alias("NAME"), "EMAIL")),
     "patch_users": _patch,
 }
 _ROWS = "r AS (SELECT AUTHOR_ID AS ID, AUTHOR_NAME AS NAME, lower(AUTHOR_EMAIL) AS EMAIL, AUTHOR_LOGIN AS LOGIN FROM commits UNION SELECT COMMITTER_ID, COMMITTER_NAME, NULL, 'login' || COMMITTER_ID FROM commits)"
@@ -179,11 +293,95 @@ FROM s LEFT JOIN g ON s.ID = g.ID"""
 _BLOCK = "coalesce(substr(regexp_extract_all(lower(coalesce({0}, '')), '[a-z]+')[{1}], 1, 3), '')"
 _CAND = f"""c AS (SELECT j.ID AS JIRA_ID, g.ID AS GITHUB_ID, regexp_replace(lower(coalesce(j.DISPLAY_NAME, '')), '[^a-z0-9]', '', 'g') AS x, regexp_replace(lower(coalesce(g.DISPLAY_NAME, '')), '[^a-z0-9]', '', 'g') AS y FROM jira_users j JOIN github_users g ON
 {' OR '.join(f"{_BLOCK.format('j.DISPLAY_NAME', a)} = {_BLOCK.format('g.DISPLAY_NAME', b)}" for a in (1, -1) for b in (1, -1))})"""
+_WORDS = "list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda t: t <> '')))"
+_TOKENS = (
+    r"list_distinct(list_concat(list_filter([regexp_replace(lower({0}), '[^a-z0-9]', '', 'g')], lambda t: length(t) > 1), "
+    r"list_transform(list_filter(regexp_split_to_array(lower(regexp_replace({0}, '([a-z])([A-Z])', '\1 \2', 'g')), '[.\s_\-]+'), lambda t: length(t) > 1), lambda t: regexp_replace(t, '[^a-z0-9]', '', 'g'))))"
+)
+
+
+def _lcs(x: str, y: str) -> str:
+    """SQL of the length of the longest common subsequence, by the same words of bits."""
+    bits = f"coalesce(list_sum(list_transform(range(1, length({x}) + 1), lambda i: CASE WHEN substr({x}, i, 1) = substr({y}, j, 1) THEN 1::HUGEINT << (i - 1) ELSE 0::HUGEINT END)), 0)::HUGEINT"
+    full = f"((1::HUGEINT << length({x})) - 1)"
+    return f"(length({x}) - bit_count(list_reduce(list_prepend({full}, list_transform(range(1, length({y}) + 1), lambda j: {bits})), lambda r, m: ((r + (r & m)) | (r - (r & m))) & {full})::BIT))"
+
+
+def _set_ratio(rows: str, name: str) -> str:
+    """Tables that add to the pairs (a, b) of ``rows`` the token set ratio of their cleaned words, as set_ratio."""
+    return f"""{name}1 AS (SELECT *, {_WORDS.format("a")} AS wa, {_WORDS.format("b")} AS wb FROM {rows}),
+{name}2 AS (SELECT *, array_to_string(list_filter(wa, lambda t: list_contains(wb, t)), ' ') AS both_words, array_to_string(list_filter(wa, lambda t: NOT list_contains(wb, t)), ' ') AS oa, array_to_string(list_filter(wb, lambda t: NOT list_contains(wa, t)), ' ') AS ob FROM {name}1),
+{name}3 AS (SELECT *, length(both_words) AS n, CASE WHEN both_words = '' THEN 0 ELSE 1 END AS gap, {_lcs("oa", "ob")} AS l FROM {name}2),
+{name} AS (SELECT *, CASE WHEN len(wa) = 0 OR len(wb) = 0 THEN 0.0::DOUBLE WHEN n > 0 AND (oa = '' OR ob = '') THEN 100.0::DOUBLE ELSE greatest(
+  100::DOUBLE * (1 - (length(oa) + length(ob) - 2 * l)::DOUBLE / (2 * (n + gap) + length(oa) + length(ob))),
+  CASE WHEN n > 0 THEN 100::DOUBLE * (1 - (gap + length(oa))::DOUBLE / (2 * n + gap + length(oa))) ELSE 0 END, CASE WHEN n > 0 THEN 100::DOUBLE * (1 - (gap + length(ob))::DOUBLE / (2 * n + gap + length(ob))) ELSE 0 END) END AS set_ratio FROM {name}3)"""
+
+
+def _similarity(rows: str, name: str) -> str:
+    """Tables that add the similarity of the pairs (a, b) of ``rows``, as sim."""
+    return f"""{_set_ratio(rows, name + "r")},
+{name}t AS (SELECT *, {_TOKENS.format("a")} AS ta, {_TOKENS.format("b")} AS tb FROM {name}r),
+{name} AS (SELECT *, CASE WHEN a = '' OR b = '' THEN 0 ELSE greatest(set_ratio / 100, CASE WHEN len(ta) > 0 AND len(tb) > 0 THEN len(list_intersect(ta, tb))::DOUBLE / len(list_distinct(list_concat(ta, tb))) ELSE 0 END) END AS sim FROM {name}t)"""
+
+
+#: Two digits of the exact value of a number, as Python rounds it.
+_ROUND2 = "round(CAST({0} AS DECIMAL(20, 18)), 2)::DOUBLE"
+_SQUASH = "regexp_replace(lower(coalesce({0}, '')), '[^a-z0-9]', '', 'g')"
+_MAILS = "list_contains(list_transform(list_concat([g.EMAIL], coalesce(g.ALIAS_EMAIL, [])), lambda e: lower(trim(e))), lower(trim(j.EMAIL)))"
+_SCORED = f"""mail AS (SELECT DISTINCT j.ID AS JIRA_ID, g.ID AS GITHUB_ID, j.ORD AS JORD, g.ORD AS GORD FROM jira_users j JOIN github_users g ON {_MAILS}),
+rj AS (SELECT * FROM jira_users WHERE ID NOT IN (SELECT JIRA_ID FROM mail)), rg AS (SELECT * FROM github_users WHERE ID NOT IN (SELECT GITHUB_ID FROM mail)),
+names AS (SELECT DISTINCT coalesce(DISPLAY_NAME, '') AS NAME FROM rj),
+met AS (SELECT NAME, g.ID AS GITHUB_ID, g.ORD AS GORD, coalesce(g.DISPLAY_NAME, '') AS GNAME, g.LOGIN AS GLOGIN, {_SQUASH.format("NAME")} AS x, {_SQUASH.format("g.DISPLAY_NAME")} AS y FROM names JOIN rg g ON
+{" OR ".join(f"{_BLOCK.format('NAME', a)} = {_BLOCK.format('g.DISPLAY_NAME', b)}" for a in (1, -1) for b in (1, -1))}),
+pre AS (SELECT *, CASE WHEN x <> '' AND y <> '' AND starts_with(y, x) THEN 0.95 WHEN x <> '' AND y <> '' AND starts_with(x, y) THEN 0.85 END::DOUBLE AS P FROM met),
+ab AS (SELECT DISTINCT NAME AS a, GNAME AS b FROM pre WHERE P IS NULL UNION SELECT NAME, GLOGIN FROM pre WHERE P IS NULL), {_similarity("ab", "sm")},
+near AS (SELECT pre.NAME, GITHUB_ID, GORD, greatest(u.sim, v.sim) AS S FROM pre JOIN sm u ON u.a = NAME AND u.b = GNAME JOIN sm v ON v.a = NAME AND v.b = GLOGIN WHERE P IS NULL),
+found AS (SELECT JIRA_ID, GITHUB_ID, JORD, GORD, 'METHOD_1_EMAIL' AS METHOD, 1 AS RANK, 1.0::DOUBLE AS CONFIDENCE FROM mail
+UNION ALL SELECT rj.ID, GITHUB_ID, rj.ORD, GORD, 'METHOD_SUBSTRING', 2, P FROM pre JOIN rj ON coalesce(rj.DISPLAY_NAME, '') = NAME WHERE P IS NOT NULL
+UNION ALL SELECT rj.ID, GITHUB_ID, rj.ORD, GORD, 'METHOD_NAME_SIM', 3, {_ROUND2.format("S")} FROM near JOIN rj ON coalesce(rj.DISPLAY_NAME, '') = NAME WHERE S >= 0.85),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY JIRA_ID ORDER BY CONFIDENCE DESC, RANK, JORD, GORD, GITHUB_ID) AS nth FROM found) WHERE nth = 1)"""
+_LIST = "array_to_string(list_sort(list_distinct(list_filter(flatten(list({0})), lambda q: q IS NOT NULL AND q <> ''))), ',')"
+_MATCHED = f"""{_SCORED},
+rows AS (SELECT f.JIRA_ID, f.GITHUB_ID = b.GITHUB_ID AS best, g.* FROM (SELECT DISTINCT JIRA_ID, GITHUB_ID FROM found) f JOIN firsts b ON f.JIRA_ID = b.JIRA_ID JOIN github_users g ON g.ID = f.GITHUB_ID),
+sets AS (SELECT JIRA_ID, list_sort(list_distinct(flatten(list(CASE WHEN best THEN coalesce(ALIAS_ID, []) ELSE [ID] END)))) AS ids, list_sort(list_distinct(flatten(list(CASE WHEN best THEN [] ELSE coalesce(ALIAS_ID, []) END)))) AS more,
+{", ".join(_LIST.format(f"list_concat(CASE WHEN best THEN [] ELSE [{c}] END, coalesce(ALIAS_{c}, []))") + f" AS {ALIASES[c]}" for c in ("DISPLAY_NAME", "EMAIL", "LOGIN"))} FROM rows GROUP BY JIRA_ID),
+whole AS (SELECT b.JIRA_ID, b.GITHUB_ID, list_concat(ids, list_filter(more, lambda m: NOT list_contains(ids, m))) AS ids, j.DISPLAY_NAME AS JIRA_DISPLAY_NAME, j.EMAIL AS JIRA_EMAIL, g.DISPLAY_NAME AS GITHUB_DISPLAY_NAME, g.EMAIL AS GITHUB_EMAIL, g.LOGIN AS GITHUB_LOGIN,
+GITHUB_DISPLAY_NAME_ALIAS, GITHUB_EMAIL_ALIAS, GITHUB_LOGIN_ALIAS, METHOD AS MATCHING_METHOD, CONFIDENCE AS MATCH_CONFIDENCE FROM firsts b JOIN sets s ON s.JIRA_ID = b.JIRA_ID JOIN jira_users j ON j.ID = b.JIRA_ID JOIN github_users g ON g.ID = b.GITHUB_ID)"""
+_LOGIN_SQL = f"""WITH p AS (SELECT ID, ORD, DISPLAY_NAME AS NAME, EMAIL FROM jira_users WHERE DISPLAY_NAME IS NOT NULL QUALIFY row_number() OVER (PARTITION BY DISPLAY_NAME ORDER BY ORD) = 1),
+q AS (SELECT l.ID AS GITHUB_ID, LOGIN, p.*, {_SQUASH.format("LOGIN")} AS bare, {_SQUASH.format("NAME")} AS x, regexp_replace({_SQUASH.format("LOGIN")}, '[0-9]+$', '') AS base FROM pr_logins l, p),
+r AS (SELECT *, CASE WHEN starts_with(x, bare) OR starts_with(bare, x) THEN 0.95 END::DOUBLE AS P, CASE WHEN len(list_filter({_TOKENS.format("NAME")}, lambda t: length(t) >= 4 AND (starts_with(base, t) OR ends_with(base, t)))) > 0 THEN 0.9 END::DOUBLE AS T FROM q),
+ab AS (SELECT DISTINCT NAME AS a, LOGIN AS b FROM r WHERE P IS NULL UNION SELECT NAME, bare FROM r WHERE P IS NULL), {_similarity("ab", "sm")},
+every AS (SELECT LOGIN, GITHUB_ID, ID, ORD, NAME, EMAIL, P AS SCORE, 1 AS RANK FROM r WHERE P IS NOT NULL UNION ALL SELECT LOGIN, GITHUB_ID, ID, ORD, NAME, EMAIL, T, 2 FROM r WHERE P IS NULL AND T IS NOT NULL
+UNION ALL SELECT LOGIN, GITHUB_ID, ID, ORD, NAME, EMAIL, {_ROUND2.format("greatest(u.sim, v.sim)")}, 3 FROM r JOIN sm u ON u.a = NAME AND u.b = LOGIN JOIN sm v ON v.a = NAME AND v.b = bare WHERE P IS NULL AND greatest(u.sim, v.sim) >= 0.85)
+SELECT LOGIN AS GITHUB_LOGIN, GITHUB_ID, ID AS JIRA_ID, NAME AS JIRA_DISPLAY_NAME, EMAIL AS JIRA_EMAIL, CASE RANK WHEN 1 THEN 'METHOD_SUBSTRING' WHEN 2 THEN 'METHOD_TOKEN_SUBSTRING' ELSE 'METHOD_NAME_SIM' END AS METHOD, SCORE
+FROM every QUALIFY row_number() OVER (PARTITION BY LOGIN ORDER BY SCORE DESC, RANK, ORD) = 1"""
+_PLAIN = r"lower(trim(regexp_replace(regexp_replace({0}, '([a-z])([A-Z])', '\1 \2', 'g'), '[^A-Za-z]+', ' ', 'g')))"
+_SORTED = "array_to_string(list_sort(list_filter(string_split({0}, ' '), lambda t: t <> '')), ' ')"
+_FILL_SQL = f"""WITH p AS (SELECT ORD, DISPLAY_NAME AS NAME, EMAIL FROM jira_users WHERE DISPLAY_NAME IS NOT NULL QUALIFY row_number() OVER (PARTITION BY DISPLAY_NAME ORDER BY ORD) = 1),
+u AS (SELECT ID, CAMEL AS LOGIN, CASE WHEN CAST(ID AS INT) % 2 = 0 THEN 'own' || ID END AS OWN FROM pr_logins),
+ab AS (SELECT DISTINCT {_PLAIN.format("LOGIN")} AS a, {_PLAIN.format("NAME")} AS b FROM u, p), {_set_ratio("ab", "st")},
+st4 AS (SELECT *, {_SORTED.format("a")} AS xa, {_SORTED.format("b")} AS xb, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS short, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS long FROM st),
+w AS (SELECT DISTINCT a, b, short, w FROM (SELECT a, b, short, unnest(list_transform(range(1 - length(short), length(long)), lambda i: substr(long, greatest(0, i) + 1, i + length(short) - greatest(0, i)))) AS w FROM st4) WHERE w <> ''),
+part AS (SELECT a, b, max(200::DOUBLE * {_lcs("short", "w")} / (length(short) + length(w))) AS part_ratio FROM w GROUP BY a, b),
+sc AS (SELECT st4.a, st4.b, round(CAST(greatest(set_ratio, 200::DOUBLE * {_lcs("xa", "xb")} / (length(xa) + length(xb)), part_ratio) AS DECIMAL(20, 15)), 4)::DOUBLE AS SCORE FROM st4 JOIN part ON part.a = st4.a AND part.b = st4.b)
+SELECT ID, NAME, coalesce(OWN, EMAIL) AS EMAIL, SCORE FROM u JOIN p ON true JOIN sc ON sc.a = {_PLAIN.format("LOGIN")} AND sc.b = {_PLAIN.format("NAME")} WHERE SCORE >= 75 QUALIFY row_number() OVER (PARTITION BY ID ORDER BY SCORE DESC, ORD) = 1"""
 ORACLES = {
     "identity_collapse": with_sql(_collapse_sql(False), "commits"),
     "identity_collapse_live": with_sql(_collapse_sql(True), "commits"),
     "user_uuid": with_sql("SELECT JIRA_ID, substr(sha1(coalesce(JIRA_ID, '') || '|' || coalesce(GITHUB_ID, '')), 1, 20) AS PERSON_UUID FROM matched", "matched"),
-    "email_match": with_sql("SELECT DISTINCT j.ID AS JIRA_ID, g.ID AS GITHUB_ID FROM jira_users j JOIN github_users g ON lower(trim(j.EMAIL)) = lower(trim(g.EMAIL))", "jira_users", "github_users"),
+    "email_match": with_sql("SELECT DISTINCT j.ID AS JIRA_ID, g.ID AS GITHUB_ID FROM jira_users j JOIN github_users g ON " + _MAILS, "jira_users", "github_users"),
     "blocked_candidates": with_sql(f"WITH {_CAND} SELECT JIRA_ID, GITHUB_ID FROM c", "jira_users", "github_users"),
     "prefix_match": with_sql(f"WITH {_CAND} SELECT JIRA_ID, GITHUB_ID, CASE WHEN starts_with(y, x) THEN 0.95 ELSE 0.85 END::DOUBLE AS SCORE FROM c WHERE x <> '' AND y <> '' AND (starts_with(y, x) OR starts_with(x, y))", "jira_users", "github_users"),
+    "fuzzy_match": with_sql(f"WITH {_MATCHED} SELECT * EXCLUDE (ids), array_to_string(ids, ',') AS GITHUB_ID_ALIAS, substr(sha1(JIRA_ID || '|' || GITHUB_ID), 1, 20) AS UUID FROM whole", "jira_users", "github_users"),
+    "greedy_pick": with_sql(f"WITH {_SCORED}, free AS (SELECT * FROM found WHERE GITHUB_ID NOT IN (SELECT GITHUB_ID FROM firsts) QUALIFY row_number() OVER (PARTITION BY GITHUB_ID ORDER BY CONFIDENCE DESC, RANK, JORD, GORD) = 1) SELECT JIRA_ID, GITHUB_ID, METHOD, CONFIDENCE FROM firsts UNION ALL SELECT JIRA_ID, GITHUB_ID, METHOD, CONFIDENCE FROM free", "jira_users", "github_users"),
+    "unmatched_users": with_sql(f"WITH {_MATCHED} SELECT ID, LOGIN FROM github_users WHERE ID NOT IN (SELECT GITHUB_ID FROM whole) AND ID NOT IN (SELECT unnest(ids) FROM whole)", "jira_users", "github_users"),
+    "unmatched_people": with_sql(f"WITH {_MATCHED} SELECT ID, DISPLAY_NAME FROM jira_users WHERE ID NOT IN (SELECT JIRA_ID FROM whole)", "jira_users", "github_users"),
+    "pr_user_match": with_sql(_LOGIN_SQL, "jira_users", "pr_logins"),
+    "fill_missing_names": with_sql(_FILL_SQL, "jira_users", "pr_logins"),
+    "patch_users": with_sql("""WITH f AS (SELECT CAST(ORD % 500 AS STRING) AS J, ORD, USER_ID, USER_LOGIN, row_number() OVER (PARTITION BY ORD % 500 ORDER BY ORD, USER_ID, USER_LOGIN) AS nth FROM prs),
+own AS (SELECT coalesce(m.JIRA_ID, x.J) AS JIRA_ID, coalesce(m.GITHUB_ID, x.USER_ID) AS GITHUB_ID, CASE WHEN m.GITHUB_ID IS NOT NULL THEN m.GITHUB_LOGIN ELSE coalesce(x.USER_LOGIN, m.GITHUB_LOGIN) END AS GITHUB_LOGIN, CASE WHEN m.JIRA_ID IS NULL THEN 'PATCH_PR' ELSE 'M' END AS METHOD
+  FROM matched m FULL JOIN (SELECT * FROM f WHERE nth = 1) x ON m.JIRA_ID = x.J),
+others AS (SELECT o.JIRA_ID, f.USER_ID, arg_min(f.USER_LOGIN, nth) AS login, min(nth) AS met FROM own o JOIN f ON f.J = o.JIRA_ID WHERE f.USER_ID <> o.GITHUB_ID GROUP BY ALL),
+lists AS (SELECT JIRA_ID, string_agg(USER_ID, ',' ORDER BY met) AS ids, string_agg(login, ',' ORDER BY met) AS logins FROM others GROUP BY 1)
+SELECT o.JIRA_ID, GITHUB_ID, GITHUB_LOGIN, coalesce(ids, '') AS ALIAS_ID, coalesce(logins, '') AS ALIAS_LOGIN, METHOD FROM own o LEFT JOIN lists USING (JIRA_ID)""", "matched", "prs"),
 }

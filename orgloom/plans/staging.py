@@ -83,7 +83,7 @@ QUERIES = {
     "iso_times": lambda s, d: load(s, d, "orders").select("o_orderkey", text.iso(F.col("o_orderdate")).alias("iso")),
     "recent_rows": lambda s, d: catalog.since_days(load(s, d, "orders"), "o_orderdate", "1998-08-02", 90).select("o_orderkey"),
     "work_queue": lambda s, d: load(s, d, "commits").filter("AUTHOR_ID IS NULL").orderBy("COMMIT_SHA").limit(50).select("COMMIT_SHA"),
-    "name_search": lambda s, d: load(s, d, "jira_users").filter(F.col("DISPLAY_NAME").ilike("%on1%")).orderBy("ORD").limit(5).select("ID", "DISPLAY_NAME"),
+    "name_search": lambda s, d: load(s, d, "jira_users").filter(text.contains_any_case(F.col("DISPLAY_NAME"), "EN")).orderBy("ORD").limit(5).select("ID", "DISPLAY_NAME"),
     "distinct_on_name": lambda s, d: upserts.first_by(load(s, d, "jira_users"), ["DISPLAY_NAME"], [F.asc("ORD")]).select("DISPLAY_NAME", "ID"),
     "upsert_overwrite": lambda s, d: _flat(upserts.overwrite(*_old_new(s, d), ["o_orderkey"])),
     "upsert_ignore": lambda s, d: _flat(upserts.insert_ignore(*_old_new(s, d), ["o_orderkey"], [F.asc_nulls_last("status")])),
@@ -99,7 +99,7 @@ _OLD = "o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_o
 _T = "array_to_string(list_sort({0}), ',') AS tags"
 _FULL = f"WITH {_OLD} SELECT o_orderkey, {{0}} AS status, {{1}} AS role, {{2}} FROM o FULL JOIN n USING (o_orderkey)"
 _NEW = "CASE WHEN n.role IS NOT NULL THEN n.{0} ELSE o.{0} END"
-_TOKENS = r"list_distinct(list_filter(list_concat([regexp_replace(lower(coalesce(DISPLAY_NAME, '')), '[^a-z0-9]', '', 'g')], list_transform(regexp_split_to_array(regexp_replace(coalesce(DISPLAY_NAME, ''), '([a-z])([A-Z])', '\1 \2', 'g'), '[.\s_\-]+'), lambda q: regexp_replace(lower(q), '[^a-z0-9]', '', 'g'))), lambda q: length(q) > 1))"
+_TOKENS = r"list_distinct(list_concat(list_filter([regexp_replace(lower(coalesce(DISPLAY_NAME, '')), '[^a-z0-9]', '', 'g')], lambda q: length(q) > 1), list_transform(list_filter(regexp_split_to_array(lower(regexp_replace(coalesce(DISPLAY_NAME, ''), '([a-z])([A-Z])', '\1 \2', 'g')), '[.\s_\-]+'), lambda q: length(q) > 1), lambda q: regexp_replace(q, '[^a-z0-9]', '', 'g'))))"
 ORACLES = {
     "json_flatten": with_sql("SELECT ID, nullif(json_extract_string(AUTHOR, '$.id'), '0') AS AUTHOR_ID, json_extract_string(AUTHOR, '$.login') AS AUTHOR_LOGIN, json_extract_string(COMMIT, '$.author.name') AS AUTHOR_NAME, json_extract_string(COMMIT, '$.author.email') AS AUTHOR_EMAIL, json_extract_string(COMMIT, '$.author.date') AS AUTHORED, json_extract_string(COMMIT, '$.message') AS MESSAGE FROM raw", "raw"),
     "json_field_extract": with_sql("SELECT ID, json_extract_string(PROPS, '$.k') AS k FROM raw", "raw"),
@@ -112,7 +112,7 @@ ORACLES = {
     "iso_times": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(o_orderdate, '%f') = '000000' THEN '' ELSE '.' || strftime(o_orderdate, '%f') END AS iso FROM orders",
     "recent_rows": "SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1998-08-02' - INTERVAL 90 DAYS",
     "work_queue": with_sql("SELECT COMMIT_SHA FROM commits WHERE AUTHOR_ID IS NULL ORDER BY COMMIT_SHA LIMIT 50", "commits"),
-    "name_search": with_sql("SELECT ID, DISPLAY_NAME FROM jira_users WHERE DISPLAY_NAME ILIKE '%on1%' ORDER BY ORD LIMIT 5", "jira_users"),
+    "name_search": with_sql("SELECT ID, DISPLAY_NAME FROM jira_users WHERE DISPLAY_NAME ILIKE '%en%' ORDER BY ORD LIMIT 5", "jira_users"),
     "distinct_on_name": with_sql("SELECT DISTINCT ON (DISPLAY_NAME) DISPLAY_NAME, ID FROM jira_users ORDER BY DISPLAY_NAME, ORD", "jira_users"),
     "upsert_overwrite": f"WITH {_OLD} SELECT o_orderkey, status, role, {_T.format('tags')} FROM (SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n) UNION ALL SELECT * FROM n)",
     "upsert_ignore": f"WITH {_OLD} SELECT o_orderkey, status, role, {_T.format('tags')} FROM (SELECT * FROM o UNION ALL SELECT * FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM o))",

@@ -4,6 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Made-up people.
+FIRST = "Anna,Boris,Carla,Dmitri,Elena,Farid,Greta,Hugo,Ines,Jonas,Klara,Liam,Mona"
+LAST = "Abbott,Bergmann,Castro,Dubois,Eriksen,Fischer,Garcia,Hansen,Ivanov,Jensen,Keller,Lopez,Moreau,Novak,Olsen,Petrov,Quint"
+
+
+def part(names: str, number: str) -> str:
+    """SQL of the name of that number, counted round and round."""
+    return f"split_part('{names}', ',', CAST(({number}) % {names.count(',') + 1} + 1 AS INT))"
+
+
+def person(first: str, last: str) -> str:
+    return f"{part(FIRST, first)} || ' ' || {part(LAST, last)}"
+
+
 #: name -> (table, column expressions that Spark and DuckDB both take, condition)
 ADAPTERS: dict[str, tuple[str, list[str], str | None]] = {
     "commits": ("events", [
@@ -30,8 +44,24 @@ ADAPTERS: dict[str, tuple[str, list[str], str | None]] = {
     ], None),
     "diffs": ("documents", ["source AS COMMITTER_ID", "doc_id AS ORD", "md5(CAST(doc_id AS STRING)) AS COMMIT_SHA", "'src/' || lang || '/f' || CAST(doc_id % 7 AS STRING) || CASE doc_id % 3 WHEN 0 THEN '.py' WHEN 1 THEN '.tar.gz' ELSE '' END AS FILE_PATH", "text AS DIFF", "CAST(length(text) AS BIGINT) AS N"], None),
     "raw": ("events", ["event_id AS ID", "props AS PROPS", "'{\"author\": {\"name\": \"User ' || CAST(user_id AS STRING) || '\", \"date\": \"2024-01-0' || CAST(1 + event_id % 9 AS STRING) || '\"}, \"message\": \"m' || CAST(event_id AS STRING) || '\"}' AS COMMIT", "CASE WHEN event_id % 6 = 0 THEN NULL ELSE '{\"id\": ' || CAST(user_id AS STRING) || ', \"login\": \"l' || CAST(user_id AS STRING) || '\"}' END AS AUTHOR"], None),
-    "jira_users": ("customer", ["CAST(c_custkey AS STRING) AS ID", "c_custkey AS ORD", "CASE c_custkey % 5 WHEN 0 THEN NULL ELSE 'Person' || CAST(c_custkey % 90 AS STRING) || ' Of ' || lower(c_mktsegment) END AS DISPLAY_NAME", "CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN ' U' || CAST(c_custkey AS STRING) || '@X.com ' ELSE 'u' || CAST(c_custkey AS STRING) || '@y.com' END AS EMAIL"], None),
-    "github_users": ("supplier", ["CAST(s_suppkey AS STRING) AS ID", "s_suppkey AS ORD", "'person' || CAST(s_suppkey % 90 AS STRING) || CASE s_suppkey % 3 WHEN 0 THEN ' of' WHEN 1 THEN ' of building it' ELSE '' END AS DISPLAY_NAME", "'u' || CAST(s_suppkey AS STRING) || '@x.com' AS EMAIL", "'plogin' || CAST(s_suppkey AS STRING) AS LOGIN"], None),
+    "jira_users": ("customer", [
+        "CAST(c_custkey AS STRING) AS ID", "c_custkey AS ORD", f"CASE c_custkey % 5 WHEN 0 THEN NULL ELSE {person('c_custkey', 'c_custkey * 7')} END AS DISPLAY_NAME",
+        "CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN ' U' || CAST(c_custkey AS STRING) || '@X.com ' ELSE 'u' || CAST(c_custkey AS STRING) || '@y.com' END AS EMAIL",
+    ], None),
+    "github_users": ("supplier", [
+        "CAST(s_suppkey AS STRING) AS ID", "s_suppkey AS ORD",
+        f"CASE s_suppkey % 4 WHEN 0 THEN lower({person('s_suppkey', 's_suppkey * 7')}) WHEN 1 THEN {part(LAST, 's_suppkey * 7')} || '_' || {part(FIRST, 's_suppkey')} WHEN 2 THEN {part(FIRST, 's_suppkey')} ELSE {person('s_suppkey', 's_suppkey * 5')} || ' PhD' END AS DISPLAY_NAME",
+        "'u' || CAST(s_suppkey AS STRING) || '@x.com' AS EMAIL", "'plogin' || CAST(s_suppkey AS STRING) AS LOGIN",
+        "CASE WHEN s_suppkey % 8 = 1 THEN split('9' || CAST(s_suppkey AS STRING), ',') END AS ALIAS_ID",
+        "CASE WHEN s_suppkey % 6 = 1 THEN split('Old Name ' || CAST(s_suppkey AS STRING), ',') END AS ALIAS_DISPLAY_NAME",
+        "CASE WHEN s_suppkey % 3 = 1 THEN split('u' || CAST(s_suppkey * 4 + 2 AS STRING) || '@y.com,Old' || CAST(s_suppkey AS STRING) || '@Z.com', ',') END AS ALIAS_EMAIL",
+        "CASE WHEN s_suppkey % 6 = 1 THEN split('old' || CAST(s_suppkey AS STRING), ',') END AS ALIAS_LOGIN",
+    ], None),
+    "pr_logins": ("supplier", [
+        "CAST(s_suppkey AS STRING) AS ID",
+        f"lower({part(FIRST, 's_suppkey')}) || CASE s_suppkey % 3 WHEN 0 THEN lower({part(LAST, 's_suppkey * 7')}) WHEN 1 THEN '.' || lower({part(LAST, 's_suppkey * 5')}) ELSE CAST(s_suppkey AS STRING) END AS LOGIN",
+        f"{part(FIRST, 's_suppkey')} || substr({part(LAST, 's_suppkey * 7')}, 1, CAST(2 + s_suppkey % 4 AS INT)) AS CAMEL",
+    ], None),
     "skills": ("part", ["p_partkey AS UUID", "p_name || ', ' || p_brand || ', ,C++/CLI , ' || p_type AS SKILLS"], None),
     "rollup": ("lineitem", ["CAST(l_orderkey AS STRING) AS COMMIT_SHA", "'repo_' || l_returnflag AS REPO", "'f' || CAST(l_partkey % 50 AS STRING) AS FILE_PATH", "CAST(l_quantity AS BIGINT) AS ADDED", "CAST(l_linenumber AS BIGINT) AS REMOVED", "l_shipdate AS TS"], None),
     "kb": ("embeddings", ["vec_id AS ID", "embedding AS EMBEDDING", "label AS LABEL", "'table_' || CAST(label AS STRING) AS TABLE_NAME"], None),

@@ -1,5 +1,7 @@
 """Queries read whole tables: at a size where a fixed cap on ids would show."""
 
+import re
+
 import pytest
 from conftest import against_sql
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ def test_jira_users_has_every_customer(spark):
     assert load(spark, LARGER, "jira_users").count() == load(spark, LARGER, "customer").count() > 400
 
 
-@pytest.mark.parametrize("name", ["email_match", "distinct_on_name", "platform_union"])
+@pytest.mark.parametrize("name", ["email_match", "distinct_on_name", "platform_union", "fuzzy_match", "greedy_pick", "unmatched_users", "pr_user_match", "fill_missing_names", "patch_users"])
 def test_jira_queries_equal_sql(spark, name):
     got, want = against_sql(spark, LARGER, registry.QUERIES[name], registry.ORACLES[name])
     assert got == want
@@ -55,20 +57,27 @@ def test_matches_of_shared_names_equal_brute_force(spark):
     assert got == want and len({j for j, *_ in got}) > 3
 
 
-def test_every_login_meets_every_name(spark):
-    users = load(spark, LARGER, "github_users")
-    got = registry.QUERIES["fill_missing_names"](spark, LARGER).select("ID", "SCORE").collect()
-    assert len(got) == len({r["ID"] for r in got}) and {r["ID"][-1] for r in got} > {"7"}
-    people = [(r["ORD"], r["DISPLAY_NAME"]) for r in load(spark, LARGER, "jira_users").filter("DISPLAY_NAME IS NOT NULL").collect()]
-    logins = [("plogin1",), ("person12of",), ("Person5OfBuilding",)]
-    jira = spark.createDataFrame([(str(o), o, n) for o, n in people[:200]], "ID string, ORD long, DISPLAY_NAME string")
-    best = {r["LOGIN"]: (r["JIRA_ID"], r["SCORE"]) for r in identity.pr_user_match(spark.createDataFrame(logins, "LOGIN string"), jira).collect()}
+def test_every_login_meets_every_name(spark, monkeypatch):
+    people = [(str(r["ORD"]), r["ORD"], r["DISPLAY_NAME"], r["EMAIL"]) for r in load(spark, LARGER, "jira_users").collect()][:300]
+    logins = [(r["LOGIN"],) for r in load(spark, LARGER, "pr_logins").collect()] + [("stoneann",), ("",), (None,), ("99",)]
+    jira = spark.createDataFrame(people + [("9001", 9001, "Ann Stone", None), ("9002", 9002, "Ann Stone", "x")], "ID string, ORD long, DISPLAY_NAME string, EMAIL string")
+    named = [r for r in jira.collect() if r["DISPLAY_NAME"]]
+    want = {}
     for (login,) in logins:
-        same = [o for o, n in people[:200] if str(o) == best.get(login, ("", 0))[0]]
-        first = [o for o, n in people[:200] if same and n == dict(people)[same[0]]]
-        assert not same or same[0] == min(first)
-    asked = {r["LOGIN"] for r in registry.QUERIES["pr_user_match"](spark, LARGER).collect()}
-    assert any("3" not in x for x in asked) and users.count() == 100
+        best = None
+        for r in named:
+            if login is not None:
+                n = r["DISPLAY_NAME"]
+                made = (n, re.sub("[^a-z0-9]", "", n.lower()), [t for t in similarity.token_set(n) if len(t) >= 4])
+                if got := identity._login_score(login, made):
+                    best = min(best or (9,), (-got[0], got[1], r["ORD"], r["ID"]))
+        if best:
+            want[login] = (best[3], -best[0], identity.PR_METHODS[best[1]])
+    table = spark.createDataFrame(logins, "LOGIN string")
+    for size in (identity.PACK, 7):  # one pack, and many
+        monkeypatch.setattr(identity, "PACK", size)
+        got = {r["GITHUB_LOGIN"]: (r["JIRA_ID"], r["SCORE"], r["METHOD"]) for r in identity.pr_user_match(table, jira).collect()}
+        assert got == want and len({m for *_, m in got.values()}) > 1
 
 
 def test_patch_takes_every_pull_request(spark):
