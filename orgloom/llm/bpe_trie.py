@@ -63,7 +63,7 @@ class TrieEncoder:
     prefix tells which tokens end there, longest first."""
 
     #: Pairs of tokens, of which it is known whether they stay apart, that are remembered.
-    KNOWN_PAIRS = 1 << 18
+    KNOWN_PAIRS = 1 << 17
 
     def __init__(self, model: dict):
         self.end = model.get("end_of_word_suffix") or ""

@@ -18,10 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import CHUNK_BYTES, chunks_of
+
 HEAD, MIDDLE, TAIL = b"### ", b":\n", b"</turn>\n"
 #: Turns of a conversation that are formatted together; a longer conversation is split over tasks.
 SEGMENT = 1024
-_TURN = re.compile(r"### ((?:\\.|[^\\:])*):\n((?:\\.|[^\\<])*)</turn>\n", re.DOTALL)
+#: Possessive, so that no place is kept to go back to, however long the text.
+_TURN = re.compile(r"### ((?:[^\\:]++|\\.)*+):\n((?:[^\\<]++|\\.)*+)</turn>\n", re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
@@ -64,7 +67,7 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     return buffer, np.concatenate([starts[:, 0], ends[-1:, -1]]), np.stack([starts[:, 3], ends[:, 3]], axis=1)
 
 
-def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", loss_roles: tuple[str, ...] = ("assistant",), chunk_rows: int = 4096) -> DataFrame:
+def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", loss_roles: tuple[str, ...] = ("assistant",), chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(conv_id, n_turns long, formatted string, loss_spans array<struct<start,end>>): one row for each conversation.
 
     Spans count code points of ``formatted`` and cover the texts of ``loss_roles``. Turns are in order of
@@ -79,8 +82,8 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = 0
         for whole in batches:
-            for at in range(0, whole.num_rows, chunk_rows):
-                b = whole.slice(at, chunk_rows)
+            for at, to, _, _ in chunks_of(whole.column(3), chunk_bytes):
+                b = whole.slice(at, to - at)
                 buffer, turn_at, spans = assemble(b.column(2), b.column(3))
                 key = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
                 first = np.array([i for i in range(len(key)) if not i or key[i] != key[i - 1]], np.int64)
@@ -91,6 +94,8 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
                     [{"start": int(chars[s] - chars[turn_at[f]]), "end": int(chars[e] - chars[turn_at[f]])} for s, e in spans[f:t][lost[f:t]].tolist()]
                     for f, t in zip(first.tolist(), ends.tolist(), strict=True)
                 ]
+                if turn_at[-1] >= 1 << 31:
+                    raise OverflowError(f"{turn_at[-1]} bytes of one turn do not fit a string")
                 offsets = pa.py_buffer(np.append(turn_at[first], turn_at[-1]).astype(np.int32))
                 formatted = pa.StringArray.from_buffers(len(first), offsets, pa.py_buffer(buffer))
                 part += 1
@@ -102,14 +107,12 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
 
     parts = dealt.mapInArrow(run, f"conv_id {kind}, segment long, part long, n long, formatted string, loss array<struct<start:bigint,end:bigint>>")
     grouped = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("segment", "part", "n", "formatted", "loss"))).alias("p"))
-    moved = F.aggregate(
-        "p", F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["formatted"])).alias("at"),
-            F.concat(s["out"], F.transform(x["loss"], lambda y: F.struct((y["start"] + s["at"]).alias("start"), (y["end"] + s["at"]).alias("end")))).alias("out"),
-        ),
-        lambda s: s["out"],
+    # Where each part begins; then all of its spans are moved at once.
+    begin = F.aggregate(
+        "p", F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out")),
+        lambda s, x: F.struct((s["at"] + F.length(x["formatted"])).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"],
     )
+    moved = F.flatten(F.zip_with("p", begin, lambda x, at: F.transform(x["loss"], lambda y: F.struct((y["start"] + at).alias("start"), (y["end"] + at).alias("end")))))
     return grouped.select("conv_id", F.aggregate("p", F.lit(0).cast("bigint"), lambda s, x: s + x["n"]).alias("n_turns"), F.array_join(F.transform("p", lambda x: x["formatted"]), "").alias("formatted"), moved.alias("loss_spans"))
 
 

@@ -8,14 +8,17 @@ executor costs a re-read and no more.
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Where ``spark.checkpoint.dir`` is unset; for a local master only.
 LOCAL_SHARED = "/tmp/checkpoints"
 #: Bytes of text that one numpy pass works on; a longer single text is a pass of its own.
 CHUNK_BYTES = 2 << 20
@@ -24,8 +27,11 @@ _scratch: list[tuple[SparkSession, str, str | None]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, or a fixed local one where none is set."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED).rstrip("/")
+    """The cluster's checkpoint folder; where none is set, a fixed local one if the master is local too, else an error."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if not given and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (given or LOCAL_SHARED).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
@@ -66,8 +72,62 @@ def _at_exit() -> None:
 atexit.register(_at_exit)
 
 
-def register_table(spark: SparkSession, path: str, table: str) -> None:
-    _scratch.append((spark, path, table))
+#: The database of bucketed scratch tables, so that none is among the user's own.
+SCRATCH_DATABASE = "orgloom_scratch"
+
+
+def scratch_table(spark: SparkSession, tag: str) -> tuple[str, str]:
+    """(name, path) of a scratch table that ``release`` drops."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{shared_dir(spark)}/{SCRATCH_DATABASE}'")
+    name, path = f"{SCRATCH_DATABASE}.t{uuid.uuid4().hex}", scratch_path(spark, tag)
+    _scratch.append((spark, path, name))
+    return name, path
+
+
+#: Bytes of text of a block, about; and the most buckets of a staged table.
+BLOCK_BYTES, MOST_BUCKETS = 16 << 20, 1 << 14
+
+
+def stage(df: DataFrame, text_col: str, block_col: str, block_bytes: int = BLOCK_BYTES, place_col: str | None = None) -> tuple[DataFrame, int]:
+    """(a written table of ``df`` in buckets, with the number of each row's block and its place there, the number of blocks); no row changes its machine.
+
+    What is later joined to it by block moves to the texts, and no text moves. Blocks have about ``block_bytes`` of text;
+    a longer text is in a block of its own size. ``df`` must be a table (files, or a checkpoint)."""
+    spark = df.sparkSession
+    text = F.col(f"`{text_col}`").cast("string")
+    size = df.select(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 16)).first()[0] or 0
+    tasks = max(1, df.rdd.getNumPartitions())
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // block_bytes))
+    each = -(-blocks // tasks)  # blocks of a task that reads
+    blocks = tasks * each
+    block = F.spark_partition_id().cast("long") * each + F.pmod(F.monotonically_increasing_id(), F.lit(each))
+    if blocks <= 1 << 12:  # numbers that go to a bucket of their own; of more blocks, chance makes buckets about equal
+        found = spark.range(0, 24 * blocks, numPartitions=1).groupBy(F.pmod(F.hash("id"), F.lit(blocks)).alias("slot")).agg(F.min("id").alias("id")).collect()
+        numbers = sorted(r["id"] for r in found)
+        numbers += range(24 * blocks, 25 * blocks - len(numbers))
+        block = F.element_at(F.array(*[F.lit(x).cast("long") for x in numbers]), (block + 1).cast("int"))
+    name, path = scratch_table(spark, "blocks")
+    if place_col:
+        df = df.withColumn(place_col, F.floor(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) / each).cast("int"))
+    df.withColumn(block_col, block).write.bucketBy(min(blocks, MOST_BUCKETS), block_col).option("path", path).saveAsTable(name)
+    return spark.table(name), blocks
+
+
+def is_marked(staged: DataFrame, block_col: str, place_col: str, marks: DataFrame, mark_col: str) -> DataFrame:
+    """A staged table with whether a row's (block, place) is in ``marks``: one row of bits for each block goes to its texts."""
+
+    def bits(key: tuple, rows: pa.Table) -> pa.Table:
+        places = rows.column("place").to_numpy()
+        made = np.zeros(int(places.max()) // 8 * 8 + 8, bool)
+        made[places] = True
+        return pa.table({"mark_block": pa.array([key[0].as_py()], pa.int64()), mark_col: pa.array([np.packbits(made).tobytes()], pa.binary())})
+
+    (mark_block,) = fresh(staged, "mark_block")
+    packed = marks.groupBy("block").applyInArrow(bits, f"mark_block long, `{mark_col}` binary").withColumnRenamed("mark_block", mark_block)
+    met = staged.join(packed.hint("shuffle_hash"), F.col(block_col) == F.col(mark_block), "left")
+    byte = F.conv(F.hex(F.substring(F.col(mark_col), F.floor(F.col(place_col) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(F.coalesce(byte, F.lit(0)), 7 - F.col(place_col) % 8) == 1
+    return met.withColumn(mark_col, F.when(F.col(mark_col).isNull(), F.lit(False)).otherwise(bit)).drop(mark_block)
 
 
 def fresh(df: DataFrame, *wanted: str) -> list[str]:
@@ -82,8 +142,22 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+#: Session options that bound what a task holds at once, as rows are whole texts: bytes of an Arrow batch (Spark's default is
+#: 64 MB), and rows of a batch that the Parquet reader decodes (4,096).
+BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20, "spark.sql.parquet.columnarReaderBatchSize": 128}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the options of BOUNDS to what is there, if they are higher."""
+    for key, most in BOUNDS.items():
+        given = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+        if given and not 0 < int(given[1]) <= most:
+            spark.conf.set(key, str(most))
+
+
 def keep_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id and text, under fixed names, whatever else the table holds."""
+    bound_batches(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
@@ -154,40 +228,6 @@ def word_spans(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple
 
 
 _U = np.uint64
-_MASK = (1 << 64) - 1
-
-
-def _odd(seed: int) -> int:
-    return int(np.random.default_rng(seed).integers(0, 1 << 63, dtype=np.uint64)) * 2 + 1 & _MASK
-
-
-class Rolling:
-    """Polynomial hashes, modulo 2**64, of slices of a sequence, by prefix sums."""
-
-    def __init__(self, seed: int):
-        self.p = _odd(seed)
-        self.q = pow(self.p, -1, 1 << 64)
-        self.up = self.down = np.ones(1, _U)
-
-    def _grow(self, n: int) -> None:
-        if len(self.up) <= n:
-            for name, base in (("up", self.p), ("down", self.q)):
-                x = np.full(n + 1, base, _U)
-                x[0] = 1
-                setattr(self, name, np.multiply.accumulate(x))
-
-    def prefix(self, values: np.ndarray) -> np.ndarray:
-        self._grow(len(values) + 1)
-        out = np.zeros(len(values) + 1, _U)
-        np.cumsum(values * self.up[: len(values)], out=out[1:])
-        return out
-
-    def slices(self, prefix: np.ndarray, st: np.ndarray, en: np.ndarray) -> np.ndarray:
-        return (prefix[en] - prefix[st]) * self.down[st]
-
-    def windows(self, prefix: np.ndarray, k: int) -> np.ndarray:
-        n = len(prefix) - 1
-        return (prefix[k:] - prefix[: n - k + 1]) * self.down[: n - k + 1] if n >= k else np.zeros(0, _U)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -200,15 +240,59 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], _U)
+#: Words of more bytes are hashed one by one.
+_LONG = 64
+
+
 class WordHasher:
-    """64-bit hashes of the words of a byte buffer, alike on every machine."""
+    """64-bit hashes of the words of a byte buffer, alike on every machine.
+
+    Blocks of eight bytes are mixed one after the other, so no structure of a word, but chance alone, makes two hashes equal."""
 
     def __init__(self, seed: int = 7, lower: bool = False):
-        table = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-        self.table = table[LOWER] if lower else table
-        self.rolling = Rolling(seed + 1)
+        self.seed, self.lower = seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1, lower
 
     def __call__(self, data: np.ndarray, st: np.ndarray, en: np.ndarray) -> np.ndarray:
         if not len(st):
             return np.zeros(0, _U)
-        return mix(self.rolling.slices(self.rolling.prefix(self.table[data]), st, en) + (en - st).astype(_U))
+        padded = np.zeros(len(data) + 8, np.uint8)
+        padded[: len(data)] = LOWER[data] if self.lower else data
+        blocks = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        size = en - st
+        h = mix(size.astype(_U) ^ _U(self.seed))
+        h ^= blocks[st] & _MASKS[np.minimum(size, 8)]
+        mix(h)
+        more, at = np.flatnonzero((size > 8) & (size <= _LONG)), 8
+        while len(more):
+            h[more] = mix(h[more] ^ (blocks[st[more] + at] & _MASKS[np.minimum(size[more] - at, 8)]))
+            at += 8
+            more = more[size[more] > at]
+        for i in np.flatnonzero(size > _LONG).tolist():
+            h[i] = xxhash.xxh64_intdigest(padded[st[i] : en[i]].tobytes(), self.seed)
+        return h
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    z = a * _U(0x9E6C63D0876A9A47)
+    z ^= b
+    z ^= z >> _U(32)
+    z *= _U(0xD6E8FEB86659FD93)
+    z ^= z >> _U(29)
+    return z
+
+
+def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of h[i : i + k] for each i, by doubling: two hashes of n make one of 2n."""
+    out, covered, have, n = None, 0, 1, len(h)
+    if n < k:
+        return np.zeros(0, _U)
+    while True:
+        if k & have:
+            m = n - covered - have + 1
+            out = h[:m] if out is None else _joined(out[:m], h[covered : covered + m])
+            covered += have
+        if covered == k:
+            return out
+        h = _joined(h[:-have], h[have:])
+        have *= 2

@@ -1,16 +1,14 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-Training documents are indexed in blocks: a row of the index holds, for the terms
-that occur in the tests, the sorted positions of the term in the documents of that
-block. Index rows are a written table; counts of terms over all rows tell which
-terms of a test phrase are rarest in the corpus. The search takes, block by block,
-the postings of each phrase's rarest term less its offset as candidate starts, and
-intersects them with the postings of its next rarest terms, each less its own offset,
-until all terms of the phrase are met (exact phrases), or met within ``slop`` words of
-their place (proximity).
-
-The tests go to the executors in packs of at most ``pack_bytes``; a larger test set
-only makes more packs, which a task loads one at a time.
+Training documents are indexed in blocks: a row of the index holds the distinct terms of
+some documents and the sorted positions of each. The index is a written table of the whole corpus, which
+any number of test sets can search. The search takes, block by block, the postings of each
+phrase's rarest term less its offset as candidate starts, and intersects them with the postings of its next
+rarest terms, each less its own offset, until all terms of the phrase are met (exact phrases), or met within
+``slop`` words of their place (proximity). A phrase of which a block lacks a term is left at once.
+
+The tests go to the executors in packs of at most ``pack_bytes``; a larger test
+set only makes more packs, and a task holds one at a time. Terms are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -26,189 +24,162 @@ from .common import NON_WORD, WordHasher, chunks_of, keep_columns, materialize,
 
 WINDOW = 13
 _hash = WordHasher(5, lower=True)
-INDEX_SCHEMA = "docs array<{kind}>, first array<int>, n_words array<int>, terms binary, counts array<int>, postings binary"
-
-
-class Phrases:
-    """Distinct windows of some test items: terms as hashes, and the items of each window."""
-
-    def __init__(self, items: list[tuple[str, str]], window: int):
-        self.items = [i for i, _ in items]
-        seen: dict[bytes, int] = {}
-        spans, owners = [], []
-        for number, (_, text) in enumerate(items):
-            data = np.frombuffer(text.encode(), np.uint8)
-            st, en, _ = word_spans(data, np.array([0, len(data)]), NON_WORD)
-            words = _hash(data, st, en)
-            for i in range(max(1, len(words) - window + 1) if len(words) else 0):
-                part = words[i : i + window]
-                key = part.tobytes()
-                if key not in seen:
-                    seen[key] = len(spans)
-                    spans.append(part)
-                owners.append((seen[key], number))
-        pairs = np.unique(np.array(owners, np.int64).reshape(-1, 2), axis=0)
-        self.length = np.array([len(x) for x in spans], np.int64)
-        self.terms = np.zeros((len(spans), window), np.uint64)
-        for i, x in enumerate(spans):
-            self.terms[i, : len(x)] = x
-        self.owner_of, self.owner_at = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(spans) + 1))
-
-    def vocabulary(self) -> np.ndarray:
-        used = np.arange(self.terms.shape[1])[None, :] < self.length[:, None]
-        return np.unique(self.terms[used])
-
-    def rarest_first(self, terms: np.ndarray, counts: np.ndarray) -> None:
-        """Order the places of each window by the corpus count of their term; the rest of a short window comes last."""
-        used = np.arange(self.terms.shape[1])[None, :] < self.length[:, None]
-        at = np.minimum(np.searchsorted(terms, self.terms), max(0, len(terms) - 1))
-        n = np.where(terms[at] == self.terms, counts[at], 0) if len(terms) else np.zeros(self.terms.shape, np.int64)
-        self.order = np.argsort(np.where(used, n, np.iinfo(np.int64).max), axis=1, kind="stable")
-
-
-def build_index(docs: DataFrame, terms: np.ndarray, id_col: str = "doc_id", text_col: str = "text", gap: int = WINDOW + 1) -> DataFrame:
-    """The index of ``docs`` for ``terms`` (sorted hashes): a row for each block of about 2 MB of text.
-
-    ``first``: position of each document's first word; ``gap`` positions between documents belong to
-    none, so no phrase crosses them. ``postings``: positions (int32) of all terms, by term."""
+INDEX_SCHEMA = "docs array<{kind}>, first binary, n_words binary, terms binary, counts binary, postings binary"
+_NONE = np.zeros(0, np.int64)
+
+
+def phrases_of(items: list[tuple[str, str]], window: int) -> dict:
+    """The distinct windows of some test items, as plain arrays: ``vocabulary`` (sorted hashes), ``terms`` (places in it, -1 past the end), ``length``, and the items of each window."""
+    seen: dict[bytes, int] = {}
+    spans, owners = [], []
+    for number, (_, text) in enumerate(items):
+        data = np.frombuffer(text.encode(), np.uint8)
+        st, en, _ = word_spans(data, np.array([0, len(data)]), NON_WORD)
+        words = _hash(data, st, en)
+        for i in range(max(1, len(words) - window + 1) if len(words) else 0):
+            part = words[i : i + window]
+            key = part.tobytes()
+            if key not in seen:
+                seen[key] = len(spans)
+                spans.append(part)
+            owners.append((seen[key], number))
+    pairs = np.unique(np.array(owners, np.int64).reshape(-1, 2), axis=0)
+    vocabulary = np.unique(np.concatenate(spans)) if spans else np.zeros(0, np.uint64)
+    terms = np.full((len(spans), window), -1, np.int32)
+    for i, x in enumerate(spans):
+        terms[i, : len(x)] = np.searchsorted(vocabulary, x)
+    return {
+        "items": [i for i, _ in items], "vocabulary": vocabulary, "terms": terms, "length": (terms >= 0).sum(axis=1),
+        "owner_of": pairs[:, 1], "owner_at": np.searchsorted(pairs[:, 0], np.arange(len(spans) + 1)),
+    }
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gap: int = WINDOW + 1) -> DataFrame:
+    """The index of ``docs``: a row for each block of about 2 MB of text.
+
+    ``first`` and ``n_words`` (int32): position of each document's first word, and its words; ``gap`` positions between documents belong to
+    none, so no phrase crosses them. ``terms``: sorted hashes of all words of the block; ``counts`` and
+    ``postings`` (int32): how often each occurs and where, by term."""
     slim = keep_columns(docs, id_col, text_col)
     kind = slim.schema["doc_id"].dataType.simpleString()
-    given = slim.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = given.value
         for b in batches:
             for at, to, data, offs in chunks_of(b.column(1)):
                 st, en, first = word_spans(data, offs, NON_WORD)
                 n = np.diff(first)
                 start = first[:-1] + np.arange(to - at) * gap
-                place = np.arange(len(st)) + np.repeat(np.arange(to - at) * gap, n)
-                if len(terms) and len(st):
-                    h = _hash(data, st, en)
-                    term = np.searchsorted(terms, h)
-                    term[term == len(terms)] = 0
-                    known = terms[term] == h
-                    term, place = term[known].astype(np.int32), place[known].astype(np.int32)
-                    order = np.argsort(term, kind="stable")
-                    ids, counts = np.unique(term, return_counts=True)
-                    ids, place = ids.astype(np.int32), place[order]
-                else:
-                    ids, counts, place = (np.zeros(0, np.int32),) * 3
+                place = (np.arange(len(st)) + np.repeat(np.arange(to - at) * gap, n)).astype(np.int32)
+                h = _hash(data, st, en)
+                order = np.argsort(h, kind="stable")
+                h = h[order]
+                cuts = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else _NONE
+                counts = np.diff(np.append(cuts, len(h)))
+                made = [start.astype(np.int32), n.astype(np.int32), h[cuts], counts.astype(np.int32), place[order]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array([0, to - at], pa.int32()), b.column(0).slice(at, to - at)),
-                     pa.array([start.astype(np.int32)], pa.list_(pa.int32())), pa.array([n.astype(np.int32)], pa.list_(pa.int32())),
-                     pa.array([ids.tobytes()], pa.binary()), pa.array([counts.astype(np.int32)], pa.list_(pa.int32())), pa.array([place.tobytes()], pa.binary())],
+                    [pa.ListArray.from_arrays(pa.array([0, to - at], pa.int32()), b.column(0).slice(at, to - at)), *[pa.array([x.tobytes()], pa.binary()) for x in made]],
                     ["docs", "first", "n_words", "terms", "counts", "postings"],
-                )
+                )
 
     return slim.mapInArrow(run, INDEX_SCHEMA.format(kind=kind))
 
 
-def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
-    """How often each term occurs in the indexed corpus; as many numbers as there are terms."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_terms, np.int64)
-        for b in batches:
-            for ids, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                total[np.frombuffer(ids, np.int32)] += np.array(counts, np.int64)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["term", "n"])
-
-    out = np.zeros(n_terms, np.int64)
-    for r in index.select("terms", "counts").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        out[r["term"]] = r["n"]
-    return out
-
-
-def _meet(phrases: Phrases, vocabulary: np.ndarray, ids: np.ndarray, counts: np.ndarray, places: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
+def _meet(phrases: dict, terms: np.ndarray, counts: np.ndarray, places: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
     """(window, start) of each phrase of a block."""
-    if not len(ids) or not len(phrases.length):
-        return (np.zeros(0, np.int64),) * 2
+    vocabulary, length = phrases["vocabulary"], phrases["length"]
+    if not len(terms) or not len(length):
+        return _NONE, _NONE
+    slot = np.minimum(np.searchsorted(terms, vocabulary), len(terms) - 1)
+    slot = np.append(np.where(terms[slot] == vocabulary, slot, -1), -2)  # -1: the block lacks the term; the last, for places past the end, -2
+    term = slot[phrases["terms"]]
+    window = np.flatnonzero((term != -1).all(axis=1))
+    if not len(window):
+        return _NONE, _NONE
+    term = term[window]
+    common = np.append(counts.astype(np.int64), [np.iinfo(np.int64).max] * 2)  # -2 is the last but one
+    order = np.argsort(common[term], axis=1, kind="stable")  # rarest first; places past the end come last
     begin = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts, dtype=np.int64)])
-    slot = np.full(len(vocabulary), -1, np.int64)
-    slot[ids] = np.arange(len(ids))
-    term = slot[np.minimum(np.searchsorted(vocabulary, phrases.terms), len(vocabulary) - 1)]  # of each place, where the block has its postings
-    keyed = (np.repeat(np.arange(len(ids)), counts) << 32) + places
-    rarest = phrases.order[:, 0]
+    keyed = (np.repeat(np.arange(len(terms)), counts) << 32) + places
+    rarest = order[:, 0]
     lead = term[np.arange(len(term)), rarest]
-    window = np.flatnonzero(lead >= 0)
-    n = counts[lead[window]].astype(np.int64)
-    which = np.repeat(window, n)
+    n = counts[lead].astype(np.int64)
+    which = np.repeat(np.arange(len(window)), n)
     within = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-    start = places[np.repeat(begin[lead[window]], n) + within].astype(np.int64) - rarest[which]
-    for r in range(1, phrases.terms.shape[1]):
-        place = phrases.order[which, r]
-        inside = place < phrases.length[which]
+    start = places[np.repeat(begin[lead], n) + within].astype(np.int64) - rarest[which]
+    for r in range(1, term.shape[1]):
+        if not len(which):
+            break
+        place = order[which, r]
         t = term[which, place]
         want = (t << 32) + np.maximum(start + place - slop, 0)
         at = np.minimum(np.searchsorted(keyed, want), len(keyed) - 1)
-        met = (t >= 0) & (keyed[at] >= want) & (keyed[at] <= (t << 32) + start + place + slop)
-        ok = ~inside | met
+        ok = (t < 0) | ((keyed[at] >= want) & (keyed[at] <= (t << 32) + start + place + slop))
         which, start = which[ok], start[ok]
-    return which, start
+    return window[which], start
 
 
-def search(index: DataFrame, packs: list, vocabulary: np.ndarray, slop: int = 0) -> DataFrame:
+def search(index: DataFrame, packs: list, slop: int = 0, matches: bool = True) -> DataFrame:
     """(doc_id, n_words, n_hit, items array<string>, matches array<struct<item,start>>): a row for each indexed document.
 
-    ``n_hit``: words inside matches (with ``slop``: inside the windows' places). ``matches``: where a window
-    of an item starts, in words of the document."""
+    packs: broadcasts of ``phrases_of``. ``n_hit``: words inside matches (with ``slop``: inside the windows' places). ``matches``: where a window
+    of an item starts, in words of the document; null if not wanted."""
     kind = index.schema["docs"].dataType.elementType.simpleString()
-    given = index.sparkSession.sparkContext.broadcast(vocabulary)
     span_type = pa.list_(pa.struct([("item", pa.string()), ("start", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = given.value
         for b in batches:
             for row in range(b.num_rows):
                 docs = b.column(0)[row].values
-                first, n_words = (np.asarray(b.column(c)[row].values, np.int64) for c in (1, 2))
-                ids, places = (np.frombuffer(b.column(c)[row].as_py(), np.int32) for c in (3, 5))
-                counts = np.asarray(b.column(4)[row].values, np.int64)
+                first, n_words, counts, places = (np.frombuffer(b.column(c)[row].as_py(), np.int32) for c in (1, 2, 4, 5))
+                terms, first, n_words = np.frombuffer(b.column(3)[row].as_py(), np.uint64), first.astype(np.int64), n_words.astype(np.int64)
                 change = np.zeros(int(first[-1] + n_words[-1]) + 2 if len(first) else 2, np.int64)
                 items: dict[int, set[str]] = {}
-                matches: dict[int, list] = {}
+                spans: dict[int, list] = {}
                 for pack in packs:
                     phrases = pack.value
-                    which, start = _meet(phrases, vocabulary, ids, counts, places, slop)
+                    if len(packs) > 1:
+                        pack.__dict__.pop("_value", None)  # the next block loads it again
+                    which, start = _meet(phrases, terms, counts, places, slop)
                     if not len(which):
                         continue
-                    doc = np.searchsorted(first, start + (phrases.length[which] - 1 if slop else 0), "right") - 1
+                    doc = np.searchsorted(first, start + (phrases["length"][which] - 1 if slop else 0), "right") - 1
                     # of several documents without words at one place, the last has the words
                     inside = start >= first[doc] if not slop else np.ones(len(doc), bool)
                     which, start, doc = which[inside], np.maximum(start[inside], first[doc[inside]]), doc[inside]
-                    end = np.minimum(start + phrases.length[which], first[doc] + n_words[doc])
-                    np.add.at(change, start, 1)
-                    np.subtract.at(change, end, 1)
-                    for w, s, d in zip(which.tolist(), start.tolist(), doc.tolist(), strict=True):
-                        for o in phrases.owner_of[phrases.owner_at[w] : phrases.owner_at[w + 1]].tolist():
-                            items.setdefault(d, set()).add(phrases.items[o])
-                            matches.setdefault(d, []).append({"item": phrases.items[o], "start": int(s - first[d])})
+                    end = np.minimum(start + phrases["length"][which], first[doc] + n_words[doc])
+                    change += np.bincount(start, minlength=len(change)) - np.bincount(end, minlength=len(change))
+                    each = np.diff(phrases["owner_at"])[which]
+                    owner = phrases["owner_of"][np.repeat(phrases["owner_at"][which] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+                    for d, o in np.unique(np.stack([np.repeat(doc, each), owner], axis=1), axis=0).tolist():
+                        items.setdefault(d, set()).add(phrases["items"][o])
+                    if matches:
+                        for d, o, s in zip(np.repeat(doc, each).tolist(), owner.tolist(), np.repeat(start - first[doc], each).tolist(), strict=True):
+                            spans.setdefault(d, []).append({"item": phrases["items"][o], "start": s})
                 covered = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.cumsum(change) > 0)])
-                hit = covered[first + n_words] - covered[first]
                 n = range(len(docs))
                 yield pa.RecordBatch.from_arrays(
-                    [docs, pa.array(n_words, pa.int64()), pa.array(hit, pa.int64()), pa.array([sorted(items.get(d, ())) for d in n], pa.list_(pa.string())),
-                     pa.array([matches.get(d, []) for d in n], span_type)],
+                    [docs, pa.array(n_words, pa.int64()), pa.array(covered[first + n_words] - covered[first], pa.int64()), pa.array([sorted(items.get(d, ())) for d in n], pa.list_(pa.string())),
+                     pa.array([spans.get(d, []) if matches else None for d in n], span_type)],
                     ["doc_id", "n_words", "n_hit", "items", "matches"],
                 )
 
     return index.mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, items array<string>, matches array<struct<item:string,start:int>>")
 
 
-def pack_tests(tests: DataFrame, id_col: str, text_col: str, window: int, pack_bytes: int) -> list[Phrases]:
-    packs, items, size = [], [], 0
+def packs_of(tests: DataFrame, id_col: str, text_col: str, window: int, pack_bytes: int) -> Iterator[dict]:
+    """``phrases_of`` the tests, pack by pack."""
+    items, size = [], 0
     for r in keep_columns(tests, id_col, text_col).filter("text IS NOT NULL").orderBy(F.col("doc_id").cast("string"), "text").toLocalIterator():
         items.append((str(r["doc_id"]), r["text"]))
         size += len(r["text"].encode()) * window
         if size > pack_bytes:
-            packs.append(Phrases(items, window))
+            yield phrases_of(items, window)
             items, size = [], 0
-    return [*packs, Phrases(items, window)] if items or not packs else packs
+    if items:
+        yield phrases_of(items, window)
 
 
-def contamination(docs: DataFrame, tests: DataFrame, window: int = WINDOW, slop: int = 0, id_col: str = "doc_id", text_col: str = "text", test_id: str = "item_id", test_text: str = "text", pack_bytes: int = 64 << 20) -> DataFrame:
+def contamination(docs: DataFrame, tests: DataFrame, window: int = WINDOW, slop: int = 0, id_col: str = "doc_id", text_col: str = "text", test_id: str = "item_id", test_text: str = "text", pack_bytes: int = 64 << 20, matches: bool = True) -> DataFrame:
     """What of ``tests`` occurs in ``docs``: see ``search``; one row for each row of ``docs``.
 
     Words are runs of lower-cased letters, digits and bytes over 0x7F. A test of fewer words than
@@ -216,13 +187,8 @@ def contamination(docs: DataFrame, tests: DataFrame, window: int = WINDOW, slop:
     no hits; repeated rows each get their row; tests of one id count as one item; an empty table of either
     kind gives no hits; other columns are not looked at."""
     sc = docs.sparkSession.sparkContext
-    packs = pack_tests(tests, test_id, test_text, window, pack_bytes)
-    vocabulary = np.unique(np.concatenate([p.vocabulary() for p in packs]))
-    index = materialize(build_index(docs, vocabulary, id_col, text_col, window + slop + 1), "index")
-    counts = term_counts(index, len(vocabulary))
-    for p in packs:
-        p.rarest_first(vocabulary, counts)
-    return search(index, [sc.broadcast(p) for p in packs], vocabulary, slop)
+    index = materialize(build_index(docs, id_col, text_col, window + slop + 1), "index")
+    return search(index, [sc.broadcast(p) for p in packs_of(tests, test_id, test_text, window, pack_bytes)], slop, matches)
 
 
 def verdicts(found: DataFrame, share: int = 20) -> DataFrame:
@@ -231,4 +197,3 @@ def verdicts(found: DataFrame, share: int = 20) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
-

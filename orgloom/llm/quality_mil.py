@@ -137,6 +137,16 @@ class GatedAttention:
                 s[k] = 0.999 * s[k] + 0.001 * g * g
                 p[k] = p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
 
+    def plain(self) -> dict[str, np.ndarray]:
+        return {**self.p, "mean": self.mean, "scale": self.scale}
+
+    @classmethod
+    def of(cls, numbers: dict[str, np.ndarray]) -> GatedAttention:
+        out = cls()
+        out.p = {k: v for k, v in numbers.items() if k not in ("mean", "scale")}
+        out.mean, out.scale = numbers["mean"], numbers["scale"]
+        return out
+
     def score(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
         return self._forward(np.clip((x - self.mean) / self.scale, -8, 8), at)[-1]
 
@@ -147,7 +157,9 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, train_passages: int = TRAIN_PASSAGES) -> GatedAttention | float:
-    """A model of ``labels`` outside the held-out rows, or the only label there is (0.5 if none)."""
+    """A model of ``labels`` outside the held-out rows, or the only label there is (0.5 if none).
+
+    It is fitted on ``train_docs`` labels of least hash, and on twice as many documents at most, if ids repeat, again those of least hash."""
     marked = labels.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{label_col}`").cast("double").alias("y"))
     marked = marked.filter("label_id IS NOT NULL AND y IS NOT NULL").filter(~held_out(F.col("label_id")))
     sample = marked.orderBy(F.xxhash64("label_id"), "label_id", "y").limit(train_docs)  # bounded, so it may be broadcast
@@ -157,11 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
             for at, to, data, offs in chunks_of(b.column(0)):
                 x, first = passage_features(data, offs)
                 bags = [x[s:e] if e - s <= train_passages else x[np.linspace(s, e - 1, train_passages).astype(np.int64)] for s, e in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(1).slice(at, to - at), pa.array([v.tobytes() for v in bags], pa.binary())], ["y", "x"])
+                yield pa.RecordBatch.from_arrays([b.column(2).slice(at, to - at), b.column(1).slice(at, to - at), pa.array([v.tobytes() for v in bags], pa.binary())], ["h", "y", "x"])
 
     slim = keep_columns(docs, id_col, text_col)
-    joined = slim.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("text", "y").limit(2 * train_docs)  # ids may repeat
-    rows = joined.mapInArrow(run, "y double, x binary").collect()
+    joined = slim.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("text", "y", F.xxhash64("doc_id", "text").alias("h"))
+    rows = joined.mapInArrow(run, "h long, y double, x binary").orderBy("h", "y").limit(2 * train_docs).collect()  # ids may repeat
     rows.sort(key=lambda r: (r["y"], bytes(r["x"])))
     y = np.array([r["y"] for r in rows])
     if len(set(y.tolist())) < 2:
@@ -178,10 +190,10 @@ def score(docs: DataFrame, model: GatedAttention | float, id_col: str = "doc_id"
     Null, empty and blank texts are a bag of one passage without words, and scored like any other;
     repeated rows get the same score; an empty table gives an empty result; other columns are not looked at."""
     slim = keep_columns(docs, id_col, text_col)
-    given = slim.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
+    given = slim.sparkSession.sparkContext.broadcast(model if isinstance(model, float) else model.plain())  # a few thousand numbers; no class, which executors need not have
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = given.value
+        model = given.value if isinstance(given.value, float) else GatedAttention.of(given.value)
         for b in batches:
             for at, to, data, offs in chunks_of(b.column(1)):
                 x, first = passage_features(data, offs)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize
+from .common import bound_batches, fresh, materialize
 
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -27,6 +27,7 @@ def text_counts(docs: DataFrame, text_col: str = "text", run: int = RUN) -> Data
 
     A word repeats if a window of ``run`` words over it occurs twice or more in the text. The windows'
     hashes are compared; a text in which all differ, as in most, is done."""
+    bound_batches(docs.sparkSession)
     text, words, heads, hits, lines = fresh(docs, "rule_text", "rule_words", "rule_heads", "rule_hits", "rule_lines")
     n = F.size(F.col(words))
     step = docs.withColumn(text, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
@@ -104,7 +105,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: float = 0.6) -> DataFrame:
     """``docs`` without the rows that ``quality_rules`` rejects; rows are told apart by their place, so ``docs`` must be a table (files, or a checkpoint), not the outcome of a shuffle."""
-    (uid,) = fresh(docs, "rule_uid")
+    uid, kept_uid = fresh(docs, "rule_uid", "kept_uid")
     whole = docs.withColumn(uid, F.monotonically_increasing_id())
-    kept = quality_rules(whole, uid, text_col, host_col, limit).filter("kept").select(F.col("doc_id").alias("kept_uid"))
-    return whole.join(kept, F.col(uid) == F.col("kept_uid"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = quality_rules(whole, uid, text_col, host_col, limit).filter("kept").select(F.col("doc_id").alias(kept_uid))
+    return whole.join(kept, F.col(uid) == F.col(kept_uid), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -30,7 +30,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.verdicts(decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+    return decontam.verdicts(decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), matches=False))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

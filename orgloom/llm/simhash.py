@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_of, fresh, keep_columns, materialize, mix
+from .common import bound_batches, chunks_of, fresh, is_marked, keep_columns, materialize, mix, stage
 
 SEED = 42
 _U = np.uint64
@@ -110,8 +110,8 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
 
 
 def spread_of(df: DataFrame) -> int:
-    """Parts that keys are dealt to: several for each partition of a shuffle, so that those are about equal."""
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Parts that keys are dealt to: two for each partition of a shuffle, so that those are about equal."""
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def near_spanning(nodes: np.ndarray, prints: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -171,7 +171,7 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
 
     dealt = fps.select("fp").mapInArrow(deal, "part int, keys binary, c0 binary")
-    return dealt.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long")
+    return dealt.repartition(parts // 2, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -363,17 +363,21 @@ def candidates(prints: DataFrame, distance: int = WIDE_DISTANCE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     dealt = prints.select("set", "bits", "keys").mapInArrow(deal, "part int, keys binary, owner binary, nodes binary, bits binary")
-    return dealt.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long")
+    return dealt.repartition(parts // 2, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST) -> DataFrame:
+def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST, staged: tuple[str, str] | None = None) -> DataFrame:
     """(doc_id, component_id) of texts that links of a Jaccard index of ``least`` or more connect; ``id_col``: distinct longs.
 
     Sets of shingles meet if their wide fingerprints share a key of a segment's ball. A fingerprint is an estimate, which misses some pairs
     near 0.8; so sets meet by the first of their shingles too, which loses none. Of what meets, fingerprints that are near
     enough are candidates; and of what candidates connect, the index is counted. Only texts of different
-    shingles meet, so copies cost one row. Shingles and sets are told apart by 64-bit hashes."""
-    slim = keep_columns(docs, id_col, text_col)
+    shingles meet, so copies cost one row. Shingles and sets are told apart by 64-bit hashes.
+
+    staged: the columns of block and place of a staged table; they are in the result too, as block and place."""
+    bound_batches(docs.sparkSession)
+    where = [F.col(f"`{c}`").alias(n) for c, n in zip(staged, ("block", "place"), strict=True)] if staged else [F.lit(0).cast("long").alias("block"), F.lit(0).alias("place")]
+    slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *where)
     heat = shingle_heat(slim, shingle)
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,9 +387,9 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
                 prints = [wide_fingerprint(s) for s in sets]
                 prints = [(p, np.concatenate([k, prefix_keys(s, heat, least)])) for s, (p, k) in zip(sets, prints, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, to - at), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    [b.column(0).slice(at, to - at), b.column(2).slice(at, to - at), b.column(3).slice(at, to - at), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([p.tobytes() for p, _ in prints], pa.binary()), pa.array([k.tobytes() for _, k in prints], pa.binary())],
-                    ["doc_id", "set", "n", "bits", "keys"],
+                    ["doc_id", "block", "place", "set", "n", "bits", "keys"],
                 )
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,29 +415,30 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
         if len(nodes) > 1:
             yield found()
 
-    prints = materialize(slim.mapInArrow(sized, "doc_id long, set long, n long, bits binary, keys binary"), "sets")
+    prints = materialize(slim.mapInArrow(sized, "doc_id long, block long, place int, set long, n long, bits binary, keys binary"), "sets")
     blocks = components(candidates(prints))
-    classes = prints.groupBy("set").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"))
-    members = materialize(classes.join(blocks, F.col("set") == F.col("node")).select("first", "node", "root", "n"), "members")
+    classes = prints.groupBy("set").agg(F.min(F.struct("doc_id", "block", "place")).alias("first"), F.min("n").alias("n"))
+    members = materialize(classes.join(blocks, F.col("set") == F.col("node")).select(F.col("first.doc_id").alias("first"), "first.block", "first.place", "node", "root", "n"), "members")
     sizes = members.groupBy(F.col("root").alias("of_root")).agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
     placed = members.join(sizes, F.col("root") == F.col("of_root")).select("first", "node", "root", "chunks")
-    held = slim.join(placed, F.col("doc_id") == F.col("first")).select("text", "root", "chunks", "node")
+    chosen = is_marked(slim, "block", "place", members.select("block", "place"), "chosen").filter("chosen") if staged else slim  # only the texts of candidates are moved
+    held = chosen.join(placed, F.col("doc_id") == F.col("first")).select("text", "root", "chunks", "node")
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("lo"), F.greatest(chunk, j).alias("hi")))
     dealt = held.mapInArrow(with_sets, "root long, chunks int, node long, hashes binary").select("root", F.inline(pairs), "node", "hashes")
     edges = dealt.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "node").mapInArrow(verified, "a long, b long")
     roots = components(edges)
-    rooted = materialize(prints.join(roots, F.col("set") == F.col("node"), "left").select("doc_id", F.coalesce("root", "set").alias("root")), "rooted")
+    rooted = materialize(prints.join(roots, F.col("set") == F.col("node"), "left").select("doc_id", "block", "place", F.coalesce("root", "set").alias("root")), "rooted")
     first = rooted.groupBy(F.col("root").alias("top")).agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(first, F.col("root") == F.col("top")).select("doc_id", "component_id")
+    return rooted.join(first, F.col("root") == F.col("top")).select("doc_id", "component_id", *(["block", "place"] if staged else []))
 
 
 def dedup_similar(docs: DataFrame, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST) -> DataFrame:
     """``docs`` with the first row of each group of similar texts left, by place; ``docs`` must be a table (files, or a checkpoint), not the outcome of a shuffle.
 
     Null, empty and blank texts are one group; repeated rows are; an empty table gives an empty result."""
-    uid, gone_uid = fresh(docs, "near_uid", "gone_uid")
-    whole = docs.withColumn(uid, F.monotonically_increasing_id())
-    found = similar_groups(whole, uid, text_col, shingle, least)
-    gone = materialize(found.filter("doc_id != component_id").select(F.col("doc_id").alias(gone_uid)), "gone")
-    return whole.join(gone, F.col(uid) == F.col(gone_uid), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    uid, block, place, gone = fresh(docs, "near_uid", "near_block", "near_place", "near_gone")
+    whole, _ = stage(docs.withColumn(uid, F.monotonically_increasing_id()), text_col, block, place_col=place)
+    found = similar_groups(whole, uid, text_col, shingle, least, (block, place))
+    marks = materialize(found.filter("doc_id != component_id").select("block", "place"), "gone")
+    return is_marked(whole, block, place, marks, gone).filter(~F.col(gone)).select(*[F.col(f"`{c}`") for c in docs.columns])

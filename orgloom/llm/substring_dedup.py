@@ -16,7 +16,6 @@ costs one row for each block. The answer to a block is one bit for each hash.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, Rolling, WordHasher, chunks_of, keep_columns, materialize, mix, register_table, scratch_path, word_spans
+from .common import BLOCK_BYTES, MOST_BUCKETS, SPACE, WordHasher, chunks_of, keep_columns, materialize, mix, stage, window_hashes, word_spans
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ZERO = np.uint64(0)
 _SPREAD = np.uint64(0x5851F42D4C957F2D)
-_hash, _roll_a, _roll_b = WordHasher(11), Rolling(31), Rolling(43)
+_hash, _other_hash = WordHasher(11), WordHasher(43)
 #: Bytes of text that one pass works on.
 _CHUNK = 1 << 20
 
@@ -58,19 +57,19 @@ class _Piece:
     def __init__(self, data: np.ndarray, offs: np.ndarray, window: int):
         st, en, first = word_spans(data, offs, SPACE)
         self.window, self.first, self.n = window, first, len(st)
-        self.words = _hash(data, st, en)
+        self.words, self.others = _hash(data, st, en), _other_hash(data, st, en)
         counts = np.diff(first)
         left = np.repeat(first[1:], counts) - np.arange(self.n)  # words from here to the end of the document
         self.live = (left >= window)[: max(0, self.n - window + 1)]
 
     def picks(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(where live windows pick their stretch of k words, hashes there, second hashes there)."""
-        h = mix(_roll_a.windows(_roll_a.prefix(self.words), k)) | np.uint64(1)
+        h = window_hashes(self.words, k) | np.uint64(1)
         span = self.window - k + 1
         least = np.where(self.live, _slide(h, span, np.minimum), _ZERO)
         edge = np.zeros(span - 1, np.uint64)
         picked = _slide(np.concatenate([edge, least, edge]), span, np.maximum) == h
-        return picked, h[picked], mix(_roll_b.windows(_roll_b.prefix(self.words), k))[picked]
+        return picked, h[picked], window_hashes(self.others, k)[picked]
 
     def keep(self, k: int, picked: np.ndarray, h: np.ndarray, twice: np.ndarray) -> None:
         """Windows whose stretch does not occur twice are given up."""
@@ -136,36 +135,22 @@ def _answers(table: pa.Table) -> dict[int, dict[int, bytes]]:
     return out
 
 
-def _stage(slim: DataFrame, blocks: int) -> DataFrame:
-    """A written table of ``slim`` in ``blocks`` buckets, with the block of each row; no row changes its machine."""
-    spark = slim.sparkSession
-    n = F.lit(blocks)
-    ids = spark.range(0, 24 * blocks, numPartitions=1).groupBy(F.pmod(F.hash("id"), n).alias("slot")).agg(F.min("id").alias("id"))
-    by_slot = {r["slot"]: r["id"] for r in ids.collect()}  # one number for each bucket
-    ids_in_order = [by_slot[s] for s in sorted(by_slot)]
-    block = F.element_at(F.array(*[F.lit(x).cast("long") for x in ids_in_order]), (F.pmod(2 * F.spark_partition_id() + F.pmod(F.xxhash64("text"), F.lit(2)), F.lit(len(ids_in_order))) + 1).cast("int"))  # two blocks for each task that reads
-    name, path = f"orgloom_{uuid.uuid4().hex}", scratch_path(spark, "blocks")
-    register_table(spark, path, name)
-    slim.withColumn("block", block).write.bucketBy(blocks, "block").option("path", path).saveAsTable(name)
-    return spark.table(name)
-
-
-def repeated_passages(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None, shortest: int = 8) -> DataFrame:
+def repeated_passages(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, shortest: int = 8) -> DataFrame:
     """(doc_id, n_words, n_removed, spans array<struct<start,end>>, kept_text): one row for each row of ``docs``.
 
     Words are runs of bytes outside the six ASCII spaces. A word goes if any window that covers it
     starts anywhere else too, in the same text or another; spans count words. Null, empty and blank
     texts have no words and an empty ``kept_text``; texts shorter than the window stay; repeated rows
     repeat each other; an empty table gives an empty result; other columns are not looked at.
+    Words and windows are told apart by two hashes of 64 bits.
 
-    blocks: into how many blocks the corpus is staged (twice spark.sql.shuffle.partitions if None); a block
-    of text, and eight times its words, must fit a Python worker."""
+    block_bytes: about the bytes of text of a block, which a Python worker holds, with some twenty times its words; a longer text is a block of its own size."""
     spark: SparkSession = docs.sparkSession
     slim = keep_columns(docs, id_col, text_col)
     kind = slim.schema["doc_id"].dataType.simpleString()
-    blocks = blocks or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets, levels = blocks, levels_of(window, shortest)
-    staged = _stage(slim, blocks)
+    levels = levels_of(window, shortest)
+    staged, blocks = stage(slim, "text", "block", block_bytes)
+    buckets = min(blocks, MOST_BUCKETS)
     answers = spark.createDataFrame([], "block long, level int, bucket int, bits binary")
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -68,9 +68,20 @@ def lexical(urls: DataFrame) -> DataFrame:
     })
 
 
-def _rates(train: DataFrame, key: str, name: str, prior: float, weight: float = 20.0) -> DataFrame:
-    """Shrunk share of blocked URLs by ``key``; no more rows than training rows, which are bounded."""
-    return train.groupBy(F.col(key).alias(name + "_key")).agg(((F.sum("label") + weight * prior) / (F.count(F.lit(1)) + weight)).alias(name))
+#: Folds of the training rows: a row's rates come from the other folds, so that none knows its own label.
+FOLDS = 5
+
+
+def _rates(train: DataFrame, key: str, name: str, prior: float, weight: float = 20.0) -> tuple[DataFrame, DataFrame]:
+    """Shrunk share of blocked URLs by ``key``: of all rows, and, by fold, of the rows of other folds; no more rows than training rows and folds, which are bounded."""
+    rate = lambda n, s: (s + weight * prior) / (n + weight)
+    by_fold = train.groupBy(F.col(key).alias(name + "_key"), "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s"))
+    every = by_fold.groupBy(name + "_key").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
+    others = by_fold.join(every.withColumnRenamed(name + "_key", "of_key"), F.col(name + "_key").eqNullSafe(F.col("of_key")))
+    return (
+        every.select(name + "_key", rate(F.col("all_n"), F.col("all_s")).alias(name)),
+        others.select(name + "_key", F.col("fold").alias(name + "_fold"), rate(F.col("all_n") - F.col("n"), F.col("all_s") - F.col("s")).alias(name)),
+    )
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", train_rows: int = TRAIN_ROWS, trees: int = 12, depth: int = 4) -> DataFrame:
@@ -88,21 +99,23 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFra
         source = labelled.select(F.col("url").cast("string").alias("url"), F.col("label").cast("double").alias("label")).filter("label IS NOT NULL")
         source = source.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
     sample = source.orderBy(F.xxhash64("url"), "url", "label").limit(train_rows)
-    train = materialize(lexical(sample), "urls")
+    train = materialize(lexical(sample).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")), "urls")
     n, blocked = train.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or blocked in (0, n):
         constant = F.lit(1.0 if n and blocked else 0.0)
         return slim.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", F.when(constant > 0.5, "block").otherwise("allow")).alias("verdict"), constant.alias("p_block"))
     prior = blocked / n
-    rates = {name: materialize(_rates(train, key, name, prior), name) for key, name in (("top", "f_top_rate"), ("section", "f_section_rate"))}
+    keys = (("top", "f_top_rate"), ("section", "f_section_rate"))
+    rates = {name: [materialize(x, name) for x in _rates(train, key, name, prior)] for key, name in keys}
 
-    def whole(rows: DataFrame) -> DataFrame:
-        for (key, name) in (("top", "f_top_rate"), ("section", "f_section_rate")):
-            rows = rows.join(F.broadcast(rates[name]), F.col(key) == F.col(name + "_key"), "left").withColumn(name, F.coalesce(name, F.lit(prior))).drop(name + "_key")
+    def whole(rows: DataFrame, fitting: bool = False) -> DataFrame:
+        for key, name in keys:
+            on = F.col(key) == F.col(name + "_key")
+            rows = rows.join(F.broadcast(rates[name][fitting]), on & (F.col("fold") == F.col(name + "_fold")) if fitting else on, "left").withColumn(name, F.coalesce(name, F.lit(prior))).drop(name + "_key", name + "_fold")
         return rows
 
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=1).fit(assembler.transform(whole(train)).select("features", "label"))
+    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=1).fit(assembler.transform(whole(train, True)).select("features", "label"))
     scored = model.transform(assembler.transform(whole(lexical(slim))))
     verdict = F.coalesce("found.verdict", F.when(F.col("prediction") > 0.5, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", F.col("found.rule").alias("rule"), verdict.alias("verdict"), vector_to_array("probability")[1].alias("p_block"))
