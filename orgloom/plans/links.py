@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import joins
+from ..operators import joins, upserts
 from ..operators.upserts import first_by
 from ..sources.adapters import load, with_sql
 
@@ -56,26 +56,43 @@ def with_null(c: str) -> Column:
     return F.concat(F.sort_array(F.collect_set(c)), F.when(F.count_if(F.col(c).isNull()) > 0, F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>")))
 
 
-def linked_identities(issues: DataFrame, commits: DataFrame) -> DataFrame:
-    """What is linked to each reporter: sets of issues, projects, repositories and committers."""
-    c = keyed(commits, F.col("COMMIT_MESSAGE")).filter("EXTRACTED_KEY IS NOT NULL").select("EXTRACTED_KEY", "REPO", "AUTHOR_LOGIN")
-    met = issues.join(c, F.col("ISSUE_KEY") == F.col("EXTRACTED_KEY"))
-    return met.groupBy(F.col("REPORTER_ACCOUNT_ID").alias("person")).agg(*[set_text(x).alias(x.lower() + "s") for x in ("ISSUE_KEY", "PROJECT_KEY", "REPO", "AUTHOR_LOGIN")])
+ROLES_OF_ISSUES = ("CREATOR", "REPORTER", "ASSIGNEE")
 
 
-def lists_by_role(issues: DataFrame) -> DataFrame:
-    """Projects and issues by assignee and by reporter."""
-    branch = lambda c, role: issues.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("person")).agg(F.lit(role).alias("role"), set_text("PROJECT_KEY").alias("projects"), F.count(F.lit(1)).alias("n"))
-    return branch("ASSIGNEE_ACCOUNT_ID", "assignee").unionByName(branch("REPORTER_ACCOUNT_ID", "reporter"))
+def wide_links(issues: DataFrame, commits: DataFrame, prs: DataFrame) -> DataFrame:
+    """``story_links`` with who created, reported and was assigned the story, and who wrote and committed the commit or took part in the pull request."""
+    named = lambda r: [F.col(f"{r}_ACCOUNT_ID").alias(f"JIRA_{r}_ID"), F.concat(F.lit("Name "), f"{r}_ACCOUNT_ID").alias(f"JIRA_{r}_NAME"), F.concat(F.lit("p"), f"{r}_ACCOUNT_ID", F.lit("@j.com")).alias(f"JIRA_{r}_EMAIL")]
+    who = issues.select(F.col("ISSUE_KEY").alias("KEY_OF"), F.expr("substr(ISSUE_KEY, 5)").alias("STORY_ID"), "PROJECT_KEY", "PROJECT_NAME", *[c for r in ROLES_OF_ISSUES for c in named(r)])
+    c = commits.select(F.col("COMMIT_SHA").alias("SHA_OF"), "REPO", *[F.col(f"{r}_{x}").alias(f"GH_{r}_{x}") for r in ("AUTHOR", "COMMITTER") for x in ("ID", "LOGIN", "EMAIL") if f"{r}_{x}" in commits.columns])
+    p = prs.select(F.col("INTERNAL_ID").alias("PR_OF"), F.col("ROLE_IN_PR").alias("ROLE_OF"), F.col("USER_ID").alias("PR_USER_ID"), F.col("USER_LOGIN").alias("PR_USER_LOGIN")).distinct()
+    met = story_links(issues, commits, prs).join(who, F.col("ISSUE_KEY") == F.col("KEY_OF")).join(c, F.col("COMMIT_SHA") == F.col("SHA_OF"), "left")
+    return met.join(p, (F.col("PR_ID") == F.col("PR_OF")) & (F.col("ROLE_IN_PR") == F.col("ROLE_OF")), "left").withColumnRenamed("ISSUE_KEY", "STORY_KEY").drop("KEY_OF", "SHA_OF", "PR_OF", "ROLE_OF")
 
 
-def person_arrays(issues: DataFrame, commits: DataFrame) -> DataFrame:
-    """Of each assignee: distinct projects (null being one), and the repositories of the same id's commits, or none."""
-    a = issues.groupBy(F.col("ASSIGNEE_ACCOUNT_ID").alias("person")).agg(with_null("PROJECT_KEY").alias("p"), F.max("PROJECT_NAME").alias("any_project"))
-    b = commits.filter("AUTHOR_ID IS NOT NULL").groupBy(F.col("AUTHOR_ID").alias("gid")).agg(F.sort_array(F.collect_set("REPO")).alias("r"))
-    out = a.join(b, F.col("person") == F.col("gid"), "left")
-    shown = F.array_join("p", ",", "null")
-    return out.select("person", shown.alias("projects"), "any_project", F.array_join(F.coalesce("r", F.array().cast("array<string>")), ",").alias("repos"))
+LINKED = ["JIRA_CREATOR_NAME", "JIRA_CREATOR_EMAIL", "JIRA_REPORTER_ID", "JIRA_REPORTER_NAME", "JIRA_REPORTER_EMAIL", "JIRA_ASSIGNEE_ID", "JIRA_ASSIGNEE_NAME", "JIRA_ASSIGNEE_EMAIL", "STORY_ID", "STORY_KEY", "REPO", "GH_AUTHOR_ID", "GH_AUTHOR_LOGIN", "GH_AUTHOR_EMAIL", "GH_COMMITTER_ID", "GH_COMMITTER_LOGIN", "GH_COMMITTER_EMAIL", "PR_USER_ID", "PR_USER_LOGIN"]
+
+
+def linked_identities(links: DataFrame) -> DataFrame:
+    """By creator, of links that have a creator, a reporter and an assignee: the distinct values of everything else, in order."""
+    known = [c for c in LINKED if c in links.columns]
+    return links.dropna(subset=[f"JIRA_{r}_ID" for r in ROLES_OF_ISSUES]).groupBy("JIRA_CREATOR_ID").agg(*[set_text(c).alias(c.lower() + "s") for c in known])
+
+
+def lists_by_name(links: DataFrame) -> DataFrame:
+    """Stories and repositories by the name of the creator, of the reporter and of the assignee."""
+    branch = lambda r: links.filter(F.col(f"JIRA_{r}_NAME").isNotNull()).groupBy(F.col(f"JIRA_{r}_NAME").alias("name")).agg(F.lit(r.lower()).alias("role"), *[set_text(c).alias(c.lower() + "s") for c in ("STORY_ID", "STORY_KEY", "REPO")])
+    return reduce(DataFrame.unionByName, [branch(r) for r in ROLES_OF_ISSUES])
+
+
+ARTEFACTS = ["STORY_KEY", "STORY_ID", "EPIC_KEY", "EPIC_ID", "PROJECT_KEY", "PROJECT_NAME", "REPO"]
+
+
+def person_arrays(people: DataFrame, interactions: DataFrame) -> DataFrame:
+    """Each of ``people`` (GITHUB_ID, NAME) with the largest name, login and id of their interactions, and seven arrays of what they touched: distinct values in order, a null at the end if there was one, and empty for people without interactions."""
+    per = interactions.filter("GITHUB_ID IS NOT NULL").groupBy(F.col("GITHUB_ID").alias("gid")).agg(*[F.max(c).alias(f"any_{c}") for c in ("GITHUB_LOGIN", "JIRA_ID")], *[with_null(c).alias(f"{c}S") for c in ARTEFACTS])
+    none = F.array().cast("array<string>")
+    out = people.join(per, F.col("GITHUB_ID") == F.col("gid"), "left")
+    return out.select("GITHUB_ID", "NAME", F.col("any_GITHUB_LOGIN").alias("GITHUB_LOGIN"), F.col("any_JIRA_ID").alias("JIRA_ID"), *[F.coalesce(f"{c}S", none).alias(f"{c}S") for c in ARTEFACTS])
 
 
 def story_links(issues: DataFrame, commits: DataFrame, prs: DataFrame) -> DataFrame:
@@ -117,21 +134,52 @@ def person_attributes(commits: DataFrame, issues: DataFrame) -> DataFrame:
     return a.join(b, F.col("person") == F.col("gid"), "left").select("person", some("p").alias("projects"), some("r").alias("repos"), "status")
 
 
-def identity_signals(commits: DataFrame, prs: DataFrame) -> DataFrame:
-    """Distinct traces of a person (fingerprint of id, login, name, email) and where they were seen."""
-    a = commits.select(F.col("AUTHOR_ID").alias("id"), F.col("AUTHOR_LOGIN").alias("login"), F.col("AUTHOR_NAME").alias("name"), F.lower(F.col("AUTHOR_EMAIL")).alias("email"), F.concat(F.lit("COMMITS_AUTHOR:"), "COMMIT_SHA").alias("source"))
-    b = prs.select(F.col("USER_ID").alias("id"), F.col("USER_LOGIN").alias("login"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("email"), F.concat(F.lit("PRS_"), "ROLE_IN_PR", F.lit(":"), "INTERNAL_ID").alias("source"))
-    rows = a.unionByName(b).filter("coalesce(id, login, name, email) IS NOT NULL").withColumn("fp", text.fingerprint(*[F.col(c) for c in ("id", "login", "name", "email")]))
-    return rows.groupBy("fp").agg(F.max("id").alias("id"), F.max("login").alias("login"), F.max("name").alias("name"), F.max("email").alias("email"), F.count_distinct("source").alias("n_sources"), F.min("source").alias("first_source"))
+def identity_signals(commits: DataFrame, prs: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """Distinct traces of a person (fingerprint of id, login, email, name and the profile's email and name) and where they were seen, in order.
+
+    ``users`` (ID, LOGIN, NAME, EMAIL, ORD) fill in: by id, or else by login; of repeated keys the last counts."""
+    row = lambda df, i, login, email, name, source: df.select(F.col(i).alias("id"), F.col(login).alias("login"), (text.blank_to_null(F.lower(email)) if email else F.lit(None).cast("string")).alias("email"), (F.col(name) if name else F.lit(None).cast("string")).alias("name"), source.alias("source"))
+    rows = row(commits, "AUTHOR_ID", "AUTHOR_LOGIN", "AUTHOR_EMAIL", "AUTHOR_NAME", F.concat(F.lit("COMMITS_AUTHOR:"), "COMMIT_SHA"))
+    if "COMMITTER_LOGIN" in commits.columns:
+        rows = rows.unionByName(row(commits, "COMMITTER_ID", "COMMITTER_LOGIN", "COMMITTER_EMAIL", "COMMITTER_NAME", F.concat(F.lit("COMMITS_COMMITTER:"), "COMMIT_SHA")))
+    rows = rows.filter(F.coalesce(*[F.nullif(c, F.lit("")) for c in ("id", "login", "name", "email")]).isNotNull())
+    pulls = row(prs, "USER_ID", "USER_LOGIN", None, None, F.concat(F.lit("PRS_"), "ROLE_IN_PR", F.lit(":"), "INTERNAL_ID")).filter(F.coalesce(F.nullif("id", F.lit("")), F.nullif("login", F.lit(""))).isNotNull())
+    rows = rows.unionByName(pulls)
+    if users is None:
+        rows = rows.withColumns({"profile_name": F.lit(None).cast("string"), "profile_email": F.lit(None).cast("string")})
+    else:
+        last = lambda key, tag: first_by(users.filter(F.col(key).isNotNull()), [key], [F.desc("ORD")]).select(F.col("ID").alias(f"{tag}_id"), F.col("LOGIN").alias(f"{tag}_login"), F.col("NAME").alias(f"{tag}_name"), text.blank_to_null(F.lower("EMAIL")).alias(f"{tag}_email"), F.lit(True).alias(f"{tag}_there"))
+        met = rows.join(last("ID", "a"), F.col("id") == F.col("a_id"), "left").join(last("LOGIN", "b"), F.col("login") == F.col("b_login"), "left")
+        pick = lambda c: F.when(F.col("a_there"), F.col(f"a_{c}")).otherwise(F.col(f"b_{c}"))
+        rows = met.select(text.first_filled(F.col("id"), pick("id")).alias("id"), text.first_filled(F.col("login"), pick("login")).alias("login"), "email", "name", "source", pick("name").alias("profile_name"), pick("email").alias("profile_email"))
+    parts = ("id", "login", "email", "name", "profile_email", "profile_name")
+    return rows.withColumn("fp", text.fingerprint(*[F.col(c) for c in parts])).groupBy("fp").agg(*[F.max(c).alias(c) for c in parts], F.sort_array(F.collect_list("source")).alias("sources"))
+
+
+def merged_signals(old: DataFrame, new: DataFrame) -> DataFrame:
+    """New signals over old ones, by fingerprint: the new values, and both lists of sources without repeats."""
+    return upserts.merge(old, new, ["fp"], {c: "union" if c == "sources" else "new" for c in new.columns if c != "fp"})
 
 
 def pending_links(prs: DataFrame, issues: DataFrame) -> DataFrame:
-    """Pull requests with an issue key of which the hash is not among those done (every third is)."""
-    links = keyed(prs, text.join_text(F.col("TITLE"), F.col("BODY"))).join(issues.select("ISSUE_KEY", "ASSIGNEE_ACCOUNT_ID"), F.col("EXTRACTED_KEY") == F.col("ISSUE_KEY"))
-    links = links.select("ORD", text.link_hash(F.col("INTERNAL_ID"), F.col("USER_LOGIN"), F.col("ROLE_IN_PR"), F.col("ISSUE_KEY")).alias("link_hash"))
+    """Pull requests with the issue that they name, of which the hash is not among those done (those of every fourth ORD are)."""
+    links = keyed(prs, text.join_text(F.col("TITLE"), F.col("BODY"))).join(issues.select("ISSUE_KEY", "ASSIGNEE_ACCOUNT_ID", "SUMMARY", "DESCRIPTION"), F.col("EXTRACTED_KEY") == F.col("ISSUE_KEY"))
+    links = links.select("ORD", text.link_hash(F.col("INTERNAL_ID"), F.col("USER_LOGIN"), F.col("ROLE_IN_PR"), F.col("ISSUE_KEY")).alias("link_hash"), "ASSIGNEE_ACCOUNT_ID", "SUMMARY", "DESCRIPTION")
     return links.join(links.filter("ORD % 4 = 0").select("link_hash").distinct(), "link_hash", "left_anti")
 
 
+def unknown_logins(prs: DataFrame, matched: DataFrame) -> DataFrame:
+    """The last row of each login that is neither a matched login nor among the aliases; NOT IN, with its rule for nulls."""
+    known = matched.select("GITHUB_LOGIN").union(matched.select(F.explode("GITHUB_LOGIN_ALIAS"))).distinct()
+    last = first_by(prs, ["USER_LOGIN"], [F.desc_nulls_last("UPDATED_AT"), F.asc("ORD")])
+    return joins.not_in(last, "USER_LOGIN", known, "GITHUB_LOGIN").select(F.col("USER_ID").alias("GITHUB_ID"), F.col("USER_LOGIN").alias("GITHUB_LOGIN"))
+
+
+def full_rows(matches: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Matches with the whole row of their account; an id that several rows have gives several."""
+    return matches.join(accounts.withColumnRenamed("ID", "ACCOUNT_ID"), F.col("GITHUB_ID") == F.col("ACCOUNT_ID"), "left").drop("ACCOUNT_ID")
+
+
 def first_diff(diffs: DataFrame) -> DataFrame:
     """The earliest diff of each committer, of equals the first path."""
     return diffs.groupBy("COMMITTER_ID").agg(F.min(F.struct("ORD", "FILE_PATH", "COMMIT_SHA")).alias("d")).select("COMMITTER_ID", "d.ORD", "d.FILE_PATH", "d.COMMIT_SHA")
@@ -146,11 +194,18 @@ def budget(diffs: DataFrame, limit: int, crossing: bool) -> DataFrame:
     return n.filter((F.col("nth") == 1) | (F.col("upto") <= limit)).drop("upto", "nth")
 
 
-def budget_text(diffs: DataFrame, limit: int) -> DataFrame:
-    """The budget's diffs of each committer as one text, newest first; its size and number."""
-    kept = budget(diffs, limit, crossing=True)
-    parts = F.array_sort(F.collect_list(F.struct((-F.col("ORD")).alias("o"), F.concat(F.lit("### "), "FILE_PATH", F.lit("\n"), "DIFF", F.lit("\n")).alias("t"))))
-    return kept.groupBy("COMMITTER_ID").agg(F.count(F.lit(1)).alias("n_diffs"), F.sum("N").alias("n_chars"), F.md5(F.array_join(F.transform(parts, lambda x: x["t"]), "")).alias("text_md5"))
+def budget_blocks(diffs: DataFrame, limit: int = 100_000) -> DataFrame:
+    """(COMMITTER_ID, COMMITTER_NAME, DIFF_COUNTS, AGGREGATED_DIFFS, AGGREGATED_DIFF_LENGTH, FIRST_DIFF) of each committer: blocks of their diffs, newest first, up to the one that crosses ``limit``.
+
+    Diffs that are null or empty, or of nobody, are left out. The name is that of the last block; the first diff is the oldest of all, of equals that of the first path."""
+    rows = diffs.filter("COMMITTER_ID IS NOT NULL AND DIFF IS NOT NULL AND DIFF != ''")
+    line = lambda name, c: F.concat(F.lit(f"--- {name}: "), F.col(c).cast("string"), F.lit(" ---\n"))
+    block = F.concat(line("START OF COMMIT", "COMMIT_SHA"), line("TIMESTAMP", "ORD"), line("REPO", "REPO"), line("FILE_PATH", "FILE_PATH"), F.lit("\n"), "DIFF", F.lit("\n\n"), line("END OF COMMIT", "COMMIT_SHA"))
+    kept = budget(rows.withColumn("block", block).withColumn("N", F.length("block")), limit, crossing=True)
+    parts = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("ORD")).alias("o"), "FILE_PATH", "block"))), lambda x: x["block"])
+    made = kept.groupBy("COMMITTER_ID").agg(F.min_by("COMMITTER_NAME", "ORD").alias("COMMITTER_NAME"), F.count(F.lit(1)).alias("DIFF_COUNTS"), F.array_join(parts, "\n\n### NEXT CODE CHANGE ###\n\n").alias("AGGREGATED_DIFFS"))
+    first = rows.groupBy(F.col("COMMITTER_ID").alias("of")).agg(F.min(F.struct("ORD", "FILE_PATH", "DIFF")).alias("f"))
+    return made.join(first, F.col("COMMITTER_ID") == F.col("of")).select("COMMITTER_ID", "COMMITTER_NAME", "DIFF_COUNTS", "AGGREGATED_DIFFS", F.length("AGGREGATED_DIFFS").cast("bigint").alias("AGGREGATED_DIFF_LENGTH"), F.col("f.DIFF").alias("FIRST_DIFF"))
 
 
 def capped(diffs: DataFrame, inner: int, outer: int) -> DataFrame:
@@ -161,9 +216,12 @@ def capped(diffs: DataFrame, inner: int, outer: int) -> DataFrame:
     return named.withColumn("i", F.row_number().over(a)).filter(F.col("i") <= inner).withColumn("o", F.row_number().over(b)).filter(F.col("o") <= outer).select("COMMITTER_ID", "EXT", "ORD", "FILE_PATH")
 
 
-def commit_rollup(rows: DataFrame) -> DataFrame:
-    """By commit: repositories, paths, sums of lines, first time."""
-    return rows.groupBy("COMMIT_SHA").agg(set_text("REPO").alias("repos"), set_text("FILE_PATH").alias("paths"), F.sum("ADDED").alias("added"), F.sum("REMOVED").alias("removed"), F.min("TS").alias("first_at"), F.count(F.lit(1)).alias("n"))
+def commit_rollup(diffs: DataFrame) -> DataFrame:
+    """By commit: sets of repositories and paths, the list of diffs in order, sums of lines, the first message and time."""
+    return diffs.groupBy("COMMIT_SHA").agg(
+        set_text("REPO").alias("repos"), set_text("FILE_PATH").alias("paths"), F.transform(F.array_sort(F.collect_list(F.struct("ORD", "DIFF"))), lambda x: x["DIFF"]).alias("diffs"),
+        F.sum("ADDED").alias("added"), F.sum("REMOVED").alias("removed"), F.min_by("COMMIT_MESSAGE", "ORD").alias("message"), F.min("ORD").alias("first_at"),
+    )
 
 
 _KEY = r"CASE WHEN regexp_matches({0}, '\b[A-Z]{{2,5}}[-_][0-9]+\b') THEN regexp_extract({0}, '\b([A-Z]{{2,5}})[-_]([0-9]+)\b', 1) || '-' || regexp_extract({0}, '\b([A-Z]{{2,5}})[-_]([0-9]+)\b', 2) WHEN regexp_matches({0}, '(?i)story/[a-z]{{2,5}}[ _-][0-9]+') THEN upper(regexp_extract({0}, '(?i)story/([a-z]{{2,5}})[ _-]([0-9]+)', 1)) || '-' || regexp_extract({0}, '(?i)story/([a-z]{{2,5}})[ _-]([0-9]+)', 2) END"
@@ -181,60 +239,128 @@ def _q(f, *names):
 
 
 def _users(matched: DataFrame) -> DataFrame:
-    return matched.select("GITHUB_ID", "GITHUB_LOGIN").filter("CAST(GITHUB_ID AS INT) % 5 = 0").distinct()
+    return matched.select("GITHUB_ID", "GITHUB_LOGIN").distinct()
+
+
+def _committers(s, d) -> DataFrame:
+    """Commits with the committer's account too."""
+    return load(s, d, "commits").withColumns({"COMMITTER_LOGIN": F.concat(F.lit("login"), "COMMITTER_ID"), "COMMITTER_EMAIL": F.concat(F.lit("c"), "COMMITTER_ID", F.lit("@x.com"))})
+
+
+def _linked(s, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return load(s, d, "issues"), _committers(s, d), load(s, d, "prs")
+
+
+def _touched(s, d) -> tuple[DataFrame, DataFrame]:
+    """People, and what they touched: the issues of their people, and the repositories of their commits."""
+    people = load(s, d, "diffs").filter("COMMITTER_ID IS NOT NULL").groupBy(F.col("COMMITTER_ID").alias("GITHUB_ID")).agg(F.min("COMMITTER_NAME").alias("NAME"))
+    m = load(s, d, "matched").select("JIRA_ID", "GITHUB_ID", "GITHUB_LOGIN")
+    null = F.lit(None).cast("string")
+    i = load(s, d, "issues").join(m, F.col("ASSIGNEE_ACCOUNT_ID") == F.col("JIRA_ID")).select("GITHUB_ID", "GITHUB_LOGIN", "JIRA_ID", F.col("ISSUE_KEY").alias("STORY_KEY"), F.expr("substr(ISSUE_KEY, 5)").alias("STORY_ID"), F.concat(F.lit("K"), "PARENT_ID").alias("EPIC_KEY"), F.col("PARENT_ID").alias("EPIC_ID"), "PROJECT_KEY", "PROJECT_NAME", null.alias("REPO"))
+    c = load(s, d, "commits").select(F.col("AUTHOR_ID").alias("GITHUB_ID"), F.col("AUTHOR_LOGIN").alias("GITHUB_LOGIN"), null.alias("JIRA_ID"), *[null.alias(x) for x in ARTEFACTS if x != "REPO"], "REPO")
+    return people, i.unionByName(c)
+
+
+def _joined(df: DataFrame) -> DataFrame:
+    """Arrays as text, a null in them as 'null'; long ones by their digest."""
+    return df.select(*[F.md5(F.array_join(c, ",", "null")).alias(c) if df.schema[c].dataType.typeName() == "array" else F.col(c) for c in df.columns])
+
+
+def _aliased(s, d) -> DataFrame:
+    """Matched people with other logins of theirs."""
+    return load(s, d, "matched").select("GITHUB_LOGIN", F.expr("CASE WHEN CAST(JIRA_ID AS INT) % 3 = 0 THEN array('login' || CAST(30 + CAST(JIRA_ID AS INT) % 6 AS STRING), 'other' || JIRA_ID) END").alias("GITHUB_LOGIN_ALIAS"))
+
+
+def _profiles(s, d) -> DataFrame:
+    return load(s, d, "github_users").select("ID", F.expr("'login' || CAST(ORD % 45 AS STRING)").alias("LOGIN"), F.col("DISPLAY_NAME").alias("NAME"), F.upper("EMAIL").alias("EMAIL"), "ORD")
+
+
+def _signals(s, d, half: int | None = None) -> DataFrame:
+    c = _committers(s, d)
+    return identity_signals(c.filter(f"ascii(COMMIT_SHA) % 2 = {half}") if half is not None else c, load(s, d, "prs"), _profiles(s, d))
+
+
+def _sources(df: DataFrame) -> DataFrame:
+    return df.withColumns({"n_sources": F.size("sources").cast("bigint"), "sources": F.md5(F.array_join(F.sort_array("sources"), ","))})
 
 
 QUERIES = {
     "modal_role": lambda s, d: modal_role(load(s, d, "commits"), "AUTHOR_ID", "REPO"),
-    "latest_pr_row_per_login": lambda s, d: latest_by_login(load(s, d, "prs"), load(s, d, "matched").select("GITHUB_LOGIN").filter("GITHUB_LOGIN < 'login2'")),
+    "latest_pr_row_per_login": _q(latest_by_login, "prs", "matched"),
     "unmatched_logins": lambda s, d: joins.not_in(load(s, d, "prs").select("USER_LOGIN").distinct(), "USER_LOGIN", load(s, d, "matched"), "GITHUB_LOGIN"),
     "null_aware_not_in": lambda s, d: joins.not_in(load(s, d, "prs").select("USER_ID").distinct(), "USER_ID", load(s, d, "matched"), "GITHUB_ID"),
     "representative_user": _q(representative_user, "commits", "prs"),
     "consolidated_users": _q(consolidated_users, "commits", "prs"),
     "issue_key_extract": lambda s, d: keyed(load(s, d, "commits"), F.col("COMMIT_MESSAGE")).select("COMMIT_SHA", "EXTRACTED_KEY"),
     "pr_issue_key": lambda s, d: keyed(load(s, d, "prs"), text.join_text(F.col("TITLE"), F.col("BODY"))).select("ORD", "EXTRACTED_KEY"),
-    "linked_identities": _q(linked_identities, "issues", "commits"),
-    "by_name_lists": _q(lists_by_role, "issues"),
-    "person_arrays": _q(person_arrays, "issues", "commits"),
+    "linked_identities": lambda s, d: linked_identities(wide_links(*_linked(s, d))),
+    "by_name_lists": lambda s, d: lists_by_name(wide_links(*_linked(s, d))),
+    "person_arrays": lambda s, d: _joined(person_arrays(*_touched(s, d))),
+    "unknown_logins": lambda s, d: unknown_logins(load(s, d, "prs"), _aliased(s, d)),
+    "full_rows": lambda s, d: full_rows(load(s, d, "matched").select("JIRA_ID", "GITHUB_ID"), load(s, d, "github_users").select("ID", "LOGIN", "EMAIL").unionByName(load(s, d, "github_users").filter("ORD % 10 = 1").select("ID", F.concat("LOGIN", F.lit("b")).alias("LOGIN"), "EMAIL"))),
     "story_links": _q(story_links, "issues", "commits", "prs"),
     "all_interactions": _q(all_interactions, "issues", "commits", "prs", "matched"),
-    "commits_missing_diffs": lambda s, d: commits_missing_diffs(load(s, d, "commits"), _users(load(s, d, "matched")), load(s, d, "commits").filter("substr(COMMIT_SHA, 1, 1) < '8'")),
+    "commits_missing_diffs": lambda s, d: commits_missing_diffs(load(s, d, "commits"), _users(load(s, d, "matched")), load(s, d, "commit_files").filter("STATUS != 'removed'")),
     "person_attributes": _q(person_attributes, "commits", "issues"),
-    "identity_signals": _q(identity_signals, "commits", "prs"),
-    "link_hash_pending": _q(pending_links, "prs", "issues"),
+    "identity_signals": lambda s, d: _sources(_signals(s, d)),
+    "merged_signals": lambda s, d: _sources(merged_signals(_signals(s, d, 0), _signals(s, d, 1))).select("fp", "name", "sources", "n_sources"),
+    "link_hash_pending": lambda s, d: pending_links(load(s, d, "prs"), load(s, d, "issues")).select("ORD", "link_hash"),
     "first_diff": _q(first_diff, "diffs"),
     "diff_budget_inclusive": lambda s, d: budget(load(s, d, "diffs"), 30_000, True).select("COMMITTER_ID", "ORD"),
     "diff_budget_exclusive": lambda s, d: budget(load(s, d, "diffs"), 30_000, False).select("COMMITTER_ID", "ORD"),
-    "diff_budget_text": lambda s, d: budget_text(load(s, d, "diffs"), 30_000),
+    "diff_budget_text": lambda s, d: budget_blocks(load(s, d, "diffs"), 30_000).withColumns({c: F.md5(c) for c in ("AGGREGATED_DIFFS", "FIRST_DIFF")}),
     "diff_caps": lambda s, d: capped(load(s, d, "diffs"), 10, 20),
-    "commit_rollup": _q(commit_rollup, "rollup"),
+    "commit_rollup": lambda s, d: commit_rollup(load(s, d, "diffs")).withColumn("diffs", F.md5(F.array_join("diffs", "|"))),
 }
 _STORY = f"""c AS (SELECT * FROM (SELECT {_CKEY} AS ck, COMMIT_SHA, REPO, AUTHOR_LOGIN FROM commits) WHERE ck IS NOT NULL),
 pt AS (SELECT *, {_PTEXT} AS PTEXT FROM prs), p AS (SELECT * FROM (SELECT {_PKEY} AS pk, * FROM pt) WHERE pk IS NOT NULL)"""
+_WIDE = f"""{_STORY}, sl AS (SELECT ISSUE_KEY AS STORY_KEY, COMMIT_SHA, INTERNAL_ID AS PR_ID, ROLE_IN_PR FROM (SELECT * FROM issues WHERE ISSUE_TYPE = 'Story') i LEFT JOIN c ON ISSUE_KEY = ck LEFT JOIN p ON ISSUE_KEY = pk WHERE ISSUE_KEY IN (SELECT ck FROM c UNION SELECT pk FROM p)),
+w AS (SELECT STORY_KEY, substr(STORY_KEY, 5) AS STORY_ID, {", ".join(f"i.{r}_ACCOUNT_ID AS JIRA_{r}_ID, 'Name ' || i.{r}_ACCOUNT_ID AS JIRA_{r}_NAME, 'p' || i.{r}_ACCOUNT_ID || '@j.com' AS JIRA_{r}_EMAIL" for r in ROLES_OF_ISSUES)},
+m.REPO, m.AUTHOR_ID AS GH_AUTHOR_ID, m.AUTHOR_LOGIN AS GH_AUTHOR_LOGIN, m.AUTHOR_EMAIL AS GH_AUTHOR_EMAIL, m.COMMITTER_ID AS GH_COMMITTER_ID, 'login' || m.COMMITTER_ID AS GH_COMMITTER_LOGIN, 'c' || m.COMMITTER_ID || '@x.com' AS GH_COMMITTER_EMAIL, u.USER_ID AS PR_USER_ID, u.USER_LOGIN AS PR_USER_LOGIN
+FROM sl JOIN issues i ON i.ISSUE_KEY = STORY_KEY LEFT JOIN commits m ON m.COMMIT_SHA = sl.COMMIT_SHA LEFT JOIN (SELECT DISTINCT INTERNAL_ID, ROLE_IN_PR, USER_ID, USER_LOGIN FROM prs) u ON u.INTERNAL_ID = PR_ID AND u.ROLE_IN_PR = sl.ROLE_IN_PR)"""
+_SIGNALS = """pf AS (SELECT ID, 'login' || (ORD % 45) AS LOGIN, DISPLAY_NAME AS NAME, nullif(trim(lower(upper(EMAIL))), '') AS EMAIL, ORD FROM github_users), pl AS (SELECT * FROM pf QUALIFY row_number() OVER (PARTITION BY LOGIN ORDER BY ORD DESC) = 1),
+s0 AS (SELECT AUTHOR_ID AS id, AUTHOR_LOGIN AS login, nullif(trim(lower(AUTHOR_EMAIL)), '') AS email, AUTHOR_NAME AS name, 'COMMITS_AUTHOR:' || COMMIT_SHA AS source FROM commits UNION ALL SELECT COMMITTER_ID, 'login' || COMMITTER_ID, 'c' || COMMITTER_ID || '@x.com', COMMITTER_NAME, 'COMMITS_COMMITTER:' || COMMIT_SHA FROM commits
+UNION ALL SELECT USER_ID, USER_LOGIN, NULL, NULL, 'PRS_' || ROLE_IN_PR || ':' || INTERNAL_ID FROM prs),
+s AS (SELECT coalesce(s0.id, CASE WHEN a.ID IS NOT NULL THEN a.ID ELSE b.ID END) AS id, coalesce(s0.login, CASE WHEN a.ID IS NOT NULL THEN a.LOGIN ELSE b.LOGIN END) AS login, s0.email AS email, s0.name AS name, source, CASE WHEN a.ID IS NOT NULL THEN a.NAME ELSE b.NAME END AS profile_name, CASE WHEN a.ID IS NOT NULL THEN a.EMAIL ELSE b.EMAIL END AS profile_email
+FROM s0 LEFT JOIN pf a ON a.ID = s0.id LEFT JOIN pl b ON b.LOGIN = s0.login)"""
+_FP = " || '|' || ".join(f"coalesce({c}, 'none')" for c in ("id", "login", "email", "name", "profile_email", "profile_name"))
+_MAXES = ", ".join(f"max({c}) AS {c}" for c in ("id", "login", "email", "name", "profile_email", "profile_name"))
 ORACLES = {
     "modal_role": with_sql("WITH n AS (SELECT AUTHOR_ID AS person, REPO AS role, count(*) AS n FROM commits GROUP BY ALL) SELECT person, role, n FROM (SELECT *, row_number() OVER (PARTITION BY person ORDER BY n DESC, role) AS r FROM n) WHERE r = 1", "commits"),
-    "latest_pr_row_per_login": with_sql("SELECT USER_LOGIN, USER_ID, UPDATED_AT, ORD FROM (SELECT *, row_number() OVER (PARTITION BY USER_LOGIN ORDER BY UPDATED_AT DESC NULLS LAST, ORD) AS r FROM prs) WHERE r = 1 AND USER_LOGIN NOT IN (SELECT GITHUB_LOGIN FROM matched WHERE GITHUB_LOGIN < 'login2')", "prs", "matched"),
+    "latest_pr_row_per_login": with_sql("SELECT USER_LOGIN, USER_ID, UPDATED_AT, ORD FROM (SELECT *, row_number() OVER (PARTITION BY USER_LOGIN ORDER BY UPDATED_AT DESC NULLS LAST, ORD) AS r FROM prs) WHERE r = 1 AND USER_LOGIN NOT IN (SELECT GITHUB_LOGIN FROM matched)", "prs", "matched"),
     "unmatched_logins": with_sql("SELECT DISTINCT USER_LOGIN FROM prs WHERE USER_LOGIN NOT IN (SELECT GITHUB_LOGIN FROM matched)", "prs", "matched"),
     "null_aware_not_in": with_sql("SELECT DISTINCT USER_ID FROM prs WHERE USER_ID NOT IN (SELECT GITHUB_ID FROM matched)", "prs", "matched"),
     "representative_user": with_sql("WITH b AS (SELECT AUTHOR_ID AS ID, AUTHOR_NAME AS NAME, AUTHOR_EMAIL AS EMAIL FROM commits UNION ALL SELECT USER_ID, USER_LOGIN, NULL FROM prs) SELECT ID, NAME, EMAIL FROM (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY NAME NULLS LAST, EMAIL NULLS LAST) AS r FROM b WHERE ID IS NOT NULL) WHERE r = 1", "commits", "prs"),
     "consolidated_users": with_sql("WITH b AS (SELECT AUTHOR_LOGIN AS LOGIN, AUTHOR_ID AS ID, AUTHOR_NAME AS NAME, AUTHOR_EMAIL AS EMAIL FROM commits UNION ALL SELECT USER_LOGIN, USER_ID, NULL, NULL FROM prs) SELECT LOGIN, max(ID) AS ID, min(NAME) AS NAME, min(EMAIL) AS EMAIL, count(*) AS n_rows FROM b GROUP BY LOGIN", "commits", "prs"),
     "issue_key_extract": with_sql(f"SELECT COMMIT_SHA, {_CKEY} AS EXTRACTED_KEY FROM commits", "commits"),
     "pr_issue_key": with_sql(f"WITH pt AS (SELECT ORD, {_PTEXT} AS PTEXT FROM prs) SELECT ORD, {_PKEY} AS EXTRACTED_KEY FROM pt", "prs"),
-    "linked_identities": with_sql(f"WITH c AS (SELECT {_CKEY} AS ck, REPO, AUTHOR_LOGIN FROM commits) SELECT REPORTER_ACCOUNT_ID AS person, {_set('ISSUE_KEY')} AS issue_keys, {_set('PROJECT_KEY')} AS project_keys, {_set('REPO')} AS repos, {_set('AUTHOR_LOGIN')} AS author_logins FROM issues JOIN c ON ISSUE_KEY = ck GROUP BY 1", "issues", "commits"),
-    "by_name_lists": with_sql(f"SELECT ASSIGNEE_ACCOUNT_ID AS person, 'assignee' AS role, {_set('PROJECT_KEY')} AS projects, count(*) AS n FROM issues WHERE ASSIGNEE_ACCOUNT_ID IS NOT NULL GROUP BY 1 UNION ALL SELECT REPORTER_ACCOUNT_ID, 'reporter', {_set('PROJECT_KEY')}, count(*) FROM issues GROUP BY 1", "issues"),
-    "person_arrays": with_sql(f"WITH a AS (SELECT ASSIGNEE_ACCOUNT_ID AS person, {_set('PROJECT_KEY')} AS p, count(DISTINCT PROJECT_KEY) AS n, bool_or(PROJECT_KEY IS NULL) AS has_null, max(PROJECT_NAME) AS any_project FROM issues GROUP BY 1), b AS (SELECT AUTHOR_ID AS gid, {_set('REPO')} AS r FROM commits WHERE AUTHOR_ID IS NOT NULL GROUP BY 1) SELECT person, p || CASE WHEN has_null AND n > 0 THEN ',null' WHEN has_null THEN 'null' ELSE '' END AS projects, any_project, coalesce(r, '') AS repos FROM a LEFT JOIN b ON person = gid", "issues", "commits"),
+    "linked_identities": with_sql(f"WITH {_WIDE} SELECT JIRA_CREATOR_ID, {', '.join(f'{_set(c)} AS {c.lower()}s' for c in LINKED)} FROM w WHERE JIRA_CREATOR_ID IS NOT NULL AND JIRA_REPORTER_ID IS NOT NULL AND JIRA_ASSIGNEE_ID IS NOT NULL GROUP BY 1", "issues", "commits", "prs"),
+    "by_name_lists": with_sql(f"WITH {_WIDE} " + " UNION ALL ".join(f"SELECT JIRA_{r}_NAME AS name, '{r.lower()}' AS role, {_set('STORY_ID')} AS story_ids, {_set('STORY_KEY')} AS story_keys, {_set('REPO')} AS repos FROM w WHERE JIRA_{r}_NAME IS NOT NULL GROUP BY 1" for r in ROLES_OF_ISSUES), "issues", "commits", "prs"),
+    "person_arrays": with_sql(f"""WITH pp AS (SELECT COMMITTER_ID AS GITHUB_ID, min(COMMITTER_NAME) AS NAME FROM diffs WHERE COMMITTER_ID IS NOT NULL GROUP BY 1),
+t AS (SELECT GITHUB_ID, GITHUB_LOGIN, JIRA_ID, ISSUE_KEY AS STORY_KEY, substr(ISSUE_KEY, 5) AS STORY_ID, 'K' || PARENT_ID AS EPIC_KEY, PARENT_ID AS EPIC_ID, PROJECT_KEY, PROJECT_NAME, NULL AS REPO FROM issues JOIN matched ON ASSIGNEE_ACCOUNT_ID = JIRA_ID UNION ALL SELECT AUTHOR_ID, AUTHOR_LOGIN, NULL, NULL, NULL, NULL, NULL, NULL, NULL, REPO FROM commits),
+g AS (SELECT GITHUB_ID, max(GITHUB_LOGIN) AS GITHUB_LOGIN, max(JIRA_ID) AS JIRA_ID, {', '.join(f"md5(array_to_string(list_concat(list_sort(list_distinct(list({c}) FILTER ({c} IS NOT NULL))), CASE WHEN bool_or({c} IS NULL) THEN ['null'] ELSE [] END), ',')) AS {c}S" for c in ARTEFACTS)} FROM t WHERE GITHUB_ID IS NOT NULL GROUP BY 1)
+SELECT pp.GITHUB_ID, NAME, GITHUB_LOGIN, JIRA_ID, {', '.join(f"coalesce({c}S, md5('')) AS {c}S" for c in ARTEFACTS)} FROM pp LEFT JOIN g ON g.GITHUB_ID = pp.GITHUB_ID""", "diffs", "issues", "matched", "commits"),
+    "unknown_logins": with_sql("""WITH a AS (SELECT GITHUB_LOGIN FROM matched UNION SELECT unnest(['login' || (30 + CAST(JIRA_ID AS INT) % 6), 'other' || JIRA_ID]) FROM matched WHERE CAST(JIRA_ID AS INT) % 3 = 0)
+SELECT USER_ID AS GITHUB_ID, USER_LOGIN AS GITHUB_LOGIN FROM prs WHERE USER_LOGIN NOT IN (SELECT GITHUB_LOGIN FROM a) QUALIFY row_number() OVER (PARTITION BY USER_LOGIN ORDER BY UPDATED_AT DESC NULLS LAST, ORD) = 1""", "prs", "matched"),
+    "full_rows": with_sql("WITH a AS (SELECT ID, LOGIN, EMAIL FROM github_users UNION ALL SELECT ID, LOGIN || 'b', EMAIL FROM github_users WHERE ORD % 10 = 1) SELECT JIRA_ID, GITHUB_ID, LOGIN, EMAIL FROM matched LEFT JOIN a ON GITHUB_ID = ID", "matched", "github_users"),
     "story_links": with_sql(f"WITH {_STORY}, s AS (SELECT ISSUE_KEY, CASE WHEN PARENT_ISSUE_TYPE = 'Epic' THEN PARENT_ID END AS EPIC_ID FROM issues WHERE ISSUE_TYPE = 'Story') SELECT ISSUE_KEY, EPIC_ID, COMMIT_SHA, INTERNAL_ID AS PR_ID, ROLE_IN_PR FROM s LEFT JOIN c ON ISSUE_KEY = ck LEFT JOIN p ON ISSUE_KEY = pk WHERE ISSUE_KEY IN (SELECT ck FROM c UNION SELECT pk FROM p)", "issues", "commits", "prs"),
     "all_interactions": with_sql("""WITH r AS (SELECT 'AUTHOR' AS ROLE, NULL AS J, AUTHOR_ID AS G FROM commits UNION SELECT 'COMMITTER', NULL, COMMITTER_ID FROM commits UNION SELECT 'ASSIGNEE', ASSIGNEE_ACCOUNT_ID, NULL FROM issues UNION SELECT 'REPORTER', REPORTER_ACCOUNT_ID, NULL FROM issues UNION SELECT ROLE_IN_PR, NULL, USER_ID FROM prs UNION SELECT 'MATCHED', JIRA_ID, GITHUB_ID FROM matched)
 SELECT DISTINCT ROLE, coalesce(J, JIRA_ID) AS JIRA, coalesce(G, GITHUB_ID) AS GITHUB, UUID, CASE WHEN JIRA_ID IS NULL AND GITHUB_ID IS NULL THEN 'UNRESOLVED' ELSE 'RESOLVED' END AS STATUS FROM r LEFT JOIN matched ON J = JIRA_ID OR G = GITHUB_ID WHERE J IS NOT NULL OR G IS NOT NULL""", "issues", "commits", "prs", "matched"),
-    "commits_missing_diffs": with_sql("WITH u AS (SELECT DISTINCT GITHUB_ID, GITHUB_LOGIN FROM matched WHERE CAST(GITHUB_ID AS INT) % 5 = 0) SELECT DISTINCT COMMIT_SHA, GITHUB_ID FROM commits JOIN u ON AUTHOR_ID = GITHUB_ID OR AUTHOR_LOGIN = GITHUB_LOGIN WHERE NOT EXISTS (SELECT 1 FROM commits d WHERE substr(d.COMMIT_SHA, 1, 1) < '8' AND d.COMMIT_SHA = commits.COMMIT_SHA)", "commits", "matched"),
+    "commits_missing_diffs": with_sql("WITH u AS (SELECT DISTINCT GITHUB_ID, GITHUB_LOGIN FROM matched) SELECT DISTINCT COMMIT_SHA, GITHUB_ID FROM commits JOIN u ON AUTHOR_ID = GITHUB_ID OR AUTHOR_LOGIN = GITHUB_LOGIN WHERE NOT EXISTS (SELECT 1 FROM commit_files d WHERE STATUS <> 'removed' AND d.COMMIT_SHA = commits.COMMIT_SHA)", "commits", "matched", "commit_files"),
     "person_attributes": with_sql("WITH a AS (SELECT ASSIGNEE_ACCOUNT_ID AS person, string_agg(DISTINCT PROJECT_NAME, ',' ORDER BY PROJECT_NAME) AS projects, min(STATUS_NAME) AS status FROM issues WHERE ASSIGNEE_ACCOUNT_ID IS NOT NULL GROUP BY 1), b AS (SELECT AUTHOR_ID AS gid, string_agg(DISTINCT REPO, ',' ORDER BY REPO) AS repos FROM commits GROUP BY 1) SELECT person, projects, repos, status FROM a LEFT JOIN b ON person = gid", "commits", "issues"),
-    "identity_signals": with_sql("""WITH s AS (SELECT AUTHOR_ID AS id, AUTHOR_LOGIN AS login, AUTHOR_NAME AS name, lower(AUTHOR_EMAIL) AS email, 'COMMITS_AUTHOR:' || COMMIT_SHA AS source FROM commits UNION ALL SELECT USER_ID, USER_LOGIN, NULL, NULL, 'PRS_' || ROLE_IN_PR || ':' || INTERNAL_ID FROM prs)
-SELECT coalesce(id, 'none') || '|' || coalesce(login, 'none') || '|' || coalesce(name, 'none') || '|' || coalesce(email, 'none') AS fp, max(id) AS id, max(login) AS login, max(name) AS name, max(email) AS email, count(DISTINCT source) AS n_sources, min(source) AS first_source FROM s GROUP BY 1""", "commits", "prs"),
+    "identity_signals": with_sql(f"WITH {_SIGNALS} SELECT {_FP} AS fp, {_MAXES}, md5(string_agg(source, ',' ORDER BY source)) AS sources, count(*) AS n_sources FROM s GROUP BY 1", "commits", "prs", "github_users"),
+    "merged_signals": with_sql(f"""WITH {_SIGNALS}, f AS (SELECT *, {_FP} AS fp, CASE WHEN source LIKE 'PRS%' THEN -1 ELSE ascii(substr(source, position(':' IN source) + 1)) % 2 END AS half FROM s)
+SELECT fp, max(name) AS name, md5(string_agg(DISTINCT source, ',' ORDER BY source)) AS sources, count(DISTINCT source) AS n_sources FROM f GROUP BY 1""", "commits", "prs", "github_users"),
     "link_hash_pending": with_sql(f"WITH pt AS (SELECT *, {_PTEXT} AS PTEXT FROM prs), p AS (SELECT *, {_PKEY} AS pk FROM pt), l AS (SELECT ORD, md5(INTERNAL_ID || '|' || USER_LOGIN || '|' || ROLE_IN_PR || '|' || ISSUE_KEY) AS link_hash FROM p JOIN issues ON pk = ISSUE_KEY) SELECT l.* FROM l LEFT JOIN (SELECT DISTINCT link_hash FROM l WHERE ORD % 4 = 0) x USING (link_hash) WHERE x.link_hash IS NULL", "prs", "issues"),
     "first_diff": with_sql("SELECT COMMITTER_ID, ORD, min(FILE_PATH) AS FILE_PATH, min(COMMIT_SHA) AS COMMIT_SHA FROM diffs WHERE (COMMITTER_ID, ORD) IN (SELECT COMMITTER_ID, min(ORD) FROM diffs GROUP BY 1) GROUP BY ALL", "diffs"),
     "diff_budget_inclusive": with_sql("SELECT COMMITTER_ID, ORD FROM (SELECT *, sum(N) OVER (PARTITION BY COMMITTER_ID ORDER BY ORD DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM diffs) WHERE coalesce(b, 0) <= 30000", "diffs"),
     "diff_budget_exclusive": with_sql("SELECT COMMITTER_ID, ORD FROM (SELECT *, sum(N + 1) OVER w - 1 AS b, row_number() OVER w AS r FROM diffs WINDOW w AS (PARTITION BY COMMITTER_ID ORDER BY ORD DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) WHERE r = 1 OR b <= 30000", "diffs"),
-    "diff_budget_text": with_sql("WITH k AS (SELECT *, sum(N) OVER (PARTITION BY COMMITTER_ID ORDER BY ORD DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM diffs) SELECT COMMITTER_ID, count(*) AS n_diffs, CAST(sum(N) AS BIGINT) AS n_chars, md5(string_agg('### ' || FILE_PATH || chr(10) || DIFF || chr(10), '' ORDER BY ORD DESC)) AS text_md5 FROM k WHERE coalesce(b, 0) <= 30000 GROUP BY 1", "diffs"),
+    "diff_budget_text": with_sql("""WITH b AS (SELECT *, '--- START OF COMMIT: ' || COMMIT_SHA || ' ---' || chr(10) || '--- TIMESTAMP: ' || ORD || ' ---' || chr(10) || '--- REPO: ' || REPO || ' ---' || chr(10) || '--- FILE_PATH: ' || FILE_PATH || ' ---' || chr(10) || chr(10) || DIFF || chr(10) || chr(10) || '--- END OF COMMIT: ' || COMMIT_SHA || ' ---' || chr(10) AS block
+  FROM diffs WHERE COMMITTER_ID IS NOT NULL AND DIFF IS NOT NULL AND DIFF <> ''),
+k AS (SELECT *, sum(length(block)) OVER (PARTITION BY COMMITTER_ID ORDER BY ORD DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b),
+t AS (SELECT COMMITTER_ID, arg_min(COMMITTER_NAME, ORD) AS COMMITTER_NAME, count(*) AS DIFF_COUNTS, string_agg(block, chr(10) || chr(10) || '### NEXT CODE CHANGE ###' || chr(10) || chr(10) ORDER BY ORD DESC) AS txt FROM k WHERE coalesce(before, 0) <= 30000 GROUP BY 1),
+f AS (SELECT COMMITTER_ID, arg_min(DIFF, ORD) AS FIRST_DIFF FROM b GROUP BY 1)
+SELECT t.COMMITTER_ID, COMMITTER_NAME, DIFF_COUNTS, md5(txt) AS AGGREGATED_DIFFS, length(txt)::BIGINT AS AGGREGATED_DIFF_LENGTH, md5(FIRST_DIFF) AS FIRST_DIFF FROM t JOIN f ON f.COMMITTER_ID = t.COMMITTER_ID""", "diffs"),
     "diff_caps": with_sql(r"WITH e AS (SELECT *, regexp_extract(FILE_PATH, '[^./][^/]*?(\.[^./]*)$', 1) AS EXT FROM diffs), i AS (SELECT *, row_number() OVER (PARTITION BY COMMITTER_ID, EXT ORDER BY ORD) AS r FROM e), o AS (SELECT *, row_number() OVER (PARTITION BY COMMITTER_ID ORDER BY EXT, ORD DESC) AS q FROM i WHERE r <= 10) SELECT COMMITTER_ID, EXT, ORD, FILE_PATH FROM o WHERE q <= 20", "diffs"),
-    "commit_rollup": with_sql(f"SELECT COMMIT_SHA, {_set('REPO')} AS repos, {_set('FILE_PATH')} AS paths, CAST(sum(ADDED) AS BIGINT) AS added, CAST(sum(REMOVED) AS BIGINT) AS removed, min(TS) AS first_at, count(*) AS n FROM rollup GROUP BY 1", "rollup"),
+    "commit_rollup": with_sql(f"SELECT COMMIT_SHA, {_set('REPO')} AS repos, {_set('FILE_PATH')} AS paths, md5(string_agg(DIFF, '|' ORDER BY ORD)) AS diffs, sum(ADDED)::BIGINT AS added, sum(REMOVED)::BIGINT AS removed, arg_min(COMMIT_MESSAGE, ORD) AS message, min(ORD) AS first_at FROM diffs GROUP BY 1", "diffs"),
 }

@@ -92,7 +92,7 @@ QUERIES = {
     "upsert_array_union": _merge(tags="union"),
     "delete_insert": lambda s, d: _flat(upserts.delete_then_insert(*_old_new(s, d), ["o_orderkey"])),
     "column_examples": lambda s, d: catalog.column_examples(load(s, d, "documents").drop("text"), "doc_id"),
-    "table_columns": lambda s, d: catalog.columns_of({n: load(s, d, n) for n in ("region", "nation", "labels")}).select("table_name", "ordinal", "column_name"),
+    "table_columns": lambda s, d: catalog.columns_of({n: load(s, d, n) for n in ("region", "nation", "labels")}).select("table_name", "ordinal", "column_name", "column_type"),
     "platform_union": lambda s, d: reduce(DataFrame.unionByName, [load(s, d, n).select(F.lit(n).alias("platform"), F.col("ID").alias("id")) for n in ("jira_users", "github_users")]).groupBy("platform").agg(F.count(F.lit(1)).alias("n")),
 }
 _OLD = "o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS status, 'old' AS role, ['a', CAST(o_orderkey % 4 AS VARCHAR)] AS tags FROM orders WHERE o_orderkey % 3 <> 0), n AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'N' END AS status, 'new' AS role, ['b', CAST(o_orderkey % 3 AS VARCHAR)] AS tags FROM orders WHERE o_orderkey % 2 = 0)"
@@ -120,7 +120,7 @@ ORACLES = {
     "upsert_keep_old": _FULL.format("coalesce(o.status, n.status)", "CASE WHEN o.role IS NOT NULL THEN o.role ELSE n.role END", _T.format(_NEW.format("tags"))),
     "upsert_array_union": _FULL.format(_NEW.format("status"), _NEW.format("role"), _T.format("list_distinct(list_concat(coalesce(o.tags, []), coalesce(n.tags, [])))")),
     "column_examples": "SELECT 'doc_id' AS column_name, CAST(doc_id AS VARCHAR) AS example FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents) UNION ALL SELECT 'lang', lang FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents) UNION ALL SELECT 'source', source FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents) UNION ALL SELECT 'n_chars', CAST(n_chars AS VARCHAR) FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents)",
-    "table_columns": "SELECT 'region' AS table_name, CAST(row_number() OVER () - 1 AS BIGINT) AS ordinal, column_name FROM (DESCRIBE region) UNION ALL SELECT 'nation', row_number() OVER () - 1, column_name FROM (DESCRIBE nation) UNION ALL SELECT 'labels', row_number() OVER () - 1, column_name FROM (DESCRIBE labels)",
+    "table_columns": " UNION ALL ".join(f"SELECT '{t}' AS table_name, CAST(row_number() OVER () - 1 AS BIGINT) AS ordinal, column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS column_type FROM (DESCRIBE {t})" for t in ("region", "nation", "labels")),
     "platform_union": with_sql("SELECT 'jira_users' AS platform, count(*) AS n FROM jira_users UNION ALL SELECT 'github_users', count(*) FROM github_users", "jira_users", "github_users"),
 }
 ORACLES["delete_insert"] = ORACLES["upsert_overwrite"]
