@@ -17,8 +17,9 @@ def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str], order: list[C
     return old.unionByName(first_by(new, keys, order).join(old, keys, "left_anti").select(*old.columns))
 
 
-def overwrite(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` take the place of those of the same key."""
+def overwrite(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Rows of ``new`` take the place of those of the same key. If keys of ``new`` repeat, the first in ``order`` counts (give it newest first: the last write wins); without an order they must not."""
+    new = first_by(new, keys, order) if order else new
     return old.join(new, keys, "left_anti").unionByName(new.select(*old.columns))
 
 

@@ -98,6 +98,13 @@ def skill_edges(skills: DataFrame) -> DataFrame:
     return spread_skills(skills).select("skill_key", "UUID").distinct()
 
 
+def user_vertices(matched: DataFrame, profiles: DataFrame) -> DataFrame:
+    """A vertex for each person with a UUID: the match's columns, and role, level and skills (a list, empty without a profile) of the profile of that UUID."""
+    p = profiles.select(F.col("UUID").alias("of_uuid"), F.col("ROLE").alias("role"), F.col("EXPERIENCE_LEVEL").alias("experience_level"), text.list_of(F.col("SKILLS")).alias("skills"))
+    met = matched.filter("UUID IS NOT NULL").join(p, F.col("UUID") == F.col("of_uuid"), "left").drop("of_uuid")
+    return met.withColumn("skills", F.coalesce("skills", F.array().cast("array<string>"))).withColumnRenamed("UUID", "_key")
+
+
 def epic_edges(issues: DataFrame) -> DataFrame:
     """Department to each epic, and epic to each of its stories whose epic is a vertex."""
     epics = issues.filter("PROJECT_KEY IS NOT NULL").select(F.col("PROJECT_KEY").alias("key")).distinct()
@@ -114,6 +121,11 @@ _BY_PR = "SELECT UUID, ORG, REPO, min(CREATED_AT) AS first_pr, count(*) AS pr_co
 _SKILLS = "SELECT UUID, trim(s) AS skill_name, trim(regexp_replace(lower(trim(s)), '[^a-z0-9]+', '_', 'g'), '_') AS skill_key FROM skills, unnest(string_split(SKILLS, ',')) t(s) WHERE trim(s) <> ''"
 
 
+def _profiles(s, d) -> DataFrame:
+    """Profiles of two people in three."""
+    return load(s, d, "matched").filter("CAST(JIRA_ID AS INT) % 3 != 0").selectExpr("UUID", "CASE WHEN CAST(JIRA_ID AS INT) % 2 = 0 THEN 'Back End Developer' ELSE 'Inconclusive' END AS ROLE", "'Senior' AS EXPERIENCE_LEVEL", "CASE WHEN CAST(JIRA_ID AS INT) % 5 = 0 THEN NULL ELSE ' Python, ,' || SEGMENT || ' ' END AS SKILLS")
+
+
 def _q(f, *names):
     return lambda spark, d: f(*[load(spark, d, n) for n in names])
 
@@ -130,6 +142,9 @@ QUERIES = {
     "skills_split_sanitize": _q(skill_vertices, "skills"),
     "skill_to_user": _q(skill_edges, "skills"),
     "epic_edges": _q(epic_edges, "issues"),
+    "user_vertices": lambda s, d: user_vertices(load(s, d, "matched").select("UUID", "JIRA_ID", "GITHUB_ID", "GITHUB_LOGIN", "JIRA_DISPLAY_NAME"), _profiles(s, d)).withColumn("skills", F.array_join("skills", "|")),
+    "guarded_edges": lambda s, d: joins.guarded(load(s, d, "events").select(F.concat(F.lit("u"), "user_id").alias("src"), F.concat(F.lit("p"), (F.col("event_id") % 700).cast("string")).alias("dst")).distinct(), load(s, d, "supplier").select(F.concat(F.lit("u"), "s_suppkey").alias("key")), load(s, d, "part").filter("p_size > 10").select(F.concat(F.lit("p"), "p_partkey").alias("key"))),
+    "first_titles": lambda s, d: first_by(load(s, d, "issues").filter("PROJECT_KEY IS NOT NULL").select("PROJECT_KEY", "PROJECT_NAME", "CREATED_TIMESTAMP", "ISSUE_KEY"), ["PROJECT_KEY"], [F.asc("CREATED_TIMESTAMP"), F.asc("ISSUE_KEY")]).select("PROJECT_KEY", "PROJECT_NAME"),
 }
 ORACLES = {
     "repo_contribution": with_sql(_BY_COMMIT, "commits", "matched"),
@@ -155,4 +170,7 @@ UNION ALL SELECT 'Skills', skill_key, min(skill_name) FROM s WHERE skill_key <>
     "skill_to_user": with_sql(f"WITH s AS ({_SKILLS}) SELECT DISTINCT skill_key, UUID FROM s WHERE skill_key <> ''", "skills"),
     "epic_edges": with_sql("""SELECT DISTINCT 'dept_to_epic' AS kind, 'engineering' AS src, PROJECT_KEY AS dst FROM issues WHERE PROJECT_KEY IS NOT NULL
 UNION ALL SELECT 'epic_to_team', PROJECT_KEY, ISSUE_KEY FROM issues WHERE PROJECT_KEY IS NOT NULL""", "issues"),
+    "user_vertices": with_sql("SELECT UUID AS _key, JIRA_ID, GITHUB_ID, GITHUB_LOGIN, JIRA_DISPLAY_NAME, CASE WHEN CAST(JIRA_ID AS INT) % 3 = 0 THEN NULL WHEN CAST(JIRA_ID AS INT) % 2 = 0 THEN 'Back End Developer' ELSE 'Inconclusive' END AS role, CASE WHEN CAST(JIRA_ID AS INT) % 3 <> 0 THEN 'Senior' END AS experience_level, CASE WHEN CAST(JIRA_ID AS INT) % 3 = 0 OR CAST(JIRA_ID AS INT) % 5 = 0 THEN '' ELSE 'Python|' || SEGMENT END AS skills FROM matched WHERE UUID IS NOT NULL", "matched"),
+    "guarded_edges": "SELECT DISTINCT 'u' || user_id AS src, 'p' || (event_id % 700) AS dst FROM events WHERE user_id IN (SELECT s_suppkey FROM supplier) AND event_id % 700 IN (SELECT p_partkey FROM part WHERE p_size > 10)",
+    "first_titles": with_sql("SELECT PROJECT_KEY, arg_min(PROJECT_NAME, (CREATED_TIMESTAMP, ISSUE_KEY)) AS PROJECT_NAME FROM issues WHERE PROJECT_KEY IS NOT NULL GROUP BY 1", "issues"),
 }

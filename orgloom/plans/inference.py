@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators.upserts import first_by
 from ..sources.adapters import load, with_sql
-from .links import budget_blocks, pending_links
+from .links import _PKEY, _PTEXT, budget_blocks, pending_links
 
 #: Languages by extension.
 LANGUAGES = {".py": "Python", ".java": "Java", ".js": "JavaScript", ".ts": "TypeScript", ".go": "Go", ".rs": "Rust", ".rb": "Ruby", ".sql": "SQL", ".cpp": "C++", ".sh": "Shell", ".gz": "Archive"}
@@ -295,6 +295,13 @@ SELECT a.COMMITTER_ID, JIRA_ID, UUID, last_90d_commits, coalesce(s.n, 0) AS pr_r
     "title_roles": with_sql(f"WITH p AS (SELECT ORD, lower(concat_ws(' ', TITLE, {_title()})) AS t FROM prs), n AS (SELECT ORD, {_COUNTS} FROM p) SELECT ORD, {_PICK} AS role FROM n", "prs"),
     "repo_labels": with_sql(f"""WITH f AS (SELECT REPO, CASE WHEN REPO IN ('repo_5', 'repo_11') THEN ' ' ELSE DIFF END AS CODE FROM diffs WHERE DIFF IS NOT NULL QUALIFY row_number() OVER (PARTITION BY REPO ORDER BY ORD) = 1), p AS (SELECT *, lower(substr(CODE, 1, 40000)) AS t FROM f), n AS (SELECT REPO, CODE, {_COUNTS} FROM p)
 SELECT REPO, CASE WHEN trim(CODE) <> '' THEN CASE {_PICK} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items())} END END AS label FROM n""", "diffs"),
+    "committer_info": with_sql(f"""WITH b AS (SELECT *, '--- START OF COMMIT: ' || COMMIT_SHA || ' ---' || chr(10) || '--- TIMESTAMP: ' || ORD || ' ---' || chr(10) || '--- REPO: ' || REPO || ' ---' || chr(10) || '--- FILE_PATH: ' || FILE_PATH || ' ---' || chr(10) || chr(10) || DIFF || chr(10) || chr(10) || '--- END OF COMMIT: ' || COMMIT_SHA || ' ---' || chr(10) AS block
+  FROM diffs WHERE COMMITTER_ID IS NOT NULL AND DIFF IS NOT NULL AND DIFF <> ''), o AS (SELECT *, sum(length(block)) OVER (PARTITION BY COMMITTER_ID ORDER BY ORD DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b),
+a AS (SELECT COMMITTER_ID, string_agg(block, chr(10) || chr(10) || '### NEXT CODE CHANGE ###' || chr(10) || chr(10) ORDER BY ORD DESC) AS txt FROM o WHERE coalesce(before, 0) <= 100000 GROUP BY 1), p AS (SELECT COMMITTER_ID, lower(substr(txt, 1, 40000)) AS t FROM a), n AS (SELECT COMMITTER_ID, {_FW_SQL} AS fw, {_COUNTS} FROM p)
+SELECT COMMITTER_ID, {_PICK} AS role, nullif(array_to_string(fw, ', '), '') AS skills FROM n""", "diffs"),
+    "link_roles": with_sql(f"""WITH pt AS (SELECT *, {_PTEXT} AS PTEXT FROM prs), pk AS (SELECT *, {_PKEY} AS k FROM pt), l AS (SELECT ORD, md5(INTERNAL_ID || '|' || USER_LOGIN || '|' || ROLE_IN_PR || '|' || ISSUE_KEY) AS link_hash, ASSIGNEE_ACCOUNT_ID AS assignee, trim(concat_ws(chr(10) || chr(10), nullif(trim(SUMMARY), ''), nullif(trim(DESCRIPTION), ''))) AS asked FROM pk JOIN issues ON k = ISSUE_KEY),
+d AS (SELECT DISTINCT link_hash, assignee, asked FROM l WHERE assignee IS NOT NULL AND link_hash NOT IN (SELECT link_hash FROM l WHERE ORD % 4 = 0)), p AS (SELECT *, lower(asked) AS t FROM d), n AS (SELECT *, {_COUNTS} FROM p)
+SELECT link_hash, assignee, CASE WHEN asked <> '' THEN {_PICK} END AS role FROM n""", "prs", "issues"),
     "validated_outputs": with_sql("SELECT ID, CASE ID % 6 WHEN 0 THEN 'DevOps Engineer' WHEN 5 THEN 'Data Scientist' ELSE 'Inconclusive' END AS role, CASE ID % 6 WHEN 0 THEN 'Senior' WHEN 5 THEN 'Junior' ELSE 'Mid-level' END AS experience_level, CASE ID % 6 WHEN 0 THEN 'AWS' ELSE '' END AS skills, ID % 6 IN (0, 5) AS valid FROM agent_outputs", "agent_outputs"),
     "inference_sheet": """SELECT 'u' || (event_id * 2) AS UUID, event_type, CASE WHEN event_id * 2 > (SELECT max(event_id) FROM events) THEN '' ELSE regexp_replace(
 'Last 90-day Commits: ' || (event_id * 2 % 50) || chr(10) || 'PR Review Comments: ' || (event_id * 2 % 7) || chr(10) || chr(10)

@@ -40,8 +40,12 @@ def with_fallback(signals: DataFrame, users: DataFrame) -> DataFrame:
     return met.select("SIG", F.when(F.col("UID").isNotNull(), F.col("N1")).otherwise(F.col("N2")).alias("PROFILE_NAME"))
 
 
-def update_column(old: DataFrame, new: DataFrame, key: str, column: str, keep_filled: bool = False) -> DataFrame:
-    """``column`` of the rows whose key is in ``new`` (one row a key) is set; keep_filled: only where it is null."""
+def update_column(old: DataFrame, new: DataFrame, key: str, column: str, order: str, keep_filled: bool = False) -> DataFrame:
+    """``column`` of the rows whose key is in ``new`` is set, one update after the other in ``order``, so the last of a key counts; keep_filled: only where it is null, so the first value counts."""
+    if keep_filled:
+        new = first_by(new.filter(F.col(column).isNotNull()), [key], [F.asc(order)])
+    else:
+        new = first_by(new, [key], [F.desc(order)])
     n = new.select(F.col(key).alias("set_key"), F.col(column).alias("set_value"))
     value = F.coalesce(F.col(column), F.col("set_value")) if keep_filled else F.when(F.col("set_key").isNotNull(), F.col("set_value")).otherwise(F.col(column))
     return old.join(n, F.col(key) == F.col("set_key"), "left").withColumn(column, value).drop("set_key", "set_value")
@@ -85,7 +89,7 @@ def _signals(s, d) -> DataFrame:
 
 
 def _models(s, d) -> DataFrame:
-    return load(s, d, "part").filter("p_partkey < 300").selectExpr(
+    return load(s, d, "part").selectExpr(
         "p_partkey AS model", "array('f0', concat('f', CAST(p_size % 3 AS STRING))) AS kpis",
         "array(named_struct('type_name', CASE WHEN p_partkey % 4 = 0 THEN 'Role' ELSE 'Context' END, 'name', p_brand, 'functions', array(named_struct('name', 'f0', 'inputs', array('a')), named_struct('name', 'f2', 'inputs', array('a', 'b'))))) AS records",
     )
@@ -94,8 +98,8 @@ def _models(s, d) -> DataFrame:
 def _update(keep: bool):
     def run(s, d) -> DataFrame:
         old = load(s, d, "commits").select("COMMIT_SHA", "AUTHOR_EMAIL")
-        new = load(s, d, "events").filter("event_id % 3 = 0").select(F.expr("md5('c' || CAST(event_id AS STRING))").alias("COMMIT_SHA"), F.expr("CAST(event_type AS STRING)").alias("AUTHOR_EMAIL"))
-        return update_column(old, new, "COMMIT_SHA", "AUTHOR_EMAIL", keep)
+        new = load(s, d, "events").select(F.expr("md5('c' || CAST(event_id - event_id % 6 AS STRING))").alias("COMMIT_SHA"), F.expr("CASE WHEN event_id % 6 = 1 THEN NULL ELSE event_type || CAST(event_id AS STRING) END").alias("AUTHOR_EMAIL"), "event_id")  # six updates for one commit in six
+        return update_column(old, new, "COMMIT_SHA", "AUTHOR_EMAIL", "event_id", keep)
 
     return run
 
@@ -110,7 +114,7 @@ QUERIES = {
     "nested_functions": lambda s, d: nested_functions(_models(s, d)),
     "signal_matches": lambda s, d: signal_matches(load(s, d, "github_users").selectExpr("ID AS SIG", "EMAIL AS MAIL", "DISPLAY_NAME AS NAME"), load(s, d, "jira_users")),
 }
-_NEWMAIL = "n AS (SELECT md5('c' || CAST(event_id AS VARCHAR)) AS COMMIT_SHA, event_type AS m FROM events WHERE event_id % 3 = 0)"
+_NEWMAIL = "e AS (SELECT md5('c' || CAST(event_id - event_id % 6 AS VARCHAR)) AS COMMIT_SHA, CASE WHEN event_id % 6 = 1 THEN NULL ELSE event_type || CAST(event_id AS VARCHAR) END AS m, event_id FROM events), n AS (SELECT COMMIT_SHA, m FROM e WHERE {0} QUALIFY row_number() OVER (PARTITION BY COMMIT_SHA ORDER BY event_id {1}) = 1)"
 _B = "coalesce(substr(regexp_extract_all(lower(coalesce({0}, '')), '[a-z]+')[{1}], 1, 3), '')"
 _S = "regexp_replace(lower({0}), '[^a-z0-9]', '', 'g')"
 ORACLES = {
@@ -122,9 +126,9 @@ SELECT JIRA_ID, count(DISTINCT STORY_ID) AS n_stories, count(DISTINCT LINK_ID) A
     "issue_profiles": with_sql("SELECT ISSUE_KEY, coalesce(nullif(a.DISPLAY_NAME, ''), 'account ' || ASSIGNEE_ACCOUNT_ID) AS ASSIGNEE, coalesce(nullif(r.DISPLAY_NAME, ''), 'account ' || REPORTER_ACCOUNT_ID) AS REPORTER FROM issues LEFT JOIN jira_users a ON ASSIGNEE_ACCOUNT_ID = a.ID LEFT JOIN jira_users r ON REPORTER_ACCOUNT_ID = r.ID", "issues", "jira_users"),
     "pr_commit_chain": "WITH p AS (SELECT event_id % 800 AS NUMBER, 'org' AS ORG, 'r' || CAST(event_id % 4 AS VARCHAR) AS REPO, event_type AS TITLE FROM events), c AS (SELECT event_id % 900 AS NUMBER, 'org' AS ORG, 'r' || CAST(event_id % 5 AS VARCHAR) AS REPO, event_id AS SHA FROM events) SELECT DISTINCT NUMBER, ORG, REPO, TITLE FROM p JOIN c USING (NUMBER, ORG, REPO) WHERE SHA % 11 = 0",
     "signal_profiles": with_sql("SELECT event_id AS SIG, CASE WHEN a.ID IS NOT NULL THEN a.DISPLAY_NAME ELSE b.DISPLAY_NAME END AS PROFILE_NAME FROM events LEFT JOIN github_users a ON event_id % 3 <> 0 AND a.ID = CAST(user_id AS VARCHAR) LEFT JOIN github_users b ON b.LOGIN = 'plogin' || CAST(user_id % 140 AS VARCHAR)", "github_users"),
-    "keyed_update": with_sql(f"WITH {_NEWMAIL} SELECT COMMIT_SHA, CASE WHEN n.m IS NOT NULL THEN n.m ELSE AUTHOR_EMAIL END AS AUTHOR_EMAIL FROM commits LEFT JOIN n USING (COMMIT_SHA)", "commits"),
-    "keyed_fill": with_sql(f"WITH {_NEWMAIL} SELECT COMMIT_SHA, coalesce(AUTHOR_EMAIL, n.m) AS AUTHOR_EMAIL FROM commits LEFT JOIN n USING (COMMIT_SHA)", "commits"),
-    "nested_functions": "SELECT p_partkey AS model, p_brand AS context, f AS function, CASE f WHEN 'f0' THEN 1 ELSE 2 END::BIGINT AS n_inputs FROM part, unnest(['f0', 'f2']) t(f) WHERE p_partkey < 300 AND p_partkey % 4 <> 0 AND (f = 'f0' OR p_size % 3 = 2)",
+    "keyed_update": with_sql(f"WITH {_NEWMAIL.format('true', 'DESC')} SELECT commits.COMMIT_SHA, CASE WHEN n.COMMIT_SHA IS NOT NULL THEN n.m ELSE AUTHOR_EMAIL END AS AUTHOR_EMAIL FROM commits LEFT JOIN n ON n.COMMIT_SHA = commits.COMMIT_SHA", "commits"),
+    "keyed_fill": with_sql(f"WITH {_NEWMAIL.format('m IS NOT NULL', '')} SELECT COMMIT_SHA, coalesce(AUTHOR_EMAIL, n.m) AS AUTHOR_EMAIL FROM commits LEFT JOIN n USING (COMMIT_SHA)", "commits"),
+    "nested_functions": "SELECT p_partkey AS model, p_brand AS context, f AS function, CASE f WHEN 'f0' THEN 1 ELSE 2 END::BIGINT AS n_inputs FROM part, unnest(['f0', 'f2']) t(f) WHERE p_partkey % 4 <> 0 AND (f = 'f0' OR p_size % 3 = 2)",
     "signal_matches": with_sql(f"""WITH m AS (SELECT g.ID AS SIG, j.ID AS JIRA_ID, 'EMAIL' AS HOW FROM github_users g JOIN jira_users j ON g.EMAIL = lower(trim(j.EMAIL))),
 n AS (SELECT g.ID AS SIG, j.ID AS JIRA_ID, 'NAME' AS HOW FROM github_users g JOIN jira_users j ON ({' OR '.join(f"{_B.format('g.DISPLAY_NAME', a)} = {_B.format('j.DISPLAY_NAME', b)}" for a in (1, -1) for b in (1, -1))})
   AND (starts_with({_S.format('g.DISPLAY_NAME')}, {_S.format('j.DISPLAY_NAME')}) OR starts_with({_S.format('j.DISPLAY_NAME')}, {_S.format('g.DISPLAY_NAME')})) WHERE g.ID NOT IN (SELECT SIG FROM m)),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +72,46 @@ def jaccard_pairs(names: DataFrame, others: DataFrame) -> DataFrame:
     return share.join(a, "A").join(b, "B").select("A", "B", F.round(text.jaccard(F.col("x"), F.col("y")), 6).alias("jaccard"))
 
 
+def text_arrays(users: DataFrame) -> DataFrame:
+    """Arrays of other names: appended to, joined without repeats, what only one has, membership, and as sorted JSON."""
+    none = F.array().cast("array<string>")
+    mail, login = F.coalesce("ALIAS_EMAIL", none), F.coalesce("ALIAS_LOGIN", none)
+    both = F.array_distinct(F.concat(mail, login, mail))
+    return users.select(
+        "ID", F.to_json(F.sort_array(both)).alias("as_json"), F.array_join(F.array_append(mail, F.col("LOGIN")), ",").alias("appended"), F.array_join(F.sort_array(F.array_except(F.array_union(mail, F.array("EMAIL")), F.array("EMAIL"))), ",").alias("others"),
+        F.array_contains(both, F.concat(F.lit("old"), "ID")).alias("has_old"), F.size(both).cast("bigint").alias("n"),
+    )
+
+
+def _sparse(s, d) -> DataFrame:
+    """A table of which the first rows are empty in many ways."""
+    return load(s, d, "orders").selectExpr(
+        "o_orderkey AS ID", "CASE WHEN o_orderkey < 3 THEN NULL WHEN o_orderkey < 5 THEN '' WHEN o_orderkey < 7 THEN ' null ' WHEN o_orderkey < 9 THEN 'None' ELSE o_orderstatus END AS STATUS",
+        "CASE WHEN o_orderkey < 40 THEN '[]' ELSE '[1]' END AS LIST", "CASE WHEN o_orderkey < 99 THEN '{}' ELSE '{\"a\": 1}' END AS DOC", "CASE WHEN o_orderkey < 100 THEN NULL ELSE 'late' END AS NEVER",
+    )
+
+
+def _times(s, d) -> DataFrame:
+    return load(s, d, "events").selectExpr("event_id AS ID", "CASE event_id % 5 WHEN 0 THEN '2024-03-0' || CAST(1 + event_id % 9 AS STRING) || 'T10:00:00.000+0200' WHEN 1 THEN '2024-03-01T23:30:00-05:00' WHEN 2 THEN 'yesterday' WHEN 3 THEN NULL ELSE '2024-12-31T23:59:59.250Z' END AS STAMP")
+
+
+def _scores(s, d) -> DataFrame:
+    """The three ratios and the similarity of each account's name and that of the person of the same number."""
+    from pyspark.sql import types as T
+
+    from ..functions import similarity as kernel
+
+    j = load(s, d, "jira_users").filter("DISPLAY_NAME IS NOT NULL").select(F.col("ORD"), F.col("DISPLAY_NAME").alias("a"))
+    pairs = j.join(load(s, d, "github_users").select(F.col("ORD"), F.col("DISPLAY_NAME").alias("b")), "ORD")
+
+    @F.pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("set_ratio", "sort_ratio", "sim")]))
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        rows = [(kernel.cleaned(x), kernel.cleaned(y), x, y) for x, y in zip(a, b, strict=True)]
+        return pd.DataFrame([(round(kernel.token_set_ratio(p, q), 6), round(kernel.token_sort_ratio(p, q), 6), round(kernel.similarity(x, y), 2)) for p, q, x, y in rows], columns=["set_ratio", "sort_ratio", "sim"])
+
+    return pairs.select("ORD", run("a", "b").alias("r")).select("ORD", "r.set_ratio", "r.sort_ratio", "r.sim")
+
+
 QUERIES = {
     "json_flatten": lambda s, d: flat_commits(load(s, d, "raw")),
     "json_field_extract": lambda s, d: load(s, d, "raw").select("ID", F.get_json_object("PROPS", "$.k").alias("k")),
@@ -91,7 +132,11 @@ QUERIES = {
     "upsert_keep_old": _merge(status="fill_old", role="old"),
     "upsert_array_union": _merge(tags="union"),
     "delete_insert": lambda s, d: _flat(upserts.delete_then_insert(*_old_new(s, d), ["o_orderkey"])),
-    "column_examples": lambda s, d: catalog.column_examples(load(s, d, "documents").drop("text"), "doc_id"),
+    "column_examples": lambda s, d: catalog.column_examples(_sparse(s, d), "ID"),
+    "text_arrays": lambda s, d: text_arrays(load(s, d, "github_users")),
+    "parsed_times": lambda s, d: _times(s, d).select("ID", text.iso(text.parse_iso(F.col("STAMP"))).alias("utc")),
+    "name_scores": lambda s, d: _scores(s, d),
+    "coerced": lambda s, d: load(s, d, "events").select("event_id", F.lower(F.col("user_id").cast("string")).alias("id_text"), F.expr("try_cast(CASE WHEN event_id % 3 = 0 THEN 'x' ELSE CAST(event_id AS STRING) END AS BIGINT)").alias("number")),
     "table_columns": lambda s, d: catalog.columns_of({n: load(s, d, n) for n in ("region", "nation", "labels")}).select("table_name", "ordinal", "column_name", "column_type"),
     "platform_union": lambda s, d: reduce(DataFrame.unionByName, [load(s, d, n).select(F.lit(n).alias("platform"), F.col("ID").alias("id")) for n in ("jira_users", "github_users")]).groupBy("platform").agg(F.count(F.lit(1)).alias("n")),
 }
@@ -119,8 +164,26 @@ ORACLES = {
     "upsert_coalesce": _FULL.format("coalesce(n.status, o.status)", "coalesce(n.role, o.role)", _T.format(_NEW.format("tags"))),
     "upsert_keep_old": _FULL.format("coalesce(o.status, n.status)", "CASE WHEN o.role IS NOT NULL THEN o.role ELSE n.role END", _T.format(_NEW.format("tags"))),
     "upsert_array_union": _FULL.format(_NEW.format("status"), _NEW.format("role"), _T.format("list_distinct(list_concat(coalesce(o.tags, []), coalesce(n.tags, [])))")),
-    "column_examples": "SELECT 'doc_id' AS column_name, CAST(doc_id AS VARCHAR) AS example FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents) UNION ALL SELECT 'lang', lang FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents) UNION ALL SELECT 'source', source FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents) UNION ALL SELECT 'n_chars', CAST(n_chars AS VARCHAR) FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents)",
+    "column_examples": """WITH o AS (SELECT o_orderkey AS ID, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 100)
+SELECT 'ID' AS column_name, CAST(min(ID) AS VARCHAR) AS example FROM o UNION ALL SELECT 'STATUS', arg_min(o_orderstatus, ID) FROM o WHERE ID >= 9 UNION ALL SELECT 'LIST', '[1]' UNION ALL SELECT 'DOC', CASE WHEN max(ID) >= 99 THEN '{"a": 1}' END FROM o UNION ALL SELECT 'NEVER', NULL""",
+    "text_arrays": with_sql("""WITH a AS (SELECT *, coalesce(ALIAS_EMAIL, []) AS m, coalesce(ALIAS_LOGIN, []) AS l FROM github_users), b AS (SELECT *, list_sort(list_distinct(list_concat(m, l))) AS x FROM a)
+SELECT ID, CAST(to_json(x) AS VARCHAR) AS as_json, array_to_string(list_append(m, LOGIN), ',') AS appended, array_to_string(list_sort(list_filter(list_distinct(m), lambda q: q <> EMAIL)), ',') AS others, list_contains(x, 'old' || ID) AS has_old, len(x) AS n FROM b""", "github_users"),
+    "parsed_times": "SELECT event_id AS ID, CASE event_id % 5 WHEN 0 THEN '2024-03-0' || (1 + event_id % 9) || 'T08:00:00' WHEN 1 THEN '2024-03-02T04:30:00' WHEN 4 THEN '2024-12-31T23:59:59.250000' END AS utc FROM events",
+    "name_scores": "",
+    "coerced": "SELECT event_id, CAST(user_id AS VARCHAR) AS id_text, CASE WHEN event_id % 3 <> 0 THEN event_id END AS number FROM events",
     "table_columns": " UNION ALL ".join(f"SELECT '{t}' AS table_name, CAST(row_number() OVER () - 1 AS BIGINT) AS ordinal, column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS column_type FROM (DESCRIBE {t})" for t in ("region", "nation", "labels")),
     "platform_union": with_sql("SELECT 'jira_users' AS platform, count(*) AS n FROM jira_users UNION ALL SELECT 'github_users', count(*) FROM github_users", "jira_users", "github_users"),
 }
 ORACLES["delete_insert"] = ORACLES["upsert_overwrite"]
+
+
+def _scores_sql() -> str:
+    from . import identity as i
+
+    clean = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
+    ab = "WITH ab AS (SELECT j.ORD, j.DISPLAY_NAME AS a, g.DISPLAY_NAME AS b FROM jira_users j JOIN github_users g ON g.ORD = j.ORD WHERE j.DISPLAY_NAME IS NOT NULL)"
+    made = f"x AS (SELECT *, {i._SORTED.format(clean.format('a'))} AS xa, {i._SORTED.format(clean.format('b'))} AS xb FROM sm)"
+    return f"{ab}, {i._similarity('ab', 'sm')}, {made} SELECT ORD, round(set_ratio, 6) AS set_ratio, round(200::DOUBLE * {i._lcs('xa', 'xb')} / (length(xa) + length(xb)), 6) AS sort_ratio, {i._ROUND2.format('sim')} AS sim FROM x"
+
+
+ORACLES["name_scores"] = with_sql(_scores_sql(), "jira_users", "github_users")

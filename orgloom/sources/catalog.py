@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,7 +133,3 @@ def export_graph(vertices: DataFrame, edges: DataFrame, path: str) -> None:
     """Vertices by kind and edges by kind, replacing what was there."""
     vertices.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/vertices")
     edges.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/edges")
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
