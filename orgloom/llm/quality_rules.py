@@ -103,9 +103,16 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return counts.join(hosts, F.col("host").eqNullSafe(F.col("of_host")), "left").select(*counts.columns, "shrunk_rate", (~F.col("base_failed") & F.col("host_ok")).alias("kept"))
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: float = 0.6) -> DataFrame:
-    """``docs`` without the rows that ``quality_rules`` rejects; rows are told apart by their place, so ``docs`` must be a table (files, or a checkpoint), not the outcome of a shuffle."""
-    uid, kept_uid = fresh(docs, "rule_uid", "kept_uid")
-    whole = docs.withColumn(uid, F.monotonically_increasing_id())
-    kept = quality_rules(whole, uid, text_col, host_col, limit).filter("kept").select(F.col("doc_id").alias(kept_uid))
-    return whole.join(kept, F.col(uid) == F.col(kept_uid), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float = 0.6) -> DataFrame:
+    """``docs`` without the rows that ``quality_rules`` rejects, whatever its columns are called.
+
+    Texts are read, counted and written once with what the rules say of them (those of failed rows are left out); then only the rejected
+    hosts are joined to them."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    counted = text_counts(plain, names[text_col]).withColumns({"bad": base_failed(), "failed": rule_failed()})
+    rows = materialize(counted.select(*[F.when(~F.col("bad"), F.col(n)).alias(n) if c == text_col else F.col(n) for c, n in names.items()], "bad", "failed"), "rules")
+    hosts = host_verdicts(rows.select(F.col(names[host_col]).cast("string").alias("host"), "failed"), limit=limit)
+    rejected = materialize(hosts.filter(~F.col("host_ok")).select(F.col("host").alias("of_host")), "hosts")
+    kept = rows.filter(~F.col("bad")).join(rejected, F.col(names[host_col]).cast("string").eqNullSafe(F.col("of_host")), "left_anti")
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
