@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_of, keep_columns
+from .common import chunks_of, keep_columns, tidied
 from .pieces import LETTERS, Recent, no_garbage_collection, split_words, word_level, worker_store
 
-#: Bytes of each generation of words, and of pieces, that a worker remembers.
+#: Bytes of each generation of words, and of pieces, that a task remembers.
 REMEMBERED = 20 << 20
 
 
@@ -330,8 +330,9 @@ def _coded(docs: DataFrame, path: str, id_col: str, text_col: str, back: bool, l
         store = worker_store()
         key = f"bpe_trie {zlib.crc32(given.value.encode())}"
         if key not in store:
-            store[key] = Pieces(given.value), Decoder(json.loads(given.value)), Recent(REMEMBERED), Recent(REMEMBERED)
-        tool, to_text, words, pieces = store[key]
+            store[key] = Pieces(given.value), Decoder(json.loads(given.value))
+        tool, to_text = store[key]
+        words, pieces = Recent(REMEMBERED), Recent(REMEMBERED)  # of this task: a worker that is idle, or does other work, keeps the vocabulary alone
         with no_garbage_collection():
             for b in batches:
                 for at, to, data, offs in chunks_of(b.column(1)):
@@ -356,7 +357,7 @@ def _coded(docs: DataFrame, path: str, id_col: str, text_col: str, back: bool, l
 
     columns = {"doc_id": slim.schema["doc_id"].dataType.simpleString(), "n_tokens": "long", "ids": "binary"} | ({"decoded": "string"} if back else {}) | ({"id_list": "array<int>"} if lists else {})
     names = list(columns)
-    return slim.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in columns.items()))
+    return slim.mapInArrow(tidied(run), ", ".join(f"{c} {kind}" for c, kind in columns.items()))
 
 
 def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,9 +8,11 @@ executor costs a re-read and no more.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,19 @@ LOCAL_SHARED = "/tmp/checkpoints"
 #: Bytes of text that one numpy pass works on; a longer single text is a pass of its own.
 CHUNK_BYTES = 2 << 20
 
-_scratch: list[tuple[SparkSession, str, str | None]] = []
+#: (session, path, table if there is one, owner if there is one)
+_scratch: list[tuple[SparkSession, str, str | None, str | None]] = []
+_owner: list[str] = []
+
+
+@contextlib.contextmanager
+def owned(owner: str) -> Iterator[None]:
+    """Scratch tables that are made meanwhile are the owner's, who may release them before the session ends."""
+    _owner.append(owner)
+    try:
+        yield
+    finally:
+        _owner.pop()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     path = f"{shared_dir(spark)}/orgloom-{uuid.uuid4().hex}-{tag}"
-    _scratch.append((spark, path, None))
+    _scratch.append((spark, path, None, _owner[-1] if _owner else None))
     return path
 
 
@@ -47,13 +61,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every scratch table that this session's operators have written.
+def release(spark: SparkSession, owner: str | None = None, still: DataFrame | None = None) -> None:
+    """Delete every scratch table that this session's operators have written, or those of an owner that ``still`` does not read.
 
     Results that still read them can't be evaluated afterwards."""
     jvm = spark.sparkContext._jvm
-    for item in [x for x in _scratch if x[0] is spark]:
-        _, path, table = item
+    read = {f.split(":", 1)[-1].lstrip("/") for f in still.inputFiles()} if still is not None else set()
+    for item in [x for x in _scratch if x[0] is spark and (owner is None or x[3] == owner)]:
+        _, path, table, _ = item
+        bare = path.split(":", 1)[-1].lstrip("/") + "/"
+        if any(f.startswith(bare) for f in read):
+            continue
         if table:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
         p = jvm.org.apache.hadoop.fs.Path(path)
@@ -62,7 +80,7 @@ def release(spark: SparkSession) -> None:
 
 
 def _at_exit() -> None:
-    for spark in {id(s): s for s, _, _ in _scratch}.values():
+    for spark in {id(x[0]): x[0] for x in _scratch}.values():
         try:
             release(spark)
         except Exception:  # the JVM may be gone by now
@@ -80,7 +98,7 @@ def scratch_table(spark: SparkSession, tag: str) -> tuple[str, str]:
     """(name, path) of a scratch table that ``release`` drops."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{shared_dir(spark)}/{SCRATCH_DATABASE}'")
     name, path = f"{SCRATCH_DATABASE}.t{uuid.uuid4().hex}", scratch_path(spark, tag)
-    _scratch.append((spark, path, name))
+    _scratch.append((spark, path, name, _owner[-1] if _owner else None))
     return name, path
 
 
@@ -161,6 +179,20 @@ def keep_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """An Arrow function that gives its free memory back to the system at the end of a task, as its worker lives on."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not in every C library
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 # --------------------------------------------------------------------------
 # numpy over the bytes of Arrow string arrays
 

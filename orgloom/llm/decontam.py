@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_WORD, WordHasher, chunks_of, keep_columns, materialize, word_spans
+from .common import NON_WORD, WordHasher, chunks_of, keep_columns, materialize, tidied, word_spans
 
 WINDOW = 13
 _hash = WordHasher(5, lower=True)
@@ -81,7 +81,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     ["docs", "first", "n_words", "terms", "counts", "postings"],
                 )
 
-    return slim.mapInArrow(run, INDEX_SCHEMA.format(kind=kind))
+    return slim.mapInArrow(tidied(run), INDEX_SCHEMA.format(kind=kind))
 
 
 def _meet(phrases: dict, terms: np.ndarray, counts: np.ndarray, places: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +163,7 @@ def search(index: DataFrame, packs: list, slop: int = 0, matches: bool = True) -
                     ["doc_id", "n_words", "n_hit", "items", "matches"],
                 )
 
-    return index.mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, items array<string>, matches array<struct<item:string,start:int>>")
+    return index.mapInArrow(tidied(run), f"doc_id {kind}, n_words long, n_hit long, items array<string>, matches array<struct<item:string,start:int>>")
 
 
 def packs_of(tests: DataFrame, id_col: str, text_col: str, window: int, pack_bytes: int) -> Iterator[dict]:

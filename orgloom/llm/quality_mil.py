@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WordHasher, chunks_of, keep_columns, word_spans
+from .common import SPACE, WordHasher, chunks_of, keep_columns, tidied, word_spans
 
 PASSAGE = 64
 #: Labelled documents that the model is fitted on, at most, and passages of each, evenly spaced.
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
     slim = keep_columns(docs, id_col, text_col)
     joined = slim.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("text", "y", F.xxhash64("doc_id", "text").alias("h"))
-    rows = joined.mapInArrow(run, "h long, y double, x binary").orderBy("h", "y").limit(2 * train_docs).collect()  # ids may repeat
+    rows = joined.mapInArrow(tidied(run), "h long, y double, x binary").orderBy("h", "y").limit(2 * train_docs).collect()  # ids may repeat
     rows.sort(key=lambda r: (r["y"], bytes(r["x"])))
     y = np.array([r["y"] for r in rows])
     if len(set(y.tolist())) < 2:
@@ -200,5 +200,5 @@ def score(docs: DataFrame, model: GatedAttention | float, id_col: str = "doc_id"
                 s = np.full(to - at, model) if isinstance(model, float) else model.score(x, first)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(s, pa.float64()), pa.array(np.diff(first), pa.int64())], ["doc_id", "score", "n_passages"])
 
-    scored = slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double, n_passages long")
+    scored = slim.mapInArrow(tidied(run), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double, n_passages long")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"), "n_passages")

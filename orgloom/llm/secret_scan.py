@@ -1,6 +1,6 @@
 """Secret scanning with a random forest that removes false positives. DataFrame and ML functions only.
 
-Candidates are long runs of key characters. A forest fitted on labelled findings
+Candidates are long runs of key characters, what is assigned to a name like password, and passwords in URLs. A forest fitted on labelled findings
 judges each from its length, character transitions, dictionary coverage, path and
 neighbouring words. The fitted trees become one expression, so a text is read, judged and redacted
 in one pass, without moving rows.
@@ -19,8 +19,14 @@ from .common import bound_batches, fresh, materialize
 from .url_filters import entropy
 
 _SIGN = r"A-Za-z0-9+/_\-"
+_NAMES = "passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth"
 #: A run of 16 or more key characters with a digit or an inner capital.
-CANDIDATE = rf"(?<![{_SIGN}])(?=[{_SIGN}]{{16}})(?=[{_SIGN}]*?(?:[0-9]|[a-z][A-Z]))[{_SIGN}]+={{0,2}}"
+RUN = rf"(?<![{_SIGN}])(?=[{_SIGN}]{{16}})(?=[{_SIGN}]*?(?:[0-9]|[a-z][A-Z]))[{_SIGN}]+={{0,2}}"
+#: Six or more signs that a name is assigned, up to a space, quote, comma or semicolon.
+ASSIGNED = rf"(?<=[:=]\s{{0,2}}[\"'`]?)(?=[^\s\"'`,;<>]{{6}})(?<=(?i:{_NAMES})[\"'`]?\s{{0,2}}[:=]\s{{0,2}}[\"'`]?)[^\s\"'`,;<>]+"
+#: What stands between user: and @ in a URL.
+IN_URL = r"(?<=[^\s/:@]:)(?=[^\s/:@]{3,128}@)(?<=://[^\s/:@]{1,64}:)[^\s/:@]+"
+CANDIDATE = f"{IN_URL}|{ASSIGNED}|{RUN}"
 DICTIONARY = (
     "the and for with this that from have word page file data user name account code test example value index list item time date year price number order "
     "product report image photo video music book news blog post home link path lib bin usr share local main config setting service server client request "
@@ -28,8 +34,8 @@ DICTIONARY = (
 ).split()
 SECRET_WORDS = "token|secret|api[_-]?key|access[_-]?key|private|passw|pwd|auth|bearer|credential|signature|session"
 OTHER_WORDS = "commit|sha1|sha256|md5|checksum|digest|revision|uuid|guid|card|iban|isbn|phone|order|invoice|build|version|file|path|http|see|page"
-PLACEHOLDER = "example|sample|dummy|placeholder|your|xxxx|test|here|changeme|abcdef|123456|0000"
-FEATURES = ["length", "digits", "uppers", "lowers", "signs", "transitions", "distinct", "entropy", "dictionary", "hex", "secret_word", "other_word", "assigned", "quoted", "path", "placeholder", "number"]
+PLACEHOLDER = r"example|sample|dummy|placeholder|your|xxxx|test|here|changeme|abcdef|123456|0000|\*\*\*|\$\{|environ|\(\)|password"
+FEATURES = ["length", "digits", "uppers", "lowers", "signs", "transitions", "distinct", "entropy", "dictionary", "hex", "secret_word", "other_word", "assigned", "quoted", "path", "placeholder", "number", "in_url"]
 MASK = "[SECRET]"
 #: Labelled findings that the forest is fitted on, at most.
 TRAIN_ROWS = 20_000
@@ -50,7 +56,7 @@ def features(c: Column, before: Column, after: Column) -> Column:
         F.size(F.array_distinct(F.split(c, "(?!^)"))) / n, entropy(c), _share(F.lower(c), "|".join(sorted(DICTIONARY, key=len, reverse=True))),
         flag(c.rlike("^[0-9a-fA-F]+$")), flag(near.rlike(f"(?:{SECRET_WORDS})[^a-z\\n]*$|(?:{SECRET_WORDS})\\W+\\w+\\W+$")), flag(near.rlike(f"(?:{OTHER_WORDS})\\W*(?:\\w+\\W+)?$")),
         flag(near.rlike("[=:]\\s*[\"'`]?$")), flag(near.rlike("[\"'`]$") | F.left(after, F.lit(1)).isin('"', "'", "`")),
-        flag(c.contains("/") | near.rlike("[/.]$")), flag(F.lower(c).rlike(PLACEHOLDER)), flag(c.rlike("^[0-9_-]+$")),
+        flag(c.contains("/") | near.rlike("[/.]$")), flag(F.lower(c).rlike(PLACEHOLDER)), flag(c.rlike("^[0-9_-]+$")), flag(near.rlike("://[^\\s/:@]+:$")),
     )
 
 
@@ -72,6 +78,8 @@ def example_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         F.concat(say, F.lit("api_key: "), sub(base, 40), F.lit("\n")), F.concat(say, F.lit("AKIA"), F.translate(F.upper(sub(h, 16)), "01", "QZ"), F.lit(" ")),
         F.concat(say, F.lit("ghp_"), sub(F.regexp_replace(base, "[+/]", "x"), 36)), F.concat(F.lit("password="), sub(base, 20)),
         F.concat(F.lit("Authorization: Bearer "), base), F.concat(F.lit("export SECRET_KEY='"), sub(h, 32), F.lit("'")),
+        F.concat(F.lit("passwd: '"), F.initcap(sub(F.translate(h, "0123456789", "ghkmprstvz"), 5)), F.lit("&"), digits(3), F.lit("!'")), F.concat(F.lit("postgres://"), word(3), F.lit(":"), sub(F.translate(base, "+/", "xy"), 9), F.lit("@db/"), word(4)),
+        F.concat(say, F.lit('api-key = "'), sub(F.translate(h, "0123456789", "ghjkmnpqrs"), 24), F.lit('"')), F.concat(say, F.lit("secret="), sub(F.translate(base, "0123456789+/", "ghjkmnpqrsXY"), 20), F.lit(";")),
         F.concat(say, F.lit("auth_token="), sub(h, 64)), F.concat(say, F.lit('secret: "'), sub(base, 32), F.lit('"')),
     ]
     no = [
@@ -80,6 +88,8 @@ def example_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         F.concat(say, word(3), F.initcap(word(4)), F.initcap(word(5)), F.initcap(word(6)), digits(2)), F.concat(say, F.lit('api_key = "YOUR_API_KEY_'), digits(5), F.lit('_HERE"')),
         F.concat(F.lit("token = "), F.lit("xxxxxxxxxxxxxxxx"), digits(4)), F.concat(say, word(3), F.lit("-"), word(4), F.lit("-"), word(5), F.lit("-"), word(6), F.lit("-"), digits(4)),
         F.concat(say, F.lit("2024-"), digits(2), F.lit("-"), digits(2), F.lit("T00-00-00-000")), F.concat(say, F.lit("card: "), digits(16), F.lit("### ")), F.concat(say, F.lit("sha256 "), h),
+        F.concat(F.lit("password: "), word(3), F.lit("-"), word(4), F.lit(" "), word(5)), F.concat(say, F.lit("token = "), word(3), word(4), F.lit(" "), word(5)), F.concat(say, F.lit("secret: "), F.element_at(F.array(*[F.lit(w) for w in ("required", "optional", "disabled", "undefined", "<hidden>", "******", "changeme", "${SECRET}", "os.environ", "getSecret()")]), (F.pmod(F.xxhash64("id", F.lit(9)), F.lit(10)) + 1).cast("int"))),
+        F.concat(F.lit("https://"), word(3), F.lit(":"), F.element_at(F.array(*[F.lit(w) for w in ("password", "example", "your-password", "xxxxxx", "test", "user")]), (F.pmod(F.xxhash64("id", F.lit(8)), F.lit(6)) + 1).cast("int")), F.lit("@"), word(4), F.lit(".org")),
         F.concat(say, F.lit("YOUR_"), F.upper(word(3)), F.lit("_KEY_"), digits(5), F.lit("_HERE")), F.concat(word(3), F.initcap(word(4)), F.initcap(word(5)), F.lit("By"), F.initcap(word(6)), sub(digits(4), 1), F.lit(" "), word(7)),
     ]
     pick = lambda made: F.element_at(F.array(*made), (F.pmod(F.floor(F.col("id") / 2), F.lit(len(made))) + 1).cast("int"))

@@ -24,14 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, chunks_of, fresh, is_marked, keep_columns, materialize, mix, stage
+from .common import bound_batches, chunks_of, fresh, is_marked, keep_columns, materialize, mix, stage, tidied
 
 SEED = 42
 _U = np.uint64
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _LANE = (np.arange(8) * 256)[None, :]
 #: Rows of a batch of fingerprints that is dealt out at once.
-DEAL_ROWS = 1 << 13
+DEAL_ROWS = 1 << 12
 
 
 def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(fp, pa.int64())], ["doc_id", "fp"])
 
     slim = keep_columns(docs, id_col, text_col)
-    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp long")
+    return slim.mapInArrow(tidied(run), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 # --------------------------------------------------------------------------
@@ -170,8 +170,8 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
             lo, hi = np.minimum(a, b), np.maximum(a, b)
             yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
 
-    dealt = fps.select("fp").mapInArrow(deal, "part int, keys binary, c0 binary")
-    return dealt.repartition(parts // 2, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long")
+    dealt = fps.select("fp").mapInArrow(tidied(deal), "part int, keys binary, c0 binary")
+    return dealt.repartition(parts // 2, "part").sortWithinPartitions("part").mapInArrow(tidied(meet), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -240,7 +240,7 @@ WIDE_DISTANCE = 74
 #: Top bits of a hash by which shingles are counted.
 HEAT_BITS = 16
 #: Shingles of a chunk of candidates; of a larger group, chunks are compared two by two.
-CHUNK_SHINGLES = 1 << 21
+CHUNK_SHINGLES = 1 << 20
 
 
 def shingle_set(text: str | bytes | None, shingle: int = 5) -> np.ndarray:
@@ -291,7 +291,7 @@ def shingle_heat(docs: DataFrame, shingle: int = 5) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["slice", "counts"])
 
     kind = "slice int, counts binary"
-    rows = docs.select("text").mapInArrow(count, kind).repartition(slices, "slice").mapInArrow(add, kind).collect()  # 64 rows of 8 KB
+    rows = docs.select("text").mapInArrow(tidied(count), kind).repartition(slices, "slice").mapInArrow(add, kind).collect()  # 64 rows of 8 KB
     heat = {r["slice"]: np.frombuffer(r["counts"], np.int64) for r in rows}
     return np.concatenate([heat.get(s, np.zeros(cut // slices, np.int64)) for s in range(slices)])
 
@@ -325,45 +325,53 @@ def jaccard_spanning(nodes: np.ndarray, sets: list[np.ndarray], least: Fraction)
     return out
 
 
-def candidates(prints: DataFrame, distance: int = WIDE_DISTANCE) -> DataFrame:
-    """(a, b) of sets whose wide fingerprints share a key and are near; what such pairs connect, the links connect. ``prints``: (set, bits binary, keys binary)."""
+def candidates(prints: DataFrame, classes: DataFrame, distance: int = WIDE_DISTANCE) -> DataFrame:
+    """(a, b) of sets whose wide fingerprints share a key and are near; what such pairs connect, the links connect.
+
+    ``prints``: (set, keys binary); ``classes``: (set, bits binary), each set once. Keys alone are dealt out first, as most are of one set; only
+    keys that several sets have are met with fingerprints."""
     parts = spread_of(prints)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             nodes, first = np.unique(np.asarray(b.column(0), np.int64), return_index=True)  # copies meet as one
             for i in range(0, len(first), DEAL_ROWS):
-                rows = pa.array(first[i : i + DEAL_ROWS])
-                keys = b.column(2).take(rows).to_pylist()
-                bits = np.frombuffer(b"".join(b.column(1).take(rows).to_pylist()), np.uint64).reshape(-1, WIDE)
-                each = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) // 4 for x in keys])
-                made = deal_out(np.frombuffer(b"".join(keys), np.uint32), parts, each)
-                # of each part, the fingerprints that it needs, once
-                needs = [np.unique(np.frombuffer(x, np.int32), return_inverse=True) for x in made.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [made.column(0), made.column(1), pa.array([inverse.astype(np.int32).tobytes() for _, inverse in needs], pa.binary()),
-                     pa.array([nodes[i + own].tobytes() for own, _ in needs], pa.binary()), pa.array([bits[own].tobytes() for own, _ in needs], pa.binary())],
-                    ["part", "keys", "owner", "nodes", "bits"],
-                )
+                keys = b.column(1).take(pa.array(first[i : i + DEAL_ROWS])).to_pylist()
+                yield deal_out(np.frombuffer(b"".join(keys), np.uint32), parts, np.repeat(nodes[i : i + DEAL_ROWS], [len(x) // 4 for x in keys]))
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, owner, nodes, bits in gathered(batches):
-            base = np.cumsum([0, *(len(x) // 8 for x in nodes)])
-            key = np.frombuffer(b"".join(keys), np.uint32)
-            at = np.concatenate([np.frombuffer(x, np.int32) + s for x, s in zip(owner, base[:-1], strict=True)])
-            node, first, same = np.unique(np.frombuffer(b"".join(nodes), np.int64), return_index=True, return_inverse=True)
-            bits_of = np.frombuffer(b"".join(bits), np.uint64).reshape(-1, WIDE)[first]
-            both = np.unique((key.astype(np.int64) << 32) | same[at])
-            key, at = both >> 32, both & 0xFFFFFFFF
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, owners in gathered(batches):
+            key, node = np.frombuffer(b"".join(keys), np.uint32), np.frombuffer(b"".join(owners), np.int64)
+            order = np.lexsort((node, key))
+            key, node = key[order], node[order]
+            new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
+            key, node = key[new], node[new]
             shared = np.append(False, key[1:] == key[:-1])
             shared[:-1] |= shared[1:]
-            key, at = key[shared], at[shared]
-            a, b = met_links(key, node[at], bits_of[at], distance) if len(key) else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(key[shared].view(np.int32)), pa.array(node[shared])], ["key", "node"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links_of(key: np.ndarray, node: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+            a, b = met_links(key, node, bits, distance)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    dealt = prints.select("set", "bits", "keys").mapInArrow(deal, "part int, keys binary, owner binary, nodes binary, bits binary")
-    return dealt.repartition(parts // 2, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long")
+        rest = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, WIDE), np.uint64)
+        for b in batches:
+            own = np.asarray(b.column(0), np.int32), np.asarray(b.column(1), np.int64), np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint64).reshape(-1, WIDE)
+            key, node, bits = (np.concatenate(x) for x in zip(rest, own, strict=True))
+            if len(key):
+                last = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
+                rest = key[last:], node[last:], bits[last:]
+                if last:
+                    yield links_of(key[:last], node[:last], bits[:last])
+        if len(rest[0]):
+            yield links_of(*rest)
+
+    dealt = prints.select("set", "keys").mapInArrow(tidied(deal), "part int, keys binary, c0 binary")
+    shared = dealt.repartition(parts // 2, "part").sortWithinPartitions("part").mapInArrow(tidied(share), "key int, node long")
+    known = shared.join(classes.select("set", "bits"), F.col("node") == F.col("set")).select("key", "node", "bits")
+    return known.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(meet), "a long, b long")
 
 
 def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST, staged: tuple[str, str] | None = None) -> DataFrame:
@@ -415,9 +423,9 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
         if len(nodes) > 1:
             yield found()
 
-    prints = materialize(slim.mapInArrow(sized, "doc_id long, block long, place int, set long, n long, bits binary, keys binary"), "sets")
-    blocks = components(candidates(prints))
-    classes = prints.groupBy("set").agg(F.min(F.struct("doc_id", "block", "place")).alias("first"), F.min("n").alias("n"))
+    prints = materialize(slim.mapInArrow(tidied(sized), "doc_id long, block long, place int, set long, n long, bits binary, keys binary"), "sets")
+    classes = materialize(prints.groupBy("set").agg(F.min(F.struct("doc_id", "block", "place")).alias("first"), F.min("n").alias("n"), F.min("bits").alias("bits")), "classes")
+    blocks = components(candidates(prints, classes))
     members = materialize(classes.join(blocks, F.col("set") == F.col("node")).select(F.col("first.doc_id").alias("first"), "first.block", "first.place", "node", "root", "n"), "members")
     sizes = members.groupBy(F.col("root").alias("of_root")).agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
     placed = members.join(sizes, F.col("root") == F.col("of_root")).select("first", "node", "root", "chunks")
@@ -425,8 +433,8 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
     held = chosen.join(placed, F.col("doc_id") == F.col("first")).select("text", "root", "chunks", "node")
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("lo"), F.greatest(chunk, j).alias("hi")))
-    dealt = held.mapInArrow(with_sets, "root long, chunks int, node long, hashes binary").select("root", F.inline(pairs), "node", "hashes")
-    edges = dealt.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "node").mapInArrow(verified, "a long, b long")
+    dealt = held.mapInArrow(tidied(with_sets), "root long, chunks int, node long, hashes binary").select("root", F.inline(pairs), "node", "hashes")
+    edges = dealt.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "node").mapInArrow(tidied(verified), "a long, b long")
     roots = components(edges)
     rooted = materialize(prints.join(roots, F.col("set") == F.col("node"), "left").select("doc_id", "block", "place", F.coalesce("root", "set").alias("root")), "rooted")
     first = rooted.groupBy(F.col("root").alias("top")).agg(F.min("doc_id").alias("component_id"))

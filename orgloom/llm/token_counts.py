@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_of, keep_columns
+from .common import chunks_of, keep_columns, tidied
 from .pieces import LETTERS, Recent, byte_level, cut_long, no_garbage_collection, split_words, word_level, worker_store
 
-#: Bytes of each generation of words, and of pieces, that a worker remembers.
+#: Bytes of each generation of words, and of pieces, that a task remembers.
 REMEMBERED = 24 << 20
 
 
@@ -103,8 +103,8 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         store = worker_store()
         key = f"token_counts {kind} {by_word} {zlib.crc32(given.value)}"
         if key not in store:
-            store[key] = (_sentencepiece_counter if kind == "model" else _piece_counter if by_word else _tokenizers_counter)(given.value), Recent(REMEMBERED), Recent(REMEMBERED)
-        count, words, pieces = store[key]
+            store[key] = (_sentencepiece_counter if kind == "model" else _piece_counter if by_word else _tokenizers_counter)(given.value)
+        count, words, pieces = store[key], Recent(REMEMBERED), Recent(REMEMBERED)
         with no_garbage_collection():
             for b in batches:
                 for at, to, data, offs in chunks_of(b.column(1)):
@@ -126,7 +126,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                         n = [sum(itertools.islice(each, len(x))) for x in cuts]
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(np.diff(offs), pa.int64()), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
-    return slim.mapInArrow(run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long")
+    return slim.mapInArrow(tidied(run), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long")
 
 
 def over_limit(counts: DataFrame, limit: int = 2048) -> DataFrame:
