@@ -107,7 +107,7 @@ def _scores(s, d) -> DataFrame:
     @F.pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("set_ratio", "sort_ratio", "sim")]))
     def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         rows = [(kernel.cleaned(x), kernel.cleaned(y), x, y) for x, y in zip(a, b, strict=True)]
-        return pd.DataFrame([(round(kernel.token_set_ratio(p, q), 6), round(kernel.token_sort_ratio(p, q), 6), round(kernel.similarity(x, y), 2)) for p, q, x, y in rows], columns=["set_ratio", "sort_ratio", "sim"])
+        return pd.DataFrame([(round(kernel.token_set_ratio(p, q), 6), round(kernel.token_sort_ratio(p, q), 6), round(kernel.similarity(x, y), 6)) for p, q, x, y in rows], columns=["set_ratio", "sort_ratio", "sim"])
 
     return pairs.select("ORD", run("a", "b").alias("r")).select("ORD", "r.set_ratio", "r.sort_ratio", "r.sim")
 
@@ -183,7 +183,7 @@ def _scores_sql() -> str:
     clean = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
     ab = "WITH ab AS (SELECT j.ORD, j.DISPLAY_NAME AS a, g.DISPLAY_NAME AS b FROM jira_users j JOIN github_users g ON g.ORD = j.ORD WHERE j.DISPLAY_NAME IS NOT NULL)"
     made = f"x AS (SELECT *, {i._SORTED.format(clean.format('a'))} AS xa, {i._SORTED.format(clean.format('b'))} AS xb FROM sm)"
-    return f"{ab}, {i._similarity('ab', 'sm')}, {made} SELECT ORD, round(set_ratio, 6) AS set_ratio, round(200::DOUBLE * {i._lcs('xa', 'xb')} / (length(xa) + length(xb)), 6) AS sort_ratio, {i._ROUND2.format('sim')} AS sim FROM x"
+    return f"{ab}, {i._similarity('ab', 'sm')}, {made} SELECT ORD, round(set_ratio, 6) AS set_ratio, round(200::DOUBLE * {i._lcs('xa', 'xb')} / (length(xa) + length(xb)), 6) AS sort_ratio, round(sim, 6) AS sim FROM x"
 
 
 ORACLES["name_scores"] = with_sql(_scores_sql(), "jira_users", "github_users")

@@ -96,4 +96,4 @@ def test_patch_takes_every_pull_request(spark):
 def test_role_counts_the_whole_text(spark):
     text = "test " + "x " * 25_000 + "deploy docker"
     r = spark.createDataFrame([(text,)], "t string").select(inference.role_of(F.col("t")).alias("r")).first()
-    assert r["r"] == "DevOps"
+    assert r["r"] == "DevOps Engineer"
