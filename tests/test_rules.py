@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orgloom.functions import similarity, text
 from orgloom.operators import joins, upserts
-from orgloom.plans import graph, identity, inference, knowledge, links, staging
+from orgloom.plans import graph, identity, inference, knowledge, links, lookups, staging
 from orgloom.sources import catalog
 from orgloom.streaming import ingest
 
@@ -149,6 +149,29 @@ def test_kernel():
     assert round(similarity.ratio("abcd", "abxd"), 4) == 75
 
 
+def test_kernel_golden_pairs():
+    """Values that the documentation of the usual library of these ratios gives."""
+    assert round(similarity.ratio("this is a test", "this is a test!"), 4) == 96.5517
+    assert similarity.partial_ratio("this is a test", "this is a test!") == 100
+    assert round(similarity.ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear"), 4) == 90.9091
+    assert similarity.token_sort_ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 100
+    assert round(similarity.token_sort_ratio("fuzzy was a bear", "fuzzy fuzzy was a bear"), 4) == 84.2105
+    assert similarity.token_set_ratio("fuzzy was a bear", "fuzzy fuzzy was a bear") == 100
+
+
+def test_tokens_are_measured_before_they_are_squashed():
+    assert similarity.token_set("a! b") == {"ab", "a"} and similarity.token_set("x") == set() and similarity.token_set("JohnDoe") == {"johndoe", "john", "doe"}
+
+
+def test_last_update_of_a_key_counts(spark):
+    old = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k int, v string")
+    new = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, None, 3), (2, "z", 4), (2, "w", 5)], "k int, v string, at int")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(lookups.update_column(old, new, "k", "v", "at")) == [(1, "y"), (2, "w"), (3, "c")]
+    assert rows(lookups.update_column(old, new, "k", "v", "at", True)) == [(1, "a"), (2, "z"), (3, "c")]
+    assert rows(upserts.overwrite(old, new.withColumnRenamed("at", "o").select("k", "v", "o").drop("o"), ["k"], [F.desc_nulls_last("v")])) == [(1, "y"), (2, "z"), (3, "c")]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("abc ", max_size=12), st.text("abc ", max_size=12))
 def test_kernel_against_table(a, b):
