@@ -225,15 +225,20 @@ def fill_missing_names(unnamed: DataFrame, people: DataFrame, accept: float = 75
     return met.select("ID", F.col("found.NAME").alias("NAME"), F.coalesce("EMAIL", F.nullif(F.col("found.ID"), F.lit(""))).alias("EMAIL"), F.col("found.SCORE").alias("SCORE"))
 
 
+MATCHED = ["JIRA_ID", "GITHUB_ID", "GITHUB_ID_ALIAS", "JIRA_DISPLAY_NAME", "JIRA_EMAIL", "GITHUB_DISPLAY_NAME", "GITHUB_EMAIL", "GITHUB_LOGIN", "GITHUB_DISPLAY_NAME_ALIAS", "GITHUB_EMAIL_ALIAS", "GITHUB_LOGIN_ALIAS", "MATCHING_METHOD", "MATCH_CONFIDENCE"]
+
+
 def patch(matched: DataFrame, found: DataFrame) -> DataFrame:
-    """``matched`` (JIRA_ID, GITHUB_ID, GITHUB_LOGIN, ALIAS_ID, ALIAS_LOGIN, METHOD) with pull request matches (ORD, JIRA_ID, GITHUB_ID, GITHUB_LOGIN) folded in, in order.
+    """``matched`` (the 13 columns of MATCHED) with pull request matches (ORD, JIRA_ID, JIRA_DISPLAY_NAME, JIRA_EMAIL, GITHUB_ID, GITHUB_LOGIN) folded in, in order.
 
-    A missing id is filled, another one becomes an alias, a known one changes nothing; unknown people are added as PATCH_PR."""
-    steps = found.filter("JIRA_ID IS NOT NULL").groupBy("JIRA_ID").agg(F.transform(F.array_sort(F.collect_list(F.struct("ORD", "GITHUB_ID", "GITHUB_LOGIN"))), lambda x: F.struct(x["GITHUB_ID"].alias("id"), x["GITHUB_LOGIN"].alias("login"))).alias("steps"))
-    both = matched.join(steps, "JIRA_ID", "full")
+    A missing id is filled, another one becomes an alias, with its login, a known one changes nothing. Unknown people are added as
+    PATCH_PR without a confidence, with the names of their first match and no aliases but those of the later ones."""
     empty = F.array().cast("array<string>")
-    known = F.col("METHOD").isNotNull()
-    first = F.struct(F.col("GITHUB_ID").alias("id"), F.col("GITHUB_LOGIN").alias("login"), F.coalesce("ALIAS_ID", empty).alias("ids"), F.coalesce("ALIAS_LOGIN", empty).alias("logins"))
+    kind = "array<struct<id:string,login:string>>"
+    step_of = F.transform(F.array_sort(F.collect_list(F.struct("ORD", "GITHUB_ID", "GITHUB_LOGIN"))), lambda x: F.struct(x["GITHUB_ID"].alias("id"), x["GITHUB_LOGIN"].alias("login")))
+    steps = found.filter("JIRA_ID IS NOT NULL").groupBy("JIRA_ID").agg(step_of.alias("steps"), F.min_by(F.struct("JIRA_DISPLAY_NAME", "JIRA_EMAIL"), "ORD").alias("named"))
+    both = matched.withColumn("known", F.lit(True)).join(steps, "JIRA_ID", "full").withColumn("known", F.coalesce("known", F.lit(False)))
+    first = F.struct(F.col("GITHUB_ID").alias("id"), F.col("GITHUB_LOGIN").alias("login"), F.coalesce("GITHUB_ID_ALIAS", empty).alias("ids"), F.coalesce("GITHUB_LOGIN_ALIAS", empty).alias("logins"))
 
     def step(s: Column, x: Column) -> Column:
         fill, more = s["id"].isNull(), (s["id"] != x["id"]) & ~F.array_contains(s["ids"], x["id"])
@@ -242,8 +247,12 @@ def patch(matched: DataFrame, found: DataFrame) -> DataFrame:
             F.when(~fill & more, F.array_append(s["ids"], x["id"])).otherwise(s["ids"]).alias("ids"), F.when(~fill & more, F.array_append(s["logins"], x["login"])).otherwise(s["logins"]).alias("logins"),
         )
 
-    folded = both.withColumn("s", F.aggregate(F.coalesce("steps", F.array().cast("array<struct<id:string,login:string>>")), first, step))
-    return folded.select("JIRA_ID", F.col("s.id").alias("GITHUB_ID"), F.col("s.login").alias("GITHUB_LOGIN"), F.col("s.ids").alias("ALIAS_ID"), F.col("s.logins").alias("ALIAS_LOGIN"), F.when(known, F.col("METHOD")).otherwise("PATCH_PR").alias("METHOD"))
+    folded = both.withColumn("s", F.aggregate(F.coalesce("steps", F.array().cast(kind)), first, step))
+    set_now = {"GITHUB_ID": F.col("s.id"), "GITHUB_LOGIN": F.col("s.login"), "GITHUB_ID_ALIAS": F.col("s.ids"), "GITHUB_LOGIN_ALIAS": F.col("s.logins")}
+    set_now |= {c: F.when(F.col("known"), F.col(c)).otherwise(F.col("named")[c]) for c in ("JIRA_DISPLAY_NAME", "JIRA_EMAIL")}
+    set_now |= {c: F.when(F.col("known"), F.col(c)).otherwise(empty) for c in ("GITHUB_DISPLAY_NAME_ALIAS", "GITHUB_EMAIL_ALIAS")}
+    set_now["MATCHING_METHOD"] = F.when(F.col("known"), F.col("MATCHING_METHOD")).otherwise("PATCH_PR")
+    return folded.select(*[set_now[c].alias(c) if c in set_now else F.col(c) for c in MATCHED])
 
 
 def _rows(spark, d) -> DataFrame:
@@ -256,8 +265,12 @@ def _shown(df: DataFrame) -> DataFrame:
 
 
 def _patch(spark, d) -> DataFrame:
-    m = load(spark, d, "matched").select("JIRA_ID", "GITHUB_ID", "GITHUB_LOGIN", F.array().cast("array<string>").alias("ALIAS_ID"), F.array().cast("array<string>").alias("ALIAS_LOGIN"), F.lit("M").alias("METHOD"))
-    f = load(spark, d, "prs").select("ORD", F.expr("CAST(ORD % 500 AS STRING)").alias("JIRA_ID"), F.col("USER_ID").alias("GITHUB_ID"), F.col("USER_LOGIN").alias("GITHUB_LOGIN"))
+    none = F.array().cast("array<string>")
+    m = load(spark, d, "matched").select(
+        "JIRA_ID", "GITHUB_ID", none.alias("GITHUB_ID_ALIAS"), "JIRA_DISPLAY_NAME", F.concat("JIRA_ID", F.lit("@j.com")).alias("JIRA_EMAIL"), F.concat(F.lit("G "), "GITHUB_ID").alias("GITHUB_DISPLAY_NAME"), F.lit(None).cast("string").alias("GITHUB_EMAIL"), "GITHUB_LOGIN",
+        F.array(F.concat(F.lit("Old "), "JIRA_ID")).alias("GITHUB_DISPLAY_NAME_ALIAS"), none.alias("GITHUB_EMAIL_ALIAS"), none.alias("GITHUB_LOGIN_ALIAS"), F.lit("METHOD_1_EMAIL").alias("MATCHING_METHOD"), F.lit(1.0).alias("MATCH_CONFIDENCE"),
+    )
+    f = load(spark, d, "prs").select("ORD", F.expr("CASE WHEN ORD % 7 = 0 THEN 'n' || CAST(ORD % 300 AS STRING) ELSE CAST(ORD % 500 AS STRING) END").alias("JIRA_ID"), F.expr("'P ' || CAST(ORD AS STRING)").alias("JIRA_DISPLAY_NAME"), F.expr("'p' || CAST(ORD AS STRING) || '@j.com'").alias("JIRA_EMAIL"), F.col("USER_ID").alias("GITHUB_ID"), F.col("USER_LOGIN").alias("GITHUB_LOGIN"))
     return _shown(patch(m, f))
 
 
@@ -378,10 +391,13 @@ ORACLES = {
     "unmatched_people": with_sql(f"WITH {_MATCHED} SELECT ID, DISPLAY_NAME FROM jira_users WHERE ID NOT IN (SELECT JIRA_ID FROM whole)", "jira_users", "github_users"),
     "pr_user_match": with_sql(_LOGIN_SQL, "jira_users", "pr_logins"),
     "fill_missing_names": with_sql(_FILL_SQL, "jira_users", "pr_logins"),
-    "patch_users": with_sql("""WITH f AS (SELECT CAST(ORD % 500 AS STRING) AS J, ORD, USER_ID, USER_LOGIN, row_number() OVER (PARTITION BY ORD % 500 ORDER BY ORD, USER_ID, USER_LOGIN) AS nth FROM prs),
-own AS (SELECT coalesce(m.JIRA_ID, x.J) AS JIRA_ID, coalesce(m.GITHUB_ID, x.USER_ID) AS GITHUB_ID, CASE WHEN m.GITHUB_ID IS NOT NULL THEN m.GITHUB_LOGIN ELSE coalesce(x.USER_LOGIN, m.GITHUB_LOGIN) END AS GITHUB_LOGIN, CASE WHEN m.JIRA_ID IS NULL THEN 'PATCH_PR' ELSE 'M' END AS METHOD
-  FROM matched m FULL JOIN (SELECT * FROM f WHERE nth = 1) x ON m.JIRA_ID = x.J),
-others AS (SELECT o.JIRA_ID, f.USER_ID, arg_min(f.USER_LOGIN, nth) AS login, min(nth) AS met FROM own o JOIN f ON f.J = o.JIRA_ID WHERE f.USER_ID <> o.GITHUB_ID GROUP BY ALL),
+    "patch_users": with_sql("""WITH f AS (SELECT CASE WHEN ORD % 7 = 0 THEN 'n' || CAST(ORD % 300 AS STRING) ELSE CAST(ORD % 500 AS STRING) END AS J, ORD, USER_ID, USER_LOGIN FROM prs),
+g AS (SELECT *, row_number() OVER (PARTITION BY J ORDER BY ORD, USER_ID, USER_LOGIN) AS nth FROM f),
+own AS (SELECT coalesce(m.JIRA_ID, x.J) AS JIRA_ID, coalesce(m.GITHUB_ID, x.USER_ID) AS GITHUB_ID, CASE WHEN m.GITHUB_ID IS NOT NULL THEN m.GITHUB_LOGIN ELSE coalesce(x.USER_LOGIN, m.GITHUB_LOGIN) END AS GITHUB_LOGIN, m.JIRA_ID IS NOT NULL AS known, m.GITHUB_ID AS old_id, m.JIRA_DISPLAY_NAME AS old_name, x.ORD AS first_ord
+  FROM matched m FULL JOIN (SELECT * FROM g WHERE nth = 1) x ON m.JIRA_ID = x.J),
+others AS (SELECT o.JIRA_ID, g.USER_ID, arg_min(g.USER_LOGIN, nth) AS login, min(nth) AS met FROM own o JOIN g ON g.J = o.JIRA_ID WHERE g.USER_ID <> o.GITHUB_ID GROUP BY ALL),
 lists AS (SELECT JIRA_ID, string_agg(USER_ID, ',' ORDER BY met) AS ids, string_agg(login, ',' ORDER BY met) AS logins FROM others GROUP BY 1)
-SELECT o.JIRA_ID, GITHUB_ID, GITHUB_LOGIN, coalesce(ids, '') AS ALIAS_ID, coalesce(logins, '') AS ALIAS_LOGIN, METHOD FROM own o LEFT JOIN lists USING (JIRA_ID)""", "matched", "prs"),
+SELECT o.JIRA_ID, GITHUB_ID, coalesce(ids, '') AS GITHUB_ID_ALIAS, CASE WHEN known THEN old_name ELSE 'P ' || first_ord END AS JIRA_DISPLAY_NAME, CASE WHEN known THEN o.JIRA_ID || '@j.com' ELSE 'p' || first_ord || '@j.com' END AS JIRA_EMAIL, CASE WHEN known THEN 'G ' || old_id END AS GITHUB_DISPLAY_NAME, NULL::VARCHAR AS GITHUB_EMAIL, GITHUB_LOGIN,
+CASE WHEN known THEN 'Old ' || o.JIRA_ID ELSE '' END AS GITHUB_DISPLAY_NAME_ALIAS, '' AS GITHUB_EMAIL_ALIAS, coalesce(logins, '') AS GITHUB_LOGIN_ALIAS, CASE WHEN known THEN 'METHOD_1_EMAIL' ELSE 'PATCH_PR' END AS MATCHING_METHOD, CASE WHEN known THEN 1.0::DOUBLE END AS MATCH_CONFIDENCE
+FROM own o LEFT JOIN lists ON lists.JIRA_ID = o.JIRA_ID""", "matched", "prs"),
 }

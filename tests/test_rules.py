@@ -83,11 +83,15 @@ def test_collapse_with_missing(spark):
 
 
 def test_patch(spark):
-    kind = "JIRA_ID string, GITHUB_ID string, GITHUB_LOGIN string, ALIAS_ID array<string>, ALIAS_LOGIN array<string>, METHOD string"
-    old = spark.createDataFrame([("a", "1", "l1", [], [], "M"), ("b", None, None, [], [], "M"), ("c", "3", "l3", ["4"], ["l4"], "M")], kind)
-    new = spark.createDataFrame([(1, "a", "1", "l1"), (2, "a", "9", "l9"), (3, "b", "2", "l2"), (4, "c", "4", "l4"), (5, "d", "5", "l5"), (6, "d", "6", "l6")], "ORD long, JIRA_ID string, GITHUB_ID string, GITHUB_LOGIN string")
-    got = {r["JIRA_ID"]: (r["GITHUB_ID"], r["ALIAS_ID"], r["METHOD"]) for r in identity.patch(old, new).collect()}
-    assert got == {"a": ("1", ["9"], "M"), "b": ("2", [], "M"), "c": ("3", ["4"], "M"), "d": ("5", ["6"], "PATCH_PR")}
+    kind = ", ".join(f"{c} {'array<string>' if c.endswith('ALIAS') else 'double' if c == 'MATCH_CONFIDENCE' else 'string'}" for c in identity.MATCHED)
+    row = lambda i, g, login, ids, logins: (i, g, ids, f"Name {i}", f"{i}@j", f"G {g}", None, login, ["old"], [], logins, "M", 0.9)
+    old = spark.createDataFrame([row("a", "1", "l1", [], []), row("b", None, None, [], []), row("c", "3", "l3", ["4"], ["l4"])], kind)
+    steps = [(1, "a", "1", "l1"), (2, "a", "9", "l9"), (3, "b", "2", "l2"), (4, "c", "4", "l4"), (5, "d", "5", "l5"), (6, "d", "6", "l6"), (7, None, "7", "l7")]
+    new = spark.createDataFrame([(o, i, f"P{o}", f"p{o}@j", g, login) for o, i, g, login in steps], "ORD long, JIRA_ID string, JIRA_DISPLAY_NAME string, JIRA_EMAIL string, GITHUB_ID string, GITHUB_LOGIN string")
+    done = {r["JIRA_ID"]: r for r in identity.patch(old, new).collect()}
+    got = {i: (r["GITHUB_ID"], r["GITHUB_ID_ALIAS"], r["GITHUB_LOGIN_ALIAS"], r["MATCHING_METHOD"]) for i, r in done.items()}
+    assert got == {"a": ("1", ["9"], ["l9"], "M"), "b": ("2", [], [], "M"), "c": ("3", ["4"], ["l4"], "M"), "d": ("5", ["6"], ["l6"], "PATCH_PR")}
+    assert tuple(done["d"])[3:7] == ("P5", "p5@j", None, None) and done["d"]["MATCH_CONFIDENCE"] is None and done["d"]["GITHUB_DISPLAY_NAME_ALIAS"] == [] and tuple(done["a"])[3:6] == ("Name a", "a@j", "G 1")
 
 
 def test_budgets(spark):
