@@ -7,7 +7,8 @@ from conftest import against_sql
 from pyspark.sql import functions as F
 
 from orgloom.functions import similarity
-from orgloom.plans import identity, inference, registry
+from orgloom.plans import identity, inference, knowledge, registry
+from orgloom.sources import catalog
 from orgloom.sources.adapters import load
 
 LARGER = "/root/testdata/sf0.01"
@@ -97,3 +98,27 @@ def test_role_counts_the_whole_text(spark):
     text = "test " + "x " * 25_000 + "deploy docker"
     r = spark.createDataFrame([(text,)], "t string").select(inference.role_of(F.col("t")).alias("r")).first()
     assert r["r"] == "DevOps Engineer"
+
+
+def test_vectors_in_packs(spark, monkeypatch):
+    base = load(spark, LARGER, "kb")
+    queries = base.filter("ID % 97 = 0")
+    one = sorted(map(tuple, knowledge.nearest_each(base, queries, 4).collect()))
+    monkeypatch.setattr(knowledge, "PACK", 3)
+    assert sorted(map(tuple, knowledge.nearest_each(base, queries, 4).collect())) == one and len(one) == 4 * queries.count()
+    assert knowledge.nearest_each(base, queries.limit(0)).count() == 0 == knowledge.nearest_each(base.limit(0), queries).count()
+
+
+def test_jdbc_source(spark):
+    """A table behind a driver, read whole and in ranges of a column, by an embedded database in memory."""
+    url, driver = "jdbc:derby:memory:orgloom;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = load(spark, LARGER, "nation").select("n_nationkey", "n_regionkey")
+    try:
+        rows.write.jdbc(url, "nations", mode="overwrite", properties={"driver": driver})
+    except Exception as e:  # the jar is not there
+        pytest.skip(str(e)[:80])
+    whole = catalog.open_source(spark, "jdbc", url=url, table="nations", driver=driver)
+    parts = catalog.open_source(spark, "jdbc", url=url, table="nations", column="n_nationkey", lower=0, upper=25, parts=4, driver=driver)
+    assert parts.rdd.getNumPartitions() == 4
+    want = sorted(map(tuple, rows.collect()))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect())) == want
