@@ -8,6 +8,7 @@ in one pass, without moving rows.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -16,14 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound_batches, fresh, materialize
-from .url_filters import entropy
+from .url_filters import characters, entropy
 
 _SIGN = r"A-Za-z0-9+/_\-"
 _NAMES = "passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth"
 #: A run of 16 or more key characters with a digit or an inner capital.
 RUN = rf"(?<![{_SIGN}])(?=[{_SIGN}]{{16}})(?=[{_SIGN}]*?(?:[0-9]|[a-z][A-Z]))[{_SIGN}]+={{0,2}}"
 #: Six or more signs that a name is assigned, up to a space, quote, comma or semicolon.
-ASSIGNED = rf"(?<=[:=]\s{{0,2}}[\"'`]?)(?=[^\s\"'`,;<>]{{6}})(?<=(?i:{_NAMES})[\"'`]?\s{{0,2}}[:=]\s{{0,2}}[\"'`]?)[^\s\"'`,;<>]+"
+ASSIGNED = rf"(?<=[:=\s\"'`])(?<=[:=]\s{{0,2}}[\"'`]?)(?=[^\s\"'`,;<>]{{6}})(?<=(?i:{_NAMES})[\"'`]?\s{{0,2}}[:=]\s{{0,2}}[\"'`]?)[^\s\"'`,;<>]+"
 #: What stands between user: and @ in a URL.
 IN_URL = r"(?<=[^\s/:@]:)(?=[^\s/:@]{3,128}@)(?<=://[^\s/:@]{1,64}:)[^\s/:@]+"
 CANDIDATE = f"{IN_URL}|{ASSIGNED}|{RUN}"
@@ -53,23 +54,35 @@ def features(c: Column, before: Column, after: Column) -> Column:
     return F.array(
         n, _share(c, "[0-9]"), _share(c, "[A-Z]"), _share(c, "[a-z]"), _share(c, "[^A-Za-z0-9]"),
         (F.size(F.regexp_extract_all(c, F.lit("[A-Z]+|[a-z]+|[0-9]+|[^A-Za-z0-9]+"), F.lit(0))) - 1) / n,
-        F.size(F.array_distinct(F.split(c, "(?!^)"))) / n, entropy(c), _share(F.lower(c), "|".join(sorted(DICTIONARY, key=len, reverse=True))),
+        F.size(F.array_distinct(characters(c))) / n, entropy(c), _share(F.lower(c), "|".join(sorted(DICTIONARY, key=len, reverse=True))),
         flag(c.rlike("^[0-9a-fA-F]+$")), flag(near.rlike(f"(?:{SECRET_WORDS})[^a-z\\n]*$|(?:{SECRET_WORDS})\\W+\\w+\\W+$")), flag(near.rlike(f"(?:{OTHER_WORDS})\\W*(?:\\w+\\W+)?$")),
         flag(near.rlike("[=:]\\s*[\"'`]?$")), flag(near.rlike("[\"'`]$") | F.left(after, F.lit(1)).isin('"', "'", "`")),
         flag(c.contains("/") | near.rlike("[/.]$")), flag(F.lower(c).rlike(PLACEHOLDER)), flag(c.rlike("^[0-9_-]+$")), flag(near.rlike("://[^\\s/:@]+:$")),
     )
 
 
+#: Parts of which every name of ASSIGNED has one.
+_HINTS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "auth")
+
+
 def candidates(text: Column) -> tuple[Column, Column]:
-    """(candidates of a text, the texts around them: one more)."""
-    return F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE, -1)
+    """(candidates of a text, the texts around them: one more). A text without any such name or URL is only searched for runs."""
+    lower = F.lower(text)
+    named = reduce(lambda a, b: a | b, [lower.contains(h) for h in _HINTS]) & (text.contains(":") | text.contains("="))
+    both = named | (text.contains("://") & text.contains("@"))
+    found = F.when(both, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))).otherwise(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)))
+    return found, F.when(both, F.split(text, CANDIDATE, -1)).otherwise(F.split(text, RUN, -1))
 
 
 def example_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
     """(text, label): made-up findings in the usual shapes of keys, and of what is taken for keys."""
-    h = F.sha2(F.col("id").cast("string"), 256)
-    base = F.regexp_replace(F.base64(F.unhex(F.concat(h, F.sha2(F.concat(h, F.lit("x")), 256)))), "=", "")
-    word = lambda k: F.element_at(F.array(*[F.lit(w) for w in DICTIONARY]), (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(DICTIONARY))) + 1).cast("int"))
+    seed = F.sha2(F.col("id").cast("string"), 256)
+    coded = F.regexp_replace(F.base64(F.unhex(F.concat(seed, F.sha2(F.concat(seed, F.lit("x")), 256)))), "=", "")
+    known = F.split(F.lit(" ".join(DICTIONARY)), " ")
+    said = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.element_at(known, (F.pmod(F.xxhash64(F.col("id"), k), F.lit(len(DICTIONARY))) + 1).cast("int")))
+    rows_of = spark.range(0, rows, numPartitions=1).select("id", seed.alias("h"), coded.alias("base"), said.alias("w"))
+    h, base = F.col("h"), F.col("base")
+    word = lambda k: F.col("w")[k]
     sub = lambda x, n: F.substring(x, 1, n)
     digits = lambda n: F.substring(F.regexp_replace(F.concat(h, F.sha2(h, 256)), "[a-f]", ""), 1, n)
     say = F.concat(word(1), F.lit(" "), word(2), F.lit(" "))
@@ -93,7 +106,7 @@ def example_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         F.concat(say, F.lit("YOUR_"), F.upper(word(3)), F.lit("_KEY_"), digits(5), F.lit("_HERE")), F.concat(word(3), F.initcap(word(4)), F.initcap(word(5)), F.lit("By"), F.initcap(word(6)), sub(digits(4), 1), F.lit(" "), word(7)),
     ]
     pick = lambda made: F.element_at(F.array(*made), (F.pmod(F.floor(F.col("id") / 2), F.lit(len(made))) + 1).cast("int"))
-    return spark.range(0, rows, numPartitions=1).select(F.when(F.col("id") % 2 == 0, pick(yes)).otherwise(pick(no)).alias("text"), (1 - F.col("id") % 2).cast("double").alias("label"))
+    return rows_of.select(F.when(F.col("id") % 2 == 0, pick(yes)).otherwise(pick(no)).alias("text"), (1 - F.col("id") % 2).cast("double").alias("label"))
 
 
 def training_rows(findings: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -105,30 +118,47 @@ def training_rows(findings: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFram
     return rows.select("label", *[F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)])
 
 
-def _tree(node, x: Column) -> Column:
-    """The share of label 1 in the leaf that ``x`` (array<double>) comes to."""
-    if node.subtreeDepth() == 0:
+def node_table(roots: list) -> dict[str, list]:
+    """All nodes of fitted trees in one table: ``feature`` and ``threshold``, where it goes on to the ``left`` (up to the threshold) and ``right``, and the ``share`` of label 1; ``root`` of each tree.
+
+    A leaf goes on to itself."""
+    out: dict[str, list] = {k: [] for k in ("feature", "threshold", "left", "right", "share", "root")}
+
+    def add(node) -> int:
+        at = len(out["feature"])
         stats = list(node.impurityStats().stats())
-        return F.lit(float(stats[1] / sum(stats)) if len(stats) > 1 else 0.0)
-    split = node.split()
-    return F.when(x[split.featureIndex()] <= float(split.threshold()), _tree(node.leftChild(), x)).otherwise(_tree(node.rightChild(), x))
+        for k, v in (("feature", 0), ("threshold", 1e300), ("left", at), ("right", at), ("share", float(stats[1] / sum(stats)) if len(stats) > 1 and sum(stats) else 0.0)):
+            out[k].append(v)
+        if node.subtreeDepth():
+            split = node.split()
+            out["feature"][at], out["threshold"][at] = split.featureIndex(), float(split.threshold())
+            out["left"][at] = add(node.leftChild())
+            out["right"][at] = add(node.rightChild())
+        return at
+
+    out["root"] = [add(r) for r in roots]
+    return out
 
 
 class Forest:
-    """A forest fitted on labelled findings; ``score`` gives its expression."""
+    """A forest fitted on labelled findings; ``score`` gives its expression: a walk over the table of its nodes, whose size does not grow with the trees."""
 
     def __init__(self, findings: DataFrame, trees: int = 20, depth: int = 6, train_rows: int = TRAIN_ROWS):
         train = materialize(training_rows(findings, train_rows), "findings")
         labels = {r["label"] for r in train.select("label").distinct().limit(3).collect()}
-        self.constant = None if len(labels) > 1 else (labels.pop() if labels else 0.0)
+        self.constant, self.depth = None if len(labels) > 1 else (labels.pop() if labels else 0.0), depth
         if self.constant is None:
             model = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth, seed=1).fit(VectorAssembler(inputCols=FEATURES, outputCol="x").transform(train))
-            self.roots = [t._call_java("rootNode") for t in model.trees]
+            self.nodes = node_table([t._call_java("rootNode") for t in model.trees])
 
     def score(self, x: Column) -> Column:
         if self.constant is not None:
             return F.lit(self.constant)
-        return reduce(lambda a, b: a + b, [_tree(r, x) for r in self.roots]) / len(self.roots)
+        table = {k: F.from_json(F.lit(json.dumps(v)), f"array<{'double' if k in ('threshold', 'share') else 'int'}>") for k, v in self.nodes.items()}  # folded to constants
+        go = lambda at, _: F.when(F.get(x, F.get(table["feature"], at)) <= F.get(table["threshold"], at), F.get(table["left"], at)).otherwise(F.get(table["right"], at))
+        steps = F.sequence(F.lit(1), F.lit(self.depth))
+        total = F.aggregate(table["root"], F.lit(0.0), lambda s, root: s + F.get(table["share"], F.aggregate(steps, root, go)))
+        return total / len(self.nodes["root"])
 
 
 _FOUND = "array<struct<start:int,length:int,score:double>>"

@@ -40,9 +40,14 @@ def longest_rule(rules: list[tuple[str, str]]) -> Column:
     return out
 
 
+def characters(text: Column) -> Column:
+    """The characters of a string."""
+    return F.filter(F.split(text, ""), lambda x: x != "")
+
+
 def entropy(text: Column) -> Column:
     """Bits a character of a string, over the characters it has."""
-    chars = F.split(text, "(?!^)")
+    chars = characters(text)
     n = F.greatest(F.length(text), F.lit(1))
     share = lambda c: F.size(F.filter(chars, lambda x: x == c)) / n
     return F.when(F.length(text) > 0, F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda s, c: s - share(c) * F.log2(share(c)))).otherwise(0.0)

@@ -417,7 +417,7 @@ def test_forest_expression_equals_the_model(spark):
     whole = VectorAssembler(inputCols=secret_scan.FEATURES, outputCol="x").transform(train)
     model = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=5, maxDepth=4, seed=1).fit(whole)
     mine = secret_scan.Forest.__new__(secret_scan.Forest)
-    mine.constant, mine.roots = None, [t._call_java("rootNode") for t in model.trees]
+    mine.constant, mine.depth, mine.nodes = None, 4, secret_scan.node_table([t._call_java("rootNode") for t in model.trees])
     rows = model.transform(whole).select(vector_to_array("probability")[1].alias("p"), mine.score(F.array(*secret_scan.FEATURES)).alias("q")).collect()
     assert max(abs(r["p"] - r["q"]) for r in rows) < 1e-9
 
