@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_of, keep_columns, tidied
+from .common import chunks_of, give_back, keep_columns, tidied
 from .pieces import LETTERS, Recent, no_garbage_collection, split_words, word_level, worker_store
 
 #: Bytes of each generation of words, and of pieces, that a task remembers.
@@ -69,16 +69,13 @@ class TrieEncoder:
         self.end = model.get("end_of_word_suffix") or ""
         ids: dict[str, int] = model["vocab"]
         self.size = max(ids.values(), default=0) + 1
-        self.token = [b""] * self.size
-        for t, i in ids.items():
-            self.token[i] = t.encode()
-        self.rank: dict[tuple[int, int], int] = {}
+        self.rank: dict[int, int] = {}  # of a pair of parts: left * size + right
         self.made: dict[int, tuple[int, int, int]] = {}  # left part, right part and rank of a token
         single = {i for t, i in ids.items() if len(self._bare(t)) == 1}
         for r, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             x, y, made = ids[a], ids[b], ids[a + b]
-            self.rank[x, y] = r
+            self.rank[x * self.size + y] = r
             if made in self.made or any(t not in single and t not in self.made for t in (x, y)):
                 raise ValueError(f"merge {r} makes a token again, or of parts not made yet")
             self.made[made] = (x, y, r)
@@ -86,8 +83,8 @@ class TrieEncoder:
         self.apart: dict[int, bool] = {}
         self.spines: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.goto: list[dict[str, int]] = [{}]
-        self.ends: list[list[tuple[int, int]]] = [[]]  # (token, its length) of tokens that end at a state
-        self.last: list[list[tuple[int, int]]] = [[]]  # the same for tokens with the end-of-word mark
+        self.ends: list[tuple[tuple[int, int], ...]] = [()]  # (token, its length) of tokens that end at a state
+        self.last: list[tuple[tuple[int, int], ...]] = [()]  # the same for tokens with the end-of-word mark
         marked = {self._bare(t): i for t, i in usable.items() if self.end and t.endswith(self.end)} if self.end else usable
         for table, tokens in ((self.ends, {t: i for t, i in usable.items() if not (self.end and t.endswith(self.end))}), (self.last, marked)):
             for t, i in tokens.items():
@@ -97,10 +94,10 @@ class TrieEncoder:
                     if to is None:
                         to = self.goto[state][c] = len(self.goto)
                         self.goto.append({})
-                        self.ends.append([])
-                        self.last.append([])
+                        self.ends.append(())
+                        self.last.append(())
                     state = to
-                table[state].append((i, len(t)))
+                table[state] = ((i, len(t)),)
         self.fall = [0] * len(self.goto)
         level = list(self.goto[0].values())
         while level:  # shorter tokens that end where a longer one does come after it
@@ -141,7 +138,7 @@ class TrieEncoder:
         left, right, i, j = self._spine(a, 1), self._spine(b, 0), 0, 0
         while True:
             (x, x_until), (y, y_until) = left[i], right[j]
-            t = self.rank.get((x, y), never)
+            t = self.rank.get(x * self.size + y, never)
             if t < x_until and t <= y_until and t < never:
                 return False
             if x_until == never == y_until:
@@ -331,6 +328,7 @@ def _coded(docs: DataFrame, path: str, id_col: str, text_col: str, back: bool, l
         key = f"bpe_trie {zlib.crc32(given.value.encode())}"
         if key not in store:
             store[key] = Pieces(given.value), Decoder(json.loads(given.value))
+            give_back()
         tool, to_text = store[key]
         words, pieces = Recent(REMEMBERED), Recent(REMEMBERED)  # of this task: a worker that is idle, or does other work, keeps the vocabulary alone
         with no_garbage_collection():
