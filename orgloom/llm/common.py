@@ -54,10 +54,14 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
+#: Pages and row groups of scratch tables: small enough that neither their writers nor their readers hold much at once.
+WRITTEN = {"parquet.page.size": str(256 << 10), "parquet.block.size": str(32 << 20)}
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.options(**WRITTEN).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -127,7 +131,7 @@ def stage(df: DataFrame, text_col: str, block_col: str, block_bytes: int = BLOCK
     name, path = scratch_table(spark, "blocks")
     if place_col:
         df = df.withColumn(place_col, F.floor(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) / each).cast("int"))
-    df.withColumn(block_col, block).write.bucketBy(min(blocks, MOST_BUCKETS), block_col).option("path", path).saveAsTable(name)
+    df.withColumn(block_col, block).write.options(**WRITTEN).bucketBy(min(blocks, MOST_BUCKETS), block_col).option("path", path).saveAsTable(name)
     return spark.table(name), blocks
 
 
@@ -179,6 +183,13 @@ def keep_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def give_back() -> None:
+    """Free memory of this process goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not in every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """An Arrow function that gives its free memory back to the system at the end of a task, as its worker lives on."""
 
@@ -186,9 +197,7 @@ def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
         try:
             yield from work(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # not in every C library
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return run
 

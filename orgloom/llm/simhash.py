@@ -21,6 +21,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -179,23 +180,32 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each node points to its least neighbour if that is less; pointers are followed to their ends; links
     are drawn between the ends, those within one are dropped, and what is left is done again. Links shrink
-    from round to round, each step is a written table, and no link leaves the executors."""
+    from round to round, each round ends in written tables, and no link leaves the executors. Pointers of a round are kept on the
+    executors' disks meanwhile; what is lost with an executor is made again from the round's links."""
     left, found = materialize(edges.select("a", "b").distinct(), "links"), None
     while True:
+        kept = []
+
+        def keep(df: DataFrame, kept: list = kept) -> DataFrame:
+            kept.append(df.persist(StorageLevel.DISK_ONLY))
+            return df
+
         both = left.union(left.select("b", "a"))
-        point = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), "point")
+        point = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
         while True:
             far = point.select(F.col("node").alias("via"), F.col("root").alias("end"))
-            point = materialize(point.join(far, F.col("root") == F.col("via")).select("node", F.col("end").alias("root"), (F.col("end") < F.col("root")).alias("moved")), "point")
-            settled = not point.filter("moved").limit(1).count()
-            point = point.select("node", "root")
+            jumped = keep(point.join(far, F.col("root") == F.col("via")).select("node", F.col("end").alias("root"), (F.col("end") < F.col("root")).alias("moved")))
+            settled = not jumped.filter("moved").limit(1).count()
+            point = jumped.select("node", "root")
             if settled:
                 break
         ends = point.select(F.col("node").alias("via"), F.col("root").alias("end"))
-        found = point if found is None else materialize(found.join(ends, F.col("root") == F.col("via"), "left").select("node", F.coalesce("end", "root").alias("root")), "roots")
+        found = materialize(point if found is None else found.join(ends, F.col("root") == F.col("via"), "left").select("node", F.coalesce("end", "root").alias("root")), "roots")
         of_b = ends.withColumnsRenamed({"via": "via_b", "end": "end_b"})
         drawn = left.join(ends, F.col("a") == F.col("via")).join(of_b, F.col("b") == F.col("via_b")).select(F.col("end").alias("a"), F.col("end_b").alias("b"))
         left = materialize(drawn.filter("a != b").distinct(), "links")
+        for df in kept:
+            df.unpersist()
         if not left.limit(1).count():
             return found
 
@@ -210,8 +220,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "prints")
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(links(classes.select("fp"), distance))
-    rooted = materialize(classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
-    least = materialize(rooted.groupBy(F.col("root").alias("top")).agg(F.min("first").alias("component_id")), "least")
+    rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy(F.col("root").alias("top")).agg(F.min("first").alias("component_id"))
     named = materialize(rooted.join(least, F.col("root") == F.col("top")).select(F.col("fp").alias("class_fp"), "component_id"), "named")
     return prints.join(named, F.col("fp") == F.col("class_fp")).select("doc_id", "fp", "component_id")
 
@@ -224,7 +234,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     whole = docs.withColumn(uid, F.monotonically_increasing_id())
     ranked = whole.select(F.struct(F.col(f"`{id_col}`").isNull().alias("gone"), F.col(f"`{id_col}`").alias("id"), F.col(uid).alias("uid")).alias("rank"), F.col(f"`{text_col}`").alias("text"))
     found = near_duplicates(ranked, "rank", "text", shingle, distance)
-    keep = materialize(found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.uid").alias(kept_uid)), "keep")
+    keep = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.uid").alias(kept_uid))
     return whole.join(keep, F.col(uid) == F.col(kept_uid), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -436,7 +446,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
     dealt = held.mapInArrow(tidied(with_sets), "root long, chunks int, node long, hashes binary").select("root", F.inline(pairs), "node", "hashes")
     edges = dealt.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "node").mapInArrow(tidied(verified), "a long, b long")
     roots = components(edges)
-    rooted = materialize(prints.join(roots, F.col("set") == F.col("node"), "left").select("doc_id", "block", "place", F.coalesce("root", "set").alias("root")), "rooted")
+    rooted = prints.join(roots, F.col("set") == F.col("node"), "left").select("doc_id", "block", "place", F.coalesce("root", "set").alias("root"))
     first = rooted.groupBy(F.col("root").alias("top")).agg(F.min("doc_id").alias("component_id"))
     return rooted.join(first, F.col("root") == F.col("top")).select("doc_id", "component_id", *(["block", "place"] if staged else []))
 
@@ -448,5 +458,5 @@ def dedup_similar(docs: DataFrame, text_col: str = "text", shingle: int = 5, lea
     uid, block, place, gone = fresh(docs, "near_uid", "near_block", "near_place", "near_gone")
     whole, _ = stage(docs.withColumn(uid, F.monotonically_increasing_id()), text_col, block, place_col=place)
     found = similar_groups(whole, uid, text_col, shingle, least, (block, place))
-    marks = materialize(found.filter("doc_id != component_id").select("block", "place"), "gone")
+    marks = found.filter("doc_id != component_id").select("block", "place")
     return is_marked(whole, block, place, marks, gone).filter(~F.col(gone)).select(*[F.col(f"`{c}`") for c in docs.columns])
