@@ -438,12 +438,23 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
     blocks = components(candidates(prints, classes))
     members = materialize(classes.join(blocks, F.col("set") == F.col("node")).select(F.col("first.doc_id").alias("first"), "first.block", "first.place", "node", "root", "n"), "members")
     sizes = members.groupBy(F.col("root").alias("of_root")).agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
-    placed = members.join(sizes, F.col("root") == F.col("of_root")).select("first", "node", "root", "chunks")
-    chosen = is_marked(slim, "block", "place", members.select("block", "place"), "chosen").filter("chosen") if staged else slim  # only the texts of candidates are moved
-    held = chosen.join(placed, F.col("doc_id") == F.col("first")).select("text", "root", "chunks", "node")
+    placed = members.join(sizes, F.col("root") == F.col("of_root")).select("first", "block", "place", "node", "root", "chunks")
+    kind = "root long, chunks int, node long, hashes binary"
+
+    def in_block(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts = dict(zip(left.column("place").to_pylist(), left.column("text").to_pylist(), strict=True))
+        made = [shingle_set(texts[p], shingle).tobytes() for p in right.column("place").to_pylist()] if left.num_rows else []
+        rows = right if left.num_rows else right.slice(0, 0)
+        return pa.table({"root": rows.column("root"), "chunks": rows.column("chunks"), "node": rows.column("node"), "hashes": pa.array(made, pa.binary())})
+
+    if staged:  # what is known of candidates goes to their blocks, and no text moves
+        chosen = is_marked(slim, "block", "place", members.select("block", "place"), "chosen").filter("chosen").select("block", "place", "text")
+        held = chosen.groupBy("block").cogroup(placed.select("block", "place", "root", "chunks", "node").groupBy("block")).applyInArrow(in_block, kind)
+    else:
+        held = slim.join(placed.select("first", "node", "root", "chunks"), F.col("doc_id") == F.col("first")).select("text", "root", "chunks", "node").mapInArrow(tidied(with_sets), kind)
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("lo"), F.greatest(chunk, j).alias("hi")))
-    dealt = held.mapInArrow(tidied(with_sets), "root long, chunks int, node long, hashes binary").select("root", F.inline(pairs), "node", "hashes")
+    dealt = held.select("root", F.inline(pairs), "node", "hashes")
     edges = dealt.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "node").mapInArrow(tidied(verified), "a long, b long")
     roots = components(edges)
     rooted = prints.join(roots, F.col("set") == F.col("node"), "left").select("doc_id", "block", "place", F.coalesce("root", "set").alias("root"))
