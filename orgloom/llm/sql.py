@@ -59,3 +59,34 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
        sha256(coalesce(s, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+def _op11_sql(rounds: int = 3, k: int = 16) -> str:
+    """Each round: the nearest centroid of each vector, then exact floors of the means."""
+    near = "list_min(list_transform(cs, lambda c: {'d': list_sum(list_transform(list_zip(q.p, c.p), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'c': c.c}))"
+    parts = [
+        f"""q AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS p FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, p) - 1 AS c, p FROM q ORDER BY c LIMIT {k}),
+l0 AS MATERIALIZED (SELECT list({{'c': c, 'p': p}} ORDER BY c) AS cs FROM c0)"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"a{r} AS MATERIALIZED (SELECT vec_id, p, {near} AS m FROM q, l{r})")
+        if r < rounds:
+            parts.append(
+                f"""s{r} AS (SELECT m.c AS c, i, sum(p[i]) AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY ALL),
+n{r} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS p FROM s{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c, coalesce(n{r}.p, c{r}.p) AS p FROM c{r} LEFT JOIN n{r} USING (c)),
+l{r + 1} AS MATERIALIZED (SELECT list({{'c': c, 'p': p}} ORDER BY c) AS cs FROM c{r + 1})"""
+            )
+    return f"""
+WITH {', '.join(parts)}
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance,
+       CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia, CAST(sum(m.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.p, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = m.c
+"""
+
+
+OP11_SQL = _op11_sql()
