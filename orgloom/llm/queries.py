@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_trie, centroid_clusters, chat_format, decontam, quality_mil, quality_rules, secret_scan, simhash, substring_dedup, token_counts, url_filters
-from .sql import OP3_SQL, OP4_SQL, OP10_SQL, OP11_SQL
+from . import bpe_trie, centroid_clusters, chat_format, conversation_repair, decontam, quality_mil, quality_rules, secret_scan, simhash, substring_dedup, token_counts, url_filters
+from .sql import OP3_SQL, OP4_SQL, OP10_SQL, OP11_SQL, OP13_SQL
 
 TOKENIZER = "word_bpe_49k.json"
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -72,6 +72,11 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damaged(turns), copies_col="copies").facts()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_bpe_encode_decode,
         op10_substring_dedup,
         op11_centroid_clusters,
+        op13_conversation_repair,
     )
 }
-ORACLES: dict[str, str] = {"op3_benchmark_decontamination": OP3_SQL, "op4_quality_rules": OP4_SQL, "op10_substring_dedup": OP10_SQL, "op11_centroid_clusters": OP11_SQL}
+ORACLES: dict[str, str] = {"op3_benchmark_decontamination": OP3_SQL, "op4_quality_rules": OP4_SQL, "op10_substring_dedup": OP10_SQL, "op11_centroid_clusters": OP11_SQL, "op13_conversation_repair": OP13_SQL}

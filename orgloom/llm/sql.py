@@ -90,3 +90,68 @@ FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = m.c
 
 
 OP11_SQL = _op11_sql()
+
+#: CRC-32 by its definition: eight steps of a shift for each byte (the keys are ASCII).
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(key, ''), lambda c: ascii(c)::UBIGINT)),
+  lambda s, b: list_reduce(list_prepend(xor(s, b), list_transform(range(8), lambda i: 0::UBIGINT)), lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1::UBIGINT)))), 4294967295::UBIGINT)"""
+
+
+def _op13_sql() -> str:
+    """Best (cost, audit) of each state after each row, forwards; then the audit says which rows stay and who speaks."""
+    far = "{'c': 1000000, 'a': ''}"
+    best = lambda *arcs: f"list_min([{', '.join(arcs)}])"
+    step = lambda cost, letter, s: f"{{'c': {s}.c + {cost}, 'a': {s}.a || '{letter}'}}"
+    insert = lambda s: step(5, "I", s)
+    may = lambda cond, arc: f"CASE WHEN {cond} THEN {arc} ELSE {far} END"
+    keep = lambda i, s: may(f"fault < 2 AND ini = '{i}'", step("5 * fault", "K", s))
+    rerole = lambda s: may("fault < 2", step("1 + 5 * fault", "R", s))
+    # Turns that are put in before the row come first: p2 and p3 are states 2 and 3 with up to two of them.
+    r2 = best("b2", insert("b0"), insert("b1"), insert("b3"))
+    r3 = best("b3", insert("b2"), f"{{'c': {best('b0', 'b1')}.c + 10, 'a': {best('b0', 'b1')}.a || 'II'}}")
+    n0 = step(2, "D", "b0")
+    n1 = best(step(2, "D", "b1"), keep("s", "b0"))
+    n2 = best(step(2, "D", "p2"), keep("u", "b0"), keep("u", "b1"), keep("u", "p3"), rerole("b0"), rerole("b1"), rerole("p3"))
+    n3 = best(step(2, "D", "p3"), keep("a", "p2"), rerole("p2"))
+    blank = "NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]')"
+    return f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+f AS (SELECT *, {_CRC} % 20 AS damage FROM k),
+g AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+         CASE damage WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, n
+  FROM f, range(CASE damage WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) t(n)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, n) AS i FROM g),
+w AS MATERIALIZED (
+  SELECT *, left(role, 1) AS ini, {blank} AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+         CASE WHEN {blank} OR row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+              WHEN regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 0 ELSE 1 END AS fault FROM o),
+dp(conv_id, i, b0, b1, b2, b3) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, {{'c': 0, 'a': ''}}, {far}, {far}, {far} FROM w
+  UNION ALL
+  SELECT conv_id, i, {n0}, {n1}, {n2}, {n3} FROM (
+    SELECT w.conv_id, w.i, ini, fault, b0, b1, {r2} AS p2, {r3} AS p3 FROM dp JOIN w ON w.conv_id IS NOT DISTINCT FROM dp.conv_id AND w.i = dp.i + 1)),
+e AS (SELECT conv_id, {best('b0', r3)} AS m FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+l AS (SELECT conv_id, m.c AS cost, m.a AS audit, len(replace(m.a, 'D', '')) AS kept, j, m.a[j] AS letter FROM e, range(1, len(m.a) + 1) t(j)),
+y AS (
+  SELECT *, len(replace(left(audit, j), 'I', '')) AS i, len(replace(left(audit, j), 'D', '')) AS place FROM l WHERE letter <> 'D'),
+z AS (
+  SELECT y.conv_id, string_agg(CASE WHEN letter = 'K' THEN w.role WHEN (place + kept) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                               CASE WHEN letter = 'I' THEN '' ELSE w.text END, chr(10) ORDER BY j) AS repaired
+  FROM y LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM y.conv_id AND w.i = y.i GROUP BY y.conv_id),
+c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM w GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(m.c, 0) AS BIGINT) AS cost,
+       coalesce(m.a, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+OP13_SQL = _op13_sql()
