@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_trie, centroid_clusters, chat_format, conversation_repair, decontam, quality_mil, quality_rules, secret_scan, simhash, substring_dedup, token_counts, url_filters
+from . import bpe_trie, centroid_clusters, chat_format, conversation_repair, decontam, language_id, quality_mil, quality_rules, secret_scan, simhash, substring_dedup, token_counts, url_filters
 from .sql import OP3_SQL, OP4_SQL, OP10_SQL, OP11_SQL, OP13_SQL
 
 TOKENIZER = "word_bpe_49k.json"
@@ -72,6 +72,11 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversation_repair.repair(conversation_repair.damaged(turns), copies_col="copies").facts()
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_bpe_encode_decode,
         op10_substring_dedup,
         op11_centroid_clusters,
+        op12_language_id,
         op13_conversation_repair,
     )
 }
