@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators.running import running
 from ..operators.upserts import first_by
 from ..sources.adapters import load, with_sql
 from .links import _PKEY, _PTEXT, budget_blocks, pending_links
@@ -86,10 +87,11 @@ def kept_commits(diffs: DataFrame, limit: int = 150_000) -> DataFrame:
         F.max("ORD").alias("at"), F.min_by("COMMIT_MESSAGE", "ORD").alias("message"), F.sort_array(F.collect_set("REPO")).alias("repos"), F.sort_array(F.collect_set("FILE_PATH")).alias("paths"),
         F.sum("ADDED").alias("added"), F.sum("REMOVED").alias("removed"), (F.sum("N") + F.count(F.lit(1)) - 1).alias("size"),
     )
-    newest = Window.partitionBy("COMMITTER_ID").orderBy(F.desc("at"), "COMMIT_SHA")
-    upto = newest.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = commits.withColumns({"NTH": F.row_number().over(newest), "upto": F.sum("size").over(upto), "TOTAL": F.count(F.lit(1)).over(Window.partitionBy("COMMITTER_ID"))})
-    return ranked.filter((F.col("NTH") == 1) | (F.col("upto") <= limit)).drop("upto")
+    places = running(commits.select(F.col("COMMITTER_ID").alias("of"), F.col("COMMIT_SHA").alias("sha"), "at", "size"), ["of"], [F.desc("at"), F.asc("sha")], {"NTH": F.lit(1), "upto": F.col("size")})
+    total = places.groupBy(F.col("of").alias("all_of")).agg(F.max("NTH").alias("TOTAL"))
+    kept = places.filter((F.col("NTH") == 1) | (F.col("upto") <= limit)).select("of", "sha", "NTH")
+    same = F.col("COMMITTER_ID").eqNullSafe(F.col("of")) & F.col("COMMIT_SHA").eqNullSafe(F.col("sha"))
+    return commits.join(kept, same).join(total, F.col("COMMITTER_ID").eqNullSafe(F.col("all_of"))).select(*commits.columns, "NTH", "TOTAL")
 
 
 def inference_input(diffs: DataFrame, comments: DataFrame, matched: DataFrame, issues: DataFrame, limit: int = 150_000) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import joins, upserts
+from ..operators.running import running
 from ..operators.upserts import first_by
 from ..sources.adapters import load, with_sql
 
@@ -186,12 +187,17 @@ def first_diff(diffs: DataFrame) -> DataFrame:
 
 
 def budget(diffs: DataFrame, limit: int, crossing: bool) -> DataFrame:
-    """The newest diffs of each committer up to ``limit`` characters: with the one that crosses it, or without (but always the first), a line break between."""
-    w = Window.partitionBy("COMMITTER_ID").orderBy(F.desc("ORD"))
-    if crossing:
-        return diffs.withColumn("before", F.sum("N").over(w.rowsBetween(Window.unboundedPreceding, -1))).filter(F.coalesce("before", F.lit(0)) <= limit).drop("before")
-    n = diffs.withColumns({"upto": F.sum(F.col("N") + 1).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1, "nth": F.row_number().over(w)})
-    return n.filter((F.col("nth") == 1) | (F.col("upto") <= limit)).drop("upto", "nth")
+    """The newest diffs of each committer up to ``limit`` characters: with the one that crosses it, or without (but always the first), a line break between.
+
+    Only ids and lengths are summed up, over all tasks; then each committer has an oldest diff that stays, and whole rows meet it. Diffs of one
+    ORD stay or go together, as the first of them does; those without an ORD are the oldest."""
+    n = F.coalesce(F.col("N"), F.lit(0)).cast("long")
+    sizes = diffs.select(F.col("COMMITTER_ID").alias("of"), F.col("ORD").alias("at"), n.alias("size"))
+    summed = running(sizes, ["of"], [F.col("at").desc_nulls_last()], {"upto": F.col("size") + (0 if crossing else 1), "nth": F.lit(1)})
+    kept = summed.filter(F.col("upto") - F.col("size") <= limit) if crossing else summed.filter((F.col("nth") == 1) | (F.col("upto") - 1 <= limit))
+    cut = kept.groupBy("of").agg(F.min("at").alias("oldest"), F.max(F.col("at").isNull()).alias("undated"))
+    met = diffs.join(cut, F.col("COMMITTER_ID").eqNullSafe(F.col("of")))
+    return met.filter((F.col("ORD") >= F.col("oldest")) | (F.col("ORD").isNull() & F.col("undated"))).select(*diffs.columns)
 
 
 def budget_blocks(diffs: DataFrame, limit: int = 100_000) -> DataFrame:
@@ -201,7 +207,7 @@ def budget_blocks(diffs: DataFrame, limit: int = 100_000) -> DataFrame:
     rows = diffs.filter("COMMITTER_ID IS NOT NULL AND DIFF IS NOT NULL AND DIFF != ''")
     line = lambda name, c: F.concat(F.lit(f"--- {name}: "), F.col(c).cast("string"), F.lit(" ---\n"))
     block = F.concat(line("START OF COMMIT", "COMMIT_SHA"), line("TIMESTAMP", "ORD"), line("REPO", "REPO"), line("FILE_PATH", "FILE_PATH"), F.lit("\n"), "DIFF", F.lit("\n\n"), line("END OF COMMIT", "COMMIT_SHA"))
-    kept = budget(rows.withColumn("block", block).withColumn("N", F.length("block")), limit, crossing=True)
+    kept = budget(rows.withColumn("N", F.length(block)), limit, crossing=True).withColumn("block", block)
     parts = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("ORD")).alias("o"), "FILE_PATH", "block"))), lambda x: x["block"])
     made = kept.groupBy("COMMITTER_ID").agg(F.min_by("COMMITTER_NAME", "ORD").alias("COMMITTER_NAME"), F.count(F.lit(1)).alias("DIFF_COUNTS"), F.array_join(parts, "\n\n### NEXT CODE CHANGE ###\n\n").alias("AGGREGATED_DIFFS"))
     first = rows.groupBy(F.col("COMMITTER_ID").alias("of")).agg(F.min(F.struct("ORD", "FILE_PATH", "DIFF")).alias("f"))

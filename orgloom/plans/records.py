@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..sources import catalog
+from ..operators.running import running
+from ..sources import catalog, paged
 from ..sources.adapters import load, with_sql
 
 _PERSON = "struct<name:string,email:string,date:string>"
@@ -39,11 +40,11 @@ def live_commits(raw: DataFrame, repos: DataFrame, cutoff: str) -> DataFrame:
 
 
 def live_pulls(pulls: DataFrame, repos: DataFrame, cutoff: str) -> DataFrame:
-    """Pull requests updated since the cutoff, of repositories that are neither forks nor archived, newest first in each.
+    """Pull requests updated since the cutoff, of repositories that are neither forks nor archived, with their place (NTH) in the repository, newest first.
 
-    An API that gives the newest first can be left at the first one that is too old; a table is filtered."""
+    Of pages that descend by time, those behind the first old one are never opened."""
     kept = repos.filter("NOT FORK AND NOT ARCHIVED").select(F.col("NAME").alias("REPO"))
-    return catalog.landed(pulls, "UPDATED_AT", cutoff).join(kept, "REPO", "left_semi").withColumn("NTH", F.row_number().over(Window.partitionBy("REPO").orderBy(F.desc("UPDATED_AT"), "ORD")))
+    return running(catalog.landed(pulls, "UPDATED_AT", cutoff).join(kept, "REPO", "left_semi"), ["REPO"], [F.desc("UPDATED_AT"), F.asc("ORD")], {"NTH": F.lit(1)})
 
 
 def flat_issues(raw: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
@@ -120,6 +121,13 @@ def complete(df: DataFrame, *columns: str) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
+def _pages(rows: DataFrame, source: str, newest_first: str | None, last: str) -> DataFrame:
+    """``rows`` landed in pages, as an API gives them, and read again."""
+    order = [*([F.desc(newest_first)] if newest_first else []), F.asc(last)]
+    path, schema = paged.land_pages(rows, source, order, 500)
+    return paged.paged(rows.sparkSession, path, schema, source, newest_first)
+
+
 def _texts(df: DataFrame) -> DataFrame:
     """Arrays as text and times as ISO text, so that every engine shows them alike."""
     kinds = {f.name: f.dataType.typeName() for f in df.schema}
@@ -130,15 +138,15 @@ SINCE = "2024-01-10 00:00:00"
 QUERIES = {
     "commit_record": lambda s, d: _texts(flat_commits(load(s, d, "raw_commits"))),
     "live_commits": lambda s, d: _texts(live_commits(load(s, d, "raw_commits"), load(s, d, "repos"), SINCE)),
-    "live_pulls": lambda s, d: live_pulls(load(s, d, "prs"), load(s, d, "repos"), SINCE).select("REPO", "ORD", F.col("NTH").cast("bigint").alias("NTH")),
+    "live_pulls": lambda s, d: live_pulls(_pages(load(s, d, "prs"), "REPO", "UPDATED_AT", "ORD"), load(s, d, "repos"), SINCE).select("REPO", "ORD", "NTH"),
     "issue_record": lambda s, d: _texts(flat_issues(load(s, d, "raw_issues"), load(s, d, "jira_users"))),
     "live_issue_record": lambda s, d: _texts(flat_issues(load(s, d, "raw_issues"))),
-    "issues_since": lambda s, d: issues_since(load(s, d, "raw_issues").select("KEY", "UPDATED"), "1998-07-01 00:00:00").select("KEY"),
+    "issues_since": lambda s, d: issues_since(_pages(load(s, d, "raw_issues").select(F.split_part("KEY", F.lit("-"), F.lit(1)).alias("PROJECT"), "KEY", "UPDATED"), "PROJECT", "UPDATED", "KEY"), "1998-07-01 00:00:00").select("KEY"),
     "staged_diffs": lambda s, d: staged_diffs(load(s, d, "commit_files"), load(s, d, "repos"), 5, 20).select("USER_LOGIN", "REPO", "ORD", F.col("NTH").cast("bigint").alias("NTH")),
     "commits_without_diffs": lambda s, d: commits_without_diffs(load(s, d, "commits"), load(s, d, "matched").select("GITHUB_ID", "GITHUB_LOGIN").distinct(), usable_files(load(s, d, "commit_files"))),
     "commit_batches": lambda s, d: _texts(batches(load(s, d, "commits"))).select("ORG", "REPO", F.md5("shas").alias("shas")),
     "file_tree": lambda s, d: file_tree(load(s, d, "tree_entries"), load(s, d, "repos"), "2024-04-05 00:00:00", 90, 10),
-    "account_users": lambda s, d: account_users(load(s, d, "accounts")),
+    "account_users": lambda s, d: account_users(_pages(load(s, d, "accounts").withColumn("SITE", F.lit("all")), "SITE", None, "ACCOUNT_ID")),
     "project_keys": lambda s, d: load(s, d, "raw_issues").select(F.get_json_object("FIELDS", "$.project.key").alias("key")).filter("key IS NOT NULL").distinct().orderBy("key"),
     "active_repos": lambda s, d: catalog.landed(load(s, d, "repos"), "PUSHED_AT", "2024-01-10 00:00:00", strict=True).select("NAME"),
     "complete_rows": lambda s, d: complete(load(s, d, "commits"), "AUTHOR_ID", "AUTHOR_EMAIL").select("COMMIT_SHA"),
