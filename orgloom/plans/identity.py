@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.similarity import best_ratio, similarity, similarity_column, token_set
+from ..functions.similarity import Texts, best_ratios, may_reach, similarity_column
 from ..operators import joins
 from ..operators.upserts import first_by
 from ..sources.adapters import load, with_sql
@@ -132,97 +138,189 @@ def unmatched(users: DataFrame, matches: DataFrame, key: str) -> DataFrame:
     return users.join(used.distinct(), "ID", "left_anti")
 
 
-#: Names that are scored together.
-PACK = 5000
+PR_METHODS = {1: "METHOD_SUBSTRING", 2: "METHOD_TOKEN_SUBSTRING", 3: "METHOD_NAME_SIM"}
+#: Signs of cleaned texts, common ones first; pairs of late ones are rare, and make better keys.
+_COMMON_FIRST = " etaoinshrdlucmfwypvbgkqjxz0123456789"
 
 
-def best_in_packs(queries: DataFrame, names: DataFrame, prepare: Callable, score: Callable, result: str) -> DataFrame:
-    """(QUERY, found array<struct<SCORE,RANK,ORD,ID,NAME>>) of each distinct query and pack of names: the best of that pack, or none.
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
 
-    ``queries`` (QUERY) is a stated set that meets all ``names`` (ID, ORD, NAME) in blocks: names are gathered into packs of about
-    PACK, a row holds a query and a pack, and no pair is a row. prepare(name) is made once for each name; score(query, prepared)
-    gives (score, rank) or None."""
-    packs = -(-names.count() // PACK) or 1
-    packed = names.groupBy(F.pmod(F.xxhash64("NAME"), F.lit(packs)).alias("pack")).agg(F.collect_list(F.struct("ID", "ORD", "NAME")).alias("names"))
-    kind = f"QUERY string, found {result}"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ready = None, []
-        for b in batches:
-            for i in range(b.num_rows):
-                if b.column(1)[i].as_py() != at:
-                    at = b.column(1)[i].as_py()
-                    ready = [(x, prepare(x["NAME"])) for x in b.column(2)[i].as_py()]
-                query, best = b.column(0)[i].as_py(), None
-                for x, made in ready:
-                    if got := score(query, made):
-                        place = (-got[0], got[1], x["ORD"])
-                        if best is None or place < best[0]:
-                            best = place, {"SCORE": got[0], "RANK": got[1], "ORD": x["ORD"], "ID": x["ID"], "NAME": x["NAME"]}
-                if best:
-                    yield pa.RecordBatch.from_pylist([{"QUERY": query, "found": best[1]}], schema=pa.schema([("QUERY", pa.string()), ("found", pa.struct([("SCORE", pa.float64()), ("RANK", pa.int32()), ("ORD", pa.int64()), ("ID", pa.string()), ("NAME", pa.string())]))]))
+def _beginnings(c: Column, least: int = 1) -> Column:
+    return F.when(F.length(c) >= least, F.transform(F.sequence(F.lit(least), F.length(c)), lambda n: F.substring(c, F.lit(1), n))).otherwise(_no_texts())
 
-    met = packed.join(queries.filter("QUERY IS NOT NULL").select("QUERY").distinct()).select("QUERY", "pack", "names")
-    return met.mapInArrow(run, kind)
 
+def _endings(c: Column, least: int) -> Column:
+    return F.when(F.length(c) >= least, F.transform(F.sequence(F.lit(least), F.length(c)), lambda n: F.right(c, n))).otherwise(_no_texts())
 
-_FOUND = "struct<SCORE:double,RANK:int,ORD:bigint,ID:string,NAME:string>"
 
+def _words(c: Column) -> Column:
+    """Distinct words of a cleaned text."""
+    return F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
 
-def _best_of_packs(found: DataFrame) -> DataFrame:
-    order = F.struct((-F.col("found.SCORE")).alias("s"), F.col("found.RANK").alias("r"), F.col("found.ORD").alias("o"), F.col("found").alias("f"))
-    return found.groupBy("QUERY").agg(F.min(order).alias("b")).select("QUERY", F.col("b.f").alias("found"))
 
+def _size(words: Column) -> Column:
+    """Length of the words with a space between."""
+    return F.aggregate(words, F.lit(-1), lambda s, w: s + F.length(w) + 1)
+
+
+#: Signs of the longer text up to which three pairs of signs are a key, and two; beyond, one is.
+_THREE, _TWO = 24, 60
+
+
+def _pair_keys(cleaned: str, least: float) -> list[str]:
+    """Keys of which texts of a ratio of ``least`` or more share one: three (of long texts two, or one) of their pairs of signs at once.
+
+    With a space around each word, the pairs of signs of a text don't depend on the order of its words. A text of n signs has n + 1. To become
+    another of m signs, d1 signs go, each with two pairs at most, and d2 come, each in place of one; at a ratio r both
+    keep r (n + m) / 2 signs, so 3 r (n + m) / 2 - (n + m) + 1 pairs at least stay. As m is n r / (2 - r) or more, that is s = (3 r - 2) n / (2 - r) + 1
+    or more. So of the first n + 1 - s + q pairs in a fixed order, on both sides, q are the same (q at most s). The k-th of equal pairs
+    is a pair of its own. q goes by the longer text; a text has keys for each q that its longest and shortest partner give."""
+    words = sorted(set(cleaned.split()))
+    n = len(" ".join(words))
+    seen: Counter[str] = Counter()
+    pairs = []
+    for w in words:
+        for x, y in itertools.pairwise(f" {w} "):
+            seen[x + y] += 1
+            pairs.append((-_COMMON_FIRST.index(x) - _COMMON_FIRST.index(y), x + y, seen[x + y]))
+    ordered = [f"{g}{k}" for _, g, k in sorted(pairs)]
+    stay = math.ceil((3 * least - 2) / (2 - least) * n + 1 - 1e-9)
+    longest = n * (2 - least) / least + 1e-9  # of a partner
+    three = 2 * (2 - least) / (3 * least - 2)  # from here on three pairs stay at least
+    use = {3: n <= _THREE and longest >= three, 2: longest > _THREE and n <= _TWO, 1: longest > _TWO or n < three}
+    return ["".join(c) for q, on in use.items() if on for c in itertools.combinations(ordered[: max(0, n + 1 - stay + q)], q)]
+
+
+def _word_keys(words: Column, least: float) -> Column:
+    """Enough words that a text shares one of them with each text that has almost all of its words.
+
+    If both have words of n signs and o signs are left of the one, the ratio counts 1 - (o + 1) / (2 n + 1 + o), or is 1 if nothing is left: at ``least`` or more, o is
+    at most (1 - least) (2 size + 1) / (2 - (1 - least)) - 1. So the longest words, up to the one that goes beyond it, can't all be left."""
+    miss = 1 - least
+    budget = (miss * (2 * _size(words) + 1)) / (1 + miss)
+    longest = F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
+    before = lambda i: F.aggregate(F.slice(longest, F.lit(1), i), F.lit(0), lambda s, x: s - x["n"] + 1)
+    return F.transform(F.filter(longest, lambda x, i: before(i) <= budget), lambda x: x["w"])
 
-PR_METHODS = {1: "METHOD_SUBSTRING", 2: "METHOD_TOKEN_SUBSTRING", 3: "METHOD_NAME_SIM"}
 
+def _token_keys(c: Column, least: float) -> Column:
+    """Of m tokens, any m - ceil(least m) + 1: two sets of that Jaccard index share one of them."""
+    t = F.array_sort(text.tokens(c))
+    return F.slice(t, F.lit(1), (F.size(t) - F.ceil(F.size(t) * F.lit(least) - 1e-9) + 1).cast("int"))
 
-def _login_score(login: str, person: tuple[str, str, list[str]]) -> tuple[float, int] | None:
-    """The best of a prefix either way (0.95, and no more is tried), a token at either end of the login (0.9) and similarity."""
-    name, squashed, long = person
-    bare = re.sub("[^a-z0-9]", "", login.lower())
-    if bare and squashed and (bare.startswith(squashed) or squashed.startswith(bare)):
-        return PREFIX, 1
-    base = re.sub(r"\d+$", "", bare)
-    found = (0.9, -2) if any(base.startswith(t) or base.endswith(t) for t in long) else None
-    near = max(similarity(name, login), similarity(name, bare))
-    if near >= FUZZY:
-        found = max(found or (0.0, 0), (round(near, 2), -3))
-    return found and (found[0], -found[1])
+
+def near_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """Pairs (L, R) of distinct texts of ``left`` (L) and ``right`` (R), no fewer than those of a similarity of ``least`` or more.
+
+    One equi-join on keys of which such pairs share one: pairs of signs on both sides; words of the one among all words
+    of the other, both ways; tokens. No key's rows need be in one task: joins of many rows of a key are split where Spark finds them skewed."""
+
+    @F.pandas_udf("array<string>")
+    def pair_keys(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _pair_keys(t, least))
+
+    def keyed(df: DataFrame, c: str) -> DataFrame:
+        words = _words(text.clean(F.col(c)))
+        tag = lambda kind, keys: F.transform(keys, lambda k: F.concat(F.lit(kind), k))
+        some, every = tag("w", _word_keys(words, least)), tag("w", words)
+        tokens, pairs = text.tokens(F.col(c)), tag("g", pair_keys(text.clean(F.col(c))))
+        mine = [some, every] if c == "L" else [every, some]
+        shared = tag("t", _token_keys(F.col(c), least) if c == "L" else tokens)
+        keys = F.array_distinct(F.concat(pairs, shared, tag("a", mine[0]), tag("b", mine[1])))
+        return df.select(c).filter(f"{c} != ''").distinct().select(c, F.explode(keys).alias("key"))
+
+    return keyed(left, "L").join(keyed(right, "R"), "key").select("L", "R").distinct()
 
 
 def pr_user_match(logins: DataFrame, jira: DataFrame) -> DataFrame:
     """(GITHUB_LOGIN, JIRA_ID, JIRA_DISPLAY_NAME, JIRA_EMAIL, METHOD, SCORE) and GITHUB_ID if ``logins`` has it: the best person for each LOGIN, by score, then method, then the order of ``jira``.
 
-    Every login meets every name, as no block is safe for logins; ``logins`` are those that no other tier has matched."""
+    A squashed name that begins the squashed login, or the other way round, counts 0.95, and no more is tried for that pair; a token of four signs or more
+    at either end of the login without its last digits 0.9; and similarity, of the login or of it squashed, from 0.85 on, what it is. The first two
+    tiers are lookups: beginnings of logins among names, logins among beginnings of names, ends of logins among tokens, each key with the first
+    person that it leads to. For the third, ``near_pairs`` gives candidates. No login meets all names."""
     people = jira.filter("DISPLAY_NAME IS NOT NULL AND ID IS NOT NULL")
-    names = first_by(people, ["DISPLAY_NAME"], [F.asc("ORD")]).select("ID", "ORD", F.col("DISPLAY_NAME").alias("NAME"))  # people of one name score alike, and the first wins
-    prepare = lambda n: (n, re.sub("[^a-z0-9]", "", n.lower()), [t for t in token_set(n) if len(t) >= 4])
-    best = _best_of_packs(best_in_packs(logins.select(F.col("LOGIN").alias("QUERY")), names, prepare, _login_score, _FOUND))
-    method = F.create_map(*[F.lit(x) for kv in PR_METHODS.items() for x in kv])[F.col("found.RANK")]
-    met = best.select(F.col("QUERY").alias("GITHUB_LOGIN"), F.col("found.ID").alias("JIRA_ID"), F.col("found.NAME").alias("JIRA_DISPLAY_NAME"), method.alias("METHOD"), F.col("found.SCORE").alias("SCORE"))
-    met = met.join(first_by(people, ["ID"], [F.asc("ORD")]).select(F.col("ID").alias("JIRA_ID"), F.col("EMAIL").alias("JIRA_EMAIL")), "JIRA_ID")
+    names = first_by(people, ["DISPLAY_NAME"], [F.asc("ORD")]).select("ID", F.col("ORD").cast("bigint").alias("ORD"), F.col("DISPLAY_NAME").alias("NAME"))  # people of one name score alike, and the first wins
+    names = names.withColumn("X", text.squash(F.col("NAME")))
+    asked = logins.filter("LOGIN IS NOT NULL").select("LOGIN").distinct().withColumn("BARE", text.squash(F.col("LOGIN"))).withColumn("BASE", text.without_digits_at_end(F.col("BARE")))
+    person = F.struct("ORD", "ID", "NAME")
+    first = lambda keys: names.select(F.explode(keys).alias("KEY"), person.alias("p")).filter("KEY != ''").groupBy("KEY").agg(F.min("p").alias("p"))
+    met = lambda keys, table: asked.select("LOGIN", F.explode(F.array_distinct(keys)).alias("KEY")).join(table, "KEY")
+    out = lambda df, score, rank: df.select("LOGIN", score.alias("SCORE"), F.lit(rank).alias("RANK"), "p")
+    long = F.filter(text.tokens(F.col("NAME")), lambda t: F.length(t) >= 4)
+    by_name, by_start, by_token = first(F.array("X")), first(_beginnings(F.col("X"))), first(long)
+    found = [
+        out(met(_beginnings(F.col("BARE")), by_name), F.lit(PREFIX), 1),
+        out(met(F.array("BARE"), by_start), F.lit(PREFIX), 1),
+        out(met(F.concat(_beginnings(F.col("BASE"), 4), _endings(F.col("BASE"), 4)), by_token), F.lit(0.9), 2),
+    ]
+    spelled = asked.select("LOGIN", "BARE", F.explode(F.array_distinct(F.array("LOGIN", "BARE"))).alias("L"))
+    pairs = near_pairs(spelled, names.select(F.col("NAME").alias("R")), FUZZY)
+    scored = pairs.withColumn("S", similarity_column(FUZZY, F.col("R"), F.col("L"))).filter("S IS NOT NULL")
+    whole = scored.join(spelled, "L").join(names, F.col("R") == F.col("NAME"))
+    apart = (F.col("BARE") == "") | (F.col("X") == "") | ~(F.col("BARE").startswith(F.col("X")) | F.col("X").startswith(F.col("BARE")))
+    found.append(whole.filter(apart).select("LOGIN", F.col("S").alias("SCORE"), F.lit(3).alias("RANK"), person.alias("p")))
+    best = reduce(DataFrame.unionByName, found).groupBy("LOGIN").agg(F.min(F.struct((-F.col("SCORE")).alias("s"), F.col("RANK").alias("r"), F.col("p").alias("p"))).alias("b"))
+    method = F.create_map(*[F.lit(x) for kv in PR_METHODS.items() for x in kv])[F.col("b.r")]
+    done = best.select(F.col("LOGIN").alias("GITHUB_LOGIN"), F.col("b.p.ID").alias("JIRA_ID"), F.col("b.p.NAME").alias("JIRA_DISPLAY_NAME"), method.alias("METHOD"), (-F.col("b.s")).alias("SCORE"))
+    done = done.join(first_by(people, ["ID"], [F.asc("ORD")]).select(F.col("ID").alias("JIRA_ID"), F.col("EMAIL").alias("JIRA_EMAIL")), "JIRA_ID")
     ids = ["GITHUB_ID"] if "GITHUB_ID" in logins.columns else []
     if ids:
-        met = met.join(first_by(logins, ["LOGIN"], [F.asc("GITHUB_ID")]).select(F.col("LOGIN").alias("GITHUB_LOGIN"), "GITHUB_ID"), "GITHUB_LOGIN")
-    return met.select("GITHUB_LOGIN", *ids, "JIRA_ID", "JIRA_DISPLAY_NAME", "JIRA_EMAIL", "METHOD", "SCORE")
+        done = done.join(first_by(logins, ["LOGIN"], [F.asc("GITHUB_ID")]).select(F.col("LOGIN").alias("GITHUB_LOGIN"), "GITHUB_ID"), "GITHUB_LOGIN")
+    return done.select("GITHUB_LOGIN", *ids, "JIRA_ID", "JIRA_DISPLAY_NAME", "JIRA_EMAIL", "METHOD", "SCORE")
 
 
 def _plain_name(text: str) -> str:
     return re.sub("[^A-Za-z]+", " ", re.sub("([a-z])([A-Z])", r"\1 \2", text)).strip().lower()
 
 
+#: Logins of a block and names of a pack that meet in one row, about; and pairs whose bounds are taken at once.
+BLOCK, BOUNDED = 2000, 1 << 18
+
+
 def fill_missing_names(unnamed: DataFrame, people: DataFrame, accept: float = 75.0) -> DataFrame:
-    """(ID, NAME, EMAIL, SCORE): of ``people`` (ORD, NAME, EMAIL) the most alike to each LOGIN without a name, the first among equals, if it is alike enough; an EMAIL that ``unnamed`` has is kept."""
-    names = first_by(people.filter("NAME IS NOT NULL"), ["NAME"], [F.asc("ORD")]).select(F.coalesce(F.col("EMAIL"), F.lit("")).alias("ID"), F.col("ORD").cast("bigint").alias("ORD"), "NAME")
+    """(ID, NAME, EMAIL, SCORE): of ``people`` (ORD, NAME, EMAIL) the most alike to each LOGIN without a name, the first among equals, if it is alike enough; an EMAIL that ``unnamed`` has is kept.
+
+    A stretch of a name that is three quarters of a short login leaves no key that both must share. So the distinct logins without a name, a stated set of
+    queries, meet the distinct names in blocks: a row has a block of logins and a pack of names, bounds of all its pairs are taken
+    at once, and few are scored."""
+    names = first_by(people.filter("NAME IS NOT NULL"), ["NAME"], [F.asc("ORD")]).select(F.col("ORD").cast("bigint").alias("ORD"), "NAME", "EMAIL")
+    asked = unnamed.filter("LOGIN IS NOT NULL").select(F.col("LOGIN").alias("NAME")).distinct()
+
+    def dealt(df: DataFrame, out: str, what: Column) -> tuple[DataFrame, int]:
+        many = max(1, -(-df.count() // BLOCK))
+        return df.groupBy(F.pmod(F.xxhash64("NAME"), F.lit(many)).alias(out)).agg(F.collect_list(what).alias(f"{out}s")), many
 
-    def score(login: str, name: str) -> tuple[float, int] | None:
-        got = round(best_ratio(_plain_name(login), name), 4)
-        return (got, 0) if got >= accept else None
+    blocks, _ = dealt(asked, "block", F.col("NAME"))
+    packs, n_packs = dealt(names, "pack", F.struct("ORD", "NAME", "EMAIL"))
+    spread = blocks.withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(n_packs - 1)))).withColumn("pack", F.col("pack").cast("bigint"))
 
-    best = _best_of_packs(best_in_packs(unnamed.select(F.col("LOGIN").alias("QUERY")), names, _plain_name, score, _FOUND))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                logins, rows = row["blocks"], row["packs"]
+                x, y, numbers = [_plain_name(t) for t in logins], [_plain_name(r["NAME"]) for r in rows], {}
+                left, right = Texts(x, numbers, str.split), Texts(y, numbers, str.split)
+                best: dict[int, tuple] = {}
+                step = max(1, BOUNDED // len(y))
+                for s in range(0, len(x), step):
+                    i, j = (v.ravel() for v in np.meshgrid(np.arange(s, min(s + step, len(x))), np.arange(len(y)), indexing="ij"))
+                    near = np.flatnonzero(may_reach(left, i, right, j, accept / 100, partial=True))
+                    for at, score in zip(near.tolist(), best_ratios([x[i[k]] for k in near], [y[j[k]] for k in near]), strict=True):
+                        score, who = round(score, 4), rows[j[at]]
+                        place = (-score, who["ORD"], who["NAME"])
+                        if score >= accept and (i[at] not in best or place < best[i[at]][0]):
+                            best[i[at]] = place, who
+                found = [{"QUERY": logins[k], "SCORE": -place[0], "ORD": who["ORD"], "NAME": who["NAME"], "MAIL": who["EMAIL"]} for k, (place, who) in best.items()]
+                yield pa.RecordBatch.from_pylist(found, schema=pa.schema([("QUERY", pa.string()), ("SCORE", pa.float64()), ("ORD", pa.int64()), ("NAME", pa.string()), ("MAIL", pa.string())]))
+
+    cells = spread.join(packs, "pack").select("blocks", "packs")
+    scored = cells.mapInArrow(run, "QUERY string, SCORE double, ORD long, NAME string, MAIL string")
+    best = scored.groupBy("QUERY").agg(F.min(F.struct((-F.col("SCORE")).alias("s"), "ORD", "NAME", "MAIL")).alias("b"))
     met = unnamed.join(best, F.col("LOGIN") == F.col("QUERY"))
-    return met.select("ID", F.col("found.NAME").alias("NAME"), F.coalesce("EMAIL", F.nullif(F.col("found.ID"), F.lit(""))).alias("EMAIL"), F.col("found.SCORE").alias("SCORE"))
+    return met.select("ID", F.col("b.NAME").alias("NAME"), F.coalesce("EMAIL", "b.MAIL").alias("EMAIL"), (-F.col("b.s")).alias("SCORE"))
 
 
 MATCHED = ["JIRA_ID", "GITHUB_ID", "GITHUB_ID_ALIAS", "JIRA_DISPLAY_NAME", "JIRA_EMAIL", "GITHUB_DISPLAY_NAME", "GITHUB_EMAIL", "GITHUB_LOGIN", "GITHUB_DISPLAY_NAME_ALIAS", "GITHUB_EMAIL_ALIAS", "GITHUB_LOGIN_ALIAS", "MATCHING_METHOD", "MATCH_CONFIDENCE"]
