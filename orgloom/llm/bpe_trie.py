@@ -11,6 +11,7 @@ Decoding looks up the ids of a text, and knows nothing of the words they came fr
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import struct
@@ -255,7 +256,7 @@ class Pieces:
         if not word_level(spec):
             raise ValueError("the trie needs a word-level vocabulary with an end-of-word mark")
         self.encoder = TrieEncoder(spec["model"])
-        self.library = Tokenizer.from_str(contents)
+        self.library = Tokenizer.from_str(json.dumps({**spec, "model": {**spec["model"], "vocab": {}, "merges": []}}))  # its rules of splitting alone
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         self.characters = {i: c for i, c in enumerate(byte_characters())}
@@ -311,7 +312,7 @@ def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lists: bool = False) -> DataFrame:
     """(doc_id, n_tokens long, ids binary of little-endian unsigned 32-bit integers, decoded string): one row for each row of ``docs``.
 
-    lists: the ids again as id_list array<int>. ``decoded``: what the ids decode to, special tokens too. Null counts as empty: no tokens, and
+    lists: id_list array<int> and the digests ids_sha256 and decoded_sha256 in place of the last two, so that less leaves the workers. ``decoded``: what the ids decode to, special tokens too. Null counts as empty: no tokens, and
     empty ids and decoded text, as for empty and blank texts; repeated rows each get their row; an
     empty table gives an empty result; other columns are not looked at. Time and memory are in proportion to a
     text's length, however long its words are."""
@@ -344,16 +345,21 @@ def _coded(docs: DataFrame, path: str, id_col: str, text_col: str, back: bool, l
                     words.learn({w: of[x[0]] if len(x) == 1 else b"".join([of[p] for p in x]) for w, x in zip(new, cut, strict=True)})
                     known = words.new.__getitem__
                     ids = [b"".join(map(known, x)) for x in rows]
-                    made = [b.column(0).slice(at, to - at), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                    made = [b.column(0).slice(at, to - at), pa.array([len(x) // 4 for x in ids], pa.int64())]
                     del rows
-                    if back:
-                        made.append(pa.array([to_text(x).decode() for x in ids], pa.string()))
+                    if lists:
+                        made += [pa.array([hashlib.sha256(f(x)).hexdigest() for x in ids], pa.string()) for f in (bytes, to_text)]
+                    else:
+                        made.append(pa.array(ids, pa.binary()))
+                        if back:
+                            made.append(pa.array([to_text(x).decode() for x in ids], pa.string()))
                     if lists:
                         whole = pa.array(np.frombuffer(b"".join(ids), np.int32))
                         made.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]), pa.int32()), whole))
                     yield pa.RecordBatch.from_arrays(made, names)
 
-    columns = {"doc_id": slim.schema["doc_id"].dataType.simpleString(), "n_tokens": "long", "ids": "binary"} | ({"decoded": "string"} if back else {}) | ({"id_list": "array<int>"} if lists else {})
+    more = {"ids_sha256": "string", "decoded_sha256": "string", "id_list": "array<int>"} if lists else {"ids": "binary"} | ({"decoded": "string"} if back else {})
+    columns = {"doc_id": slim.schema["doc_id"].dataType.simpleString(), "n_tokens": "long"} | more
     names = list(columns)
     return slim.mapInArrow(tidied(run), ", ".join(f"{c} {kind}" for c, kind in columns.items()))
 

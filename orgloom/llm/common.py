@@ -81,6 +81,8 @@ def release(spark: SparkSession, owner: str | None = None, still: DataFrame | No
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
         _scratch.remove(item)
+    if owner is None:
+        unbound_batches(spark)
 
 
 def _at_exit() -> None:
@@ -169,14 +171,39 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
 BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20, "spark.sql.parquet.columnarReaderBatchSize": 128}
 
 
+#: (session, option, what it was) of options that ``bound_batches`` has lowered.
+_lowered: list[tuple[SparkSession, str, str]] = []
+
+
 def bound_batches(spark: SparkSession) -> None:
-    """Lower the options of BOUNDS to what is there, if they are higher."""
+    """Lower the options of BOUNDS to what is there, if they are higher; ``unbound_batches``, and ``release`` of all tables, put them back.
+
+    Spark reads them when a result is evaluated, which is after an operator has returned."""
     for key, most in BOUNDS.items():
-        given = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+        was = spark.conf.get(key)
+        given = re.fullmatch(r"(\d+)b?", was)
         if given and not 0 < int(given[1]) <= most:
+            _lowered.append((spark, key, was))
             spark.conf.set(key, str(most))
 
 
+def unbound_batches(spark: SparkSession) -> None:
+    """Put back what ``bound_batches`` has lowered, but for what was set anew since."""
+    for item in [x for x in reversed(_lowered) if x[0] is spark]:
+        _, key, was = item
+        if spark.conf.get(key) == str(BOUNDS[key]):
+            spark.conf.set(key, was)
+        _lowered.remove(item)
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Ask the JVMs of all executors to collect their garbage now, after which they give memory of their heaps back.
+
+    A heap that has grown while texts went by is not given back before a full collection; Python workers need that memory."""
+    n = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def keep_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id and text, under fixed names, whatever else the table holds."""
     bound_batches(df.sparkSession)

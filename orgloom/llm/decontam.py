@@ -151,7 +151,8 @@ def search(index: DataFrame, packs: list, slop: int = 0, matches: bool = True) -
                     each = np.diff(phrases["owner_at"])[which]
                     owner = phrases["owner_of"][np.repeat(phrases["owner_at"][which] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
                     for d, o in np.unique(np.stack([np.repeat(doc, each), owner], axis=1), axis=0).tolist():
-                        items.setdefault(d, set()).add(phrases["items"][o])
+                        if phrases["items"][o] is not None:
+                            items.setdefault(d, set()).add(phrases["items"][o])
                     if matches:
                         for d, o, s in zip(np.repeat(doc, each).tolist(), owner.tolist(), np.repeat(start - first[doc], each).tolist(), strict=True):
                             spans.setdefault(d, []).append({"item": phrases["items"][o], "start": s})
@@ -170,7 +171,7 @@ def packs_of(tests: DataFrame, id_col: str, text_col: str, window: int, pack_byt
     """``phrases_of`` the tests, pack by pack."""
     items, size = [], 0
     for r in keep_columns(tests, id_col, text_col).filter("text IS NOT NULL").orderBy(F.col("doc_id").cast("string"), "text").toLocalIterator():
-        items.append((str(r["doc_id"]), r["text"]))
+        items.append((None if r["doc_id"] is None else str(r["doc_id"]), r["text"]))
         size += len(r["text"].encode()) * window
         if size > pack_bytes:
             yield phrases_of(items, window)
@@ -184,7 +185,8 @@ def contamination(docs: DataFrame, tests: DataFrame, window: int = WINDOW, slop:
 
     Words are runs of lower-cased letters, digits and bytes over 0x7F. A test of fewer words than
     ``window`` is one window; of none, it never matches. Null, empty and blank documents have no words and
-    no hits; repeated rows each get their row; tests of one id count as one item; an empty table of either
+    no hits; repeated rows each get their row; tests of one id count as one item; words of a test without an id are hit, but it is no item
+    (its matches have a null one); an empty table of either
     kind gives no hits; other columns are not looked at."""
     sc = docs.sparkSession.sparkContext
     index = materialize(build_index(docs, id_col, text_col, window + slop + 1), "index")

@@ -23,11 +23,14 @@ _SIGN = r"A-Za-z0-9+/_\-"
 _NAMES = "passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth"
 #: A run of 16 or more key characters with a digit or an inner capital.
 RUN = rf"(?<![{_SIGN}])(?=[{_SIGN}]{{16}})(?=[{_SIGN}]*?(?:[0-9]|[a-z][A-Z]))[{_SIGN}]+={{0,2}}"
+_GIVEN = rf"(?i:{_NAMES})[\"'`]?\s{{0,2}}[:=]\s{{0,2}}"
+#: Six or more signs between quotes that a name is assigned, blanks and all, up to the closing quote on the line.
+QUOTED = "|".join(rf"(?<=[:=]\s{{0,2}}{q})(?=[^{q}\n]{{6}})(?<={_GIVEN}{q})[^{q}\n]++(?={q})" for q in "\"'`")
 #: Six or more signs that a name is assigned, up to a space, quote, comma or semicolon.
-ASSIGNED = rf"(?<=[:=\s\"'`])(?<=[:=]\s{{0,2}}[\"'`]?)(?=[^\s\"'`,;<>]{{6}})(?<=(?i:{_NAMES})[\"'`]?\s{{0,2}}[:=]\s{{0,2}}[\"'`]?)[^\s\"'`,;<>]+"
-#: What stands between user: and @ in a URL.
-IN_URL = r"(?<=[^\s/:@]:)(?=[^\s/:@]{3,128}@)(?<=://[^\s/:@]{1,64}:)[^\s/:@]+"
-CANDIDATE = f"{IN_URL}|{ASSIGNED}|{RUN}"
+ASSIGNED = rf"(?<=[:=\s\"'`])(?<=[:=]\s{{0,2}}[\"'`]?)(?=[^\s\"'`,;<>]{{6}})(?<={_GIVEN}[\"'`]?)[^\s\"'`,;<>]+"
+#: What stands between user: and @ in a URL; a user of more signs than the pattern looks back is not seen.
+IN_URL = r"(?<=[^\s/:@]:)(?=[^\s/:@]{3,}+@)(?<=://[^\s/:@]{1,4096}:)[^\s/:@]++"
+CANDIDATE = f"{IN_URL}|{QUOTED}|{ASSIGNED}|{RUN}"
 DICTIONARY = (
     "the and for with this that from have word page file data user name account code test example value index list item time date year price number order "
     "product report image photo video music book news blog post home link path lib bin usr share local main config setting service server client request "
@@ -84,6 +87,7 @@ def example_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
     h, base = F.col("h"), F.col("base")
     word = lambda k: F.col("w")[k]
     sub = lambda x, n: F.substring(x, 1, n)
+    odd = lambda k: F.translate(F.substring(F.sha2(F.concat(F.lit(f"w{k}"), h), 256), 1, 6), "0123456789", "oiuaerstln")  # noqa: E731  a word of no dictionary
     digits = lambda n: F.substring(F.regexp_replace(F.concat(h, F.sha2(h, 256)), "[a-f]", ""), 1, n)
     say = F.concat(word(1), F.lit(" "), word(2), F.lit(" "))
     yes = [
@@ -94,6 +98,7 @@ def example_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         F.concat(F.lit("passwd: '"), F.initcap(sub(F.translate(h, "0123456789", "ghkmprstvz"), 5)), F.lit("&"), digits(3), F.lit("!'")), F.concat(F.lit("postgres://"), word(3), F.lit(":"), sub(F.translate(base, "+/", "xy"), 9), F.lit("@db/"), word(4)),
         F.concat(say, F.lit('api-key = "'), sub(F.translate(h, "0123456789", "ghjkmnpqrs"), 24), F.lit('"')), F.concat(say, F.lit("secret="), sub(F.translate(base, "0123456789+/", "ghjkmnpqrsXY"), 20), F.lit(";")),
         F.concat(say, F.lit("auth_token="), sub(h, 64)), F.concat(say, F.lit('secret: "'), sub(base, 32), F.lit('"')),
+        F.concat(say, F.lit("password = '"), odd(8), F.lit(" "), odd(9), F.lit(" "), odd(10), F.lit(" "), odd(11), F.lit(" "), digits(2), F.lit("'")), F.concat(F.lit('passphrase: "'), odd(8), F.lit(" "), odd(9), F.lit(" "), odd(10), F.lit(" "), odd(11), F.lit('"')),
     ]
     no = [
         F.concat(say, digits(16), F.lit(" "), word(3)), F.concat(say, F.lit("commit "), sub(h, 40)), F.concat(F.lit("md5 "), sub(h, 32), F.lit("  file")),
@@ -105,6 +110,9 @@ def example_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         F.concat(F.lit("https://"), word(3), F.lit(":"), F.element_at(F.array(*[F.lit(w) for w in ("password", "example", "your-password", "xxxxxx", "test", "user")]), (F.pmod(F.xxhash64("id", F.lit(8)), F.lit(6)) + 1).cast("int")), F.lit("@"), word(4), F.lit(".org")),
         F.concat(say, F.lit("YOUR_"), F.upper(word(3)), F.lit("_KEY_"), digits(5), F.lit("_HERE")), F.concat(word(3), F.initcap(word(4)), F.initcap(word(5)), F.lit("By"), F.initcap(word(6)), sub(digits(4), 1), F.lit(" "), word(7)),
     ]
+    no += [
+        F.concat(say, F.lit('password: "'), F.initcap(word(3)), F.lit(" the "), word(4), F.lit(" for your "), word(5), F.lit(" here"), F.lit('"')), F.concat(F.lit("secret = '"), word(3), F.lit(" and "), word(4), F.lit(" of the "), word(5), F.lit(" test'")),
+    ]
     pick = lambda made: F.element_at(F.array(*made), (F.pmod(F.floor(F.col("id") / 2), F.lit(len(made))) + 1).cast("int"))
     return rows_of.select(F.when(F.col("id") % 2 == 0, pick(yes)).otherwise(pick(no)).alias("text"), (1 - F.col("id") % 2).cast("double").alias("label"))
 
