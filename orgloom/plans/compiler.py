@@ -133,7 +133,13 @@ def columns_of(tree: object) -> set[str]:
     """The columns that a tree reads."""
     if isinstance(tree, (All, Some)):
         return set().union(*map(columns_of, tree.parts))
-    return columns_of(tree.part) if isinstance(tree, Not) else {tree.column} if tree is not None and not isinstance(tree, str) else set()
+    if isinstance(tree, Not):
+        return columns_of(tree.part)
+    if tree is None or isinstance(tree, str):
+        return set()
+    if isinstance(tree, (Compare, OneOf, Missing)):
+        return {tree.column}
+    raise TypeError(f"no predicate: {tree!r}")
 
 
 def order_of(target: TargetSchema) -> list[tuple[str, bool]]:
