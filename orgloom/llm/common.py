@@ -199,10 +199,13 @@ def unbound_batches(spark: SparkSession) -> None:
 def collect_garbage(spark: SparkSession) -> None:
     """Ask the JVMs of all executors, and the driver's, to collect their garbage now, after which they give memory of their heaps back.
 
-    A heap that has grown while texts went by is not given back before a full collection; Python workers need that memory."""
+    A heap that has grown while texts went by is not given back before a full collection; Python workers need that memory. With a local
+    master there is one JVM alone."""
+    spark.sparkContext._jvm.System.gc()
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        return
     n = 2 * spark.sparkContext.defaultParallelism
     spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
-    spark.sparkContext._jvm.System.gc()
 
 
 def keep_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
