@@ -10,10 +10,8 @@ def test_query_equals_sql(spark, sf_dir, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
-def test_query_runs(spark, sf_dir, name):
-    assert registry.QUERIES[name](spark, sf_dir).columns
-    registry.QUERIES[name](spark, sf_dir).collect()
+def test_every_query_has_sql():
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
 def test_every_oracle_has_a_query():
