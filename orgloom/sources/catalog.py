@@ -28,9 +28,11 @@ def open_source(spark: SparkSession, kind: str, **options: str) -> DataFrame:
 
 
 @source("csv")
-def csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, columns: dict[str, str] | None = None) -> DataFrame:
-    """A CSV with a header, its types inferred without a schema; columns: new name of each column wanted."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, columns: dict[str, str] | None = None, multi_line: bool = False, sample: float = 1.0) -> DataFrame:
+    """A CSV with a header, its types inferred from a share ``sample`` of its rows without a schema; columns: new name of each column wanted.
+
+    multi_line: values in quotes may hold line breaks; then a file is one task, else tasks share it."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("samplingRatio", sample)
     df = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in columns.items()]) if columns else df
 
