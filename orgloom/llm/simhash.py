@@ -110,13 +110,36 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
         yield columns
 
 
-def spread_of(df: DataFrame) -> int:
-    """Parts that keys are dealt to: two for each partition of a shuffle, so that those are about equal."""
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+#: Bytes of keys and owners of a part, about; a task holds one part at a time.
+PART_BYTES = 64 << 20
+
+
+def spread_of(spark: SparkSession, size: int) -> int:
+    """Parts that ``size`` bytes of keys are dealt to: as many as there are PART_BYTES, and no fewer than two for each partition of a shuffle, so that those are about equal."""
+    return 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (2 * PART_BYTES)))
+
+
+#: Fingerprints from which on near ones are looked up by blocks of their bits, where distances are small.
+MANY, SMALL_DISTANCE = 1024, 7
 
 
 def near_spanning(nodes: np.ndarray, prints: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links that connect whatever is connected among some fingerprints (rows of 64-bit numbers); at most one less than there are."""
+    """Links that connect whatever is connected among some fingerprints (rows of 64-bit numbers).
+
+    Of many, those bits that vary at all are cut into one block more than may differ: near ones agree in one of the blocks, so only those meet, and so on within
+    them. The links of few are at most one less than there are."""
+    if len(nodes) > MANY and distance <= SMALL_DISTANCE:
+        bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1)
+        varying = np.flatnonzero((bits != bits[0]).any(axis=0))
+        if len(varying) > distance:
+            found: set[tuple[int, int]] = set()
+            for cut in np.array_split(varying, distance + 1):
+                block = bits[:, cut].astype(np.int64) @ (np.int64(1) << np.arange(len(cut), dtype=np.int64)) if len(cut) < 63 else np.unique(bits[:, cut], axis=0, return_inverse=True)[1].ravel()
+                order = np.argsort(block, kind="stable")
+                for same in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+                    if len(same) > 1:
+                        found.update(near_spanning(nodes[same], prints[same], distance))
+            return list(found)
     out, left = [], np.arange(len(nodes))
     while len(left):
         front, left = [int(left[0])], left[1:]
@@ -146,7 +169,7 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     """(a, b): links between different values of ``fps.fp`` at most ``distance`` (0 to 3) bits apart, which connect whatever such links connect."""
     if not 0 <= distance <= 3:
         raise ValueError("two segments with balls of radius one reach three bits")
-    parts = spread_of(fps)
+    parts = spread_of(fps.sparkSession, fps.count() * 2 * 17 * 16)  # a segment's ball has 1 or 33 keys
     flips = _U(1) << np.arange(32, dtype=_U)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,6 +270,11 @@ WIDE, SEGMENT_BITS, WEAK = 4, 24, 6
 #: Bits of a wide fingerprint in which candidates differ at most. Texts of an index J differ in about
 #: acos(2J / (1 + J)) / pi of the bits: 39 of 256 at 0.8, give or take 5.8; this is six times that beyond.
 WIDE_DISTANCE = 74
+#: Of a fingerprint's first 48 bits, those in which they do, and owners of a key up to which that is looked at before whole fingerprints are fetched.
+#: At 0.8 texts differ in about 7 of them, give or take 2.5; texts that meet by chance in 24, give or take 3.5.
+FIRST_DISTANCE, FEW = 19, 64
+#: The other bits of an owner, which are those of its set.
+OWN_BITS = 16
 #: Top bits of a hash by which shingles are counted.
 HEAT_BITS = 16
 #: Shingles of a chunk of candidates; of a larger group, chunks are compared two by two.
@@ -262,6 +290,12 @@ def set_id(found: np.ndarray) -> int:
     return int(_U(xxhash.xxh64_intdigest(found.tobytes(), SEED)).view(np.int64))
 
 
+def owner_of(wide: np.ndarray, of: int) -> int:
+    """The first 48 bits of a wide fingerprint and OWN_BITS of the set's id, as one long: almost a name of the set, from which distances can be told."""
+    low = _U((1 << OWN_BITS) - 1)
+    return int(((wide[0] & ~low) | (np.int64(of).view(_U) & low)).view(np.int64))
+
+
 def wide_fingerprint(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(WIDE numbers of 64 bits, keys as uint32) of a set of shingles: a key is a segment's number and bits, as they are and with one of its weakest flipped."""
     lead = np.concatenate([2 * _set_bits(mix(found ^ _U(w * 0x9E3779B97F4A7C15 & (1 << 64) - 1))) - len(found) for w in range(WIDE)]) if len(found) else np.zeros(64 * WIDE, np.int64)
@@ -338,13 +372,15 @@ def jaccard_spanning(nodes: np.ndarray, sets: list[np.ndarray], least: Fraction)
 def candidates(prints: DataFrame, classes: DataFrame, distance: int = WIDE_DISTANCE) -> DataFrame:
     """(a, b) of sets whose wide fingerprints share a key and are near; what such pairs connect, the links connect.
 
-    ``prints``: (set, keys binary); ``classes``: (set, bits binary), each set once. Keys alone are dealt out first, as most are of one set; only
-    keys that several sets have are met with fingerprints."""
-    parts = spread_of(prints)
+    ``prints``: (set, owner, keys binary); ``classes``: (set, owner, bits binary), each set once. Keys and owners (``owner_of``) are dealt out first, as most
+    keys are of one set, or of sets that the first bits of their fingerprints tell apart. What is left is met with whole fingerprints. Sets of one owner are
+    linked without more."""
+    parts = spread_of(prints.sparkSession, 3 * (prints.agg(F.sum(F.octet_length("keys"))).first()[0] or 0))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, first = np.unique(np.asarray(b.column(0), np.int64), return_index=True)  # copies meet as one
+            _, first = np.unique(np.asarray(b.column(0), np.int64), return_index=True)  # copies meet as one
+            nodes = np.asarray(b.column(2), np.int64)[first]
             for i in range(0, len(first), DEAL_ROWS):
                 keys = b.column(1).take(pa.array(first[i : i + DEAL_ROWS])).to_pylist()
                 yield deal_out(np.frombuffer(b"".join(keys), np.uint32), parts, np.repeat(nodes[i : i + DEAL_ROWS], [len(x) // 4 for x in keys]))
@@ -356,9 +392,17 @@ def candidates(prints: DataFrame, classes: DataFrame, distance: int = WIDE_DISTA
             key, node = key[order], node[order]
             new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
             key, node = key[new], node[new]
-            shared = np.append(False, key[1:] == key[:-1])
-            shared[:-1] |= shared[1:]
-            yield pa.RecordBatch.from_arrays([pa.array(key[shared].view(np.int32)), pa.array(node[shared])], ["key", "node"])
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            many = np.diff(np.append(starts, len(key)))
+            many, lead = np.repeat(many, many), node.view(_U) >> _U(OWN_BITS)
+            shared = many > FEW
+            for step in range(1, FEW):  # rows of a key, each with the one ``step`` rows on
+                at = np.flatnonzero((key[step:] == key[:-step]) & (many[step:] <= FEW))
+                if not len(at):
+                    break
+                at = at[np.bitwise_count(lead[at] ^ lead[at + step]) <= FIRST_DISTANCE]
+                shared[at] = shared[at + step] = True
+            yield pa.RecordBatch.from_arrays([pa.array(key[shared].view(np.int32)), pa.array(node[shared])], ["key", "owner"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links_of(key: np.ndarray, node: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
@@ -378,10 +422,14 @@ def candidates(prints: DataFrame, classes: DataFrame, distance: int = WIDE_DISTA
         if len(rest[0]):
             yield links_of(*rest)
 
-    dealt = prints.select("set", "keys").mapInArrow(tidied(deal), "part int, keys binary, c0 binary")
-    shared = dealt.repartition(parts // 2, "part").sortWithinPartitions("part").mapInArrow(tidied(share), "key int, node long")
-    known = shared.join(classes.select("set", "bits"), F.col("node") == F.col("set")).select("key", "node", "bits")
-    return known.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(meet), "a long, b long")
+    dealt = prints.select("set", "keys", "owner").mapInArrow(tidied(deal), "part int, keys binary, c0 binary")
+    shared = dealt.repartition(parts // 2, "part").sortWithinPartitions("part").mapInArrow(tidied(share), "key int, owner long")
+    own = classes.select("set", "bits", F.col("owner").alias("own"))
+    known = shared.join(own, F.col("owner") == F.col("own")).select("key", F.col("set").alias("node"), "bits")
+    met = known.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(meet), "a long, b long")
+    several = own.groupBy(F.col("own").alias("owner")).agg(F.min("set").alias("a"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    alike = own.join(several, F.col("own") == F.col("owner")).select("a", F.col("set").alias("b")).filter("a != b")
+    return met.union(alike)
 
 
 def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST, staged: tuple[str, str] | None = None) -> DataFrame:
@@ -389,7 +437,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
 
     Sets of shingles meet if their wide fingerprints share a key of a segment's ball. A fingerprint is an estimate, which misses some pairs
     near 0.8; so sets meet by the first of their shingles too, which loses none. Of what meets, fingerprints that are near
-    enough are candidates; and of what candidates connect, the index is counted. Only texts of different
+    enough, in their first bits and as a whole, are candidates; and of what candidates connect, the index is counted. Only texts of different
     shingles meet, so copies cost one row. Shingles and sets are told apart by 64-bit hashes.
 
     staged: the columns of block and place of a staged table; they are in the result too, as block and place."""
@@ -404,10 +452,11 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
                 sets = [shingle_set(t, shingle) for t in texts]
                 prints = [wide_fingerprint(s) for s in sets]
                 prints = [(p, np.concatenate([k, prefix_keys(s, heat, least)])) for s, (p, k) in zip(sets, prints, strict=True)]
+                ids = [set_id(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, to - at), b.column(2).slice(at, to - at), b.column(3).slice(at, to - at), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([p.tobytes() for p, _ in prints], pa.binary()), pa.array([k.tobytes() for _, k in prints], pa.binary())],
-                    ["doc_id", "block", "place", "set", "n", "bits", "keys"],
+                    [b.column(0).slice(at, to - at), b.column(2).slice(at, to - at), b.column(3).slice(at, to - at), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([owner_of(p, i) for (p, _), i in zip(prints, ids, strict=True)], pa.int64()), pa.array([p.tobytes() for p, _ in prints], pa.binary()), pa.array([k.tobytes() for _, k in prints], pa.binary())],
+                    ["doc_id", "block", "place", "set", "n", "owner", "bits", "keys"],
                 )
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,8 +482,8 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
         if len(nodes) > 1:
             yield found()
 
-    prints = materialize(slim.mapInArrow(tidied(sized), "doc_id long, block long, place int, set long, n long, bits binary, keys binary"), "sets")
-    classes = materialize(prints.groupBy("set").agg(F.min(F.struct("doc_id", "block", "place")).alias("first"), F.min("n").alias("n"), F.min("bits").alias("bits")), "classes")
+    prints = materialize(slim.mapInArrow(tidied(sized), "doc_id long, block long, place int, set long, n long, owner long, bits binary, keys binary"), "sets")
+    classes = materialize(prints.groupBy("set").agg(F.min(F.struct("doc_id", "block", "place")).alias("first"), F.min("n").alias("n"), F.min("owner").alias("owner"), F.min("bits").alias("bits")), "classes")
     blocks = components(candidates(prints, classes))
     members = materialize(classes.join(blocks, F.col("set") == F.col("node")).select(F.col("first.doc_id").alias("first"), "first.block", "first.place", "node", "root", "n"), "members")
     sizes = members.groupBy(F.col("root").alias("of_root")).agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))

@@ -102,3 +102,60 @@ def test_first_shingles_of_alike_sets_meet():
             a, b = np.unique(common), np.unique(np.concatenate([common, more]))
             x, y = (set(simhash.prefix_keys(s, heat, simhash.LEAST).tolist()) for s in (a, b))
             assert x & y and len(y) == len(b) - -(-4 * len(b) // 5) + 1
+
+
+def test_owners_of_alike_sets_are_near():
+    r = np.random.default_rng(5)
+    for n, most in ((5, 4), (40, 1), (400, 0)):
+        far = 0
+        for _ in range(300):
+            a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a, r.integers(0, 1 << 63, n // 4, dtype=np.uint64)]))  # an index of 0.8
+            x, y = (np.uint64(simhash.owner_of(simhash.wide_fingerprint(s)[0], 0) % (1 << 64)) >> np.uint64(simhash.OWN_BITS) for s in (a, b))
+            far += int(np.bitwise_count(x ^ y)) > simhash.FIRST_DISTANCE
+        assert far <= most, n
+
+
+def test_sets_of_one_owner_and_keys_of_many(spark, texts, monkeypatch):
+    """The groups are those of brute force, however few bits tell owners apart and few owners are looked at."""
+    some = [t for t in texts[:120] if len(t or "") > 20]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").repartition(2)
+    want = brute(some)
+    for few, part in ((2, 1 << 12), (64, 64 << 20)):
+        monkeypatch.setattr(simhash, "FEW", few)
+        monkeypatch.setattr(simhash, "PART_BYTES", part)
+        monkeypatch.setattr(simhash, "OWN_BITS", 0)  # near texts often have one owner
+        monkeypatch.setattr(simhash, "FIRST_DISTANCE", 26)
+        got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs, "doc_id").collect()}
+        assert [got[i] for i in range(len(some))] == want
+
+
+def test_many_fingerprints_of_one_segment():
+    """As many as share a segment, in seconds, and what they connect is what all pairs connect."""
+    import time
+
+    def groups(links, n):
+        root = list(range(n))
+
+        def top(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for a, b in links:
+            root[max(top(a), top(b))] = min(top(a), top(b))
+        return [top(x) for x in range(n)]
+
+    r = np.random.default_rng(4)
+    for bits, n in ((32, 3000), (14, 3000)):
+        fps = np.unique(r.integers(0, 1 << bits, n, dtype=np.uint64))
+        fps = np.unique(np.concatenate([fps, fps[:300] ^ np.uint64(7), fps[300:500] ^ np.uint64(16)]))
+        near = [(i, int(j)) for i in range(len(fps)) for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 3)]
+        found = simhash.near_spanning(np.arange(len(fps)), fps[:, None], 3)
+        assert all(np.bitwise_count(fps[a] ^ fps[b]) <= 3 for a, b in found)
+        assert groups(found, len(fps)) == groups(near, len(fps))
+    fps = np.unique(r.integers(0, 1 << 32, 100_000, dtype=np.uint64))
+    start = time.monotonic()
+    simhash.near_spanning(fps.view(np.int64), fps[:, None], 3)
+    assert time.monotonic() - start < 20
