@@ -76,16 +76,24 @@ def _exported(s: SparkSession, d: str) -> DataFrame:
 
 
 def _existence(s: SparkSession, d: str) -> DataFrame:
-    return in_database(s, {"region": load(s, d, "region")}, lambda name: s.createDataFrame([(t, catalog.has_table(s, f"{name}.{t}")) for t in ("region", "nation")], "table_name string, there boolean"))
+    """A table for each status of orders; for each flag and status of their items, whether there is one of that name."""
+    orders, items = load(s, d, "orders"), load(s, d, "lineitem")
+    made = {f"of_{r[0].lower()}": orders.filter(F.col("o_orderstatus") == r[0]).select("o_orderkey") for r in orders.select("o_orderstatus").distinct().collect()}  # three letters
+    asked = sorted(f"of_{r[0].lower()}" for r in items.select("l_linestatus").union(items.select("l_returnflag")).distinct().collect())
+    return in_database(s, made, lambda name: s.createDataFrame([(t, catalog.has_table(s, f"{name}.{t}")) for t in asked], "table_name string, there boolean"))
 
 
 def _fresh(s: SparkSession, d: str) -> DataFrame:
+    """The rows of a database's tables, and whether they are there once it is made afresh, with one of them written anew."""
+
     def use(name: str) -> DataFrame:
-        before = len(s.catalog.listTables(name))
+        before = {t.name: s.table(f"{name}.{t.name}").count() for t in s.catalog.listTables(name)}
         fresh_database(s, name, scratch_dir(s, "database"))
-        return s.createDataFrame([(before, len(s.catalog.listTables(name)))], "before long, after long")
+        load(s, d, "nation").filter("n_regionkey = 1").write.saveAsTable(f"{name}.nation")
+        after = {t.name: s.table(f"{name}.{t.name}").count() for t in s.catalog.listTables(name)}
+        return s.createDataFrame([(t, n, after.get(t)) for t, n in before.items()], "table_name string, before long, after long")
 
-    return in_database(s, {"region": load(s, d, "region"), "nation": load(s, d, "nation")}, use)
+    return in_database(s, {n: load(s, d, n) for n in ("region", "nation", "supplier")}, use)
 
 
 def _counted_write(s: SparkSession, d: str) -> DataFrame:
@@ -139,7 +147,8 @@ def _graph(s: SparkSession, d: str) -> DataFrame:
         catalog.export_graph(vertices, edges, folder)
     there = s.read.parquet(f"{folder}/vertices").select("kind", "key", "title")
     again = upserts.insert_ignore(there, vertices, ["kind", "key"], [F.asc_nulls_last("title")])
-    return again.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).unionByName(s.read.parquet(f"{folder}/edges").groupBy("kind").agg(F.count(F.lit(1)).alias("n")))
+    arrows = s.read.parquet(f"{folder}/edges").select("kind", F.concat_ws(" > ", "src", "dst").alias("key"), F.lit(None).cast("string").alias("title"))
+    return again.select("kind", "key", "title").unionByName(arrows)
 
 
 def _edge_update(s: SparkSession, d: str) -> DataFrame:
@@ -168,8 +177,10 @@ def _tuple_delete(s: SparkSession, d: str) -> DataFrame:
 def _vectors(s: SparkSession, d: str) -> DataFrame:
     """The vector collection upserted by id: known ids get the new text and vector."""
     kb = load(s, d, "kb").select("ID", F.concat(F.lit("old "), "TABLE_NAME").alias("DOCUMENT"), "LABEL", "EMBEDDING")
-    new = kb.filter("LABEL = 1").select("ID", F.concat(F.lit("new "), F.col("ID").cast("string")).alias("DOCUMENT"), (F.col("LABEL") + 10).alias("LABEL"), "EMBEDDING")
-    return upserts.overwrite(kb.filter("LABEL < 3"), new, ["ID"]).select("ID", "DOCUMENT", F.col("LABEL").cast("bigint").alias("LABEL"), F.size("EMBEDDING").cast("bigint").alias("width"))
+    new = kb.filter("LABEL = 1").select("ID", F.concat(F.lit("new "), F.col("ID").cast("string")).alias("DOCUMENT"), (F.col("LABEL") + 10).alias("LABEL"), F.reverse("EMBEDDING").alias("EMBEDDING"))
+    places = F.zip_with("EMBEDDING", F.sequence(F.lit(1), F.size("EMBEDDING")), lambda x, i: x.cast("double") * i)
+    mark = F.round(F.aggregate(places, F.lit(0.0), lambda a, x: a + x), 4)
+    return upserts.overwrite(kb.filter("LABEL < 3"), new, ["ID"]).select("ID", "DOCUMENT", F.col("LABEL").cast("bigint").alias("LABEL"), F.size("EMBEDDING").cast("bigint").alias("width"), mark.alias("mark"))
 
 
 def _sheet(s: SparkSession, d: str) -> DataFrame:
@@ -195,27 +206,23 @@ QUERIES = {
 }
 
 
-def _counted(sql: str) -> str:
-    return f"SELECT kind, count(*) AS n FROM ({sql}) GROUP BY kind"
-
-
 ORACLES = {
     "csv_schemas": "SELECT r_name, count(*) AS suppliers, max(s_suppkey)::BIGINT AS last_key FROM nation JOIN region ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey GROUP BY r_name",
     "csv_pick_rename": with_sql("SELECT ACCOUNT_ID AS ID, DISPLAY_NAME FROM accounts", "accounts"),
     "export_all": "SELECT 'nation' AS table_name, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region",
-    "table_exists": "SELECT 'region' AS table_name, true AS there UNION ALL SELECT 'nation', false",
-    "fresh_database": "SELECT 2::BIGINT AS before, 0::BIGINT AS after",
+    "table_exists": "SELECT 'of_' || lower(x) AS table_name, x IN (SELECT o_orderstatus FROM orders) AS there FROM (SELECT l_linestatus AS x FROM lineitem UNION SELECT l_returnflag FROM lineitem)",
+    "fresh_database": "SELECT 'region' AS table_name, count(*) AS before, NULL::BIGINT AS after FROM region UNION ALL SELECT 'nation', count(*), count(*) FILTER (n_regionkey = 1) FROM nation UNION ALL SELECT 'supplier', count(*), NULL FROM supplier",
     "counted_write": "WITH n AS (SELECT count(*) FILTER (event_id % 2 = 0) AS a, count(*) FILTER (event_id % 4 = 1) AS b FROM events) SELECT 0::BIGINT AS step, 0::BIGINT AS before, a AS after FROM n UNION ALL SELECT 1, a, a + b FROM n UNION ALL SELECT 2, a + b, a + b FROM n",
     "replace_table": "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'",
     "export_first_rows": "SELECT s_suppkey, s_name FROM supplier ORDER BY s_suppkey LIMIT 7",
     "json_export": "SELECT n_nationkey, n_name, n_regionkey AS region FROM nation",
     "saved_outputs": "SELECT n_name AS goal, unnest(['github', 'jira']) AS platform FROM nation WHERE n_nationkey % 3 <> 0 UNION ALL SELECT n_name, NULL FROM nation WHERE n_nationkey % 3 = 0",
-    "graph_export": f"{_counted(graph.ORACLES['graph_vertices'])} UNION ALL {_counted(graph.ORACLES['epic_edges'])}",
+    "graph_export": f"SELECT kind, key, title FROM ({graph.ORACLES['graph_vertices']}) UNION ALL SELECT kind, src || ' > ' || dst, NULL FROM ({graph.ORACLES['epic_edges']})",
     "edge_update": f"SELECT epic1 || '-' || epic2 AS _key, shared_count FROM ({graph.ORACLES['epic_collaboration']})",
     "added_columns": "SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS ordinal, column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS column_type FROM (DESCRIBE nation) UNION ALL SELECT count(*), 'INFERENCE_INPUT', 'string' FROM (DESCRIBE nation)",
     "delete_all_insert": with_sql("SELECT ACCOUNT_ID FROM accounts WHERE ACCOUNT_ID IS NOT NULL AND NOT ACTIVE", "accounts"),
     "delete_tuples_insert": "WITH n AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_type IN ('click', 'view') AND user_id % 3 = 0 GROUP BY ALL) SELECT user_id, event_type, event_id AS n FROM events WHERE (user_id, event_type) NOT IN (SELECT (user_id, event_type) FROM n) UNION ALL SELECT * FROM n",
-    "vector_upsert": with_sql("SELECT ID, 'old ' || TABLE_NAME AS DOCUMENT, LABEL::BIGINT AS LABEL, len(EMBEDDING)::BIGINT AS width FROM kb WHERE LABEL < 3 AND LABEL <> 1 UNION ALL SELECT ID, 'new ' || CAST(ID AS VARCHAR), 11, len(EMBEDDING) FROM kb WHERE LABEL = 1", "kb"),
+    "vector_upsert": with_sql("SELECT ID, 'old ' || TABLE_NAME AS DOCUMENT, LABEL::BIGINT AS LABEL, len(EMBEDDING)::BIGINT AS width, round(list_inner_product(EMBEDDING::DOUBLE[], range(1, len(EMBEDDING) + 1)::DOUBLE[]), 4) AS mark FROM kb WHERE LABEL < 3 AND LABEL <> 1 UNION ALL SELECT ID, 'new ' || CAST(ID AS VARCHAR), 11, len(EMBEDDING), round(list_inner_product(list_reverse(EMBEDDING)::DOUBLE[], range(1, len(EMBEDDING) + 1)::DOUBLE[]), 4) FROM kb WHERE LABEL = 1", "kb"),
     "registered_relation": "SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey",
     "source_registry": "SELECT * FROM region",
 }

@@ -96,13 +96,44 @@ def person_arrays(people: DataFrame, interactions: DataFrame) -> DataFrame:
     return out.select("GITHUB_ID", "NAME", F.col("any_GITHUB_LOGIN").alias("GITHUB_LOGIN"), F.col("any_JIRA_ID").alias("JIRA_ID"), *[F.coalesce(f"{c}S", none).alias(f"{c}S") for c in ARTEFACTS])
 
 
-def story_links(issues: DataFrame, commits: DataFrame, prs: DataFrame) -> DataFrame:
-    """Stories with the commits and pull requests that name them, all pairs of both; stories that none names are left out."""
+#: Pairs of a commit and a pull request that one part of a key gives, about.
+PAIRS_OF_PART = 1 << 20
+
+
+def named_by(issues: DataFrame, commits: DataFrame, prs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The link table in factors: stories (ISSUE_KEY, EPIC_ID), commits (ck, COMMIT_SHA) and pull requests (pk, PR_ID, ROLE_IN_PR) by the key that they name."""
     stories = issues.filter("ISSUE_TYPE = 'Story'").select("ISSUE_KEY", F.when(F.col("PARENT_ISSUE_TYPE") == "Epic", F.col("PARENT_ID")).alias("EPIC_ID"))
     c = keyed(commits, F.col("COMMIT_MESSAGE")).filter("EXTRACTED_KEY IS NOT NULL").select(F.col("EXTRACTED_KEY").alias("ck"), "COMMIT_SHA")
     p = keyed(prs, text.join_text(F.col("TITLE"), F.col("BODY"))).filter("EXTRACTED_KEY IS NOT NULL").select(F.col("EXTRACTED_KEY").alias("pk"), F.col("INTERNAL_ID").alias("PR_ID"), "ROLE_IN_PR")
-    named = stories.join(c.select(F.col("ck").alias("ISSUE_KEY")).union(p.select("pk")), "ISSUE_KEY", "left_semi")
-    return named.join(c, F.col("ISSUE_KEY") == F.col("ck"), "left").join(p, F.col("ISSUE_KEY") == F.col("pk"), "left").select("ISSUE_KEY", "EPIC_ID", "COMMIT_SHA", "PR_ID", "ROLE_IN_PR")
+    return stories, c, p
+
+
+def named_keys(c: DataFrame, p: DataFrame) -> DataFrame:
+    """(KEY, commits, pulls) of each key that a commit or a pull request names."""
+    seen = c.select(F.col("ck").alias("KEY"), F.lit(1).alias("c"), F.lit(0).alias("p")).unionByName(p.select(F.col("pk").alias("KEY"), F.lit(0).alias("c"), F.lit(1).alias("p")))
+    return seen.groupBy("KEY").agg(F.sum("c").alias("commits"), F.sum("p").alias("pulls"))
+
+
+def story_link_counts(issues: DataFrame, commits: DataFrame, prs: DataFrame) -> DataFrame:
+    """(ISSUE_KEY, EPIC_ID, commits, pulls, links) of each story that is named: how many rows ``story_links`` has for it, without one of them."""
+    stories, c, p = named_by(issues, commits, prs)
+    links = F.greatest("commits", F.lit(1)) * F.greatest("pulls", F.lit(1))
+    return stories.join(named_keys(c, p), F.col("ISSUE_KEY") == F.col("KEY")).select("ISSUE_KEY", "EPIC_ID", "commits", "pulls", links.alias("links"))
+
+
+def story_links(issues: DataFrame, commits: DataFrame, prs: DataFrame) -> DataFrame:
+    """Stories with the commits and pull requests that name them, all pairs of both; stories that none names are left out.
+
+    The commits of a key are dealt to as many parts as its pairs need (PAIRS_OF_PART of each, and no more parts than commits), and its pull
+    requests go to each of them, so no key is one task's work and nothing is sent more often than it has pairs."""
+    stories, c, p = named_by(issues, commits, prs)
+    parts = F.greatest(F.lit(1), F.least("commits", F.ceil(F.col("commits") * F.col("pulls") / PAIRS_OF_PART))).cast("int")
+    dealt = named_keys(c, p).withColumn("parts", parts)
+    named = stories.join(dealt, F.col("ISSUE_KEY") == F.col("KEY")).select("ISSUE_KEY", "EPIC_ID", "parts")
+    pulls = p.join(dealt, F.col("pk") == F.col("KEY")).select("pk", "PR_ID", "ROLE_IN_PR", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("pull_part"))
+    met = named.join(c, F.col("ISSUE_KEY") == F.col("ck"), "left")
+    met = met.withColumn("part", F.when(F.col("COMMIT_SHA").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("COMMIT_SHA"), F.col("parts")).cast("int")))
+    return met.join(pulls, (F.col("ISSUE_KEY") == F.col("pk")) & (F.col("part") == F.col("pull_part")), "left").select("ISSUE_KEY", "EPIC_ID", "COMMIT_SHA", "PR_ID", "ROLE_IN_PR")
 
 
 def all_interactions(issues: DataFrame, commits: DataFrame, prs: DataFrame, matched: DataFrame) -> DataFrame:
@@ -305,6 +336,7 @@ QUERIES = {
     "unknown_logins": lambda s, d: unknown_logins(load(s, d, "prs"), _aliased(s, d)),
     "full_rows": lambda s, d: full_rows(load(s, d, "matched").select("JIRA_ID", "GITHUB_ID"), load(s, d, "github_users").select("ID", "LOGIN", "EMAIL").unionByName(load(s, d, "github_users").filter("ORD % 10 = 1").select("ID", F.concat("LOGIN", F.lit("b")).alias("LOGIN"), "EMAIL"))),
     "story_links": _q(story_links, "issues", "commits", "prs"),
+    "story_link_counts": _q(story_link_counts, "issues", "commits", "prs"),
     "all_interactions": _q(all_interactions, "issues", "commits", "prs", "matched"),
     "commits_missing_diffs": lambda s, d: commits_missing_diffs(load(s, d, "commits"), _users(load(s, d, "matched")), load(s, d, "commit_files").filter("STATUS != 'removed'")),
     "person_attributes": _q(person_attributes, "commits", "issues"),
@@ -349,6 +381,8 @@ SELECT pp.GITHUB_ID, NAME, GITHUB_LOGIN, JIRA_ID, {', '.join(f"coalesce({c}S, md
     "unknown_logins": with_sql("""WITH a AS (SELECT GITHUB_LOGIN FROM matched UNION SELECT unnest(['login' || (30 + CAST(JIRA_ID AS INT) % 6), 'other' || JIRA_ID]) FROM matched WHERE CAST(JIRA_ID AS INT) % 3 = 0)
 SELECT USER_ID AS GITHUB_ID, USER_LOGIN AS GITHUB_LOGIN FROM prs WHERE USER_LOGIN NOT IN (SELECT GITHUB_LOGIN FROM a) QUALIFY row_number() OVER (PARTITION BY USER_LOGIN ORDER BY UPDATED_AT DESC NULLS LAST, ORD) = 1""", "prs", "matched"),
     "full_rows": with_sql("WITH a AS (SELECT ID, LOGIN, EMAIL FROM github_users UNION ALL SELECT ID, LOGIN || 'b', EMAIL FROM github_users WHERE ORD % 10 = 1) SELECT JIRA_ID, GITHUB_ID, LOGIN, EMAIL FROM matched LEFT JOIN a ON GITHUB_ID = ID", "matched", "github_users"),
+    "story_link_counts": with_sql(f"""WITH {_STORY}, n AS (SELECT key, sum(c)::BIGINT AS commits, sum(p)::BIGINT AS pulls FROM (SELECT ck AS key, 1 AS c, 0 AS p FROM c UNION ALL SELECT pk, 0, 1 FROM p) GROUP BY key)
+SELECT ISSUE_KEY, CASE WHEN PARENT_ISSUE_TYPE = 'Epic' THEN PARENT_ID END AS EPIC_ID, commits, pulls, greatest(commits, 1) * greatest(pulls, 1) AS links FROM issues JOIN n ON ISSUE_KEY = key WHERE ISSUE_TYPE = 'Story'""", "issues", "commits", "prs"),
     "story_links": with_sql(f"WITH {_STORY}, s AS (SELECT ISSUE_KEY, CASE WHEN PARENT_ISSUE_TYPE = 'Epic' THEN PARENT_ID END AS EPIC_ID FROM issues WHERE ISSUE_TYPE = 'Story') SELECT ISSUE_KEY, EPIC_ID, COMMIT_SHA, INTERNAL_ID AS PR_ID, ROLE_IN_PR FROM s LEFT JOIN c ON ISSUE_KEY = ck LEFT JOIN p ON ISSUE_KEY = pk WHERE ISSUE_KEY IN (SELECT ck FROM c UNION SELECT pk FROM p)", "issues", "commits", "prs"),
     "all_interactions": with_sql("""WITH r AS (SELECT 'AUTHOR' AS ROLE, NULL AS J, AUTHOR_ID AS G FROM commits UNION SELECT 'COMMITTER', NULL, COMMITTER_ID FROM commits UNION SELECT 'ASSIGNEE', ASSIGNEE_ACCOUNT_ID, NULL FROM issues UNION SELECT 'REPORTER', REPORTER_ACCOUNT_ID, NULL FROM issues UNION SELECT ROLE_IN_PR, NULL, USER_ID FROM prs UNION SELECT 'MATCHED', JIRA_ID, GITHUB_ID FROM matched)
 SELECT DISTINCT ROLE, coalesce(J, JIRA_ID) AS JIRA, coalesce(G, GITHUB_ID) AS GITHUB, UUID, CASE WHEN JIRA_ID IS NULL AND GITHUB_ID IS NULL THEN 'UNRESOLVED' ELSE 'RESOLVED' END AS STATUS FROM r LEFT JOIN matched ON J = JIRA_ID OR G = GITHUB_ID WHERE J IS NOT NULL OR G IS NOT NULL""", "issues", "commits", "prs", "matched"),

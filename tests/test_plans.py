@@ -93,3 +93,24 @@ def test_nested_details_of_any_depth(spark):
     assert len(text) == len(want) and text["none"] == "none"
     for c, lines in want.items():
         assert [x.strip().split(" ")[0].rstrip(":") for x in text[c].split("\n")] == [p or c for p, *_ in lines]
+
+
+def test_a_hot_key_is_many_parts(spark, monkeypatch):
+    """Commits and pull requests of one key give all their pairs, from several parts; keys of one side alone, repeated stories and nulls too."""
+    from orgloom.plans import links
+
+    monkeypatch.setattr(links, "PAIRS_OF_PART", 50)
+    issues = spark.createDataFrame([("ORD-1", "Story", "Epic", "E1"), ("ORD-1", "Story", None, None), ("ORD-2", "Story", "Epic", "E2"), ("ORD-3", "Story", "Epic", "E3"), ("ORD-4", "Task", "Epic", "E3"), ("ORD-5", "Story", "Epic", "E5"), (None, "Story", "Epic", "E6")], "ISSUE_KEY string, ISSUE_TYPE string, PARENT_ISSUE_TYPE string, PARENT_ID string")
+    commits = spark.createDataFrame([(f"c{i}", f"fix ORD-{1 if i < 60 else i % 5}") for i in range(80)] + [("none", None), ("two", "ORD-2"), ("two", "ORD-2")], "COMMIT_SHA string, COMMIT_MESSAGE string").filter("coalesce(COMMIT_MESSAGE, '') NOT LIKE '%ORD-3'")
+    prs = spark.createDataFrame([(f"p{i}", "AUTHOR", f"ORD-{1 if i < 30 else 3}", None) for i in range(40)], "INTERNAL_ID string, ROLE_IN_PR string, TITLE string, BODY string")
+    got = sorted(map(str, links.story_links(issues, commits, prs).collect()))
+    stories, c, p = ([tuple(r) for r in df.collect()] for df in links.named_by(issues, commits, prs))
+    want = []
+    for key, epic in stories:
+        mine, theirs = [x[1] for x in c if x[0] == key], [x[1:] for x in p if x[0] == key]
+        if mine or theirs:
+            want += [(key, epic, sha, *pull) for sha in mine or [None] for pull in theirs or [(None, None)]]
+    rows = links.story_links(issues, commits, prs).schema
+    assert got == sorted(str(r) for r in spark.createDataFrame(want, rows).collect()) and len(want) > 3600
+    counts = {(r["ISSUE_KEY"], r["EPIC_ID"]): r["links"] for r in links.story_link_counts(issues, commits, prs).collect()}
+    assert sum(counts.values()) == len(want)
