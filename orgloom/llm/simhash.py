@@ -15,17 +15,17 @@ meets, and is near enough in full, is a candidate, and the Jaccard index of the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, chunks_of, fresh, is_marked, keep_columns, materialize, mix, stage, tidied
+from .common import bound_batches, chunks_of, fresh, is_marked, keep_columns, materialize, mix, owned, release, stage, tidied
 
 SEED = 42
 _U = np.uint64
@@ -203,32 +203,27 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each node points to its least neighbour if that is less; pointers are followed to their ends; links
     are drawn between the ends, those within one are dropped, and what is left is done again. Links shrink
-    from round to round, each round ends in written tables, and no link leaves the executors. Pointers of a round are kept on the
-    executors' disks meanwhile; what is lost with an executor is made again from the round's links."""
+    from round to round, each step ends in a written table, and no link leaves the executors. Plans read those tables and nothing before them, so the
+    driver's plans don't grow; pointers of a round are deleted with it."""
+    spark = edges.sparkSession
     left, found = materialize(edges.select("a", "b").distinct(), "links"), None
     while True:
-        kept = []
-
-        def keep(df: DataFrame, kept: list = kept) -> DataFrame:
-            kept.append(df.persist(StorageLevel.DISK_ONLY))
-            return df
-
+        pointers = f"pointers-{uuid.uuid4().hex}"
         both = left.union(left.select("b", "a"))
-        point = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
-        while True:
-            far = point.select(F.col("node").alias("via"), F.col("root").alias("end"))
-            jumped = keep(point.join(far, F.col("root") == F.col("via")).select("node", F.col("end").alias("root"), (F.col("end") < F.col("root")).alias("moved")))
-            settled = not jumped.filter("moved").limit(1).count()
-            point = jumped.select("node", "root")
-            if settled:
-                break
+        with owned(pointers):
+            point = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), "pointers")
+            moved = True
+            while moved:
+                far = point.select(F.col("node").alias("via"), F.col("root").alias("end"))
+                jumped = materialize(point.join(far, F.col("root") == F.col("via")).select("node", F.col("end").alias("root"), (F.col("end") < F.col("root")).alias("moved")), "pointers")
+                moved = bool(jumped.filter("moved").limit(1).count())
+                point = jumped.select("node", "root")
         ends = point.select(F.col("node").alias("via"), F.col("root").alias("end"))
         found = materialize(point if found is None else found.join(ends, F.col("root") == F.col("via"), "left").select("node", F.coalesce("end", "root").alias("root")), "roots")
         of_b = ends.withColumnsRenamed({"via": "via_b", "end": "end_b"})
         drawn = left.join(ends, F.col("a") == F.col("via")).join(of_b, F.col("b") == F.col("via_b")).select(F.col("end").alias("a"), F.col("end_b").alias("b"))
         left = materialize(drawn.filter("a != b").distinct(), "links")
-        for df in kept:
-            df.unpersist()
+        release(spark, pointers)
         if not left.limit(1).count():
             return found
 
