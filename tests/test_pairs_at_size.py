@@ -1,10 +1,54 @@
-"""Keys of many rows on both sides: results by brute force."""
+"""Keys of many rows on both sides: results by brute force, and no plan that moves their pairs."""
 
 import re
 
+from orgloom.operators import joins
 from orgloom.plans import links
 
 
+def pairs_moved(df) -> int:
+    """The largest number of rows that one shuffle of the plan wrote, after a run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    seen, stack = [], [plan.finalPhysicalPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan]
+    while stack:
+        node = stack.pop()
+        if node.getClass().getSimpleName() == "ShuffleQueryStageExec":
+            node = node.plan()
+        metric = node.metrics().get("shuffleRecordsWritten")
+        if metric.isDefined():
+            seen.append(metric.get().value())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return max(seen, default=0)
+
+
+def test_pairs_in_parts_equal_a_join(spark):
+    left = spark.createDataFrame([(i % 3, f"a{i}") for i in range(60)] + [(None, "x"), (9, "y")], "k int, a string")
+    right = spark.createDataFrame([(i % 4, f"b{i}") for i in range(40)] + [(None, "z")], "k int, b string")
+    got = joins.in_parts(left, right, "k", 16)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, "k").collect())) and got.count() == 600
+
+
+def test_interactions_of_shared_accounts_are_not_moved(spark):
+    """300 people of one account are 90,000 rows; and roles of one name in three forms, which may give the same row."""
+    issues = spark.createDataFrame([("p1", "p2"), ("p3", None), ("lost", "x1")], "ASSIGNEE_ACCOUNT_ID string, REPORTER_ACCOUNT_ID string")
+    commits = spark.createDataFrame([("g", "h"), (None, "gone")], "AUTHOR_ID string, COMMITTER_ID string")
+    prs = spark.createDataFrame([("ASSIGNEE", "g"), ("MATCHED", "g"), ("MATCHED", "h"), ("REPORTER", "h")], "ROLE_IN_PR string, USER_ID string")
+    people = [(f"p{i}", "g", f"u{i}") for i in range(300)] + [("x1", "h", "v1"), ("x1", None, "v2"), ("x1", "g", None), ("x2", "h", "v1"), (None, "h", "v3"), ("p2", "g", "u2")]
+    matched = spark.createDataFrame(people, "JIRA_ID string, GITHUB_ID string, UUID string")
+    roles = {("AUTHOR", None, "g"), ("COMMITTER", None, "h"), ("COMMITTER", None, "gone"), ("ASSIGNEE", "p1", None), ("ASSIGNEE", "p3", None), ("ASSIGNEE", "lost", None), ("REPORTER", "p2", None), ("REPORTER", "x1", None)}
+    roles |= {("ASSIGNEE", None, "g"), ("MATCHED", None, "g"), ("MATCHED", None, "h"), ("REPORTER", None, "h")} | {("MATCHED", j, g) for j, g, _ in people}
+    want = set()
+    for role, j, g in roles:
+        met = [m for m in people if (j and m[0] == j) or (g and m[1] == g)]
+        want |= {(role, j or m[0], g or m[1], m[2], "RESOLVED") for m in met} or {(role, j, g, None, "UNRESOLVED")}
+    df = links.all_interactions(issues, commits, prs, matched)
+    got = [tuple(r) for r in df.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 90_000
+    assert pairs_moved(df) < 10_000
+
+
 def test_wide_links_make_no_pairs(spark):
     """200 commits and 200 pull requests of one story: as many rows as they are, and the sets of all pairs."""
     issues = spark.createDataFrame([("ORD-1", "Story", "P", "Project", None, None, "c1", "r1", "a1"), ("ORD-2", "Story", "P", "Project", None, None, "c1", "r2", None), ("ORD-3", "Story", "P", "Project", None, None, "c3", "r3", "a3")], "ISSUE_KEY string, ISSUE_TYPE string, PROJECT_KEY string, PROJECT_NAME string, PARENT_ISSUE_TYPE string, PARENT_ID string, CREATOR_ACCOUNT_ID string, REPORTER_ACCOUNT_ID string, ASSIGNEE_ACCOUNT_ID string")
