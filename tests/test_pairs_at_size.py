@@ -3,7 +3,7 @@
 import re
 
 from orgloom.operators import joins
-from orgloom.plans import links
+from orgloom.plans import identity, links
 
 
 def pairs_moved(df) -> int:
@@ -60,3 +60,41 @@ def test_wide_links_make_no_pairs(spark):
     assert row["JIRA_CREATOR_ID"] == "c1" and row["story_keys"] == "ORD-1" and row["gh_author_ids"] == ",".join(sorted(f"u{i}" for i in range(0, 400, 2))) and row["pr_user_ids"] == ",".join(sorted(f"w{i}" for i in range(200)))
     names = {(r["name"], r["role"]): r for r in links.lists_by_name(wide).collect()}
     assert names["Name c1", "creator"]["story_keys"] == "ORD-1,ORD-2" and len(re.split(",", names["Name r2", "reporter"]["repos"])) == 7 and ("Name c3", "creator") not in names
+
+
+def rows_met(df) -> int:
+    """The largest number of rows that one join of the plan gave, after a run."""
+    df.collect()
+    seen, stack = [], [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            stack.append(node.finalPhysicalPlan())
+        elif kind.endswith("QueryStageExec"):
+            stack.append(node.plan())
+        metric = node.metrics().get("numOutputRows")
+        if "Join" in kind and metric.isDefined():
+            seen.append(metric.get().value())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return max(seen, default=0)
+
+
+def test_ids_of_one_login_are_not_met_in_pairs(spark, monkeypatch):
+    monkeypatch.setattr(identity, "KIN", 100)
+    rows = [(f"{i:03}", f"n{i}", None, "shared") for i in range(300)] + [("x", "n", "a@x", "own"), ("x", "m", "b@x", "zz"), ("y", "n", "b@x", None), ("y", "n", "a@x", None), ("z", None, "", "zz"), (None, "n", "a@x", "shared")]
+    df = spark.createDataFrame(rows, "ID string, NAME string, EMAIL string, LOGIN string")
+    for keep in (False, True):
+        sets = {}
+        for i, _, mail, login in rows:
+            if i is not None:
+                for k, v in (("mail", mail), ("login", login)):
+                    sets.setdefault(i, {"mail": set(), "login": set()})[k] |= {v or "" if keep else v} - {None}
+        want = {}
+        for i, s in sets.items():
+            first = {k: min(v) for k, v in s.items() if v and (keep or min(v) != "")}
+            want[i] = sorted(o for o, other in sets.items() if o != i and any(v in other[k] for k, v in first.items()))
+        done = identity.collapse(df, keep_missing=keep)
+        assert {r["ID"]: r["ALIAS_ID"] for r in done.collect()} == want and len(want["000"]) >= 299
+        assert rows_met(done) < 2000
