@@ -3,7 +3,8 @@
 import re
 
 from orgloom.operators import joins
-from orgloom.plans import identity, links
+from orgloom.operators.upserts import first_by
+from orgloom.plans import identity, links, lookups, staging
 
 
 def pairs_moved(df) -> int:
@@ -98,3 +99,41 @@ def test_ids_of_one_login_are_not_met_in_pairs(spark, monkeypatch):
         done = identity.collapse(df, keep_missing=keep)
         assert {r["ID"]: r["ALIAS_ID"] for r in done.collect()} == want and len(want["000"]) >= 299
         assert rows_met(done) < 2000
+
+
+def _people(spark):
+    jira = spark.createDataFrame([(str(i), i, ["Anna Abbott", "Boris Castro", None][i % 3], f"u{i}@x" if i < 4 else None) for i in range(300)], "ID string, ORD long, DISPLAY_NAME string, EMAIL string")
+    github = spark.createDataFrame([(str(i), i, ["anna abbott", "Abbott_Anna", "Boris"][i % 3], f"u{i}@x", f"l{i}") for i in range(300)], "ID string, ORD long, DISPLAY_NAME string, EMAIL string, LOGIN string")
+    return jira, github
+
+
+def test_pairs_of_names_are_not_moved(spark):
+    """19,000 pairs and more of a few names: made last, and as many as each two rows give."""
+    jira, github = _people(spark)
+    signals = github.selectExpr("ID AS SIG", "EMAIL AS MAIL", "DISPLAY_NAME AS NAME")
+    for df in (identity.candidates(jira, github), lookups.signal_matches(signals, jira), staging.jaccard_pairs(jira, github)):
+        assert df.count() > 19_000 and df.count() == df.distinct().count()
+        assert pairs_moved(df) < 2000
+
+
+def test_people_of_one_name_share_their_candidates(spark):
+    """Matches, picks and what is left come from groups of people; a person of two rows has the candidates of both, by the order of the rows."""
+    jira, github = _people(spark)
+    two = spark.createDataFrame([("two", 900, "Boris Castro", None), ("two", 800, "Anna Abbott", None), ("mail", 901, "Anna Abbott", "u7@x"), ("mail", 902, "Boris Castro", None), ("lone", 903, "Zoe Zed", None)], jira.schema)
+    jira = jira.unionByName(two)
+    found = identity.scored(jira, github)
+    best = first_by(found, ["JIRA_ID"], identity._best())
+    taken = {r["GITHUB_ID"] for r in best.collect()}
+    want = {(r["JIRA_ID"], r["GITHUB_ID"]) for r in best.collect()} | {(r["JIRA_ID"], r["GITHUB_ID"]) for r in first_by(found, ["GITHUB_ID"], identity._best()).collect() if r["GITHUB_ID"] not in taken}
+    picks = identity.greedy(jira, github)
+    assert {(r["JIRA_ID"], r["GITHUB_ID"]) for r in picks.collect()} == want and rows_met(picks) < 2000 < found.count()
+    assert {r["JIRA_ID"]: r["METHOD"] for r in found.collect()}["mail"] == "METHOD_1_EMAIL"
+    matches = {r["JIRA_ID"]: r for r in identity.match(jira, github).collect()}
+    by_person = {}
+    for r in found.collect():
+        by_person.setdefault(r["JIRA_ID"], set()).add(r["GITHUB_ID"])
+    first = {r["JIRA_ID"]: r["GITHUB_ID"] for r in best.collect()}
+    assert {j: (m["GITHUB_ID"], set(m["GITHUB_ID_ALIAS"])) for j, m in matches.items()} == {j: (first[j], g - {first[j]}) for j, g in by_person.items()}
+    left = identity.unmatched_people(jira, github)
+    assert {r["ID"] for r in left.collect()} == {r["ID"] for r in jira.collect()} - set(matches) and rows_met(left) < 2000
+    assert rows_met(identity.unmatched(github, identity.matched_groups(jira, github)[1], "GITHUB_ID")) < 2000
