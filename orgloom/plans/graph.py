@@ -11,16 +11,21 @@ from ..operators.upserts import first_by
 from ..sources.adapters import load, with_sql
 
 
+def _by_person(rows: DataFrame, account: str, at: str, matched: DataFrame, first: str, n: str) -> DataFrame:
+    """First time and number of rows of each person (UUID) in each repository. Rows are summed up by account before they meet its people, who may be many."""
+    summed = rows.filter(F.col(account).isNotNull()).groupBy(F.col(account).alias("GITHUB_ID"), "ORG", "REPO").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n"))
+    people = matched.filter("UUID IS NOT NULL").groupBy("GITHUB_ID", "UUID").agg(F.count(F.lit(1)).alias("times"))
+    return summed.join(people, "GITHUB_ID").groupBy("UUID", "ORG", "REPO").agg(F.min("at").alias(first), F.sum(F.col("n") * F.col("times")).alias(n))
+
+
 def repo_contribution(commits: DataFrame, matched: DataFrame) -> DataFrame:
     """First commit and number of commits of each person in each repository."""
-    met = commits.join(matched, commits.AUTHOR_ID == matched.GITHUB_ID).filter("UUID IS NOT NULL")
-    return met.groupBy("UUID", "ORG", "REPO").agg(F.min("COMMIT_TIMESTAMP").alias("first_commit"), F.count(F.lit(1)).alias("commit_count"))
+    return _by_person(commits, "AUTHOR_ID", "COMMIT_TIMESTAMP", matched, "first_commit", "commit_count")
 
 
 def pr_contribution(prs: DataFrame, matched: DataFrame) -> DataFrame:
     """First pull request and number of participations (a person counts once for each role)."""
-    met = prs.join(matched, prs.USER_ID == matched.GITHUB_ID).filter("UUID IS NOT NULL")
-    return met.groupBy("UUID", "ORG", "REPO").agg(F.min("CREATED_AT").alias("first_pr"), F.count(F.lit(1)).alias("pr_count"))
+    return _by_person(prs, "USER_ID", "CREATED_AT", matched, "first_pr", "pr_count")
 
 
 def user_repo_edges(commits: DataFrame, prs: DataFrame, matched: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import re
 
 from orgloom.operators import joins
 from orgloom.operators.upserts import first_by
-from orgloom.plans import identity, links, lookups, staging
+from orgloom.plans import graph, identity, links, lookups, staging
 
 
 def pairs_moved(df) -> int:
@@ -157,3 +157,12 @@ def test_a_person_of_many_matches_has_each_account_once(spark):
     done = identity.patch(matched, steps)
     assert {r["JIRA_ID"]: (r["GITHUB_ID"], r["GITHUB_LOGIN"], r["GITHUB_ID_ALIAS"], r["GITHUB_LOGIN_ALIAS"]) for r in done.collect()} == want
     assert "transform" in (plan := done._jdf.queryExecution().optimizedPlan().toString()) and " aggregate(" not in plan
+
+
+def test_contributions_are_summed_up_before_people_meet(spark):
+    """500 commits of an account of 100 people, one of them twice."""
+    commits = spark.createDataFrame([("g", "o", f"r{i % 2}", i) for i in range(500)] + [(None, "o", "r", 1)], "AUTHOR_ID string, ORG string, REPO string, COMMIT_TIMESTAMP long")
+    matched = spark.createDataFrame([("g", f"u{i % 99}") for i in range(100)] + [("g", None), (None, "u1")], "GITHUB_ID string, UUID string")
+    df = graph.repo_contribution(commits, matched)
+    assert {tuple(r) for r in df.collect()} == {(f"u{i}", "o", f"r{k}", k, 500 if i == 0 else 250) for i in range(99) for k in range(2)}
+    assert rows_met(df) <= 200
