@@ -47,6 +47,8 @@ def nearest(base: DataFrame, query: list[float], k: int = 5) -> DataFrame:
 
 #: Queries that meet the vectors together.
 PACK = 4096
+#: Pairs of a query and a row that a task scores at once, about: 2 MB for each matrix.
+PAIRS_AT_ONCE = 1 << 18
 
 
 def nearest_each(base: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -60,14 +62,18 @@ def nearest_each(base: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, q = given.value
+            sizes, step = (q * q).sum(axis=1), max(1, PAIRS_AT_ONCE // len(q))
             for b in batches:
                 own = np.asarray(b.column(0), np.int64)
-                v = np.array(b.column(1).to_pylist(), np.float64).reshape(len(own), -1)
-                if not len(own):
-                    continue
-                score = np.round((q @ v.T) / np.sqrt(np.outer((q * q).sum(axis=1), (v * v).sum(axis=1))), 6)
-                best = np.lexsort((np.broadcast_to(own, score.shape), -score), axis=1)[:, :k]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best.shape[1])), pa.array(own[best].ravel()), pa.array(np.take_along_axis(score, best, axis=1).ravel())], ["QUERY_ID", "ID", "score"])
+                best, who = np.empty((len(q), 0)), np.empty((len(q), 0), np.int64)
+                for s in range(0, len(own), step):
+                    v = np.array(b.column(1).slice(s, step).to_pylist(), np.float64)
+                    score = np.round((q @ v.T) / np.sqrt(np.outer(sizes, (v * v).sum(axis=1))), 6)
+                    best, who = np.hstack([best, score]), np.hstack([who, np.broadcast_to(own[s : s + step], score.shape)])
+                    first = np.lexsort((who, -best), axis=1)[:, :k]
+                    best, who = np.take_along_axis(best, first, axis=1), np.take_along_axis(who, first, axis=1)
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best.shape[1])), pa.array(who.ravel()), pa.array(best.ravel())], ["QUERY_ID", "ID", "score"])
 
         return base.filter("EMBEDDING IS NOT NULL").select(F.col("ID").cast("bigint").alias("ID"), "EMBEDDING").mapInArrow(run, "QUERY_ID long, ID long, score double")
 

@@ -1,10 +1,11 @@
 """Keys of many rows on both sides: results by brute force, and no plan that moves their pairs."""
 
+import math
 import re
 
 from orgloom.operators import joins
 from orgloom.operators.upserts import first_by
-from orgloom.plans import graph, identity, links, lookups, staging
+from orgloom.plans import graph, identity, knowledge, links, lookups, staging
 
 
 def pairs_moved(df) -> int:
@@ -166,3 +167,15 @@ def test_contributions_are_summed_up_before_people_meet(spark):
     df = graph.repo_contribution(commits, matched)
     assert {tuple(r) for r in df.collect()} == {(f"u{i}", "o", f"r{k}", k, 500 if i == 0 else 250) for i in range(99) for k in range(2)}
     assert rows_met(df) <= 200
+
+
+def test_vectors_are_scored_some_pairs_at_once(spark, monkeypatch):
+    """Slices of a batch give the nearest of the whole, equal scores by id."""
+    monkeypatch.setattr(knowledge, "PAIRS_AT_ONCE", 8, raising=True)
+    rows = [(i, [float(i % 5 + 1), float(i * 7 % 4), 1.0]) for i in range(60)]
+    base = spark.createDataFrame(rows, "ID long, EMBEDDING array<double>").coalesce(1)
+    got = {(r["QUERY_ID"], r["nth"]): (r["ID"], r["score"]) for r in knowledge.nearest_each(base, base.filter("ID % 20 = 0"), 4).collect()}
+    cos = lambda a, b: round(sum(x * y for x, y in zip(a, b, strict=True)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b)), 6)
+    for q in (0, 20, 40):
+        want = sorted((-cos(rows[q][1], v), i) for i, v in rows)[:4]
+        assert [got[q, n] for n in range(1, 5)] == [(i, -s) for s, i in want]
