@@ -8,9 +8,8 @@ apart one has an even number of bits, so only those are sent with their ball. Co
 fingerprint are one row, so a group of identical texts costs one row whatever its size, and where
 many fingerprints meet, only links that span them are given: one less than there are, at most.
 
-Similar texts, well beyond three bits, are found by wider fingerprints of several segments, whose balls are
-enumerated over their weakest bits, and by the first of their shingles, where balls of that size miss some; what
-meets, and is near enough in full, is a candidate, and the Jaccard index of the texts' shingles is then counted among candidates.
+Similar texts, well beyond three bits, meet by the first of their shingles, which loses none of them; what
+meets, and is near enough by a wider fingerprint, is a candidate, and the Jaccard index of the texts' shingles is then counted among candidates.
 """
 
 from __future__ import annotations
@@ -291,9 +290,21 @@ def owner_of(wide: np.ndarray, of: int) -> int:
     return int(((wide[0] & ~low) | (np.int64(of).view(_U) & low)).view(np.int64))
 
 
+def _wide_lead(found: np.ndarray) -> np.ndarray:
+    """By how many of a set's shingles each bit of its wide fingerprint is set rather than not."""
+    return np.concatenate([2 * _set_bits(mix(found ^ _U(w * 0x9E3779B97F4A7C15 & (1 << 64) - 1))) - len(found) for w in range(WIDE)]) if len(found) else np.zeros(64 * WIDE, np.int64)
+
+
+def wide_bits(found: np.ndarray) -> np.ndarray:
+    """The wide fingerprint of a set of shingles: WIDE numbers of 64 bits."""
+    return np.packbits(_wide_lead(found) > 0, bitorder="little").view("<u8")
+
+
 def wide_fingerprint(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(WIDE numbers of 64 bits, keys as uint32) of a set of shingles: a key is a segment's number and bits, as they are and with one of its weakest flipped."""
-    lead = np.concatenate([2 * _set_bits(mix(found ^ _U(w * 0x9E3779B97F4A7C15 & (1 << 64) - 1))) - len(found) for w in range(WIDE)]) if len(found) else np.zeros(64 * WIDE, np.int64)
+    """(``wide_bits``, keys as uint32) of a set of shingles: a key is a segment's number and bits, as they are and with one of its weakest flipped.
+
+    For a search by fingerprints alone, which misses some pairs; ``similar_groups`` needs none of these keys."""
+    lead = _wide_lead(found)
     bits, n = lead > 0, len(lead) // SEGMENT_BITS
     own = bits[: n * SEGMENT_BITS].reshape(n, SEGMENT_BITS) @ (1 << np.arange(SEGMENT_BITS))
     weak = 1 << np.argsort(np.abs(lead[: n * SEGMENT_BITS]).reshape(n, SEGMENT_BITS), axis=1, kind="stable")[:, :WEAK]
@@ -365,7 +376,7 @@ def jaccard_spanning(nodes: np.ndarray, sets: list[np.ndarray], least: Fraction)
 
 
 def candidates(prints: DataFrame, classes: DataFrame, distance: int = WIDE_DISTANCE) -> DataFrame:
-    """(a, b) of sets whose wide fingerprints share a key and are near; what such pairs connect, the links connect.
+    """(a, b) of sets that share a key and whose wide fingerprints are near; what such pairs connect, the links connect.
 
     ``prints``: (set, owner, keys binary); ``classes``: (set, owner, bits binary), each set once. Keys and owners (``owner_of``) are dealt out first, as most
     keys are of one set, or of sets that the first bits of their fingerprints tell apart. What is left is met with whole fingerprints. Sets of one owner are
@@ -430,8 +441,8 @@ def candidates(prints: DataFrame, classes: DataFrame, distance: int = WIDE_DISTA
 def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, least: Fraction = LEAST, staged: tuple[str, str] | None = None) -> DataFrame:
     """(doc_id, component_id) of texts that links of a Jaccard index of ``least`` or more connect; ``id_col``: distinct longs.
 
-    Sets of shingles meet if their wide fingerprints share a key of a segment's ball. A fingerprint is an estimate, which misses some pairs
-    near 0.8; so sets meet by the first of their shingles too, which loses none. Of what meets, fingerprints that are near
+    Sets meet by the first of their shingles, which loses none of such an index. Segments of fingerprints would find no pair
+    that these don't, and more pairs by chance the more sets there are, so they are no keys. Of what meets, fingerprints that are near
     enough, in their first bits and as a whole, are candidates; and of what candidates connect, the index is counted. Only texts of different
     shingles meet, so copies cost one row. Shingles and sets are told apart by 64-bit hashes.
 
@@ -445,8 +456,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str = "text", shingle
         for b in batches:
             for at, to, texts in _texts(b.column(1)):
                 sets = [shingle_set(t, shingle) for t in texts]
-                prints = [wide_fingerprint(s) for s in sets]
-                prints = [(p, np.concatenate([k, prefix_keys(s, heat, least)])) for s, (p, k) in zip(sets, prints, strict=True)]
+                prints = [(wide_bits(s), prefix_keys(s, heat, least)) for s in sets]
                 ids = [set_id(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(at, to - at), b.column(2).slice(at, to - at), b.column(3).slice(at, to - at), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),

@@ -159,3 +159,19 @@ def test_many_fingerprints_of_one_segment():
     start = time.monotonic()
     simhash.near_spanning(fps.view(np.int64), fps[:, None], 3)
     assert time.monotonic() - start < 20
+
+
+def test_sets_are_dealt_by_their_first_shingles_alone(spark, texts, monkeypatch):
+    """Keys of a set are as many as lose no pair, a fifth of its shingles or so: fingerprints, which meet by chance among many sets, add none."""
+    seen, real = {}, simhash.candidates
+
+    def candidates(prints, classes, *more):
+        seen.update({r["n"]: len(r["keys"]) // 4 for r in prints.select("n", "keys").collect()})
+        return real(prints, classes, *more)
+
+    monkeypatch.setattr(simhash, "candidates", candidates)
+    some = texts[:40]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs, "doc_id").collect()}
+    assert [got[i] for i in range(len(some))] == brute(some)
+    assert len(seen) >= 3 and all(k == (n - -(-4 * n // 5) + 1 if n else 0) for n, k in seen.items())
