@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,10 +37,15 @@ def _word(w: str) -> str:
     return rf"(?<![a-z0-9_]){w}(?![a-z0-9_])"
 
 
+def _lowered(c: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` the text in lower case, which is made once for a row, whatever ``of`` asks of it."""
+    return F.transform(F.array(F.lower(F.coalesce(c, F.lit("")))), of)[0]
+
+
 def role_counts(c: Column) -> Column:
-    """struct of how often the words of each role, by name, occur in the whole text."""
-    lower = F.lower(F.coalesce(c, F.lit("")))
-    return F.struct(*[reduce(lambda a, b: a + b, [F.regexp_count(lower, F.lit(_word(w))) for w in ROLES[r]]).cast("bigint").alias(r) for r in sorted(ROLES)])
+    """struct of how often the words of each role, by name, occur in the whole text. Patterns are tried only where their word is somewhere in the text, which is told much sooner."""
+    many = lambda t, w: F.when(F.contains(t, F.lit(w)), F.regexp_count(t, F.lit(_word(w)))).otherwise(0)
+    return _lowered(c, lambda t: F.struct(*[reduce(lambda a, b: a + b, [many(t, w) for w in ROLES[r]]).cast("bigint").alias(r) for r in sorted(ROLES)]))
 
 
 def role_by(counts: Column) -> Column:
@@ -63,15 +69,15 @@ def language_of(path: Column) -> Column:
 
 
 def frameworks_of(c: Column) -> Column:
-    """Frameworks that are imported and tools that are named, in order."""
-    lower = F.lower(F.coalesce(c, F.lit("")))
-    found = {n: lower.rlike(rf"(?:^|[^a-z0-9_])(?:import|from|require)[ (\"']+{w}(?:[^a-z0-9_]|$)") for n, w in FRAMEWORKS.items()} | {n: lower.rlike(_word(w)) for n, w in TOOLS.items()}
-    return F.filter(F.array(*[F.when(found[n], n) for n in sorted(found)]), lambda x: x.isNotNull())
+    """Frameworks that are imported and tools that are named, in order. Patterns are tried only where their word is somewhere in the text, as in ``role_counts``."""
+    words = FRAMEWORKS | TOOLS
+    pattern = {n: rf"(?:^|[^a-z0-9_])(?:import|from|require)[ (\"']+{w}(?:[^a-z0-9_]|$)" for n, w in FRAMEWORKS.items()} | {n: _word(w) for n, w in TOOLS.items()}
+    return _lowered(c, lambda t: F.filter(F.array(*[F.when(F.contains(t, F.lit(words[n])), F.when(t.rlike(pattern[n]), n)) for n in sorted(words)]), lambda x: x.isNotNull()))
 
 
 def commit_summaries(diffs: DataFrame) -> DataFrame:
     """(COMMIT_SHA, summary, key_changes, langs, frameworks) of each commit: the message's first sentence, the files and their lines, and what they are written in."""
-    lines = F.regexp_count("DIFF", F.lit("\n")) + 1
+    lines = (F.length("DIFF") - F.length(F.replace("DIFF", F.lit("\n"), F.lit(""))) + 1).cast("int")
     rows = diffs.select("COMMIT_SHA", "ORD", "COMMIT_MESSAGE", "FILE_PATH", lines.alias("lines"), language_of(F.col("FILE_PATH")).alias("lang"), frameworks_of(F.col("DIFF")).alias("fw"))
     files = rows.groupBy("COMMIT_SHA", "FILE_PATH").agg(F.sum("lines").alias("lines"))
     changes = files.groupBy("COMMIT_SHA").agg(F.sort_array(F.collect_list(F.concat("FILE_PATH", F.lit(": "), "lines", F.lit(" lines")))).alias("key_changes"))

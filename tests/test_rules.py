@@ -228,3 +228,17 @@ def test_streaming(spark, tmp_path):
     spark.createDataFrame([(2, "c"), (3, "d")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     run()
     assert sorted(tuple(r) for r in spark.read.parquet(versions[-1]).collect()) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_patterns_are_tried_only_where_their_word_is(spark):
+    """The text is put in lower case once for all patterns, whose results stay as they were; lines are counted without a pattern."""
+    rows = [("import Django\nfrom torch import x; kubectl", 2), ("djangos mydjango import_torch dockers", 1), ("no words\n\n", 3), ("", 1), (None, None), ("DOCKER server servers api-api", 1)]
+    df = spark.createDataFrame([(f"s{i}", i, "m", "f.py", t) for i, (t, _) in enumerate(rows)], "COMMIT_SHA string, ORD int, COMMIT_MESSAGE string, FILE_PATH string, DIFF string")
+    made = inference.commit_summaries(df)
+    got = {r["COMMIT_SHA"]: (r["frameworks"], r["key_changes"]) for r in made.collect()}
+    found = [["Django", "Kubernetes", "PyTorch"], [], [], [], [], ["Docker"]]
+    assert got == {f"s{i}": (found[i], [f"f.py: {n} lines"] if n else []) for i, (_, n) in enumerate(rows)}
+    counts = df.select(inference.role_counts(F.col("DIFF")).alias("c")).collect()
+    assert [(r["c"][inference.BACK], r["c"]["DevOps Engineer"]) for r in counts] == [(1, 1), (0, 0), (0, 0), (0, 0), (0, 0), (3, 1)]
+    plan = df.select(inference.frameworks_of(F.col("DIFF")).alias("f"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
