@@ -170,10 +170,17 @@ def all_interactions(issues: DataFrame, commits: DataFrame, prs: DataFrame, matc
 
 
 def commits_missing_diffs(commits: DataFrame, users: DataFrame, diffs: DataFrame) -> DataFrame:
-    """Commits of known users (by id or by login) that have no diffs."""
-    met = joins.or_left(commits.select("COMMIT_SHA", "AUTHOR_ID", "AUTHOR_LOGIN"), users, [("AUTHOR_ID", "GITHUB_ID"), ("AUTHOR_LOGIN", "GITHUB_LOGIN")], ["COMMIT_SHA"], ["GITHUB_ID", "GITHUB_LOGIN"])
-    known = met.filter("GITHUB_ID IS NOT NULL OR GITHUB_LOGIN IS NOT NULL").select("COMMIT_SHA", "GITHUB_ID").distinct()
-    return known.join(diffs.select("COMMIT_SHA").distinct(), "COMMIT_SHA", "left_anti")
+    """(COMMIT_SHA, GITHUB_ID) of commits of known users (by id or by login) that have no diffs, once each.
+
+    Commits with diffs go first, and those left are one row each with their authors' ids and logins. A login that many accounts share
+    makes more pairs than there are commits, so pairs are told apart by what their commit's row says, and only those of a commit of several logins are moved."""
+    left = commits.select("COMMIT_SHA", "AUTHOR_ID", "AUTHOR_LOGIN").join(diffs.select("COMMIT_SHA"), "COMMIT_SHA", "left_anti")
+    one = left.groupBy("COMMIT_SHA").agg(F.collect_set("AUTHOR_ID").alias("ids"), F.collect_set("AUTHOR_LOGIN").alias("logins"))
+    by_id = one.select("COMMIT_SHA", F.explode("ids").alias("GITHUB_ID")).join(users.select("GITHUB_ID"), "GITHUB_ID", "left_semi").select("COMMIT_SHA", "GITHUB_ID")
+    of_login = users.filter("GITHUB_LOGIN IS NOT NULL").select("GITHUB_LOGIN", "GITHUB_ID").distinct()
+    asked = one.select("COMMIT_SHA", "ids", (F.size("logins") > 1).alias("several"), F.explode("logins").alias("GITHUB_LOGIN"))
+    pairs = lambda df: df.join(of_login, "GITHUB_LOGIN").filter(~F.coalesce(F.array_contains("ids", F.col("GITHUB_ID")), F.lit(False))).select("COMMIT_SHA", "GITHUB_ID")
+    return by_id.unionByName(pairs(asked.filter("NOT several"))).unionByName(pairs(asked.filter("several")).distinct())
 
 
 def person_attributes(commits: DataFrame, issues: DataFrame) -> DataFrame:

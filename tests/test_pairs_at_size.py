@@ -179,3 +179,17 @@ def test_vectors_are_scored_some_pairs_at_once(spark, monkeypatch):
     for q in (0, 20, 40):
         want = sorted((-cos(rows[q][1], v), i) for i, v in rows)[:4]
         assert [got[q, n] for n in range(1, 5)] == [(i, -s) for s, i in want]
+
+
+def test_missing_diffs_move_no_pairs(spark):
+    """A login that 100 accounts share, for 200 commits: pairs stay where they are made. Commits of several rows, logins or accounts have each pair once."""
+    rows = [(f"s{i}", f"g{i % 7}" if i % 3 else None, "l") for i in range(400)] + [("x", "g1", "l"), ("x", "g1", "m"), ("x", "h", None), ("y", "none", "none"), (None, "g2", "m"), (None, "g3", "l")]
+    people = [(f"g{i}", "l") for i in range(100)] + [("g1", "m"), (None, "m"), (None, "l"), ("h", None)]
+    commits = spark.createDataFrame(rows, "COMMIT_SHA string, AUTHOR_ID string, AUTHOR_LOGIN string")
+    diffs = spark.createDataFrame([(f"s{i}",) for i in range(0, 400, 2)] * 2 + [(None,)], "COMMIT_SHA string")
+    done = {f"s{i}" for i in range(0, 400, 2)}
+    want = {(s, g) for s, i, n in rows if s not in done for g, login in people if (i and i == g) or (n and n == login)}
+    df = links.commits_missing_diffs(commits, spark.createDataFrame(people, "GITHUB_ID string, GITHUB_LOGIN string"), diffs)
+    got = [tuple(r) for r in df.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20_000
+    assert pairs_moved(df) < 2_000
