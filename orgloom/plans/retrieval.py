@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.adapters import load, with_sql
+from ..sources.scratch import written
 from .compiler import ColumnSelection, Compare, TargetSchema, compile_target
 
 #: How soon repeats of a term stop to count, and how much long chunks lose.
@@ -38,12 +42,47 @@ def build_index(chunks: DataFrame, id_col: str = "id", text_col: str = "document
     return found.join(sizes, "id").join(held, "term").select("term", "id", (weight * part).alias("impact"))
 
 
+#: Postings of a block of chunks, and terms of a pack of goals, about; a task scores one block for one pack at a time.
+BLOCK_POSTINGS, PACK_TERMS = 1 << 18, 1 << 16
+
+
 def search(index: DataFrame, goals: DataFrame, k: int = 5, goal_col: str = "goal_id", text_col: str = "goal") -> DataFrame:
     """(goal_id, id, score, nth): the k best chunks of each goal, by score and then id; a goal that shares no term with any chunk has no row.
 
-    ``goals`` is a stated query set. A repeated term of a goal counts once. Scores are sums of impacts, added where the postings are before they move."""
-    asked = terms(goals, goal_col, text_col).select(F.col("id").alias("goal_id"), F.col("term").alias("asked")).filter("goal_id IS NOT NULL")
-    met = index.join(asked, F.col("term") == F.col("asked")).groupBy("goal_id", "id").agg(F.round(F.sum("impact"), 6).alias("score"))
+    ``goals`` is a stated query set. A repeated term of a goal counts once. Scores are sums of impacts. A common term makes a pair of each goal and chunk that
+    have it, so pairs don't move and are not held: a block of chunks has all postings of them, and gives the k best of it for each goal."""
+    asked = written(terms(goals, goal_col, text_col).select(F.col("id").alias("goal_id"), F.col("term").alias("asked")).filter("goal_id IS NOT NULL"), "asked")
+    postings = written(index.select("term", "id", "impact"), "postings")
+    blocks, packs = (max(1, -(-df.count() // n)) for df, n in ((postings, BLOCK_POSTINGS), (asked, PACK_TERMS)))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left, right = postings.withColumn("block", dealt("id", blocks)).withColumn("pack", each(packs)), asked.withColumn("pack", dealt("goal_id", packs)).withColumn("block", each(blocks))
+
+    def best(held: pa.Table, goals: pa.Table) -> pa.Table:
+        ids, words, of = (x.combine_chunks().dictionary_encode() for x in (held["id"], held["term"], goals["goal_id"]))
+        rank = np.empty(len(ids.dictionary), np.int64)
+        rank[np.asarray(pc.sort_indices(ids.dictionary))] = np.arange(len(rank))
+        word = np.asarray(words.indices)
+        order = np.argsort(word, kind="stable")
+        chunk, impact, ends = np.asarray(ids.indices)[order], np.asarray(held["impact"])[order], np.searchsorted(word[order], np.arange(len(words.dictionary) + 1))
+        term = np.asarray(pc.fill_null(pc.index_in(goals["asked"].combine_chunks(), value_set=words.dictionary), -1))
+        goal, term = np.asarray(of.indices)[term >= 0], term[term >= 0]
+        order = np.argsort(goal, kind="stable")
+        goal, term = goal[order], term[order]
+        found: list[tuple[np.ndarray, ...]] = []
+        for ts in np.split(np.arange(len(goal)), np.flatnonzero(np.diff(goal)) + 1):
+            if not len(ts):
+                continue
+            at = np.concatenate([np.arange(ends[x], ends[x + 1]) for x in term[ts]])
+            met, nth = np.unique(chunk[at], return_inverse=True)
+            score = np.bincount(nth, weights=impact[at])
+            first = np.lexsort((rank[met], -np.round(score, 6)))[:k]
+            found.append((np.full(len(first), goal[ts[0]]), met[first], score[first]))
+        g, i, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"goal_id": of.dictionary.take(pa.array(g, pa.int64())), "id": ids.dictionary.take(pa.array(i, pa.int64())), "score": pa.array(s, pa.float64())})
+
+    kinds = f"goal_id {asked.schema['goal_id'].dataType.simpleString()}, id {postings.schema['id'].dataType.simpleString()}, score double"
+    met = left.groupBy("block", "pack").cogroup(right.groupBy("block", "pack")).applyInArrow(best, kinds).withColumn("score", F.round("score", 6))
     w = Window.partitionBy("goal_id").orderBy(F.desc("score"), "id")
     return met.withColumn("nth", F.row_number().over(w).cast("bigint")).filter(F.col("nth") <= k)
 

@@ -55,3 +55,18 @@ def test_values_with_quotes_and_types(spark):
     goals = spark.createDataFrame([(1, "people named brien"), (2, "people size 8")], "goal_id long, goal string")
     got = retrieval.answer_goals(goals, {"people": ("hr", rows)}, {"people": ["name", "size"]}, {"people": "key"})
     assert sorted((r["goal_id"], r["key"]) for r in got.collect()) == [(1, "k1"), (1, "k3"), (2, "k2")]
+
+
+def test_pairs_of_a_common_term_do_not_move(spark, monkeypatch):
+    """60 goals and 400 chunks with one word: 24,000 pairs, of which a block gives the best. However small blocks and packs are, the result is that of plain scores."""
+    from test_pairs_at_size import pairs_moved
+
+    chunks = [(i, f"brand w{i % 37} w{i % 11}") for i in range(400)]
+    goals = [(i, f"brand w{i % 41}") for i in range(60)]
+    index = retrieval.build_index(spark.createDataFrame(chunks, "id long, document string"))
+    for block, pack in ((1 << 18, 1 << 16), (300, 50)):
+        monkeypatch.setattr(retrieval, "BLOCK_POSTINGS", block)
+        monkeypatch.setattr(retrieval, "PACK_TERMS", pack)
+        df = retrieval.search(index, spark.createDataFrame(goals, "goal_id long, goal string"), 3)
+        assert sorted((r["goal_id"], r["id"], r["score"], r["nth"]) for r in df.collect()) == brute(chunks, goals, 3)
+        assert pairs_moved(df) < 8_000
