@@ -1,5 +1,6 @@
 """Queries read whole tables: at a size where a fixed cap on ids would show."""
 
+import ast
 import re
 
 import pytest
@@ -92,6 +93,21 @@ def test_every_login_gets_its_best_name(spark):
     assert "NestedLoop" not in done._jdf.queryExecution().toString() and "Cartesian" not in done._jdf.queryExecution().toString()
 
 
+def test_login_of_several_accounts_shows_one_that_its_sql_may_show(spark):
+    """The SQL leaves open which account of a login comes first, so its rows that share the first place are taken, all of them: the query has one for each login, of the least id."""
+    sf_dir, first = "/root/testdata/sf0.1", "row_number() OVER (PARTITION BY LOGIN ORDER BY SCORE DESC, RANK, ORD) = 1"
+    sql = registry.ORACLES["pr_user_match"]
+    assert sql.count(first) == 1
+    got, tied = against_sql(spark, sf_dir, registry.QUERIES["pr_user_match"], sql.replace(first, first.replace("row_number", "rank")))
+    accounts = {}
+    for r in load(spark, sf_dir, "pr_logins").collect():
+        accounts.setdefault(r["LOGIN"], set()).add(r["ID"])
+    rows = [ast.literal_eval(r) for r in got]  # columns by name: GITHUB_ID, GITHUB_LOGIN, ...
+    assert set(got) <= set(tied) and len({r[1] for r in rows}) == len(rows) == len({ast.literal_eval(r)[1] for r in tied})
+    assert len(tied) == sum(len(accounts[r[1]]) for r in rows) > len(rows)  # nothing but the account is left open
+    assert all(r[0] == min(accounts[r[1]]) for r in rows)
+
+
 def test_patch_takes_every_pull_request(spark):
     """The fold in plain Python over all rows, in order."""
     want = {r["JIRA_ID"]: [r["GITHUB_ID"], []] for r in load(spark, LARGER, "matched").collect()}
