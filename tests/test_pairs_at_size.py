@@ -3,6 +3,8 @@
 import math
 import re
 
+from pyspark.sql import functions as F
+
 from orgloom.operators import joins
 from orgloom.operators.upserts import first_by
 from orgloom.plans import graph, identity, knowledge, links, lookups, staging
@@ -209,3 +211,17 @@ def test_stories_of_a_person_meet_no_links(spark):
     df = lookups.story_person(spark.createDataFrame(people, "JIRA_ID string"), spark.createDataFrame(stories, "STORY_ID long, STORY_KEY string, REPORTER string, ASSIGNEE string, OWNER string"), spark.createDataFrame(rows, "LINK_ID long, LINK_STORY_ID long, LINK_KEY string"))
     assert sorted(map(tuple, df.select("JIRA_ID", "n_stories", "n_links", "has_unlinked").collect())) == want
     assert pairs_moved(df) < 21_000
+
+
+def test_shared_lists_are_one_text_and_many_tasks(spark, monkeypatch):
+    """500 ids of one login: lists as texts equal lists, also of ids at the ends of blocks, with commas, empty, or alone; and rows of long lists are not one task's work."""
+    monkeypatch.setattr(identity, "KIN", 20)
+    monkeypatch.setattr(identity, "TEXT_IDS", 16, raising=False)
+    rows = [(f"{i:03}", f"n{i % 3}", f"m{i % 5}" if i % 2 else None, "shared") for i in range(500)] + [("a,b", "n", None, "shared"), ("a", "n", None, "shared"), ("", "n", "e@x", "own"), ("b", "n", "e@x", "own"), ("z", "n", "z@x", "zz"), ("none", None, None, None)]
+    df = spark.createDataFrame(rows, "ID string, NAME string, EMAIL string, LOGIN string")
+    for keep in (False, True):
+        lists = identity.collapse(df, keep_missing=keep)
+        texts = identity.collapse_shown(df, keep_missing=keep)
+        assert sorted(map(str, texts.collect())) == sorted(map(str, identity._shown(lists).collect())) and texts.count() == 506
+        for d in (lists, texts):
+            assert d.select(F.spark_partition_id().alias("p")).distinct().count() > 1
