@@ -225,3 +225,15 @@ def test_shared_lists_are_one_text_and_many_tasks(spark, monkeypatch):
         assert sorted(map(str, texts.collect())) == sorted(map(str, identity._shown(lists).collect())) and texts.count() == 506
         for d in (lists, texts):
             assert d.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_rows_of_a_key_are_copied_few_times(spark):
+    """Parts of a key are a grid, so 300 rows and 300 are moved 16 times each, and not each of one side to 300 parts; no part is empty of pairs that a plain join has."""
+    left = spark.createDataFrame([("k", f"a{i}") for i in range(300)] + [("one", f"a{i}") for i in range(300)], "k string, a string")
+    right = spark.createDataFrame([("k", f"b{i}") for i in range(300)] + [("one", "b"), ("none", "b")], "k string, b string")
+    got = joins.in_parts(left, right, "k", 16)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    assert pairs_moved(got) < 6000
+    swapped = joins.in_parts(right, left, "k", 16)
+    assert swapped.distinct().count() == swapped.count() == 90_300 and pairs_moved(swapped) < 6000
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
